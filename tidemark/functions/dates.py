@@ -19,9 +19,10 @@ def day(value: str | dt.date | Column) -> Column:
 
 
 def instant(value: str | dt.datetime | Column) -> Column:
+    """A wall-clock literal (no zone, so no session setting changes it), or the column."""
     if isinstance(value, Column):
         return value
-    return F.lit(str(value)).cast("timestamp")
+    return F.lit(str(value)).cast("timestamp_ntz")
 
 
 def date_key(c: Column) -> Column:
@@ -55,8 +56,8 @@ def start_years_back(asof: str | Column, years: int) -> Column:
 
 
 def to_zone(ts: Column, zone: str) -> Column:
-    """UTC instant as wall-clock time of ``zone``."""
-    return F.from_utc_timestamp(ts, zone)
+    """UTC wall-clock time as wall-clock time of ``zone``."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
 
 
 def local_day(ts: Column, zone: str) -> Column:

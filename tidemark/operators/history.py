@@ -22,7 +22,7 @@ def _dated(src: DataFrame, keys: Sequence[str], updated_at: Column) -> DataFrame
     day = updated_at.cast("date")
     return (
         src.withColumn("valid_from", day)
-        .withColumn("valid_to", F.lit(None).cast("timestamp"))
+        .withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
         .withColumn("updated_at", day)
         .withColumn("version_id", version_id(*[F.col(k) for k in keys], day))
     )
@@ -96,7 +96,7 @@ def apply(
     fresh = o.isNull() | newer
     opens = F.when(fresh & F.col("_spent").isNull(), n)
 
-    end_of_old = F.date_sub(F.col("n.updated_at"), 1).cast("timestamp")
+    end_of_old = F.date_sub(F.col("n.updated_at"), 1).cast("timestamp_ntz")
     kept = o
     if row_hash and check_cols is None:
         same_day = (F.col("o.valid_from") == F.col("n.updated_at")) & (

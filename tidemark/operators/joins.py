@@ -202,8 +202,8 @@ def cross_rates(rates: DataFrame) -> DataFrame:
     rate = (
         F.when(F.col("rb") == 0, F.lit(0))
         .when(F.col("src") == F.col("dst"), F.lit(1))
-        .otherwise(F.round(F.try_divide("ra", "rb"), 6))
-        .cast("decimal(18,6)")
+        .otherwise(F.round(F.try_divide(F.col("ra").cast("double"), F.col("rb").cast("double")), 6))
+        .cast("double")
     )
     newest = latest(
         pairs,

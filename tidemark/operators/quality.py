@@ -56,7 +56,7 @@ def audit_rows(
     return missing.select(
         *[F.lit(v).alias(k) for k, v in names.items()],
         F.col("missing_key").cast("string").alias("missing_value"),
-        F.lit(at).cast("timestamp").alias("ins_dttm"),
+        F.lit(at).cast("timestamp_ntz").alias("ins_dttm"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
 
@@ -74,7 +74,7 @@ def insert_inferred(dim: DataFrame, missing: DataFrame, natural_key: str, key: s
 
 def freshness(df: DataFrame, loaded: str, now: Column, warn_hours: int = 24, error_hours: int = 48) -> DataFrame:
     """One row: newest load time, its age in hours, and pass / warn / error."""
-    age = (F.unix_timestamp(now) - F.unix_timestamp("max_loaded_at")) / 3600
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now) / 3600
     return df.agg(F.max(loaded).alias("max_loaded_at")).select(
         "max_loaded_at",
         F.floor(age).cast("bigint").alias("age_hours"),

@@ -40,9 +40,27 @@ def load_seed(
     return df
 
 
-def constant_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A literal table. Its size is fixed by the code, so it is always broadcast."""
-    return broadcast_bounded(spark.createDataFrame(list(rows), schema), len(rows))
+def constant_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
+    """A literal table. Its size is fixed by the code, so it may be broadcast."""
+    structs = [
+        F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row, strict=True)]) for row in rows
+    ]
+    return broadcast_bounded(spark.range(1).select(F.inline(F.array(*structs))), len(rows))
+
+
+def seed_from_text(
+    spark: SparkSession, text: str, schema: str, timestamps: Sequence[str] = (), formats: Sequence[str] = ()
+) -> DataFrame:
+    """A seed shipped with the code: CSV text with a header line.
+
+    The text travels in the plan, so executors need no access to the driver's disk.
+    """
+    lines = [line for line in text.strip().splitlines()[1:] if line]
+    rows = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in lines])).alias("line"))
+    df = rows.select(F.from_csv("line", F.lit(schema)).alias("r")).select("r.*")
+    for name in timestamps:
+        df = df.withColumn(name, parse_any(F.col(name), formats))
+    return broadcast_bounded(df, len(lines))
 
 
 def generate_rows(spark: SparkSession, n: int, name: str = "n") -> DataFrame:
