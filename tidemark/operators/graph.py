@@ -34,18 +34,24 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
     )
     seen = frontier
     for depth in range(2, max_depth + 2):
-        f = frontier.select("part", "site", "stage", "last_stage")
-        cond = (
-            (f["part"] == hops["part"])
-            & (f["site"] == hops["from_site"])
-            & (f["stage"] == hops["from_stage"])
+        stepped = (
+            frontier.alias("f")
+            .join(
+                hops.alias("h"),
+                (F.col("f.part") == F.col("h.part"))
+                & (F.col("f.site") == F.col("h.from_site"))
+                & (F.col("f.stage") == F.col("h.from_stage")),
+            )
+            .select(
+                "f.part",
+                F.col("h.to_site").alias("site"),
+                F.col("h.to_stage").alias("stage"),
+                F.when(F.col("h.kind") == "BOM", F.col("h.to_stage"))
+                .otherwise(F.col("f.last_stage"))
+                .alias("last_stage"),
+            )
+            .distinct()
         )
-        stepped = f.join(hops, cond).select(
-            f["part"],
-            hops["to_site"].alias("site"),
-            hops["to_stage"].alias("stage"),
-            F.when(hops["kind"] == "BOM", hops["to_stage"]).otherwise(f["last_stage"]).alias("last_stage"),
-        ).distinct()
         # Null-safe on the stages, which may be missing at the end of a route.
         fresh = stepped.alias("n").join(
             seen.alias("o"),

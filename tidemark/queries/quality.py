@@ -1 +1,75 @@
-"""To do."""
+"""Data-quality checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.operators import quality
+from tidemark.queries.registry import Tables, query
+
+
+@query(
+    "dq_unique",
+    """SELECT l_orderkey || '--' || l_linenumber AS unique_field, count(*) AS n_records FROM lineitem GROUP BY 1 HAVING count(*) > 1""",
+)
+def dq_unique(t: Tables) -> DataFrame:
+    expr = F.concat(F.col("l_orderkey").cast("string"), F.lit("--"), F.col("l_linenumber").cast("string"))
+    return quality.not_unique(t.lineitem, expr)
+
+
+@query("dq_not_null", """SELECT event_id, user_id FROM events WHERE nullif(event_type, 'view') IS NULL AND ts >= TIMESTAMP '2024-01-15'""")
+def dq_not_null(t: Tables) -> DataFrame:
+    return quality.is_null(
+        t.events, F.nullif("event_type", F.lit("view")), F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    ).select("event_id", "user_id")
+
+
+@query(
+    "dq_scoped",
+    """SELECT l_partkey AS unique_field, count(*) AS n_records FROM (SELECT l_partkey, l_shipdate FROM lineitem) l
+WHERE date_trunc('year', l_shipdate) = (SELECT max(date_trunc('year', l_shipdate)) FROM lineitem) GROUP BY 1 HAVING count(*) > 1""",
+)
+def dq_scoped(t: Tables) -> DataFrame:
+    """Only the rows of the newest yearly load are checked."""
+    loads = t.lineitem.select("l_partkey", F.date_trunc("year", F.col("l_shipdate")).alias("load"))
+    return quality.not_unique(quality.in_latest_load(loads, "load"), "l_partkey")
+
+
+@query(
+    "dq_missing_fk",
+    """SELECT DISTINCT l_orderkey AS missing_key FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""",
+)
+def dq_missing_fk(t: Tables) -> DataFrame:
+    dim = t.orders.where(F.col("o_orderstatus") != "P")
+    return quality.missing_keys(t.lineitem, "l_orderkey", dim, "o_orderkey")
+
+
+@query(
+    "dq_missing_fk_full",
+    """SELECT DISTINCT 'ORDERS' AS target_model, 'LINEITEM' AS source_model, CAST(l_orderkey AS VARCHAR) AS missing_value,
+  '2001-12-31 00:00:00' AS ins_dttm, 7 AS batch_id FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""",
+)
+def dq_missing_fk_full(t: Tables) -> DataFrame:
+    """Full check (scope ignored) as audit rows."""
+    dim = t.orders.where(F.col("o_orderstatus") != "P")
+    missing = quality.missing_keys(
+        t.lineitem, "l_orderkey", dim, "o_orderkey", F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz"), full=True
+    )
+    rows = quality.audit_rows(missing, {"target_model": "ORDERS", "source_model": "LINEITEM"}, "2001-12-31 00:00:00", 7)
+    return rows.withColumn("ins_dttm", F.date_format("ins_dttm", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    "inferred_members",
+    """WITH dim AS (SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS order_key, o_orderstatus, 'LOAD' AS origin FROM orders WHERE o_orderstatus <> 'P')
+SELECT * FROM dim UNION ALL SELECT DISTINCT l_orderkey, md5(CAST(l_orderkey AS VARCHAR)), CAST(NULL AS VARCHAR), 'INFERRED' FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM dim)""",
+)
+def inferred_members(t: Tables) -> DataFrame:
+    dim = t.orders.where(F.col("o_orderstatus") != "P").select(
+        "o_orderkey", F.md5(F.col("o_orderkey").cast("string")).alias("order_key"), "o_orderstatus", F.lit("LOAD").alias("origin")
+    )
+    missing = quality.missing_keys(t.lineitem, "l_orderkey", dim, "o_orderkey")
+    return quality.insert_inferred(dim, missing, "o_orderkey", "order_key", origin=F.lit("INFERRED"))

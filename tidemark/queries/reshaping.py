@@ -1 +1,153 @@
-"""To do."""
+"""Set operations, pivot, unpivot, tokens, path walk."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.operators import reshape
+from tidemark.plans import parts as parts_plan
+from tidemark.queries.registry import Tables, query
+
+
+@query(
+    "top_n",
+    """SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 6""",
+)
+def top_n(t: Tables) -> DataFrame:
+    """A top-6 report; the order makes it repeatable."""
+    return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(6)
+
+
+@query(
+    "union_all",
+    """SELECT 'C' AS source, c_custkey AS party, c_nationkey AS nation FROM customer
+UNION ALL SELECT 'S', s_suppkey, s_nationkey FROM supplier""",
+)
+def union_all(t: Tables) -> DataFrame:
+    c = t.customer.select(F.lit("C").alias("source"), F.col("c_custkey").alias("party"), F.col("c_nationkey").alias("nation"))
+    s = t.supplier.select(F.lit("S").alias("source"), F.col("s_suppkey").alias("party"), F.col("s_nationkey").alias("nation"))
+    return c.unionByName(s)
+
+
+@query(
+    "union_distinct",
+    """SELECT l_partkey AS part_id, CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_returnflag = 'A'
+UNION SELECT l_partkey, CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag = 'N'""",
+)
+def union_distinct(t: Tables) -> DataFrame:
+    pick = lambda f: t.lineitem.where(F.col("l_returnflag") == f).select(
+        F.col("l_partkey").alias("part_id"), F.col("l_shipdate").cast("date").alias("d")
+    )
+    return pick("A").union(pick("N")).distinct()
+
+
+@query(
+    "minus_prior_batch",
+    """SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'
+EXCEPT SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01'""",
+)
+def minus_prior_batch(t: Tables) -> DataFrame:
+    cut = F.lit("2000-01-01").cast("timestamp_ntz")
+    cols = ["l_orderkey", "l_partkey", "l_suppkey"]
+    li = t.lineitem
+    return li.where(F.col("l_shipdate") >= cut).select(*cols).subtract(li.where(F.col("l_shipdate") < cut).select(*cols))
+
+
+TYPES = {"clicks": "click", "views": "view", "errors": "error", "purchases": "purchase", "signups": "signup"}
+
+
+@query(
+    "pivot_event_types",
+    "SELECT user_id, "
+    + ", ".join(f"max(CASE WHEN event_type = '{v}' THEN value END) AS {k}" for k, v in TYPES.items())
+    + " FROM events GROUP BY 1",
+)
+def pivot_event_types(t: Tables) -> DataFrame:
+    return reshape.pivot_max(t.events, ["user_id"], "event_type", "value", TYPES)
+
+
+UNPIVOT = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "unpivot_lineitem",
+    " UNION ALL ".join(
+        f"SELECT l_orderkey, l_partkey, l_linenumber, '{c}' AS measure, nullif({c}, 0) AS amount FROM lineitem WHERE nullif({c}, 0) IS NOT NULL"
+        for c in UNPIVOT
+    ),
+)
+def unpivot_lineitem(t: Tables) -> DataFrame:
+    """Zeros count as missing and give no row."""
+    cols = {c: F.nullif(F.col(c), F.lit(0.0)) for c in UNPIVOT}
+    return reshape.unpivot(t.lineitem, ["l_orderkey", "l_partkey", "l_linenumber"], cols, "measure", "amount")
+
+
+@query(
+    "unpivot_pair",
+    """SELECT o_orderkey, 'PRICE' AS risk_type, CASE WHEN o_totalprice > 250000 THEN 'High' END AS risk_value, o_orderpriority AS risk_note FROM orders WHERE o_totalprice > 250000
+UNION ALL SELECT o_orderkey, 'STATUS', CASE WHEN o_orderstatus = 'P' THEN 'Medium' END, NULL FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT o_orderkey, 'AGE', CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'Low' END, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'""",
+)
+def unpivot_pair(t: Tables) -> DataFrame:
+    """Risk register: type, value and description from parallel columns."""
+    return reshape.unpivot_pair(
+        t.orders,
+        ["o_orderkey"],
+        {
+            "PRICE": (F.when(F.col("o_totalprice") > 250000, "High"), F.col("o_orderpriority")),
+            "STATUS": (F.when(F.col("o_orderstatus") == "P", "Medium"), F.lit(None).cast("string")),
+            "AGE": (
+                F.when(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"), "Low"),
+                F.col("o_orderstatus"),
+            ),
+        },
+        "risk_type",
+        "risk_value",
+        "risk_note",
+    )
+
+
+@query(
+    "pick_column",
+    """SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, CASE l_returnflag WHEN 'A' THEN l_quantity WHEN 'N' THEN l_discount END AS picked
+FROM lineitem""",
+)
+def pick_column(t: Tables) -> DataFrame:
+    """A reference value names the column to read; an unknown name reads nothing."""
+    picked = reshape.pick_column(F.col("l_returnflag"), {"A": F.col("l_quantity"), "N": F.col("l_discount")})
+    return t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", picked.alias("picked"))
+
+
+@query(
+    "explode_tokens",
+    r"""SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[ ,.\n]')) AS token FROM documents)
+WHERE token <> '' GROUP BY 1, 2""",
+)
+def explode_tokens(t: Tables) -> DataFrame:
+    """Whole texts to token rows, counted per document."""
+    rows = reshape.explode_tokens(t.documents.select("doc_id", "text"), "text", "[ ,.\n]", "token")
+    return rows.groupBy("doc_id", "token").agg(F.count("*").alias("n"))
+
+
+WALK_SQL = """edges AS (SELECT DISTINCT l_partkey AS part, 'S' || (l_suppkey % 10) AS from_site, l_returnflag AS from_stage,
+    'S' || ((l_suppkey * 7 + l_linenumber) % 10) AS to_site,
+    CASE WHEN l_discount > 0.05 THEN 'BOM' ELSE 'BOD' END AS kind,
+    CASE WHEN l_linestatus = 'F' THEN 'A' WHEN l_returnflag = 'A' THEN 'R' ELSE 'N' END AS to_stage FROM lineitem),
+seeds AS (SELECT part, max(from_site) AS site, from_stage AS stage FROM edges WHERE kind = 'BOM' GROUP BY part, from_stage)"""
+
+
+@query(
+    "walk_paths",
+    f"""WITH RECURSIVE {WALK_SQL},
+walk AS (SELECT part, site, stage, stage AS last_stage FROM seeds
+  UNION SELECT w.part, e.to_site, e.to_stage, CASE WHEN e.kind = 'BOM' THEN e.to_stage ELSE w.last_stage END
+  FROM walk w JOIN edges e ON w.part = e.part AND w.site = e.from_site AND w.stage = e.from_stage)
+SELECT part, last_stage, max(stage) AS default_stage, count(*) AS states FROM walk GROUP BY 1, 2""",
+)
+def walk_paths(t: Tables) -> DataFrame:
+    """Supply routes of each part through sites and stages."""
+    edges, seeds = parts_plan.sample_routes(t.lineitem)
+    return parts_plan.stage_summary(edges, seeds)
+
+
