@@ -107,11 +107,10 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
             .withColumn(f"day_in_fiscal_{p}", F.rank().over(w.orderBy("calendar_date")))
         )
     wk = F.col("fiscal_week") % 100
-    weeks = (
-        days.groupBy("fiscal_month")
-        .agg(F.count_distinct("fiscal_week").alias("total_fiscal_weeks_in_fiscal_month"))
+    out = out.withColumn(
+        "total_fiscal_weeks_in_fiscal_month",
+        F.size(F.collect_set("fiscal_week").over(Window.partitionBy("fiscal_month"))),
     )
-    out = out.join(weeks, "fiscal_month", "left")
     total = F.col("total_fiscal_weeks_in_fiscal_month")
     fy = F.col("fiscal_year")
     out = (
@@ -158,7 +157,9 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
         )
         out = out.join(bounds, f"fiscal_{p}_prior", "left")
     near = period_offsets(
-        out.select("fiscal_quarter", "fiscal_quarter_sequence"),
+        days.withColumn(
+            "fiscal_quarter_sequence", 4 * (F.col("fiscal_year") - 1970) + F.col("fiscal_quarter") % 10 - 1
+        ),
         "fiscal_quarter",
         "fiscal_quarter_sequence",
         {
@@ -174,14 +175,17 @@ def period_offsets(
 ) -> DataFrame:
     """Keys of the periods n before or after each period, by sequence number.
 
-    The distinct periods are few; a period missing from the calendar gives null.
+    The distinct periods become one map (sequence -> key, four to fifty-two entries
+    a year) read as a scalar, so any number of offsets costs one small aggregate and
+    no join. A period missing from the calendar gives null.
     """
     periods = calendar.select(period, sequence).distinct()
-    out = periods
-    for name, k in offsets.items():
-        side = periods.select(F.col(period).alias(name), (F.col(sequence) - k).alias(sequence))
-        out = out.join(side, sequence, "left")
-    return out
+    keys = periods.agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(sequence).cast("int"), F.col(period)))).alias("m")
+    ).scalar()
+    return periods.select(
+        "*", *[F.try_element_at(keys, (F.col(sequence) + k).cast("int")).alias(name) for name, k in offsets.items()]
+    )
 
 
 def distinct_dim(calendar: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -196,13 +200,13 @@ def relative_flags(calendar: DataFrame, asof: str, periods: Sequence[str] = PERI
     """Whether a day's fiscal period is the current one, the one before, or the same one
     a year earlier, seen from ``asof``; told apart by the period sequence numbers.
 
-    The reference day is one row and is read as scalar subqueries.
+    The reference day is one row and is read as a scalar subquery.
     """
-    ref = calendar.where(F.col("calendar_date") == day(asof))
+    names = [f"fiscal_{p}_sequence" for p in periods]
+    ref = calendar.where(F.col("calendar_date") == day(asof)).select(F.struct(*names)).scalar()
     out = calendar
-    for p in periods:
-        seq = F.col(f"fiscal_{p}_sequence")
-        now = ref.select(f"fiscal_{p}_sequence").scalar()
+    for p, name in zip(periods, names, strict=True):
+        seq, now = F.col(name), ref.getField(name)
         out = out.withColumn(f"is_current_fiscal_{p}", seq == now).withColumn(f"is_prior_fiscal_{p}", seq == now - 1)
         if p != "year":
             out = out.withColumn(f"is_prior_fiscal_year_current_fiscal_{p}", seq == now - YEAR_AGO[p])

@@ -25,15 +25,20 @@ def floored_counter(
     reset: Column,
     out: str,
     *,
+    reset_to: Column | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Count after each row. ``step`` is an integer, ``reset`` a boolean that is never null."""
+    """Count after each row, starting from zero.
+
+    ``step`` is an integer. ``reset`` is a boolean that is never null; such a row
+    sets the count to ``reset_to`` (zero by default, never negative).
+    """
     keys, order = list(keys), list(order)
     parts = [*keys, CHUNK]
     cut = (
         df.withColumn(CHUNK, F.lit(0) if chunk is None else chunk)
         .withColumn("_reset", reset.cast("int"))
-        .withColumn("_step", F.when(reset, F.lit(0)).otherwise(step).cast("bigint"))
+        .withColumn("_step", F.when(reset, F.lit(0) if reset_to is None else reset_to).otherwise(step).cast("bigint"))
     )
 
     def upto(cols, by):

@@ -137,6 +137,40 @@ def join_effective(
     return f.join(periods, cond, how).select(*facts.columns, *columns)
 
 
+def lookup_effective(
+    facts: DataFrame,
+    ref: DataFrame,
+    on: Mapping[str, str],
+    date: str,
+    start: str,
+    end: str,
+    value: str,
+    out: str,
+    *,
+    unit: str = "month",
+) -> DataFrame:
+    """Value of the reference row valid on a fact's date; the smallest if several are.
+
+    ``on`` maps fact column to reference column. The distinct (key, date) pairs are
+    looked up and joined back, so a hot key is looked up once per date and facts
+    are never multiplied.
+    """
+    cols = list(on)
+    side = ref.select(
+        *[F.col(r).alias(l) for l, r in on.items()],
+        F.col(start).alias("_from"),
+        F.col(end).alias("_to"),
+        F.col(value).alias("_value"),
+    )
+    asked = facts.select(*cols, date).distinct()
+    found = (
+        join_effective(asked, side, cols, date, "_from", "_to", ["_value"], how="inner", unit=unit)
+        .groupBy(*cols, date)
+        .agg(F.min("_value").alias(out))
+    )
+    return facts.join(found, [*cols, date], "left").select(*facts.columns, out)
+
+
 @dataclass(frozen=True)
 class Rule:
     """One way of looking a value up: fact column -> reference column."""
