@@ -11,10 +11,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import day
 from tidemark.operators import timeline
 
 
@@ -85,6 +84,18 @@ def precedence_union(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataF
     return out
 
 
+def date_span(facts: DataFrame, date: str) -> Column:
+    """First and last date of the facts, as a scalar struct ``lo, hi``.
+
+    Compute it once and hand it to every lookup on the same facts.
+    """
+    d = F.col(date).cast("date")
+    return facts.agg(F.struct(F.min(d).alias("lo"), F.max(d).alias("hi"))).scalar()
+
+
+STEPS = {"month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH", "year": "INTERVAL 1 YEAR"}
+
+
 def join_effective(
     facts: DataFrame,
     ref: DataFrame,
@@ -96,6 +107,7 @@ def join_effective(
     *,
     how: str = "left",
     unit: str = "month",
+    span: Column | None = None,
 ) -> DataFrame:
     """Join each fact to the reference rows valid on its date.
 
@@ -105,36 +117,54 @@ def join_effective(
     period joins the equality keys; the exact bounds are checked on the few
     candidates left. A key with a long history is thereby spread over its periods.
     """
-    on = list(on)
-    span = facts.agg(
-        F.min(F.col(date).cast("date")).alias("lo"), F.max(F.col(date).cast("date")).alias("hi")
+    return _join_periods(facts, clip(ref, start, end, span if span is not None else date_span(facts, date)),
+                         on, date, start, end, columns, how, unit)
+
+
+def clip(ref: DataFrame, start: str, end: str, span: Column) -> DataFrame:
+    """Reference rows cut to a date span; rows outside it are dropped."""
+    out = ref.withColumn(start, F.greatest(F.col(start).cast("date"), span.getField("lo"))).withColumn(
+        end, F.least(F.col(end).cast("date"), span.getField("hi"))
     )
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    first = F.greatest(F.col(start).cast("date"), lo)
-    last = F.least(F.col(end).cast("date"), hi)
-    step = {"month": "INTERVAL 1 MONTH", "year": "INTERVAL 1 YEAR", "quarter": "INTERVAL 3 MONTH"}[unit]
-    periods = (
-        ref.select(
-            *[F.col(k).alias("_r_" + k) for k in on],
-            F.col(start).alias("_r_from"),
-            F.col(end).alias("_r_to"),
-            *columns,
-            first.alias("_first"),
-            last.alias("_last"),
-        )
-        .where(F.col("_first") <= F.col("_last"))
-        .withColumn(
-            "_r_period",
-            F.explode(F.sequence(F.trunc("_first", unit), F.trunc("_last", unit), F.expr(step))),
-        )
-        .drop("_first", "_last")
+    return out.where(F.col(start) <= F.col(end))
+
+
+def _join_periods(facts, ref, on, date, start, end, columns, how, unit) -> DataFrame:
+    on = list(on)
+    periods = ref.select(
+        *[F.col(k).alias("_r_" + k) for k in on],
+        F.col(start).alias("_r_from"),
+        F.col(end).alias("_r_to"),
+        *columns,
+        F.explode(F.sequence(F.trunc(start, unit), F.trunc(end, unit), F.expr(STEPS[unit]))).alias("_r_period"),
     )
-    f = facts.withColumn("_period", F.trunc(F.col(date).cast("date"), unit))
+    d = F.col(date).cast("date")
     cond = _all(
         [F.col(k) == F.col("_r_" + k) for k in on]
-        + [F.col("_period") == F.col("_r_period"), F.col(date) >= F.col("_r_from"), F.col(date) <= F.col("_r_to")]
+        + [F.trunc(d, unit) == F.col("_r_period"), d >= F.col("_r_from"), d <= F.col("_r_to")]
+    )
+    return facts.join(periods, cond, how).select(*facts.columns, *columns)
+
+
+def disjoint_intervals(
+    ref: DataFrame, keys: Sequence[str], start: str, end: str, value: str, unit: str = "month"
+) -> DataFrame:
+    """Rewrite possibly overlapping validity intervals as disjoint ones per key.
+
+    Where several overlap, the smallest value holds. The bounds of all intervals
+    cut a key's time into segments; each segment takes its value from the rows
+    covering its first day. Clip open-ended intervals first.
+    """
+    keys = list(keys)
+    points = (
+        ref.select(*keys, F.col(start).alias("_p")).union(ref.select(*keys, F.date_add(end, 1))).distinct()
+    )
+    w = Window.partitionBy(*keys).orderBy("_p")
+    segments = points.withColumn("_q", F.lead("_p").over(w)).where(F.col("_q").isNotNull())
+    covered = _join_periods(segments, ref, keys, "_p", start, end, [value], "inner", unit)
+    return covered.groupBy(*keys, "_p", "_q").agg(F.min(value).alias(value)).select(
+        *keys, F.col("_p").alias(start), F.date_sub("_q", 1).alias(end), value
     )
-    return f.join(periods, cond, how).select(*facts.columns, *columns)
 
 
 def lookup_effective(
@@ -148,27 +178,27 @@ def lookup_effective(
     out: str,
     *,
     unit: str = "month",
+    overlapping: bool = True,
+    span: Column | None = None,
 ) -> DataFrame:
     """Value of the reference row valid on a fact's date; the smallest if several are.
 
-    ``on`` maps fact column to reference column. The distinct (key, date) pairs are
-    looked up and joined back, so a hot key is looked up once per date and facts
-    are never multiplied.
+    ``on`` maps fact column to reference column. Overlaps are resolved on the
+    reference side first, so every fact meets at most one row: facts are read
+    once, joined once and never multiplied.
     """
     cols = list(on)
-    side = ref.select(
+    side = ref.where(_all([F.col(r).isNotNull() for r in on.values()])).select(
         *[F.col(r).alias(l) for l, r in on.items()],
         F.col(start).alias("_from"),
         F.col(end).alias("_to"),
         F.col(value).alias("_value"),
     )
-    asked = facts.select(*cols, date).distinct()
-    found = (
-        join_effective(asked, side, cols, date, "_from", "_to", ["_value"], how="inner", unit=unit)
-        .groupBy(*cols, date)
-        .agg(F.min("_value").alias(out))
-    )
-    return facts.join(found, [*cols, date], "left").select(*facts.columns, out)
+    side = clip(side, "_from", "_to", span if span is not None else date_span(facts, date))
+    if overlapping:
+        side = disjoint_intervals(side, cols, "_from", "_to", "_value", unit)
+    found = _join_periods(facts, side, cols, date, "_from", "_to", ["_value"], "left", unit)
+    return found.select(*facts.columns, F.col("_value").alias(out))
 
 
 @dataclass(frozen=True)

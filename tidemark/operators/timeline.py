@@ -15,6 +15,7 @@ Key and order columns must not be null, and the order must be total within a key
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,10 +23,8 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 
 
-def _running_frame(keys: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+def _upto(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def _before(keys: Sequence[str], order: Sequence[str] = (CHUNK,)):
@@ -42,141 +41,127 @@ def _at(order: Sequence[str], present: Column | None = None) -> Column:
     return here if present is None else F.when(present, here)
 
 
-def previous(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: Mapping[str, str],
-    *,
-    chunk: Column | None = None,
-    ignore_nulls: bool = False,
-    default: Column | None = None,
-) -> DataFrame:
-    """Value of the row before (LAG), or of the nearest earlier row that has one."""
-    return _neighbour(df, keys, order, values, chunk, ignore_nulls, default, back=True)
+@dataclass(frozen=True)
+class Step:
+    """One output of ``scan``: what to compute from which column.
 
+    ``lag``/``lead``: value of the row before/after. ``lag_known``/``lead_known``:
+    nearest earlier/later non-null value. ``sum``/``max``/``min``: running, the row
+    included. ``last``: nearest non-null value so far, the row included.
+    """
 
-def following(
+    kind: str
+    column: str
+    default: Column | None = None
+
+    def plain(self, keys, order) -> Column:
+        c = self.column
+        if self.kind == "lag":
+            return F.lag(c).over(Window.partitionBy(*keys).orderBy(*order))
+        if self.kind == "lead":
+            return F.lead(c).over(Window.partitionBy(*keys).orderBy(*order))
+        if self.kind == "lag_known":
+            return F.last(c, ignorenulls=True).over(_before(keys, order))
+        if self.kind == "lead_known":
+            return F.first(c, ignorenulls=True).over(_after(keys, order))
+        if self.kind == "last":
+            return F.last(c, ignorenulls=True).over(_upto(keys, order))
+        return {"sum": F.sum, "max": F.max, "min": F.min}[self.kind](c).over(_upto(keys, order))
+
+    def edge(self, order) -> Column:
+        """What later (or earlier) chunks need to know of a chunk."""
+        c = self.column
+        known = F.col(c).isNotNull()
+        # A struct keeps "the edge row's value is null" apart from "no edge row".
+        boxed = F.struct(F.col(c).alias("v"))
+        if self.kind == "lag":
+            return F.max_by(boxed, _at(order))
+        if self.kind == "lead":
+            return F.min_by(boxed, _at(order))
+        if self.kind in ("lag_known", "last"):
+            return F.max_by(c, _at(order, known))
+        if self.kind == "lead_known":
+            return F.min_by(c, _at(order, known))
+        return {"sum": F.sum, "max": F.max, "min": F.min}[self.kind](c)
+
+    def carry(self, edge: str, keys) -> Column:
+        if self.kind in ("lag", "lag_known", "last"):
+            c = F.last(edge, ignorenulls=True).over(_before(keys))
+        elif self.kind in ("lead", "lead_known"):
+            c = F.first(edge, ignorenulls=True).over(_after(keys))
+        else:
+            return {"sum": F.sum, "max": F.max, "min": F.min}[self.kind](edge).over(_before(keys))
+        return c.getField("v") if self.kind in ("lag", "lead") else c
+
+    def merge(self, local: Column, carry: Column) -> Column:
+        if self.kind == "lag":
+            return F.when(F.col("_not_first"), local).otherwise(carry)
+        if self.kind == "lead":
+            return F.when(F.col("_not_last"), local).otherwise(carry)
+        if self.kind == "sum":
+            return F.when(local.isNull(), carry).when(carry.isNull(), local).otherwise(local + carry)
+        if self.kind == "max":
+            return F.greatest(local, carry)
+        if self.kind == "min":
+            return F.least(local, carry)
+        return F.coalesce(local, carry)
+
+    def finish(self, c: Column) -> Column:
+        return c if self.default is None else F.coalesce(c, self.default)
+
+
+def scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    values: Mapping[str, str],
+    outputs: Mapping[str, Step],
     *,
     chunk: Column | None = None,
-    ignore_nulls: bool = False,
-    default: Column | None = None,
 ) -> DataFrame:
-    """Value of the next row (LEAD), or of the nearest later row that has one."""
-    return _neighbour(df, keys, order, values, chunk, ignore_nulls, default, back=False)
-
+    """Add several ordered outputs in one pass.
 
-def _neighbour(df, keys, order, values, chunk, ignore_nulls, default, back):
+    The input is read twice with ``chunk`` (rows, and their pre-aggregated edges),
+    however many outputs there are; prefer one call over a chain.
+    """
     keys, order = list(keys), list(order)
-    shift = F.lag if back else F.lead
-    nearest = F.last if back else F.first
-    rows = _before if back else _after
-
-    def finish(c: Column) -> Column:
-        return c if default is None else F.coalesce(c, default)
-
     if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        for out, src in values.items():
-            c = nearest(src, ignorenulls=True).over(rows(keys, order)) if ignore_nulls else shift(src).over(w)
-            df = df.withColumn(out, finish(c))
-        return df
+        return df.select("*", *[s.finish(s.plain(keys, order)).alias(out) for out, s in outputs.items()])
 
     parts = [*keys, CHUNK]
     cut = df.withColumn(CHUNK, chunk)
-    edge = F.max_by if back else F.min_by
-    sums, carries = [], []
-    for out, src in values.items():
-        present = F.col(src).isNotNull() if ignore_nulls else None
-        # A struct keeps "the edge row's value is null" apart from "no edge row".
-        sums.append(edge(F.struct(F.col(src).alias("v")), _at(order, present)).alias(f"_e_{out}"))
-        carries.append(nearest(f"_e_{out}", ignorenulls=True).over(rows(keys)).getField("v").alias(f"_c_{out}"))
-    carry = cut.groupBy(*parts).agg(*sums).select(*parts, *carries)
+    edges = cut.groupBy(*parts).agg(*[s.edge(order).alias(f"_e_{out}") for out, s in outputs.items()])
+    carry = edges.select(*parts, *[s.carry(f"_e_{out}", keys).alias(f"_c_{out}") for out, s in outputs.items()])
 
     w = Window.partitionBy(*parts).orderBy(*order)
-    local = cut
-    for out, src in values.items():
-        if ignore_nulls:
-            local = local.withColumn(f"_l_{out}", nearest(src, ignorenulls=True).over(rows(parts, order)))
-        else:
-            local = local.withColumn(f"_l_{out}", shift(src).over(w))
-    if not ignore_nulls:
-        local = local.withColumn("_has", shift(F.lit(True)).over(w))
+    kinds = {s.kind for s in outputs.values()}
+    marks = []
+    if "lag" in kinds:
+        marks.append(F.lag(F.lit(True)).over(w).alias("_not_first"))
+    if "lead" in kinds:
+        marks.append(F.lead(F.lit(True)).over(w).alias("_not_last"))
+    local = cut.select("*", *marks, *[s.plain(parts, order).alias(f"_l_{out}") for out, s in outputs.items()])
     joined = local.join(carry, parts, "left")
-    cols = []
-    for out in values:
-        if ignore_nulls:
-            c = F.coalesce(F.col(f"_l_{out}"), F.col(f"_c_{out}"))
-        else:
-            c = F.when(F.col("_has"), F.col(f"_l_{out}")).otherwise(F.col(f"_c_{out}"))
-        cols.append(finish(c).alias(out))
-    return joined.select(*df.columns, *cols)
-
-
-_MERGE = {
-    "sum": lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b),
-    "max": lambda a, b: F.greatest(a, b),
-    "min": lambda a, b: F.least(a, b),
-    "last": lambda a, b: F.coalesce(a, b),
-}
-
-
-def _agg(kind: str, c: str, order: Sequence[str]) -> Column:
-    if kind == "sum":
-        return F.sum(c)
-    if kind == "max":
-        return F.max(c)
-    if kind == "min":
-        return F.min(c)
-    return F.max_by(c, _at(order, F.col(c).isNotNull()))
+    return joined.select(
+        *df.columns,
+        *[s.finish(s.merge(F.col(f"_l_{out}"), F.col(f"_c_{out}"))).alias(out) for out, s in outputs.items()],
+    )
 
 
-def _over(kind: str, c: str, w) -> Column:
-    return {
-        "sum": lambda: F.sum(c),
-        "max": lambda: F.max(c),
-        "min": lambda: F.min(c),
-        "last": lambda: F.last(c, ignorenulls=True),
-    }[kind]().over(w)
+def previous(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None) -> DataFrame:
+    """Value of the row before (LAG), or of the nearest earlier row that has one."""
+    kind = "lag_known" if ignore_nulls else "lag"
+    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk)
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    outputs: Mapping[str, tuple[str, str]],
-    *,
-    chunk: Column | None = None,
-) -> DataFrame:
-    """Running aggregates up to and including each row.
+def following(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None) -> DataFrame:
+    """Value of the next row (LEAD), or of the nearest later row that has one."""
+    kind = "lead_known" if ignore_nulls else "lead"
+    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk)
 
-    ``outputs`` maps a name to ``(kind, column)``, kind one of ``sum``, ``max``,
-    ``min`` or ``last`` (the nearest non-null value so far).
-    """
-    keys, order = list(keys), list(order)
-    if chunk is None:
-        w = _running_frame(keys, order)
-        return df.select("*", *[_over(k, c, w).alias(out) for out, (k, c) in outputs.items()])
 
-    parts = [*keys, CHUNK]
-    cut = df.withColumn(CHUNK, chunk)
-    sums = cut.groupBy(*parts).agg(
-        *[_agg(k, c, order).alias(f"_e_{out}") for out, (k, c) in outputs.items()]
-    )
-    carry = sums.select(
-        *parts, *[_over(k, f"_e_{out}", _before(keys)).alias(f"_c_{out}") for out, (k, _) in outputs.items()]
-    )
-    w = _running_frame(parts, order)
-    local = cut.select("*", *[_over(k, c, w).alias(f"_l_{out}") for out, (k, c) in outputs.items()])
-    joined = local.join(carry, parts, "left")
-    return joined.select(
-        *df.columns,
-        *[_MERGE[k](F.col(f"_l_{out}"), F.col(f"_c_{out}")).alias(out) for out, (k, _) in outputs.items()],
-    )
+def running(df, keys, order, outputs: Mapping[str, tuple[str, str]], *, chunk=None) -> DataFrame:
+    """Running aggregates up to and including each row: name -> (kind, column)."""
+    return scan(df, keys, order, {o: Step(k, c) for o, (k, c) in outputs.items()}, chunk=chunk)
 
 
 def ordinal(
@@ -204,7 +189,7 @@ def change_event(
         step = F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), F.lit(0).cast("bigint"))
         return (
             df.withColumn("_step", step)
-            .withColumn(out, F.sum("_step").over(_running_frame(keys, order)))
+            .withColumn(out, F.sum("_step").over(_upto(keys, order)))
             .drop("_step")
         )
 
@@ -217,7 +202,7 @@ def change_event(
             "_step",
             F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), zero),
         )
-        .withColumn("_local", F.sum("_step").over(_running_frame(parts, order)))
+        .withColumn("_local", F.sum("_step").over(_upto(parts, order)))
     )
     edges = local.groupBy(*parts).agg(
         F.sum("_step").alias("_n"),
@@ -231,7 +216,7 @@ def change_event(
             F.coalesce((F.col("_first.v") != F.lag("_last").over(wk).getField("v")).cast("bigint"), zero),
         )
         .withColumn("_done", F.coalesce(F.sum("_n").over(_before(keys)), zero))
-        .withColumn("_base", F.col("_done") + F.sum("_jump").over(_running_frame(keys, [CHUNK])))
+        .withColumn("_base", F.col("_done") + F.sum("_jump").over(_upto(keys, [CHUNK])))
         .select(*parts, "_base")
     )
     joined = local.join(carry, parts, "left")
@@ -251,10 +236,26 @@ def islands(
 
     Together with the value it names one unbroken run of that value.
     """
+    keys, order = list(keys), list(order)
     # Inside a struct a null value is an ordinary key value.
-    both = ordinal(df.withColumn("_v", F.struct(value)), keys, order, "_all", chunk=chunk)
-    both = ordinal(both, [*keys, "_v"], order, "_own", chunk=chunk)
-    return both.withColumn(out, F.col("_all") - F.col("_own")).drop("_v", "_all", "_own")
+    boxed = df.withColumn("_v", F.struct(value)).withColumn(CHUNK, F.lit(0) if chunk is None else chunk)
+    local = boxed.select(
+        "*",
+        F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*order)).alias("_all"),
+        F.row_number().over(Window.partitionBy(*keys, CHUNK, "_v").orderBy(*order)).alias("_own"),
+    )
+    diff = F.col("_all").cast("bigint") - F.col("_own")
+    if chunk is None:
+        return local.select(*df.columns, diff.alias(out))
+
+    def earlier(by: Sequence[str], name: str) -> DataFrame:
+        counts = boxed.groupBy(*by, CHUNK).agg(F.count("*").alias("_n"))
+        return counts.select(*by, CHUNK, F.coalesce(F.sum("_n").over(_before(by)), F.lit(0)).alias(name))
+
+    joined = local.join(earlier([*keys, "_v"], "_own0"), [*keys, "_v", CHUNK], "left").join(
+        earlier(keys, "_all0"), [*keys, CHUNK], "left"
+    )
+    return joined.select(*df.columns, (diff + F.col("_all0") - F.col("_own0")).alias(out))
 
 
 def valid_to(

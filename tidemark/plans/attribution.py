@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import surrogate_key
-from tidemark.operators.joins import enrich, lookup_effective
+from tidemark.operators.joins import date_span, enrich, lookup_effective
 
 # Business classes and labels are fixed values.
 NO_INTEREST = "COIW"
@@ -42,9 +42,13 @@ def customer_bridge(
     rules = interest.where(F.col("interest") != NO_INTEREST)
     by_customer = rules.where(F.col("customer").isNotNull())
     by_corp = rules.where(F.col("customer").isNull())
-    span = ("process_date", "from_date", "to_date")
-    df = lookup_effective(df, by_customer, {"product": "product", "direct": "customer"}, *span, "interest", "_coi_cust")
-    df = lookup_effective(df, by_corp, {"product": "product", "direct_corp": "corp"}, *span, "interest", "_coi_corp")
+    span = date_span(facts, "process_date")
+
+    def valid(df: DataFrame, ref: DataFrame, on: dict[str, str], value: str, out: str) -> DataFrame:
+        return lookup_effective(df, ref, on, "process_date", "from_date", "to_date", value, out, span=span)
+
+    df = valid(df, by_customer, {"product": "product", "direct": "customer"}, "interest", "_coi_cust")
+    df = valid(df, by_corp, {"product": "product", "direct_corp": "corp"}, "interest", "_coi_corp")
 
     cls = F.col("class")
     own = (
@@ -65,10 +69,10 @@ def customer_bridge(
         .otherwise("Not Defined")
     )
     df = df.withColumn("end_corp_definition", F.when(own, label).otherwise("SUBCorp"))
-    return _adjust(df, adjusted, span)
+    return _adjust(df, adjusted, valid)
 
 
-def _adjust(df: DataFrame, adjusted: DataFrame, span) -> DataFrame:
+def _adjust(df: DataFrame, adjusted: DataFrame, valid) -> DataFrame:
     """Adjusted end corporation: exact rule on the indirect end corporation, product-wide
     rule, rule on the indirect corporation where it has no end corporation, else unchanged."""
     exact = adjusted.where(F.col("indirect").isNotNull())
@@ -76,9 +80,9 @@ def _adjust(df: DataFrame, adjusted: DataFrame, span) -> DataFrame:
     full = {"product": "product", "direct": "direct", "indirect": "indirect"}
     no_end: Column = F.when(F.col("ind_end_corp").isNull(), F.col("ind_corp"))
     df = df.withColumn("_lone_corp", no_end)
-    df = lookup_effective(df, exact, {**full, "ind_end_corp": "end_corp"}, *span, "adjusted", "_adj1")
-    df = lookup_effective(df, wide, {"product": "product"}, *span, "adjusted", "_adj2")
-    df = lookup_effective(df, exact, {**full, "_lone_corp": "end_corp"}, *span, "adjusted", "_adj3")
+    df = valid(df, exact, {**full, "ind_end_corp": "end_corp"}, "adjusted", "_adj1")
+    df = valid(df, wide, {"product": "product"}, "adjusted", "_adj2")
+    df = valid(df, exact, {**full, "_lone_corp": "end_corp"}, "adjusted", "_adj3")
     out = df.withColumn("adjusted_end_corp", F.coalesce("_adj1", "_adj2", "_adj3", "end_corp"))
     keyed = ["direct_corp", "indirect_corp", "end_corp", "adjusted_end_corp"]
     return out.select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import member_key
-from tidemark.operators.joins import enrich, exists_or_absent, lookup_effective
+from tidemark.operators.joins import date_span, enrich, exists_or_absent, lookup_effective
 
 
 def end_corporation(same_name: Column, end: Column, ship_end: Column, ship: Column, direct: Column) -> Column:
@@ -53,20 +53,23 @@ def resolve_customers(pos: DataFrame, addresses: DataFrame, customers: DataFrame
     ).withColumn("end_corp_rule", end_corporation_rule(same, *args))
 
 
-def internal_part(df: DataFrame, xref: DataFrame) -> DataFrame:
+def internal_part(df: DataFrame, xref: DataFrame, span: Column) -> DataFrame:
     """Internal part: rule of the direct customer, of the end corporation, the product's
     default, else the product itself.
 
     ``xref``: ``product, direct, end_corp, ipn, is_default, from_date, to_date``.
     """
-    span = ("ship_day", "from_date", "to_date")
-    none = F.col("direct").isNull(), F.col("end_corp").isNull()
-    df = lookup_effective(df, xref.where(none[1]), {"product": "product", "direct": "direct"}, *span, "ipn", "_ipn1")
-    df = lookup_effective(df, xref.where(none[0]), {"product": "product", "end_corp": "end_corp"}, *span, "ipn", "_ipn2")
-    df = lookup_effective(
-        df, xref.where(none[0] & none[1] & F.col("is_default")), {"product": "product"}, *span, "ipn", "_ipn3"
-    )
-    return df.withColumn("internal_part", F.coalesce("_ipn1", "_ipn2", "_ipn3", "product")).drop("_ipn1", "_ipn2", "_ipn3")
+    no_direct, no_corp = F.col("direct").isNull(), F.col("end_corp").isNull()
+    rules = [
+        (xref.where(no_corp), {"product": "product", "direct": "direct"}),
+        (xref.where(no_direct), {"product": "product", "end_corp": "end_corp"}),
+        (xref.where(no_direct & no_corp & F.col("is_default")), {"product": "product"}),
+    ]
+    names = []
+    for i, (rows, on) in enumerate(rules):
+        names.append(f"_ipn{i}")
+        df = lookup_effective(df, rows, on, "ship_day", "from_date", "to_date", "ipn", names[-1], span=span)
+    return df.withColumn("internal_part", F.coalesce(*names, "product")).drop(*names)
 
 
 def pos_fact(
@@ -79,7 +82,7 @@ def pos_fact(
     is not in the reporting ``matrix`` (``direct_corp, from_date, to_date, bills``) or a
     valid row allows it.
     """
-    df = internal_part(resolve_customers(pos, addresses, customers), xref)
+    df = internal_part(resolve_customers(pos, addresses, customers), xref, date_span(pos, "ship_day"))
     df = df.where(F.col("ship_class").isNull() | ~F.col("ship_class").isin("DIST", "CIPO", "D3PL"))
     sold = df.select(
         "txn_id", "product", "internal_part", "direct", "indirect", "direct_corp", "end_corp", "end_corp_rule", "ship_day",

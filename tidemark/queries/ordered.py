@@ -9,6 +9,7 @@ from tidemark.functions.hashing import object_key
 from tidemark.functions.numbers import dec
 from tidemark.operators import counter, timeline
 from tidemark.operators.dedup import latest, latest_batch, prefer_first
+from tidemark.operators.timeline import Step
 from tidemark.queries.inputs import LINE_TIE, events_day
 from tidemark.queries.registry import Tables, query
 
@@ -96,9 +97,8 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def lag_event(t: Tables) -> DataFrame:
     ev = t.events.select("event_id", "user_id", "event_type", "ts")
-    out = timeline.previous(ev, USER, TIME, {"previous_type": "event_type"}, chunk=events_day())
-    out = timeline.following(out, USER, TIME, {"next_type": "event_type"}, chunk=events_day())
-    return out.drop("ts")
+    both = {"previous_type": Step("lag", "event_type"), "next_type": Step("lead", "event_type")}
+    return timeline.scan(ev, USER, TIME, both, chunk=events_day()).drop("ts")
 
 
 @query(
