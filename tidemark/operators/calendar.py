@@ -51,6 +51,17 @@ def _prior(c: Column, base: int, last: int, year: Column) -> Column:
     return F.when(c % base == 1, (year - 1) * base + last).otherwise(c - 1)
 
 
+def with_sequences(days: DataFrame) -> DataFrame:
+    """Running numbers of the fiscal periods since 1970."""
+    fy = F.col("fiscal_year")
+    return (
+        days.withColumn("fiscal_week_sequence", 52 * (fy - 1970) + F.col("fiscal_week") % 100 - 1)
+        .withColumn("fiscal_month_sequence", 12 * (fy - 1970) + F.col("fiscal_month") % 100 - 1)
+        .withColumn("fiscal_quarter_sequence", 4 * (fy - 1970) + F.col("fiscal_quarter") % 10 - 1)
+        .withColumn("fiscal_year_sequence", fy - 1970)
+    )
+
+
 def _cycle(c: Column, n: int) -> Column:
     """1 .. n repeating, where a multiple of n is n."""
     return F.when(c % n == 0, F.lit(n)).otherwise(c % n)
@@ -64,7 +75,7 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
     """
     d = F.col("calendar_date")
     out = (
-        days.withColumn("date_key", date_key(d))
+        with_sequences(days).withColumn("date_key", date_key(d))
         .withColumn("day_of_week_short", F.date_format(d, "EEE"))
         .withColumn("day_of_week", F.date_format(d, "EEEE"))
         .withColumn("is_weekday", ~F.dayofweek(d).isin(1, 7))
@@ -115,7 +126,6 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
     fy = F.col("fiscal_year")
     out = (
         out.withColumn("fiscal_week_number", wk)
-        .withColumn("fiscal_week_sequence", 52 * (fy - 1970) + wk - 1)
         .withColumn("fiscal_week_in_fiscal_month", F.when(wk % total == 0, total).otherwise(wk % total))
         .withColumn("fiscal_week_in_fiscal_quarter", _cycle(wk, 13))
         # Weeks to go, counted from the end of the quarter after this one and the next.
@@ -141,9 +151,6 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
                 F.substring(F.col("fiscal_quarter").cast("string"), 3, 2),
             ),
         )
-        .withColumn("fiscal_month_sequence", 12 * (fy - 1970) + F.col("fiscal_month") % 100 - 1)
-        .withColumn("fiscal_quarter_sequence", 4 * (fy - 1970) + F.col("fiscal_quarter") % 10 - 1)
-        .withColumn("fiscal_year_sequence", fy - 1970)
         .withColumn("fiscal_quarter_prior_year", F.col("fiscal_quarter") - 10)
         .withColumn("fiscal_week_prior", _prior(F.col("fiscal_week"), 100, 52, fy))
         .withColumn("fiscal_month_prior", _prior(F.col("fiscal_month"), 100, 12, fy))
@@ -157,9 +164,7 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
         )
         out = out.join(bounds, f"fiscal_{p}_prior", "left")
     near = period_offsets(
-        days.withColumn(
-            "fiscal_quarter_sequence", 4 * (F.col("fiscal_year") - 1970) + F.col("fiscal_quarter") % 10 - 1
-        ),
+        with_sequences(days),
         "fiscal_quarter",
         "fiscal_quarter_sequence",
         {

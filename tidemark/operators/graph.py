@@ -25,9 +25,11 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
     executors. ``max_depth`` is a safety stop and raises rather than cutting the
     result short.
     """
-    hops = edges.where(
-        F.col("from_site").isNotNull() & F.col("from_stage").isNotNull()
-    ).distinct()
+    hops = cut_lineage(
+        edges.where(F.col("from_site").isNotNull() & F.col("from_stage").isNotNull())
+        .select("part", "from_site", "from_stage", "to_site", "to_stage", "kind")
+        .distinct()
+    )
     frontier = cut_lineage(
         seeds.select("part", "site", "stage", F.col("stage").alias("last_stage")).distinct()
         .withColumn("step", F.lit(1))

@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import instant
+from tidemark.functions.dates import OPEN_END, day, instant
 from tidemark.functions.hashing import version_id
+from tidemark.operators.timeline import Step, scan
 
 HISTORY = ["valid_from", "valid_to", "updated_at", "version_id"]
 
@@ -147,25 +148,38 @@ def merge_timelines(
     """One time line from two effective-dated ones.
 
     Every change date of either source starts a version; it carries what each
-    source had in force on that date. The dates are pre-aggregated; each source
-    is then read as of the date, which is linear where a range join is not.
+    source had in force on that date. Both payloads are put on one line of dates and
+    carried forward together, one pass where a range join per source is not linear.
     Versions of one source must not overlap.
     """
-    from tidemark.operators.joins import asof_join
-    from tidemark.operators.timeline import valid_to
-
-    dates = first.select(key, start).union(second.select(key, start)).distinct()
-    spans = valid_to(dates, [key], start, "_to", chunk=chunk_of(F.col(start)) if chunk_of else None)
+    def side(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
+        return df.select(key, start, F.struct(F.col(end).alias("_end"), *cols).alias(name))
+
+    line = (
+        side(first, first_cols, "_p1")
+        .unionByName(side(second, second_cols, "_p2"), allowMissingColumns=True)
+        .groupBy(key, start)
+        .agg(F.max("_p1").alias("_p1"), F.max("_p2").alias("_p2"))
+    )
+    out = scan(
+        line,
+        [key],
+        [start],
+        {"_a": Step("last", "_p1"), "_b": Step("last", "_p2"), "_next": Step("lead", start)},
+        chunk=chunk_of(F.col(start)) if chunk_of else None,
+    )
 
-    def in_force(line: DataFrame, src: DataFrame, cols: Sequence[str], tag: str) -> DataFrame:
-        src = src.select(key, F.col(start).alias("_s"), F.col(end).alias("_e" + tag), *cols)
-        out = asof_join(line, src, [key], start, "_s", ["_e" + tag, *cols], chunk_of=chunk_of)
-        live = F.col(start) <= F.col("_e" + tag)
-        return out.select(*line.columns, *[F.when(live, F.col(c)).alias(c) for c in cols])
+    def in_force(box: str, cols: Sequence[str]) -> list[Column]:
+        live = F.col(start) <= F.col(box + "._end")
+        return [F.when(live, F.col(f"{box}.{c}")).alias(c) for c in cols]
 
-    out = in_force(spans, first, first_cols, "1")
-    out = in_force(out, second, second_cols, "2")
-    return out.withColumn(end, F.col("_to")).select(key, start, end, *first_cols, *second_cols)
+    return out.select(
+        key,
+        start,
+        F.coalesce(F.date_sub("_next", 1), day(OPEN_END)).alias(end),
+        *in_force("_a", first_cols),
+        *in_force("_b", second_cols),
+    )
 
 
 def version_status(start: Column, end: Column, deleted: Column, asof: Column, staged_upto: Column) -> Column:

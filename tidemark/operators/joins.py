@@ -382,6 +382,30 @@ def inside_intervals(
     return both.withColumn(out, F.col("_opened") - F.col("_open") - F.col("_closed")).select(*df.columns, out)
 
 
+def open_count(
+    df: DataFrame, keys: Sequence[str], order: str, is_open: Column, is_close: Column
+) -> tuple[DataFrame, dict[str, timeline.Step], Column]:
+    """Number of nth-pair intervals a row lies strictly inside of, without pairing.
+
+    With the nth opening paired to the nth closing after the first opening, the
+    number of intervals around a row is the openings before it less the closings
+    up to it, not below zero. Returns the marked rows, the two running sums to put
+    into a ``timeline.scan`` (next to whatever else it computes), and the count.
+    """
+    keys = list(keys)
+    zero = F.lit(0).cast("bigint")
+    firsts = df.where(is_open).groupBy(*keys).agg(F.min(order).alias("_first_open"))
+    marked = (
+        df.join(firsts, keys, "left")
+        .withColumn("_opens", is_open.cast("bigint"))
+        .withColumn("_closes", F.coalesce((is_close & (F.col(order) > F.col("_first_open"))).cast("bigint"), zero))
+        .drop("_first_open")
+    )
+    steps = {"_opened": timeline.Step("sum", "_opens"), "_closed": timeline.Step("sum", "_closes")}
+    count = F.greatest(F.col("_opened") - F.col("_opens") - F.col("_closed"), zero)
+    return marked, steps, count
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,

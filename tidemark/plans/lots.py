@@ -66,14 +66,11 @@ def derive(txns: DataFrame, stored: DataFrame, stages: DataFrame) -> DataFrame:
     ``hold_count`` is 1 inside a hold, 0 outside, and left open (null) for the hold
     and release rows themselves.
     """
-    chunk = id_chunk()
-    pairs = joins.pair_nth(
-        txns, ["lot"], "txn_id", F.col("txn_type") == HOLD, F.col("txn_type") == RELEASE, chunk=chunk
-    )
-    df = joins.inside_intervals(txns, pairs, ["lot"], "txn_id", "open_holds", chunk=chunk)
-    df = timeline.scan(
-        df, ["lot"], ["txn_id"], {"_before": Step("lag", "location"), "_before_id": Step("lag", "txn_id")}, chunk=chunk
+    marked, steps, open_holds = joins.open_count(
+        txns, ["lot"], "txn_id", F.col("txn_type") == HOLD, F.col("txn_type") == RELEASE
     )
+    steps |= {"_before": Step("lag", "location"), "_before_id": Step("lag", "txn_id")}
+    df = timeline.scan(marked, ["lot"], ["txn_id"], steps, chunk=id_chunk()).withColumn("open_holds", open_holds)
     last = stored.groupBy("lot").agg(F.max_by("location", "txn_id").alias("_stored"))
     df = joins.enrich(df.join(last, "lot", "left"), [(stages, {"stage_set": "stage_set"}, {"country": "country"})])
     first = F.col("_before_id").isNull()

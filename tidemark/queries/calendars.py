@@ -95,10 +95,9 @@ SELECT calendar_date, {_flags("week", "52 * (fiscal_year - 1970) + fiscal_week %
   {_flags("year", "fiscal_year - 1970", None)} FROM cal""",
 )
 def calendar_flags(t: Tables) -> DataFrame:
-    full = cal.fiscal_calendar(fiscal_cal(t.orders, "o_orderdate")).select(
-        "calendar_date", *[f"fiscal_{p}_sequence" for p in cal.PERIODS]
-    )
-    return cal.relative_flags(full, "2000-06-15").drop(*[f"fiscal_{p}_sequence" for p in cal.PERIODS])
+    names = [f"fiscal_{p}_sequence" for p in cal.PERIODS]
+    days = cal.with_sequences(fiscal_cal(t.orders, "o_orderdate")).select("calendar_date", *names)
+    return cal.relative_flags(days, "2000-06-15").drop(*names)
 
 
 @query(

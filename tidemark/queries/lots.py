@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import instant
 from tidemark.plans import lots
 from tidemark.queries.registry import Tables, query
+from tidemark.session import cut_lineage
 
 MAPPED_SQL = """t AS (SELECT event_id AS txn_id, user_id AS lot, ts AS tm,
   CASE event_type WHEN 'error' THEN 'HoldLot' WHEN 'purchase' THEN 'ReleaseLot' WHEN 'signup' THEN 'CreateLot' WHEN 'click' THEN 'SplitLot' ELSE 'MoveLot' END AS txn_type,
@@ -107,8 +108,9 @@ r AS (SELECT lot, txn_id, txn_type, reason, k, CASE WHEN txn_type = 'HoldLot' TH
 SELECT lot, txn_id, txn_type, reason, n AS hold_count FROM r""",
 )
 def running_counter(t: Tables) -> DataFrame:
+    """The derived rows are written once (checkpoint), then counted."""
     rows = lots.derive(new_rows(t), new_rows(t).select("lot", "txn_id", "location"), empty_stages(t))
-    return lots.hold_counts(rows)
+    return lots.hold_counts(cut_lineage(rows.select("lot", "txn_id", "txn_type", "reason", "hold_count")))
 
 
 def empty_stages(t: Tables) -> DataFrame:
