@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import BROADCAST_ROW_LIMIT, broadcast_bounded, cut_lineage
 
 STATE = ["part", "site", "stage", "last_stage"]
 
@@ -22,8 +22,9 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
     dropped, so parallel routes do not multiply and a cycle ends by itself. Each
     round is one equi join of the frontier with the edges; the frontier is
     checkpointed to shared storage, which keeps the plan small and survives lost
-    executors. ``max_depth`` is a safety stop and raises rather than cutting the
-    result short.
+    executors. Once the counted frontier is small it is broadcast, so the long tail
+    of short rounds shuffles neither edges nor visited states. ``max_depth`` is a
+    safety stop and raises rather than cutting the result short.
     """
     hops = cut_lineage(
         edges.where(F.col("from_site").isNotNull() & F.col("from_stage").isNotNull())
@@ -34,10 +35,14 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
         seeds.select("part", "site", "stage", F.col("stage").alias("last_stage")).distinct()
         .withColumn("step", F.lit(1))
     )
-    seen = frontier
+    seen, size = frontier, frontier.count()
     for depth in range(2, max_depth + 2):
+        near = seen
+        if size <= BROADCAST_ROW_LIMIT:
+            parts = broadcast_bounded(frontier.select("part").distinct(), size)
+            near = seen.join(parts, "part", "left_semi")
         stepped = (
-            frontier.alias("f")
+            broadcast_bounded(frontier, size).alias("f")
             .join(
                 hops.alias("h"),
                 (F.col("f.part") == F.col("h.part"))
@@ -56,7 +61,7 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
         )
         # Null-safe on the stages, which may be missing at the end of a route.
         fresh = stepped.alias("n").join(
-            seen.alias("o"),
+            near.alias("o"),
             (F.col("n.part") == F.col("o.part"))
             & F.col("n.site").eqNullSafe(F.col("o.site"))
             & F.col("n.stage").eqNullSafe(F.col("o.stage"))
@@ -64,7 +69,8 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
             "left_anti",
         )
         frontier = cut_lineage(fresh.withColumn("step", F.lit(depth)))
-        if frontier.isEmpty():
+        size = frontier.count()
+        if size == 0:
             return seen
         seen = seen.unionByName(frontier)
     raise RuntimeError(f"supply paths longer than {max_depth} steps")
