@@ -156,9 +156,7 @@ def disjoint_intervals(
     covering its first day. Clip open-ended intervals first.
     """
     keys = list(keys)
-    points = (
-        ref.select(*keys, F.col(start).alias("_p")).union(ref.select(*keys, F.date_add(end, 1))).distinct()
-    )
+    points = ref.select(*keys, F.explode(F.array(F.col(start), F.date_add(end, 1))).alias("_p")).distinct()
     w = Window.partitionBy(*keys).orderBy("_p")
     segments = points.withColumn("_q", F.lead("_p").over(w)).where(F.col("_q").isNotNull())
     covered = _join_periods(segments, ref, keys, "_p", start, end, [value], "inner", unit)
@@ -321,6 +319,24 @@ def stamp_period(df: DataFrame, period: DataFrame, column: str, out: str) -> Dat
     return df.withColumn(out, period.select(column).scalar())
 
 
+def _mark_openings(
+    df: DataFrame, keys: Sequence[str], order: str, is_open: Column, is_close: Column
+) -> tuple[DataFrame, dict[str, timeline.Step]]:
+    """Mark openings, and closings after the key's first opening, with 1 and 0.
+
+    Also returns the running sums of both for a ``timeline.scan``.
+    """
+    zero = F.lit(0).cast("bigint")
+    firsts = df.where(is_open).groupBy(*keys).agg(F.min(order).alias("_first_open"))
+    marked = (
+        df.join(firsts, list(keys), "left")
+        .withColumn("_opens", F.coalesce(is_open.cast("bigint"), zero))
+        .withColumn("_closes", F.coalesce((is_close & (F.col(order) > F.col("_first_open"))).cast("bigint"), zero))
+        .drop("_first_open")
+    )
+    return marked, {"_opened": timeline.Step("sum", "_opens"), "_closed": timeline.Step("sum", "_closes")}
+
+
 def pair_nth(
     df: DataFrame,
     keys: Sequence[str],
@@ -333,15 +349,22 @@ def pair_nth(
     """Pair the nth opening row of a key with its nth closing row after the first opening.
 
     Returns ``keys, rn, open_id, close_id`` with one row per opening; ``close_id``
-    is null where fewer closings exist.
+    is null where fewer closings exist. Both are numbered in one ordered scan and
+    meet in a group of at most two rows.
     """
     keys = list(keys)
-    firsts = df.where(is_open).groupBy(*keys).agg(F.min(order).alias("_first"))
-    opens = timeline.ordinal(df.where(is_open), keys, [order], "rn", chunk=chunk)
-    closes = df.where(is_close).join(firsts, keys).where(F.col(order) > F.col("_first"))
-    closes = timeline.ordinal(closes, keys, [order], "rn", chunk=chunk)
-    return opens.select(*keys, "rn", F.col(order).alias("open_id")).join(
-        closes.select(*keys, "rn", F.col(order).alias("close_id")), [*keys, "rn"], "left"
+    marked, steps = _mark_openings(df, keys, order, is_open, is_close)
+    numbered = timeline.scan(marked, keys, [order], steps, chunk=chunk)
+    opening = F.col("_opens") == 1
+    return (
+        numbered.where(opening | (F.col("_closes") == 1))
+        .withColumn("rn", F.when(opening, F.col("_opened")).otherwise(F.col("_closed")))
+        .groupBy(*keys, "rn")
+        .agg(
+            F.max(F.when(opening, F.col(order))).alias("open_id"),
+            F.max(F.when(~opening, F.col(order))).alias("close_id"),
+        )
+        .where(F.col("open_id").isNotNull())
     )
 
 
@@ -363,23 +386,27 @@ def inside_intervals(
     """
     keys = list(keys)
     real = intervals.where(F.col("close_id").isNull() | (F.col("close_id") > F.col("open_id")))
-    opens = real.groupBy(*keys, F.col("open_id").alias(order)).agg(F.count("*").alias("_open"))
-    closes = (
-        real.where(F.col("close_id").isNotNull())
-        .groupBy(*keys, F.col("close_id").alias(order))
-        .agg(F.count("*").alias("_close"))
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    bounds = F.array(
+        F.struct(F.col("open_id").alias(order), one.alias("_opens"), zero.alias("_closes")),
+        F.struct(F.col("close_id").alias(order), zero.alias("_opens"), one.alias("_closes")),
+    )
+    marks = (
+        real.select(*keys, F.explode(bounds).alias("_b"))
+        .select(*keys, "_b.*")
+        .where(F.col(order).isNotNull())
+        .groupBy(*keys, order)
+        .agg(F.sum("_opens").alias("_opens"), F.sum("_closes").alias("_closes"))
     )
-    zero = F.lit(0).cast("bigint")
     marked = (
-        df.join(opens, [*keys, order], "left")
-        .join(closes, [*keys, order], "left")
-        .withColumn("_open", F.coalesce("_open", zero))
-        .withColumn("_close", F.coalesce("_close", zero))
+        df.join(marks, [*keys, order], "left")
+        .withColumn("_opens", F.coalesce("_opens", zero))
+        .withColumn("_closes", F.coalesce("_closes", zero))
     )
     both = timeline.running(
-        marked, keys, [order], {"_opened": ("sum", "_open"), "_closed": ("sum", "_close")}, chunk=chunk
+        marked, keys, [order], {"_opened": ("sum", "_opens"), "_closed": ("sum", "_closes")}, chunk=chunk
     )
-    return both.withColumn(out, F.col("_opened") - F.col("_open") - F.col("_closed")).select(*df.columns, out)
+    return both.withColumn(out, F.col("_opened") - F.col("_opens") - F.col("_closed")).select(*df.columns, out)
 
 
 def open_count(
@@ -392,17 +419,8 @@ def open_count(
     up to it, not below zero. Returns the marked rows, the two running sums to put
     into a ``timeline.scan`` (next to whatever else it computes), and the count.
     """
-    keys = list(keys)
-    zero = F.lit(0).cast("bigint")
-    firsts = df.where(is_open).groupBy(*keys).agg(F.min(order).alias("_first_open"))
-    marked = (
-        df.join(firsts, keys, "left")
-        .withColumn("_opens", is_open.cast("bigint"))
-        .withColumn("_closes", F.coalesce((is_close & (F.col(order) > F.col("_first_open"))).cast("bigint"), zero))
-        .drop("_first_open")
-    )
-    steps = {"_opened": timeline.Step("sum", "_opens"), "_closed": timeline.Step("sum", "_closes")}
-    count = F.greatest(F.col("_opened") - F.col("_opens") - F.col("_closed"), zero)
+    marked, steps = _mark_openings(df, list(keys), order, is_open, is_close)
+    count = F.greatest(F.col("_opened") - F.col("_opens") - F.col("_closed"), F.lit(0).cast("bigint"))
     return marked, steps, count
 
 

@@ -14,25 +14,18 @@ def convert(amount: Column, rate: Column, scale: int = 4) -> Column:
     return truncate(quotient, scale)
 
 
-def rates_to(rates: DataFrame, target: str, out: str) -> DataFrame:
-    """Rates into one currency, ready to join on (month, from_cur)."""
-    return rates.where(F.col("to_cur") == target).select("month", "from_cur", F.col("rate").alias(out))
-
-
 def convert_amounts(
     facts: DataFrame, rates: DataFrame, amount: str, month: str, currency: str, targets: dict[str, str]
 ) -> DataFrame:
     """Add one converted amount per target currency (``output name -> currency``).
 
-    The rates of a target have one row per month and source currency, so the
-    lookup never multiplies facts.
+    The rates of all targets are put side by side, one row per month and source
+    currency, so one lookup serves them all and never multiplies facts.
     """
-    out = facts
-    for name, cur in targets.items():
-        side = rates_to(rates, cur, "_rate").withColumnsRenamed({"month": "_m", "from_cur": "_c"})
-        out = (
-            out.join(side, (F.col(month) == F.col("_m")) & (F.col(currency) == F.col("_c")), "left")
-            .withColumn(name, convert(F.col(amount), F.col("_rate")))
-            .drop("_rate", "_m", "_c")
-        )
-    return out
+    wide = rates.groupBy(F.col("month").alias("_m"), F.col("from_cur").alias("_c")).agg(
+        *[F.max(F.when(F.col("to_cur") == cur, F.col("rate"))).alias(f"_r_{name}") for name, cur in targets.items()]
+    )
+    joined = facts.join(wide, (F.col(month) == F.col("_m")) & (F.col(currency) == F.col("_c")), "left")
+    return joined.select(
+        *facts.columns, *[convert(F.col(amount), F.col(f"_r_{name}")).alias(name) for name in targets]
+    )

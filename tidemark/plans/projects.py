@@ -121,39 +121,54 @@ def risk_burndown(risks: DataFrame, mitigations: DataFrame) -> DataFrame:
     (or its own again after a mitigation to zero).
 
     The monthly rows of every risk are never built. Each risk only emits the months
-    its score changes; the changes are summed per project and month and added up
-    along the months of the project.
+    its score changes; the changes are summed per project and month, added up, and
+    each sum is held until the next change.
     """
     mits = mitigations.groupBy("project", "risk", "finish_month").agg(F.max_by("score", "rank").alias("mit"))
-    starts = risks.groupBy("project").agg(F.min("start_month").alias("first_month"))
-    ends = mits.groupBy("project").agg(F.max("finish_month").alias("last_month"))
-    spans = starts.join(ends, "project")
-
-    steps = mits.join(risks.select("project", "risk", "score"), ["project", "risk"]).join(spans, "project")
-    steps = steps.where(F.col("finish_month") >= F.col("first_month"))
+    spans = (
+        risks.groupBy("project").agg(F.min("start_month").alias("first_month"))
+        .join(mitigations.groupBy("project").agg(F.max("finish_month").alias("last_month")), "project")
+    )
+    steps = (
+        mits.join(risks.select("project", "risk", "score"), ["project", "risk"])
+        .join(spans, "project")
+        .where(F.col("finish_month") >= F.col("first_month"))
+    )
     w = Window.partitionBy("project", "risk").orderBy("finish_month")  # at most one row a month
     after = F.when(F.col("mit") == 0, F.col("score")).otherwise(F.col("mit"))
     at = F.when(F.col("finish_month") == F.col("first_month"), F.col("score")).otherwise(F.col("mit"))
-    steps = steps.withColumn("_after", after).withColumn("_at", at)
-    steps = steps.withColumn("_was", F.coalesce(F.lag("_after").over(w), F.col("score")))
-    changes = steps.select(
+    steps = (
+        steps.withColumn("_after", after)
+        .withColumn("_at", at)
+        .withColumn("_before", F.lag("_after").over(w))
+        .withColumn("_was", F.coalesce("_before", F.col("score")))
+    )
+
+    def change(month: Column, d: Column) -> Column:
+        return F.struct(month.alias("month"), d.cast("bigint").alias("d"))
+
+    emitted = F.array(
+        # The first mitigation of a risk also brings in its score from the project's start.
+        F.when(F.col("_before").isNull(), change(F.col("first_month"), F.col("score"))),
+        change(F.col("finish_month"), F.col("_at") - F.col("_was")),
+        change(F.add_months("finish_month", 1), F.col("_after") - F.col("_at")),
+    )
+    deltas = (
+        steps.select("project", "last_month", F.explode(F.array_compact(emitted)).alias("e"))
+        .select("project", "last_month", "e.*")
+        .where(F.col("month") <= F.col("last_month"))
+        .groupBy("project", "month")
+        .agg(F.sum("d").alias("d"), F.max("last_month").alias("last_month"))
+    )
+    line = Window.partitionBy("project").orderBy("month")  # at most one row a month
+    held = deltas.select(
         "project",
-        F.explode(
-            F.array(
-                F.struct(F.col("finish_month").alias("month"), (F.col("_at") - F.col("_was")).alias("d")),
-                F.struct(F.add_months("finish_month", 1).alias("month"), (F.col("_after") - F.col("_at")).alias("d")),
-            )
-        ).alias("e"),
-    ).select("project", "e.*")
-    initial = (
-        mits.select("project", "risk").distinct().join(risks, ["project", "risk"]).join(spans, "project")
-        .select("project", F.col("first_month").alias("month"), F.col("score").alias("d"))
-    )
-    deltas = initial.unionByName(changes).groupBy("project", "month").agg(F.sum("d").alias("d"))
-    months = expand_periods(spans, "first_month", "last_month", "month").select("project", "month")
-    line = Window.partitionBy("project").orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return months.join(deltas, ["project", "month"], "left").select(
-        "project", F.col("month").alias("process_date"), F.sum(F.coalesce("d", F.lit(0))).over(line).alias("risk_score")
+        "month",
+        F.sum("d").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("risk_score"),
+        F.coalesce(F.add_months(F.lead("month").over(line), -1), F.col("last_month")).alias("_until"),
+    )
+    return expand_periods(held, "month", "_until", "process_date", "month").select(
+        "project", "process_date", "risk_score"
     )
 
 
