@@ -95,3 +95,13 @@ def test_pair_nth_example(spark):
     assert sorted((r.open_id, r.close_id) for r in pairs.collect()) == [(1, 3), (5, None)]
     inside = joins.inside_intervals(df, pairs, ["k"], "id", "n")
     assert sorted(r.id for r in inside.where("n > 0").collect()) == [2, 6]
+
+
+def test_copy_ordinal_with_a_hot_group_of_copies(spark):
+    """A third of the rows are one row repeated; blocks are smaller than the group."""
+    data = [(1, 5, "x")] * 700 + [(1, i % 9, "y") for i in range(700)] + [(2, i, "z") for i in range(700)]
+    df = spark.createDataFrame(data, "k int, t int, v string")
+    out = timeline.copy_ordinal(df, ["k"], ["t", "v"], "n", chunk=F.floor(F.col("t") / 2), block=64)
+    got = [tuple(r) for r in out.orderBy("k", "n").collect()]
+    assert [r[:3] for r in got] == sorted(data)
+    assert [r[3] for r in got] == [*range(1, 1401), *range(1, 701)]

@@ -172,6 +172,41 @@ def ordinal(
     return running(tagged, keys, order, {out: ("sum", "_one")}, chunk=chunk).drop("_one")
 
 
+COPY_BLOCK = 10_000
+
+
+def copy_ordinal(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str,
+    *,
+    chunk: Column | None = None,
+    block: int = COPY_BLOCK,
+) -> DataFrame:
+    """``ordinal`` for rows that may repeat exactly.
+
+    No chunk can split equal rows, so copies are first counted (combined on the map
+    side), the counts are added up along the order, and each distinct row is then
+    repeated with its range of numbers. A row with very many copies is repeated in
+    blocks spread over the cluster. ``order`` must be total over distinct rows.
+    """
+    cols = df.columns
+    counted = df.groupBy(*cols).agg(F.count("*").alias("_n"))
+    numbered = running(counted, keys, order, {"_hi": ("sum", "_n")}, chunk=chunk)
+    lo, hi = F.col("_hi") - F.col("_n") + 1, F.col("_hi")
+    few = numbered.where(F.col("_n") <= block).select(*cols, F.explode(F.sequence(lo, hi)).alias(out))
+    blocks = (
+        numbered.where(F.col("_n") > block)
+        .select(*cols, "_hi", F.explode(F.sequence(lo, hi, F.lit(block).cast("bigint"))).alias("_lo"))
+        .repartition(*cols, "_lo")
+    )
+    many = blocks.select(
+        *cols, F.explode(F.sequence(F.col("_lo"), F.least(F.col("_lo") + block - 1, F.col("_hi")))).alias(out)
+    )
+    return few.unionByName(many)
+
+
 def change_event(
     df: DataFrame,
     keys: Sequence[str],

@@ -59,16 +59,18 @@ def billing_fact(
     """Fact rows from deduplicated billing lines.
 
     ``staging``: ``order_id, line_no, product, seller, quantity, unit_amount,
-    discount, activity, accrual, ship_day`` and a total order over repeats
-    (``dup_order`` columns are all of these). ``orders``: ``order_id, customer,
+    discount, activity, accrual, ship_day``. ``orders``: ``order_id, customer,
     currency``. ``second``/``third`` are (output name, currency).
 
     Repeats of an order line are numbered and the number is part of the key. The
-    numbering runs on (order, line) with the ship month as chunk, the order join on
-    order: one shuffle each, both split under skew.
+    numbering runs on (order, line) with the ship month as chunk, after exact copies
+    have been counted, so neither a huge order nor a huge group of copies meets in one
+    task; the order join is an equi join that splits under skew.
     """
-    order = ["ship_day", "product", "seller", "quantity", "unit_amount"]
-    lines = timeline.ordinal(staging, ["order_id", "line_no"], order, "dup_no", chunk=F.trunc("ship_day", "year"))
+    order = ["ship_day", "product", "seller", "quantity", "unit_amount", "discount", "activity", "accrual"]
+    lines = timeline.copy_ordinal(
+        staging, ["order_id", "line_no"], order, "dup_no", chunk=F.trunc("ship_day", "month")
+    )
     df = lines.join(orders, "order_id", "left")
     cal = calendar.select(
         F.col("calendar_date").alias("ship_day"),

@@ -228,7 +228,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, n AS dup_no,
 def dup_ordinal(t: Tables) -> DataFrame:
     """Number repeats of a key and hash the number into the key."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    out = timeline.ordinal(
+    out = timeline.copy_ordinal(
         li, ["l_orderkey", "l_linenumber"], LINE_TIE, "dup_no", chunk=F.date_trunc("month", F.col("l_shipdate"))
     )
     return out.select(
