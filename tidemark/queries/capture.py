@@ -252,6 +252,22 @@ def weekly_snapshot(t: Tables) -> DataFrame:
     return out.select("l_orderkey", "l_linenumber", "l_quantity", "snapshot_week_key", "snapshot_key")
 
 
+@query(
+    "monthly_snapshot",
+    """WITH newest AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn FROM lineitem) WHERE rn = 1)
+SELECT l_partkey, l_suppkey, l_quantity, 200107 AS snapshot_month_key, md5('{"COL1":200107,"COL2":' || l_partkey || ',"COL3":' || l_suppkey || '}') AS working_capital_key FROM newest""",
+)
+def monthly_snapshot(t: Tables) -> DataFrame:
+    """Inventory by part and supplier stamped with the fiscal month."""
+    calendar = fiscal_cal(t.lineitem, "l_shipdate")
+    month = calendar.where(F.col("calendar_date") == day("2001-07-25")).select("fiscal_month").scalar()
+    order = [F.col(c).desc() for c in ("l_shipdate", "l_orderkey", "l_linenumber")]
+    out = snapshots.weekly_snapshot(
+        t.lineitem, ["l_partkey", "l_suppkey"], order, [month], "snapshot_month_key", "working_capital_key"
+    )
+    return out.select("l_partkey", "l_suppkey", "l_quantity", "snapshot_month_key", "working_capital_key")
+
+
 @query(
     "local_time_view",
     """SELECT event_id, user_id, strftime(ts - INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS local_ts, event_type AS type FROM events""",

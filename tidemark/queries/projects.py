@@ -127,9 +127,7 @@ def join_any(t: Tables) -> DataFrame:
     return joins.join_any(o, c, conds).select("o_orderkey", "c_custkey")
 
 
-@query(
-    "risk_burndown",
-    """WITH r AS (SELECT c_nationkey AS project, o_orderkey AS risk, CAST(floor(o_totalprice / 10000) AS BIGINT) AS score, CAST(date_trunc('month', o_orderdate) AS DATE) AS sm
+RISK_SQL = """r AS (SELECT c_nationkey AS project, o_orderkey AS risk, CAST(floor(o_totalprice / 10000) AS BIGINT) AS score, CAST(date_trunc('month', o_orderdate) AS DATE) AS sm
   FROM orders JOIN customer ON o_custkey = c_custkey),
 m0 AS (SELECT c_nationkey AS project, l_orderkey AS risk, CAST(date_trunc('month', l_shipdate) AS DATE) AS fm, l_linenumber - 1 AS mit,
   ROW_NUMBER() OVER (PARTITION BY l_orderkey, date_trunc('month', l_shipdate) ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC) AS rn
@@ -139,10 +137,12 @@ span AS (SELECT project, min(sm) AS a, (SELECT max(fm) FROM m WHERE m.project =
 grid AS (SELECT r.project, r.risk, r.score, a, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month
   FROM r JOIN span ON r.project = span.project WHERE risk IN (SELECT risk FROM m)),
 x AS (SELECT g.*, mit, coalesce(last_value(mit IGNORE NULLS) OVER (PARTITION BY g.risk ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev
-  FROM grid g LEFT JOIN m ON m.risk = g.risk AND m.fm = month)
-SELECT project, month AS process_date, CAST(sum(CASE WHEN mit IS NOT NULL AND month = a THEN score WHEN mit IS NOT NULL THEN mit WHEN prev = 0 THEN score ELSE prev END) AS BIGINT) AS risk_score
-FROM x GROUP BY 1, 2""",
-)
+  FROM grid g LEFT JOIN m ON m.risk = g.risk AND m.fm = month),
+risk AS (SELECT project, month AS process_date, CAST(sum(CASE WHEN mit IS NOT NULL AND month = a THEN score WHEN mit IS NOT NULL THEN mit WHEN prev = 0 THEN score ELSE prev END) AS BIGINT) AS risk_score
+FROM x GROUP BY 1, 2)"""
+
+
+@query("risk_burndown", f"WITH {RISK_SQL} SELECT * FROM risk")
 def risk_burndown(t: Tables) -> DataFrame:
     """Nations as projects, orders as risks, lines as mitigations."""
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -161,21 +161,46 @@ def risk_burndown(t: Tables) -> DataFrame:
 QUARTERS = [f"{y}-0{q}" for y in (1997, 1998) for q in (1, 2, 3, 4)]
 
 
-@query(
-    "cost_curve",
-    f"""WITH q AS (SELECT l_suppkey AS project, year(l_shipdate) || '-0' || quarter(l_shipdate) AS quarter, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS cost FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
-p(period, quarter, m1) AS (VALUES {", ".join(f"('PERIOD{i + 1}', '{q}', DATE '{q[:4]}-{(int(q[-1]) - 1) * 3 + 1:02d}-01')" for i, q in enumerate(QUARTERS))}),
-s AS (SELECT DISTINCT l_suppkey AS project FROM lineitem WHERE l_returnflag = 'R'),
-m AS (SELECT s.project, period, cost, CAST(m1 + INTERVAL (k) MONTH AS DATE) AS process_date FROM s CROSS JOIN p CROSS JOIN (VALUES (0), (1), (2)) t(k) LEFT JOIN q ON q.project = s.project AND q.quarter = p.quarter)
-SELECT project, period, process_date, round(CAST(sum(cost) OVER (PARTITION BY project ORDER BY process_date ROWS UNBOUNDED PRECEDING) AS DOUBLE) / 3, 2) AS running_cost FROM m""",
+COST_PERIODS_SQL = ", ".join(
+    f"('PERIOD{i + 1}', '{q}', DATE '{q[:4]}-{(int(q[-1]) - 1) * 3 + 1:02d}-01')" for i, q in enumerate(QUARTERS)
 )
-def cost_curve(t: Tables) -> DataFrame:
-    """Suppliers as projects, eight quarterly period columns."""
+
+
+def cost_sql(key: str, lines: str) -> str:
+    return f"""q AS (SELECT {key} AS project, year(l_shipdate) || '-0' || quarter(l_shipdate) AS quarter,
+  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS cost FROM {lines} WHERE l_returnflag = 'R' GROUP BY 1, 2),
+p(period, quarter, m1) AS (VALUES {COST_PERIODS_SQL}),
+s AS (SELECT DISTINCT {key} AS project FROM {lines} WHERE l_returnflag = 'R'),
+cm AS (SELECT s.project, period, cost, CAST(m1 + INTERVAL (k) MONTH AS DATE) AS process_date
+  FROM s CROSS JOIN p CROSS JOIN (VALUES (0), (1), (2)) t(k) LEFT JOIN q ON q.project = s.project AND q.quarter = p.quarter),
+cost AS (SELECT project, period, process_date,
+  round(CAST(sum(cost) OVER (PARTITION BY project ORDER BY process_date ROWS UNBOUNDED PRECEDING) AS DOUBLE) / 3, 2) AS running_cost FROM cm)"""
+
+
+def costs(lines: DataFrame, key: str) -> DataFrame:
+    """Running cost of eight quarterly period columns per project."""
     d, price = F.col("l_shipdate"), dec(F.col("l_extendedprice"))
     label = F.concat(F.year(d).cast("string"), F.lit("-0"), F.quarter(d).cast("string"))
-    wide = t.lineitem.where(F.col("l_returnflag") == "R").groupBy(F.col("l_suppkey").alias("project")).agg(
+    wide = lines.where(F.col("l_returnflag") == "R").groupBy(F.col(key).alias("project")).agg(
         *[F.sum(F.when(label == q, price)).alias(f"cost{i + 1}") for i, q in enumerate(QUARTERS)]
     )
     periods = {f"PERIOD{i + 1}": (F.lit(q), F.col(f"cost{i + 1}")) for i, q in enumerate(QUARTERS)}
     out = projects.cost_curve(wide, periods)
     return out.withColumn("running_cost", F.round(F.col("running_cost").cast("double"), 2))
+
+
+@query("cost_curve", f"WITH {cost_sql('l_suppkey', 'lineitem')} SELECT * FROM cost")
+def cost_curve(t: Tables) -> DataFrame:
+    """Suppliers as projects."""
+    return costs(t.lineitem, "l_suppkey")
+
+
+@query(
+    "risk_vs_cost",
+    f"""WITH {RISK_SQL}, {cost_sql("s_nationkey", "lineitem JOIN supplier ON l_suppkey = s_suppkey")}
+SELECT cost.project, cost.process_date, running_cost, risk_score FROM cost LEFT JOIN risk ON risk.project = cost.project AND risk.process_date = cost.process_date""",
+)
+def risk_vs_cost(t: Tables) -> DataFrame:
+    """Cost curve of each nation next to its risk score."""
+    cost = costs(t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")), "s_nationkey").drop("period")
+    return cost.join(risk_burndown(t), ["project", "process_date"], "left")

@@ -10,6 +10,8 @@ from tidemark.functions.numbers import exact_sum
 from tidemark.operators import calendar as cal
 from tidemark.operators.dedup import latest
 from tidemark.operators.quality import freshness
+from tidemark.plans.directory import member_rows
+from tidemark.plans.usage import refresh_log
 from tidemark.queries.inputs import LINE_KEY, LINE_ORDER_SQL, newest_line_order
 from tidemark.queries.registry import Tables, query
 from tidemark.sources import sinks
@@ -353,3 +355,31 @@ def current_lines_query(t: Tables) -> DataFrame:
     return latest(t.lineitem, LINE_KEY, newest_line_order()).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
     )
+
+
+@query(
+    "usage_log",
+    """SELECT event_id, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 20 DAYS AND ts < TIMESTAMP '2024-01-29'""",
+)
+def usage_log(t: Tables) -> DataFrame:
+    """Hot log table: rows since the mark upserted (an overlap is harmless), old ones purged."""
+    ev = t.events
+    hot = ev.where(F.col("ts") < instant("2024-01-22"))
+    out = refresh_log(hot, ev, ["event_id"], "ts", LoadWindow("2024-01-20", "2024-01-29"), instant("2024-01-31"), 20)
+    return out.select("event_id", "user_id", "event_type", "value")
+
+
+@query(
+    "user_report",
+    """WITH r AS (SELECT user_id, ts, event_id, event_type, '{"' || event_type || ';' || coalesce(nullif(event_type, 'view'), '') || ';all' AS members FROM events
+  WHERE (user_id, CAST(ts AS DATE)) IN (SELECT user_id, max(CAST(ts AS DATE)) FROM events GROUP BY 1))
+SELECT * FROM (SELECT user_id, event_id, unnest(regexp_split_to_array(members, '[;"{]')) AS member FROM r) WHERE member <> ''""",
+)
+def user_report(t: Tables) -> DataFrame:
+    """Rows of each user's newest day, one per group member named in a text."""
+    e = F.col("event_type")
+    rows = t.events.select(
+        "user_id", "event_id", F.col("ts").cast("date").alias("valid_from"),
+        F.concat(F.lit('{"'), e, F.lit(";"), F.coalesce(F.nullif(e, F.lit("view")), F.lit("")), F.lit(";all")).alias("members"),
+    )
+    return member_rows(rows, ["user_id"], "valid_from", "members", '[;"{]', "member").select("user_id", "event_id", "member")

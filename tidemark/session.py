@@ -35,17 +35,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     nothing set gets a temporary folder, because on a cluster that folder would
     be private to one machine and lost with it.
     """
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        spark.sparkContext.setCheckpointDir(folder)
+        if not current.isDefined():
+            sc.setCheckpointDir(folder)
         return folder
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.sparkContext.setCheckpointDir(folder)
+    sc.setCheckpointDir(folder)
     return folder
 
 

@@ -134,12 +134,16 @@ def upsert_table(
         replace_table(upsert(target, source, keys, update_cols, hash_col=hash_col), path)
 
 
+def purge(df: DataFrame, ts: str, asof: Column, days: int) -> DataFrame:
+    """Drop rows older than ``days`` before ``asof``; prunes date partitions."""
+    return df.where(F.col(ts) >= asof - F.expr(f"INTERVAL {int(days)} DAYS"))
+
+
 def append_with_retention(
     target: DataFrame, source: DataFrame, ts: str, asof: Column, days: int
 ) -> DataFrame:
     """Append, then drop rows older than ``days`` before ``asof``."""
-    kept = target.unionByName(source, allowMissingColumns=True)
-    return kept.where(F.col(ts) >= asof - F.expr(f"INTERVAL {int(days)} DAYS"))
+    return purge(target.unionByName(source, allowMissingColumns=True), ts, asof, days)
 
 
 def update_from(
