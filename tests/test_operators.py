@@ -174,3 +174,32 @@ def test_pick_column_unknown_name(spark):
 def test_unit_code(spark):
     df = spark.createDataFrame([("AB - Analog",), ("Analog (XY)",)], "n string")
     assert [r[0] for r in df.select(projects.unit_code(F.col("n"))).collect()] == ["AB", "XY"]
+
+
+def test_hot_key_of_a_grouped_side_is_split(spark):
+    """A third of the rows share one key; the join to its aggregate must run in many tasks."""
+    from tidemark.operators.timeline import whole_key
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, -1, id) k", "id v", "sha2(cast(id AS string), 256) pad")
+        out = whole_key(df, ["k"], {"m": F.max("v")})
+        assert out.where("k = -1").agg(F.count("*"), F.min("m")).first()[:] == (20_000, 59_997)
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        assert len(rows) == 60_000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan, plan[:3000]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

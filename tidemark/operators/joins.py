@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import timeline
+from tidemark.operators.skew import attach
 
 
 def enrich(
@@ -32,11 +33,23 @@ def enrich(
             *[F.col(r).alias(k) for k, (_, r) in names.items()],
             *[F.col(src).alias(out) for out, src in columns.items()],
         )
-        cond = _all([F.col(l) == F.col(k) for k, (l, _) in names.items()])
-        df = df.join(side, cond, "left").drop(*names)
+        df = _attach_on(df, side, {l: k for k, (l, _) in names.items()})
     return df
 
 
+def _attach_on(
+    df: DataFrame, side: DataFrame, on: Mapping[str, str], when: Column | None = None
+) -> DataFrame:
+    """Left join to a side with one row per key under other names; its key columns are dropped.
+
+    See ``skew`` for why the key's hash takes part in the join.
+    """
+    left = df.select("*", F.xxhash64(*on).alias("_lh"))
+    right = side.select("*", F.xxhash64(*on.values()).alias("_rh"))
+    cond = _all([F.col(l) == F.col(r) for l, r in on.items()] + [F.col("_lh") == F.col("_rh")])
+    return left.join(right, cond if when is None else cond & when, "left").drop("_lh", "_rh", *on.values())
+
+
 def _all(conds: Sequence[Column]) -> Column:
     out = conds[0]
     for c in conds[1:]:
@@ -79,7 +92,7 @@ def precedence_union(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataF
     keys = list(keys)
     out, taken = sources[0], sources[0].select(*keys)
     for s in sources[1:]:
-        out = out.unionByName(s.join(taken, keys, "left_anti"), allowMissingColumns=True)
+        out = out.unionByName(attach(s, taken.distinct(), keys, "left_anti"), allowMissingColumns=True)
         taken = taken.unionByName(s.select(*keys))
     return out
 
@@ -234,10 +247,7 @@ def cascade_lookup(
             side = side.groupBy(*keys).agg(F.min(value).alias(f"_v{i}"))
         else:
             side = side.select(*keys, F.col(value).alias(f"_v{i}"))
-        cond = _all([F.col(l) == F.col(f"_c{i}_{l}") for l in rule.on])
-        if rule.when is not None:
-            cond = cond & rule.when
-        df = df.join(side, cond, "left").drop(*[f"_c{i}_{l}" for l in rule.on])
+        df = _attach_on(df, side, {l: f"_c{i}_{l}" for l in rule.on}, rule.when)
     hits = [F.col(f"_v{i}") for i in range(len(rules))]
     df = df.withColumn(out, F.coalesce(*hits, *([default] if default is not None else [])))
     if rule_out:
@@ -329,7 +339,7 @@ def _mark_openings(
     zero = F.lit(0).cast("bigint")
     firsts = df.where(is_open).groupBy(*keys).agg(F.min(order).alias("_first_open"))
     marked = (
-        df.join(firsts, list(keys), "left")
+        attach(df, firsts, keys)
         .withColumn("_opens", F.coalesce(is_open.cast("bigint"), zero))
         .withColumn("_closes", F.coalesce((is_close & (F.col(order) > F.col("_first_open"))).cast("bigint"), zero))
         .drop("_first_open")
@@ -520,7 +530,7 @@ def lookup_roles(
     from tidemark.operators.reshape import pivot_max
 
     wide = pivot_max(ref, keys, role, value, roles)
-    return df.join(wide, list(keys), "left")
+    return attach(df, wide, keys)
 
 
 def choose_attribution(
@@ -555,8 +565,7 @@ def exists_or_absent(
         .withColumn("_hit", F.lit(True))
     )
     return (
-        facts.join(governed, [key], "left")
-        .join(hits, [key, date], "left")
+        attach(attach(facts, governed, [key]), hits, [key, date])
         .where(F.col("_gov").isNull() | F.col("_hit"))
         .select(*facts.columns)
     )

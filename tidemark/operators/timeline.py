@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import attach
+
 CHUNK = "_chunk"
 
 
@@ -318,7 +320,7 @@ def whole_key(
     can split a hot key, which an unbounded window frame cannot.
     """
     sums = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
-    return df.join(sums, list(keys), "left")
+    return attach(df, sums, keys)
 
 
 def first_value(c: str, order: Sequence[str]) -> Column:

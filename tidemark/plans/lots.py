@@ -13,6 +13,7 @@ from tidemark.functions.dates import date_key, local_day
 from tidemark.functions.hashing import surrogate_key
 from tidemark.operators import joins, timeline
 from tidemark.operators.counter import floored_counter
+from tidemark.operators.skew import attach
 from tidemark.operators.snapshots import daily_open_items
 from tidemark.operators.timeline import Step
 
@@ -72,7 +73,7 @@ def derive(txns: DataFrame, stored: DataFrame, stages: DataFrame) -> DataFrame:
     steps |= {"_before": Step("lag", "location"), "_before_id": Step("lag", "txn_id")}
     df = timeline.scan(marked, ["lot"], ["txn_id"], steps, chunk=id_chunk()).withColumn("open_holds", open_holds)
     last = stored.groupBy("lot").agg(F.max_by("location", "txn_id").alias("_stored"))
-    df = joins.enrich(df.join(last, "lot", "left"), [(stages, {"stage_set": "stage_set"}, {"country": "country"})])
+    df = joins.enrich(attach(df, last, ["lot"]), [(stages, {"stage_set": "stage_set"}, {"country": "country"})])
     first = F.col("_before_id").isNull()
     came_from = F.when(first, F.col("_stored")).otherwise(F.col("_before"))
     marker = F.col("txn_type").isin(HOLD, RELEASE)
@@ -121,7 +122,7 @@ def hold_counts(derived: DataFrame) -> DataFrame:
     )
     firsts = rows.where(F.col("_seed") == 1).groupBy("lot").agg(F.min("txn_id").alias("_from"))
     return (
-        rows.join(firsts, "lot")
+        attach(rows, firsts, ["lot"], "inner")
         .where(F.col("txn_id") >= F.col("_from"))
         .select("lot", "txn_id", "txn_type", "reason", F.col("_n").cast("int").alias("hold_count"))
     )

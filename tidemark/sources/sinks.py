@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import attach
+
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh."""
@@ -172,7 +174,7 @@ def logical_delete(
     """Flag (never remove) rows whose key is in the inactive set."""
     gone = inactive.select(*keys).distinct().withColumn("_gone", F.lit(True))
     return (
-        target.join(gone, list(keys), "left")
+        attach(target, gone, keys)
         .withColumn(flag, F.when(F.col("_gone"), F.lit("Y")).otherwise(F.lit("N")))
         .drop("_gone")
     )

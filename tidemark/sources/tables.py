@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import instant, parse_any
+from tidemark.operators.skew import attach
 from tidemark.session import broadcast_bounded
 
 
@@ -105,7 +106,7 @@ class LoadWindow:
 
 def expand_changed_keys(df: DataFrame, keys: Sequence[str], changed: DataFrame) -> DataFrame:
     """All rows of every key that occurs in ``changed``."""
-    return df.join(changed.select(*keys).distinct(), list(keys), "left_semi")
+    return attach(df, changed.select(*keys).distinct(), keys, "left_semi")
 
 
 def impacted(
@@ -128,7 +129,7 @@ def impacted(
     for i, (keys, changed) in enumerate(refs):
         mark = f"_hit{i}"
         keyset = changed.select(*keys).distinct().withColumn(mark, F.lit(True))
-        out = out.join(keyset, list(keys), "left")
+        out = attach(out, keyset, keys)
         keep = keep | F.coalesce(F.col(mark), F.lit(False))
         marks.append(mark)
     return out.where(keep).select(*df.columns)
@@ -139,7 +140,7 @@ def with_history(current: DataFrame, legacy: Iterable[DataFrame], keys: Sequence
     out = current
     seen = current.select(*keys)
     for old in legacy:
-        fresh = old.join(seen.distinct(), list(keys), "left_anti")
+        fresh = attach(old, seen.distinct(), keys, "left_anti")
         out = out.unionByName(fresh, allowMissingColumns=True)
         seen = seen.unionByName(old.select(*keys))
     return out
