@@ -132,10 +132,11 @@ def risk_burndown(risks: DataFrame, mitigations: DataFrame) -> DataFrame:
     steps = (
         mits.join(risks.select("project", "risk", "score"), ["project", "risk"])
         .join(spans, "project")
-        .where(F.col("finish_month") >= F.col("first_month"))
     )
     w = Window.partitionBy("project", "risk").orderBy("finish_month")  # at most one row a month
-    after = F.when(F.col("mit") == 0, F.col("score")).otherwise(F.col("mit"))
+    # A mitigation finished before the project's first month is not seen by any month.
+    early = F.col("finish_month") < F.col("first_month")
+    after = F.when(early | (F.col("mit") == 0), F.col("score")).otherwise(F.col("mit"))
     at = F.when(F.col("finish_month") == F.col("first_month"), F.col("score")).otherwise(F.col("mit"))
     steps = (
         steps.withColumn("_after", after)
@@ -150,8 +151,8 @@ def risk_burndown(risks: DataFrame, mitigations: DataFrame) -> DataFrame:
     emitted = F.array(
         # The first mitigation of a risk also brings in its score from the project's start.
         F.when(F.col("_before").isNull(), change(F.col("first_month"), F.col("score"))),
-        change(F.col("finish_month"), F.col("_at") - F.col("_was")),
-        change(F.add_months("finish_month", 1), F.col("_after") - F.col("_at")),
+        F.when(~early, change(F.col("finish_month"), F.col("_at") - F.col("_was"))),
+        F.when(~early, change(F.add_months("finish_month", 1), F.col("_after") - F.col("_at"))),
     )
     deltas = (
         steps.select("project", "last_month", F.explode(F.array_compact(emitted)).alias("e"))
