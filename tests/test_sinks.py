@@ -86,3 +86,31 @@ def test_streaming_load_is_idempotent(spark, tmp_path):
     spark.createDataFrame([(2, "d", 5), (3, "e", 5)], schema).write.mode("append").parquet(src)
     run()
     assert {(r.k, r.v) for r in spark.read.parquet(tgt).collect()} == {(1, "b"), (2, "d"), (3, "e")}
+
+
+def test_interrupted_swap_is_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(frame(spark, [("d", 1, "new", "t")]), path + sinks.STAGED)  # old one already deleted
+    sinks.upsert_table(spark, path, frame(spark, [("d", 2, "more", "t")]), ["day", "k"])
+    assert {r[1] for r in as_set(spark.read.parquet(path))} == {1, 2}
+
+
+def test_view_and_full_refresh(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for v in ("a", "b"):
+        sinks.write_table(frame(spark, [("d", 1, v, "t")]), path)
+    sinks.as_view(spark.read.parquet(path), "refreshed")
+    assert [r.v for r in spark.sql("SELECT v FROM refreshed").collect()] == ["b"]
+
+
+def test_retention_and_archive(spark, tmp_path):
+    """Archiving a day twice keeps one copy of it; purging drops old rows only."""
+    from tidemark.operators.snapshots import archive
+
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    path = str(tmp_path / "arch")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
+        sinks.overwrite_partitions(archive(df, {"K": F.col("k")}, day), path, ["snapshot_date"])
+    assert spark.read.parquet(path).groupBy("snapshot_date").count().where("count = 2").count() == 2
+    kept = sinks.purge(spark.read.parquet(path), "snapshot_date", F.lit("2024-01-03").cast("date"), 1)
+    assert {str(r.snapshot_date) for r in kept.collect()} == {"2024-01-02"}

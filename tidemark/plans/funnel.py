@@ -38,12 +38,18 @@ def roles(mapping: DataFrame, key: str, names: Mapping[str, str]) -> DataFrame:
 
 
 def daily_snapshot(
-    delta: DataFrame, stored: DataFrame, key: str, day_col: str, today: Column, frozen: list[str]
+    delta: DataFrame,
+    stored: DataFrame,
+    key: str,
+    day_col: str,
+    today: Column,
+    frozen: list[str],
+    source: str,
 ) -> DataFrame:
     """Today's snapshot: today's rows with first-touch values frozen, and the latest
-    stored rows that did not change, all keyed by (item, day)."""
+    stored rows that did not change, all keyed by (item, day, source)."""
     before = stored.where(F.col(day_col) < today)
     last = before.where(F.col(day_col) == before.agg(F.max(day_col)).scalar())
     fresh = freeze(delta, last, [key], frozen)
     rows = carry_forward(fresh, stored, [key], day_col, today)
-    return rows.withColumn("funnel_key", object_key({"COL1": F.col(key), "COL2": F.col(day_col), "COL3": F.lit("MODELN")}))
+    return rows.withColumn("funnel_key", object_key({"COL1": F.col(key), "COL2": F.col(day_col), "COL3": F.lit(source)}))

@@ -25,7 +25,7 @@ def price_history(book: DataFrame, points: DataFrame, asof: str, deleted: Column
     newest = book.agg(F.max("effective_from")).scalar()
     status = version_status(F.col("effective_from"), F.col("effective_to"), deleted, day(asof), newest)
     return line.join(firsts, "part_id", "left").select(
-        object_key({"COL1": F.col("part_id"), "COL2": F.col("effective_from")}).alias("gps_key"),
+        object_key({"COL1": F.col("part_id"), "COL2": F.col("effective_from")}).alias("price_key"),
         "part_id",
         "effective_from",
         "effective_to",

@@ -398,7 +398,7 @@ def expire_open(t: Tables) -> DataFrame:
 @query(
     "price_timeline",
     f"""WITH {PRICES_SQL}, firsts AS (SELECT part_id, min(f) AS first_from FROM a GROUP BY 1)
-SELECT md5('{{"COL1":' || m.part_id || ',"COL2":' || effective_from || '}}') AS gps_key, m.part_id, effective_from, effective_to,
+SELECT md5('{{"COL1":' || m.part_id || ',"COL2":' || effective_from || '}}') AS price_key, m.part_id, effective_from, effective_to,
   CAST(m.price_a AS DOUBLE) AS price_a, CAST(price_b AS DOUBLE) AS price_b,
   CASE WHEN effective_from > DATE '2000-01-01' THEN 'Staged'
   WHEN effective_from <= (SELECT max(f) FROM a) AND effective_to >= DATE '2000-01-01' THEN 'Current'

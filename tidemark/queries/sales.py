@@ -386,7 +386,7 @@ def funnel_items(df: DataFrame) -> DataFrame:
 snap AS (SELECT d.item, d.registrar, d.unit_price, d.revenue, coalesce(s.revenue, d.revenue) AS created_revenue FROM delta d LEFT JOIN stored s ON s.item = d.item
   UNION ALL SELECT item, registrar, unit_price, revenue, revenue FROM stored WHERE item NOT IN (SELECT item FROM delta)),
 roles AS (SELECT user_id, max(CASE WHEN event_type = 'click' THEN event_id END) AS sales_rep, max(CASE WHEN event_type = 'view' THEN event_id END) AS engineer FROM events GROUP BY 1)
-SELECT md5('{{"COL1":' || item || ',"COL2":20010601,"COL3":MODELN}}') AS funnel_key, item, 20010601 AS snapshot_date_key, unit_price, revenue, created_revenue, sales_rep, engineer
+SELECT md5('{{"COL1":' || item || ',"COL2":20010601,"COL3":DESIGN}}') AS funnel_key, item, 20010601 AS snapshot_date_key, unit_price, revenue, created_revenue, sales_rep, engineer
 FROM snap LEFT JOIN roles ON registrar = user_id""",
 )
 def funnel_snapshot(t: Tables) -> DataFrame:
@@ -395,7 +395,7 @@ def funnel_snapshot(t: Tables) -> DataFrame:
     with_created = lambda df: df.withColumn("created_revenue", F.col("revenue"))
     stored = with_created(funnel_items(li.where(F.col("l_shipdate") < cut))).withColumn("snapshot_date_key", F.lit(20010531))
     delta = with_created(funnel_items(li.where(F.col("l_shipdate") >= cut)))
-    snap = funnel.daily_snapshot(delta, stored, "item", "snapshot_date_key", F.lit(20010601), ["created_revenue"])
+    snap = funnel.daily_snapshot(delta, stored, "item", "snapshot_date_key", F.lit(20010601), ["created_revenue"], "DESIGN")
     mapping = t.events.select(F.col("user_id").alias("registrar"), F.col("event_type").alias("classification"), F.col("event_id").alias("user_id"))
     role = funnel.roles(mapping, "registrar", {"sales_rep": "click", "engineer": "view"})
     return snap.join(role, "registrar", "left").select(

@@ -13,7 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A partition of the exchange on (key, chunk) also serves a join on the same columns.
+    # Writes to partitioned tables replace only the partitions they bring.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

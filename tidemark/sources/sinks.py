@@ -46,15 +46,28 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+STAGED = ".next"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table is there, after finishing a swap that was cut short."""
     p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        staged, _ = _fs(spark, path.rstrip("/") + STAGED)
+        done, _ = _fs(spark, path.rstrip("/") + STAGED + "/_SUCCESS")
+        if fs.exists(done):
+            fs.rename(staged, p)
     return fs.exists(p)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write next to the table, then swap, so ``df`` may read the table it replaces."""
+    """Write next to the table, then swap, so ``df`` may read the table it replaces.
+
+    If the driver dies between the two steps of the swap, the complete new table is
+    picked up by the next ``table_exists``.
+    """
     spark = df.sparkSession
-    staged = path.rstrip("/") + ".next"
+    staged = path.rstrip("/") + STAGED
     write_table(df, staged)
     src, fs = _fs(spark, staged)
     dst, _ = _fs(spark, path)
