@@ -32,13 +32,13 @@ def rows(df, *cols):
 def test_scan_steps(skewed, kind):
     step = {"out": Step(kind, "n")}
     plain = timeline.scan(skewed, ["k"], ["id"], step)
-    assert rows(timeline.scan(skewed, ["k"], ["id"], step, chunk=chunk()), "out") == rows(plain, "out")
+    assert rows(timeline.scan(skewed, ["k"], ["id"], step, chunk=chunk(), hot_rows=60), "out") == rows(plain, "out")
 
 
 def test_change_event_and_islands(skewed):
     for fn in (timeline.change_event, timeline.islands):
         plain = fn(skewed, ["k"], ["id"], "v", "out")
-        assert rows(fn(skewed, ["k"], ["id"], "v", "out", chunk=chunk()), "out") == rows(plain, "out")
+        assert rows(fn(skewed, ["k"], ["id"], "v", "out", chunk=chunk(), hot_rows=60), "out") == rows(plain, "out")
 
 
 def test_change_event_example(spark):
@@ -51,7 +51,7 @@ def test_change_event_example(spark):
 
 def test_valid_to(spark):
     df = spark.sql("SELECT 1 k, explode(array(date'2024-01-01', date'2024-02-01', date'2024-03-01')) s")
-    out = timeline.valid_to(df, ["k"], "s", "e", chunk=F.trunc("s", "month")).orderBy("s").collect()
+    out = timeline.valid_to(df, ["k"], "s", "e", chunk=F.trunc("s", "month"), hot_rows=0).orderBy("s").collect()
     assert [str(r.e) for r in out] == ["2024-01-31", "2024-02-29", "9999-12-31"]
 
 
@@ -74,7 +74,7 @@ def test_floored_counter(spark, seed):
     df = spark.createDataFrame(data, "k int, id int, op string")
     step = F.when(F.col("op") == "up", 1).otherwise(-1)
     for chunk in (None, F.floor(F.col("id") / 31)):
-        out = counter.floored_counter(df, ["k"], ["id"], step, F.col("op") == "reset", "c", chunk=chunk)
+        out = counter.floored_counter(df, ["k"], ["id"], step, F.col("op") == "reset", "c", chunk=chunk, hot_rows=50)
         assert {r.id: r.c for r in out.collect()} == fold(data)
 
 
@@ -84,7 +84,7 @@ def test_open_count_equals_pairing(skewed):
     pairs = joins.pair_nth(skewed, ["k"], "id", is_open, is_close, chunk=chunk())
     want = rows(joins.inside_intervals(skewed, pairs, ["k"], "id", "n_open", chunk=chunk()), "n_open")
     marked, steps, count = joins.open_count(skewed, ["k"], "id", is_open, is_close)
-    got = rows(timeline.scan(marked, ["k"], ["id"], steps, chunk=chunk()).withColumn("n_open", count), "n_open")
+    got = rows(timeline.scan(marked, ["k"], ["id"], steps, chunk=chunk(), hot_rows=60).withColumn("n_open", count), "n_open")
     assert got == want
 
 
@@ -101,7 +101,15 @@ def test_copy_ordinal_with_a_hot_group_of_copies(spark):
     """A third of the rows are one row repeated; blocks are smaller than the group."""
     data = [(1, 5, "x")] * 700 + [(1, i % 9, "y") for i in range(700)] + [(2, i, "z") for i in range(700)]
     df = spark.createDataFrame(data, "k int, t int, v string")
-    out = timeline.copy_ordinal(df, ["k"], ["t", "v"], "n", chunk=F.floor(F.col("t") / 2), block=64)
+    out = timeline.copy_ordinal(df, ["k"], ["t", "v"], "n", chunk=F.floor(F.col("t") / 2), block=64, hot_rows=3)
     got = [tuple(r) for r in out.orderBy("k", "n").collect()]
     assert [r[:3] for r in got] == sorted(data)
     assert [r[3] for r in got] == [*range(1, 1401), *range(1, 701)]
+
+
+def test_null_keys_and_cold_keys_match_plain_windows(skewed):
+    df = skewed.withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    steps = {"p": Step("lag", "n"), "s": Step("sum", "n")}
+    plain = rows(timeline.scan(df, ["k"], ["id"], steps), "p", "s")
+    for hot_rows in (0, 60, 10_000):
+        assert rows(timeline.scan(df, ["k"], ["id"], steps, chunk=chunk(), hot_rows=hot_rows), "p", "s") == plain

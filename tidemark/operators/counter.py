@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.timeline import CHUNK
+from tidemark.operators.timeline import CHUNK, HOT_ROWS, cut_hot_keys
 
 
 def floored_counter(
@@ -27,6 +27,7 @@ def floored_counter(
     *,
     reset_to: Column | None = None,
     chunk: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Count after each row, starting from zero.
 
@@ -35,10 +36,8 @@ def floored_counter(
     """
     keys, order = list(keys), list(order)
     parts = [*keys, CHUNK]
-    cut = (
-        df.withColumn(CHUNK, F.lit(0) if chunk is None else chunk)
-        .withColumn("_reset", reset.cast("int"))
-        .withColumn("_step", F.when(reset, F.lit(0) if reset_to is None else reset_to).otherwise(step).cast("bigint"))
+    steps = df.withColumn("_reset", reset.cast("int")).withColumn(
+        "_step", F.when(reset, F.lit(0) if reset_to is None else reset_to).otherwise(step).cast("bigint")
     )
 
     def upto(cols, by):
@@ -48,17 +47,22 @@ def floored_counter(
 
     # Within the chunk: segment after each reset, running sum, and its lowest point.
     seg = [*parts, "_seg"]
-    local = (
-        cut.withColumn("_seg", F.sum("_reset").over(upto(parts, order)))
-        .withColumn("_a", F.sum("_step").over(upto(seg, order)))
-        .withColumn("_low", F.least(F.min("_a").over(upto(seg, order)), F.lit(0)))
-        .withColumn("_l", F.col("_a") - F.col("_low"))
-    )
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return (
+            rows.withColumn("_seg", F.sum("_reset").over(upto(parts, order)))
+            .withColumn("_a", F.sum("_step").over(upto(seg, order)))
+            .withColumn("_low", F.least(F.min("_a").over(upto(seg, order)), F.lit(0)))
+            .withColumn("_l", F.col("_a") - F.col("_low"))
+        )
+
     if chunk is None:
-        return local.select(*df.columns, F.col("_l").alias(out))
+        return counted(steps.withColumn(CHUNK, F.lit(0))).select(*df.columns, F.col("_l").alias(out))
 
+    cut, hot = cut_hot_keys(steps, keys, chunk, hot_rows)
+    local = counted(cut)
     end = F.max_by(F.struct("_seg", "_a", "_l"), F.struct(*order))
-    ends = local.groupBy(*parts).agg(end.alias("_e")).select(*parts, "_e.*")
+    ends = counted(hot).groupBy(*parts).agg(end.alias("_e")).select(*parts, "_e.*")
     # The same algebra over the chunks of a key: a chunk with a reset starts a segment
     # whose first value is a constant.
     seg2 = [*keys, "_s"]
@@ -77,6 +81,6 @@ def floored_counter(
     )
     joined = local.join(start, parts, "left")
     value = F.when(F.col("_seg") > 0, F.col("_l")).otherwise(
-        F.greatest(F.col("_x0") + F.col("_a"), F.col("_l"))
+        F.greatest(F.coalesce("_x0", F.lit(0)) + F.col("_a"), F.col("_l"))
     )
     return joined.select(*df.columns, value.alias(out))

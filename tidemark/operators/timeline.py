@@ -3,13 +3,17 @@
 A SQL window sends all rows of a key to one task. When one key holds a third of
 the table that task never ends. The functions here take a ``chunk``: a column
 that never decreases along the order (the day or hour of a timestamp, a range of
-an id). The window then runs per (key, chunk), spread over the cluster. What a
-chunk needs to know of the rows before it is a small carry value per (key,
-chunk), computed from a pre-aggregated summary and joined back on the same
-columns, so the rows are shuffled once. Without ``chunk`` a plain window runs,
-which is right for keys known to be small.
-
-Key and order columns must not be null, and the order must be total within a key.
+an id). Keys with more rows than one task should sort are found by a
+pre-aggregated count; only their rows are cut into chunks, so the window runs per
+(key, chunk) and a hot key is spread over the cluster. What a chunk needs to know
+of the rows before it is a small carry value per chunk, computed from an
+aggregate of the hot keys and joined back on the window's own partitioning: the
+rows are shuffled once, and without hot keys the plan does what a plain window
+does. Without ``chunk`` a plain window runs, which is right for keys known to be
+small.
+
+The order must be total within a key. Order columns must not be null; rows with a
+null key form a group of their own that is never cut.
 """
 
 from __future__ import annotations
@@ -21,10 +25,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import attach
+from tidemark.session import broadcast_bounded
 
 CHUNK = "_chunk"
 
 
+# A key with at most this many rows is sorted by one task.
+HOT_ROWS = 1_000_000
+# However large the table, at most this many keys are hot: a key must hold more
+# than this fraction of all rows. It bounds what is broadcast.
+MAX_HOT = 50_000
+
+
+def cut_hot_keys(
+    df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with a chunk (null for ordinary keys), and the rows of hot keys alone."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    limit = F.greatest(F.lit(hot_rows).cast("double"), counts.agg(F.sum("_n")).scalar() / MAX_HOT)
+    hot = broadcast_bounded(
+        counts.where(F.col("_n") > limit).select(*keys, F.lit(True).alias("_hot")), MAX_HOT
+    )
+    rows = df.join(hot, list(keys), "left").withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
+    hot_only = df.join(hot.drop("_hot"), list(keys)).withColumn(CHUNK, chunk)
+    return rows, hot_only
+
+
 def _upto(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -119,19 +145,20 @@ def scan(
     outputs: Mapping[str, Step],
     *,
     chunk: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add several ordered outputs in one pass.
 
-    The input is read twice with ``chunk`` (rows, and their pre-aggregated edges),
-    however many outputs there are; prefer one call over a chain.
+    However many outputs there are, rows are counted, shuffled and sorted once;
+    prefer one call over a chain.
     """
     keys, order = list(keys), list(order)
     if chunk is None:
         return df.select("*", *[s.finish(s.plain(keys, order)).alias(out) for out, s in outputs.items()])
 
     parts = [*keys, CHUNK]
-    cut = df.withColumn(CHUNK, chunk)
-    edges = cut.groupBy(*parts).agg(*[s.edge(order).alias(f"_e_{out}") for out, s in outputs.items()])
+    cut, hot = cut_hot_keys(df, keys, chunk, hot_rows)
+    edges = hot.groupBy(*parts).agg(*[s.edge(order).alias(f"_e_{out}") for out, s in outputs.items()])
     carry = edges.select(*parts, *[s.carry(f"_e_{out}", keys).alias(f"_c_{out}") for out, s in outputs.items()])
 
     w = Window.partitionBy(*parts).orderBy(*order)
@@ -149,29 +176,29 @@ def scan(
     )
 
 
-def previous(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None) -> DataFrame:
+def previous(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None, **hot) -> DataFrame:
     """Value of the row before (LAG), or of the nearest earlier row that has one."""
     kind = "lag_known" if ignore_nulls else "lag"
-    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk)
+    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk, **hot)
 
 
-def following(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None) -> DataFrame:
+def following(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None, **hot) -> DataFrame:
     """Value of the next row (LEAD), or of the nearest later row that has one."""
     kind = "lead_known" if ignore_nulls else "lead"
-    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk)
+    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk, **hot)
 
 
-def running(df, keys, order, outputs: Mapping[str, tuple[str, str]], *, chunk=None) -> DataFrame:
+def running(df, keys, order, outputs: Mapping[str, tuple[str, str]], *, chunk=None, **hot) -> DataFrame:
     """Running aggregates up to and including each row: name -> (kind, column)."""
-    return scan(df, keys, order, {o: Step(k, c) for o, (k, c) in outputs.items()}, chunk=chunk)
+    return scan(df, keys, order, {o: Step(k, c) for o, (k, c) in outputs.items()}, chunk=chunk, **hot)
 
 
 def ordinal(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, *, chunk: Column | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, *, chunk: Column | None = None, **hot
 ) -> DataFrame:
     """1, 2, 3 … within each key (ROW_NUMBER), as a bigint."""
     tagged = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running(tagged, keys, order, {out: ("sum", "_one")}, chunk=chunk).drop("_one")
+    return running(tagged, keys, order, {out: ("sum", "_one")}, chunk=chunk, **hot).drop("_one")
 
 
 COPY_BLOCK = 10_000
@@ -185,6 +212,7 @@ def copy_ordinal(
     *,
     chunk: Column | None = None,
     block: int = COPY_BLOCK,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``ordinal`` for rows that may repeat exactly.
 
@@ -195,7 +223,7 @@ def copy_ordinal(
     """
     cols = df.columns
     counted = df.groupBy(*cols).agg(F.count("*").alias("_n"))
-    numbered = running(counted, keys, order, {"_hi": ("sum", "_n")}, chunk=chunk)
+    numbered = running(counted, keys, order, {"_hi": ("sum", "_n")}, chunk=chunk, hot_rows=hot_rows)
     lo, hi = F.col("_hi") - F.col("_n") + 1, F.col("_hi")
     few = numbered.where(F.col("_n") <= block).select(*cols, F.explode(F.sequence(lo, hi)).alias(out))
     blocks = (
@@ -217,6 +245,7 @@ def change_event(
     out: str,
     *,
     chunk: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Counter that starts at 0 and grows by one whenever the value differs from
     the row before. A comparison with null is not a change."""
@@ -233,15 +262,13 @@ def change_event(
     parts = [*keys, CHUNK]
     zero = F.lit(0).cast("bigint")
     w = Window.partitionBy(*parts).orderBy(*order)
-    local = (
-        df.withColumn(CHUNK, chunk)
-        .withColumn(
-            "_step",
-            F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), zero),
-        )
-        .withColumn("_local", F.sum("_step").over(_upto(parts, order)))
-    )
-    edges = local.groupBy(*parts).agg(
+
+    def stepped(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_step", F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), zero))
+
+    cut, hot = cut_hot_keys(df, keys, chunk, hot_rows)
+    local = stepped(cut).withColumn("_local", F.sum("_step").over(_upto(parts, order)))
+    edges = stepped(hot).groupBy(*parts).agg(
         F.sum("_step").alias("_n"),
         F.min_by(F.struct(F.col(value).alias("v")), _at(order)).alias("_first"),
         F.max_by(F.struct(F.col(value).alias("v")), _at(order)).alias("_last"),
@@ -257,7 +284,7 @@ def change_event(
         .select(*parts, "_base")
     )
     joined = local.join(carry, parts, "left")
-    return joined.select(*df.columns, (F.col("_local") + F.col("_base")).alias(out))
+    return joined.select(*df.columns, (F.col("_local") + F.coalesce("_base", zero)).alias(out))
 
 
 def islands(
@@ -268,6 +295,7 @@ def islands(
     out: str,
     *,
     chunk: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Difference of the row's ordinals within the key and within (key, value).
 
@@ -275,8 +303,12 @@ def islands(
     """
     keys, order = list(keys), list(order)
     # Inside a struct a null value is an ordinary key value.
-    boxed = df.withColumn("_v", F.struct(value)).withColumn(CHUNK, F.lit(0) if chunk is None else chunk)
-    local = boxed.select(
+    boxed = df.withColumn("_v", F.struct(value))
+    if chunk is None:
+        rows = boxed.withColumn(CHUNK, F.lit(0))
+    else:
+        rows, hot = cut_hot_keys(boxed, keys, chunk, hot_rows)
+    local = rows.select(
         "*",
         F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*order)).alias("_all"),
         F.row_number().over(Window.partitionBy(*keys, CHUNK, "_v").orderBy(*order)).alias("_own"),
@@ -285,14 +317,16 @@ def islands(
     if chunk is None:
         return local.select(*df.columns, diff.alias(out))
 
+    zero = F.lit(0).cast("bigint")
+
     def earlier(by: Sequence[str], name: str) -> DataFrame:
-        counts = boxed.groupBy(*by, CHUNK).agg(F.count("*").alias("_n"))
+        counts = hot.groupBy(*by, CHUNK).agg(F.count("*").alias("_n"))
         return counts.select(*by, CHUNK, F.coalesce(F.sum("_n").over(_before(by)), F.lit(0)).alias(name))
 
     joined = local.join(earlier([*keys, "_v"], "_own0"), [*keys, "_v", CHUNK], "left").join(
         earlier(keys, "_all0"), [*keys, CHUNK], "left"
     )
-    return joined.select(*df.columns, (diff + F.col("_all0") - F.col("_own0")).alias(out))
+    return joined.select(*df.columns, (diff + F.coalesce("_all0", zero) - F.coalesce("_own0", zero)).alias(out))
 
 
 def valid_to(
@@ -303,9 +337,10 @@ def valid_to(
     *,
     chunk: Column | None = None,
     open_end: str = "9999-12-31",
+    **hot,
 ) -> DataFrame:
     """Last day of validity: the day before the next start, or ``open_end``."""
-    nxt = following(df, keys, [start], {"_next": start}, chunk=chunk)
+    nxt = following(df, keys, [start], {"_next": start}, chunk=chunk, **hot)
     return nxt.withColumn(
         out, F.coalesce(F.date_sub("_next", 1), F.lit(open_end).cast("date"))
     ).drop("_next")
