@@ -32,20 +32,26 @@ CHUNK = "_chunk"
 
 # A key with at most this many rows is sorted by one task.
 HOT_ROWS = 1_000_000
-# However large the table, at most this many keys are hot: a key must hold more
-# than this fraction of all rows. It bounds what is broadcast.
+# At most this many keys are cut. A key that is not among the largest holds less than
+# this fraction of all rows, so leaving it whole is safe; and the hot set is small.
 MAX_HOT = 50_000
 
 
 def cut_hot_keys(
-    df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    chunk: Column,
+    hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """All rows with a chunk (null for ordinary keys), and the rows of hot keys alone."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    limit = F.greatest(F.lit(hot_rows).cast("double"), counts.agg(F.sum("_n")).scalar() / MAX_HOT)
-    hot = broadcast_bounded(
-        counts.where(F.col("_n") > limit).select(*keys, F.lit(True).alias("_hot")), MAX_HOT
-    )
+    """All rows with a chunk (null for ordinary keys), and the rows of hot keys alone.
+
+    ``sized_by`` is a cheaper relation to count the rows of a key in, if ``df`` is
+    costly to compute (its own input, say).
+    """
+    counts = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count("*").alias("_n"))
+    largest = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT)
+    hot = broadcast_bounded(largest.select(*keys, F.lit(True).alias("_hot")), MAX_HOT)
     rows = df.join(hot, list(keys), "left").withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
     hot_only = df.join(hot.drop("_hot"), list(keys)).withColumn(CHUNK, chunk)
     return rows, hot_only
@@ -146,6 +152,7 @@ def scan(
     *,
     chunk: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add several ordered outputs in one pass.
 
@@ -157,7 +164,7 @@ def scan(
         return df.select("*", *[s.finish(s.plain(keys, order)).alias(out) for out, s in outputs.items()])
 
     parts = [*keys, CHUNK]
-    cut, hot = cut_hot_keys(df, keys, chunk, hot_rows)
+    cut, hot = cut_hot_keys(df, keys, chunk, hot_rows, sized_by)
     edges = hot.groupBy(*parts).agg(*[s.edge(order).alias(f"_e_{out}") for out, s in outputs.items()])
     carry = edges.select(*parts, *[s.carry(f"_e_{out}", keys).alias(f"_c_{out}") for out, s in outputs.items()])
 
@@ -223,7 +230,7 @@ def copy_ordinal(
     """
     cols = df.columns
     counted = df.groupBy(*cols).agg(F.count("*").alias("_n"))
-    numbered = running(counted, keys, order, {"_hi": ("sum", "_n")}, chunk=chunk, hot_rows=hot_rows)
+    numbered = running(counted, keys, order, {"_hi": ("sum", "_n")}, chunk=chunk, hot_rows=hot_rows, sized_by=df)
     lo, hi = F.col("_hi") - F.col("_n") + 1, F.col("_hi")
     few = numbered.where(F.col("_n") <= block).select(*cols, F.explode(F.sequence(lo, hi)).alias(out))
     blocks = (
