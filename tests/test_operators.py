@@ -171,6 +171,42 @@ def test_pick_column_unknown_name(spark):
     assert [r.v for r in out.collect()] == [1, None]
 
 
+def test_pos_flags(spark):
+    from tidemark.plans import pos
+
+    rows = [
+        ("DIST", "C1", None, False, "FHS-1", "2018-06-24"),
+        ("DIST", "C1", None, False, "FHS-1", "2018-06-25"),
+        ("DIST", "C1", None, True, "AAA", "2018-01-01"),
+        ("CIPO", "C1", None, False, "AAA", "2018-01-01"),
+        ("CIPO", "C1", False, False, "AAA", "2018-01-01"),
+        ("CIPO", "KSGC", True, False, "AAA", "2018-01-01"),
+        ("OEM", "C1", None, False, None, "2018-01-01"),
+    ]
+    df = spark.createDataFrame(rows, "cls string, corp string, rep boolean, var boolean, div string, d string")
+    true_pos = pos.is_true_pos(F.col("var"), F.col("div"), F.col("d").cast("date"))
+    out = df.select(true_pos.alias("t"), pos.counts_as_pos(F.col("cls"), F.col("corp"), F.col("rep"), true_pos).alias("c"))
+    assert [tuple(r) for r in out.collect()] == [
+        (True, True), (False, False), (False, False), (True, True), (True, False), (True, False), (True, False)
+    ]
+
+
+def test_end_corporation_rules(spark):
+    from tidemark.plans import pos
+
+    rows = [(True, "E", "SE", "S", "D"), (True, "E", None, "S", "D"), (False, None, "SE", "S", "D"),
+            (False, "E", "SE", "S", "D"), (False, None, None, None, "D")]
+    df = spark.createDataFrame(rows, "same boolean, e string, se string, s string, d string")
+    out = df.select(
+        pos.end_corporation(*[F.col(c) for c in ("same", "e", "se", "s", "d")]).alias("c"),
+        pos.end_corporation_rule(F.col("same"), F.col("e"), F.col("se")).alias("r"),
+    )
+    assert [tuple(r) for r in out.collect()] == [
+        ("SE", "INDEndCorp-ShipEndMatch"), ("S", "INDCorp-NoINDEnd-ShipEndMatch"), ("SE", "INDEndCorp-NoPOSEnd"),
+        ("E", "POSEndDefined"), ("D", "INDCorp-NoINDEnd"),
+    ]
+
+
 def test_unit_code(spark):
     df = spark.createDataFrame([("AB - Analog",), ("Analog (XY)",)], "n string")
     assert [r[0] for r in df.select(projects.unit_code(F.col("n"))).collect()] == ["AB", "XY"]

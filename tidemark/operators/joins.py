@@ -169,8 +169,9 @@ def disjoint_intervals(
     covering its first day. Clip open-ended intervals first.
     """
     keys = list(keys)
+    ref = ref.groupBy(*keys, start, end).agg(F.min(value).alias(value))  # repeats collapse on the map side
     points = ref.select(*keys, F.explode(F.array(F.col(start), F.date_add(end, 1))).alias("_p")).distinct()
-    w = Window.partitionBy(*keys).orderBy("_p")
+    w = Window.partitionBy(*keys).orderBy("_p")  # distinct days of the clipped span, however many rows
     segments = points.withColumn("_q", F.lead("_p").over(w)).where(F.col("_q").isNotNull())
     covered = _join_periods(segments, ref, keys, "_p", start, end, [value], "inner", unit)
     return covered.groupBy(*keys, "_p", "_q").agg(F.min(value).alias(value)).select(

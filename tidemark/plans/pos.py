@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import day
 from tidemark.functions.hashing import member_key
 from tidemark.operators.joins import date_span, enrich, exists_or_absent, lookup_effective
 
@@ -31,7 +32,7 @@ def resolve_customers(pos: DataFrame, addresses: DataFrame, customers: DataFrame
     """Ship-to and end customers by ``distributor id:direct customer``.
 
     ``pos``: ``txn_id, product, direct, ship_id, ship_name, end_id, end_name, ship_day,
-    quantity, resale, cost``. ``addresses``: ``address, customer``. ``customers``:
+    quantity, resale, cost, is_var, division``. ``addresses``: ``address, customer``. ``customers``:
     ``customer, corp, end_corp, class``.
     """
     glue = lambda c: F.concat(F.col(c).cast("string"), F.lit(":"), F.col("direct").cast("string"))
@@ -72,6 +73,28 @@ def internal_part(df: DataFrame, xref: DataFrame, span: Column) -> DataFrame:
     return df.withColumn("internal_part", F.coalesce(*names, "product")).drop(*names)
 
 
+# Corporations of the contract-manufacturing class whose POS never counts (fixed values).
+NON_POS_CORPS = ["PERN", "CRAC", "SNNS", "KSGC", "YYST"]
+RETIRED_DIVISION, RETIRED_FROM = "FHS", "2018-06-25"
+
+
+def is_true_pos(resold: Column, division: Column, ship_day: Column) -> Column:
+    """Not a value-added resale, and not a retired division's product shipped after its end."""
+    retired = F.coalesce((F.left(division, F.lit(3)) == RETIRED_DIVISION) & (ship_day >= day(RETIRED_FROM)), F.lit(False))
+    return ~(F.coalesce(resold, F.lit(False)) | retired)
+
+
+def counts_as_pos(cls: Column, corp: Column, reports_pos: Column, true_pos: Column) -> Column:
+    """Whether a true POS row counts, by class and, for contract manufacturers, the reporting matrix."""
+    cipo = cls == "CIPO"
+    return (
+        F.when(cls.isin("OEM", "EMSI"), F.lit(False))
+        .when(cipo & ~reports_pos, F.lit(False))
+        .when(cipo & corp.isin(NON_POS_CORPS), F.lit(False))
+        .otherwise(true_pos)
+    )
+
+
 def pos_fact(
     pos: DataFrame, billing: DataFrame, addresses: DataFrame, customers: DataFrame, xref: DataFrame, matrix: DataFrame
 ) -> DataFrame:
@@ -79,10 +102,15 @@ def pos_fact(
 
     Rows shipped to another distributor are left out. ``billing``: ``txn_id, product,
     direct, direct_corp, ship_day, quantity, amount``; it passes where its corporation
-    is not in the reporting ``matrix`` (``direct_corp, from_date, to_date, bills``) or a
-    valid row allows it.
+    is not in the reporting ``matrix`` (``direct_corp, from_date, to_date, bills, reports_pos``)
+    or a valid row allows it.
     """
-    df = internal_part(resolve_customers(pos, addresses, customers), xref, date_span(pos, "ship_day"))
+    span = date_span(pos, "ship_day")
+    df = internal_part(resolve_customers(pos, addresses, customers), xref, span)
+    df = lookup_effective(
+        df, matrix, {"direct_corp": "direct_corp"}, "ship_day", "from_date", "to_date", "reports_pos", "_reports", span=span
+    )
+    df = df.withColumn("is_true_pos", is_true_pos(F.col("is_var"), F.col("division"), F.col("ship_day")))
     df = df.where(F.col("ship_class").isNull() | ~F.col("ship_class").isin("DIST", "CIPO", "D3PL"))
     sold = df.select(
         "txn_id", "product", "internal_part", "direct", "indirect", "direct_corp", "end_corp", "end_corp_rule", "ship_day",
@@ -90,6 +118,9 @@ def pos_fact(
         (F.col("resale") * F.col("quantity")).cast("decimal(28,4)").alias("resale_amount"),
         (F.col("cost") * F.col("quantity")).cast("decimal(28,4)").alias("cost_amount"),
         F.lit("POS").alias("source_of_data"),
+        "is_true_pos",
+        counts_as_pos(F.col("direct_class"), F.col("direct_corp"), F.col("_reports"), F.col("is_true_pos")).alias("counts_as_pos"),
+        "is_var",
     )
     allowed = exists_or_absent(billing, matrix, "direct_corp", "ship_day", "from_date", "to_date", F.col("bills"))
     billed = allowed.select(
@@ -97,6 +128,7 @@ def pos_fact(
         F.col("amount").cast("decimal(28,4)").alias("resale_amount"),
         F.col("amount").cast("decimal(28,4)").alias("cost_amount"),
         F.lit("BILLING").alias("source_of_data"),
+        F.lit(True).alias("is_true_pos"), F.lit(True).alias("counts_as_pos"), F.lit(False).alias("is_var"),
     )
     both = sold.unionByName(billed, allowMissingColumns=True)
     return both.withColumn("direct_customer_key", member_key(F.col("direct"))).withColumn(

@@ -243,8 +243,9 @@ def customer_bridge(t: Tables) -> DataFrame:
 addr AS (SELECT l_suppkey || ':' || o_custkey AS address, min(l_partkey) AS customer FROM ol WHERE l_returnflag = 'A' GROUP BY 1),
 pos AS (SELECT {TXN_SQL} AS txn_id, l_partkey AS product, o_custkey AS direct, l_suppkey AS ship_id, 'D' || l_suppkey AS ship_name, l_linenumber AS end_id,
   CASE WHEN l_linenumber = 1 THEN 'D' || l_suppkey ELSE 'E' || l_linenumber END AS end_name, ship_day, CAST(l_quantity AS DECIMAL(18,2)) AS q,
-  CAST(l_extendedprice AS DECIMAL(18,2)) AS resale, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS cost FROM ol WHERE l_returnflag = 'N'),
-r AS (SELECT pos.*, a.customer AS indirect, d.corp AS direct_corp, s.corp AS ship_corp, s.end_corp AS ship_end, s.class AS ship_class, e.corp AS own_end
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS resale, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS cost, l_tax > 0.06 AS is_var,
+  p_type AS division FROM ol JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'N'),
+r AS (SELECT pos.*, a.customer AS indirect, d.corp AS direct_corp, d.class AS direct_class, s.corp AS ship_corp, s.end_corp AS ship_end, s.class AS ship_class, e.corp AS own_end
   FROM pos LEFT JOIN addr a ON ship_id || ':' || direct = a.address LEFT JOIN addr b ON end_id || ':' || direct = b.address
   LEFT JOIN cust d ON direct = d.customer LEFT JOIN cust s ON a.customer = s.customer LEFT JOIN cust e ON b.customer = e.customer),
 r2 AS (SELECT *, CASE WHEN ship_name = end_name THEN coalesce(ship_end, ship_corp, direct_corp) ELSE coalesce(own_end, ship_end, ship_corp, direct_corp) END AS end_corp,
@@ -252,30 +253,34 @@ r2 AS (SELECT *, CASE WHEN ship_name = end_name THEN coalesce(ship_end, ship_cor
     WHEN own_end IS NULL AND ship_end IS NOT NULL THEN 'INDEndCorp-NoPOSEnd' WHEN own_end IS NOT NULL THEN 'POSEndDefined' ELSE 'INDCorp-NoINDEnd' END AS end_corp_rule FROM r),
 xref AS (SELECT l_partkey AS product, CASE WHEN l_returnflag = 'R' THEN o_custkey END AS direct, CASE WHEN l_returnflag = 'A' THEN end_corp END AS end_corp,
   'I' || l_suppkey AS ipn, l_linestatus = 'O' AS is_default, ship_day - 400 AS f, ship_day + 400 AS u FROM ol JOIN cust ON o_custkey = cust.customer WHERE l_quantity = 50),
+matrix AS (SELECT DISTINCT 'C' || c_nationkey AS corp, DATE '1996-01-01' AS f, DATE '2000-12-31' AS u, c_mktsegment = 'BUILDING' AS bills, c_mktsegment IN ('FURNITURE', 'BUILDING') AS reports FROM customer WHERE c_acctbal > 9500),
 r3 AS (SELECT *,
   (SELECT min(ipn) FROM xref x WHERE x.product = r2.product AND x.direct = r2.direct AND x.end_corp IS NULL AND r2.ship_day BETWEEN f AND u) AS i1,
   (SELECT min(ipn) FROM xref x WHERE x.product = r2.product AND x.end_corp = r2.end_corp AND x.direct IS NULL AND r2.ship_day BETWEEN f AND u) AS i2,
-  (SELECT min(ipn) FROM xref x WHERE x.product = r2.product AND x.end_corp IS NULL AND x.direct IS NULL AND is_default AND r2.ship_day BETWEEN f AND u) AS i3
+  (SELECT min(ipn) FROM xref x WHERE x.product = r2.product AND x.end_corp IS NULL AND x.direct IS NULL AND is_default AND r2.ship_day BETWEEN f AND u) AS i3,
+  (SELECT min(reports) FROM matrix m WHERE m.corp = r2.direct_corp AND r2.ship_day BETWEEN f AND u) AS reports
   FROM r2 WHERE ship_class IS NULL OR ship_class NOT IN ('DIST', 'CIPO', 'D3PL')),
-matrix AS (SELECT DISTINCT 'C' || c_nationkey AS corp, DATE '1996-01-01' AS f, DATE '2000-12-31' AS u, c_mktsegment = 'BUILDING' AS bills FROM customer WHERE c_acctbal > 9500),
 bill AS (SELECT {TXN_SQL} AS txn_id, l_partkey AS product, o_custkey AS direct, corp AS direct_corp, ship_day, CAST(l_quantity AS DECIMAL(18,2)) AS q, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
   FROM ol JOIN cust ON o_custkey = cust.customer WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND class = 'CIPO'),
 ok AS (SELECT * FROM bill WHERE direct_corp NOT IN (SELECT corp FROM matrix) OR EXISTS (SELECT 1 FROM matrix m WHERE m.corp = direct_corp AND ship_day BETWEEN f AND u AND bills)),
 u AS (SELECT txn_id, product, coalesce(i1, i2, i3, CAST(product AS VARCHAR)) AS internal_part, direct, indirect, direct_corp, end_corp, end_corp_rule, ship_day, CAST(q AS DOUBLE) AS quantity,
-    CAST(resale * q AS DOUBLE) AS resale_amount, CAST(cost * q AS DOUBLE) AS cost_amount, 'POS' AS source_of_data FROM r3
-  UNION ALL SELECT txn_id, product, CAST(product AS VARCHAR), direct, NULL, direct_corp, NULL, NULL, ship_day, CAST(q AS DOUBLE), CAST(amount AS DOUBLE), CAST(amount AS DOUBLE), 'BILLING' FROM ok)
+    CAST(resale * q AS DOUBLE) AS resale_amount, CAST(cost * q AS DOUBLE) AS cost_amount, 'POS' AS source_of_data, NOT is_var AS is_true_pos,
+    CASE WHEN direct_class IN ('OEM', 'EMSI') THEN false WHEN direct_class = 'CIPO' AND NOT reports THEN false ELSE NOT is_var END AS counts_as_pos, is_var FROM r3
+  UNION ALL SELECT txn_id, product, CAST(product AS VARCHAR), direct, NULL, direct_corp, NULL, NULL, ship_day, CAST(q AS DOUBLE), CAST(amount AS DOUBLE), CAST(amount AS DOUBLE), 'BILLING', true, true, false FROM ok)
 SELECT *, md5(CAST(direct AS VARCHAR)) AS direct_customer_key, md5(coalesce(end_corp, '-1')) AS end_corp_key FROM u""",
 )
 def pos_fact(t: Tables) -> DataFrame:
     lines, cust = order_lines(t), customers(t)
     flag, price = F.col("l_returnflag"), dec(F.col("l_extendedprice"))
     supp, no = F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string")
-    rows = lines.where(flag == "N").select(
+    sold = lines.where(flag == "N").join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = sold.select(
         txn_id().alias("txn_id"), F.col("l_partkey").cast("string").alias("product"), F.col("o_custkey").alias("direct"),
         F.col("l_suppkey").alias("ship_id"), F.concat(F.lit("D"), supp).alias("ship_name"), F.col("l_linenumber").alias("end_id"),
         F.when(F.col("l_linenumber") == 1, F.concat(F.lit("D"), supp)).otherwise(F.concat(F.lit("E"), no)).alias("end_name"),
         "ship_day", dec(F.col("l_quantity")).alias("quantity"), price.alias("resale"),
         dec(price * (1 - dec(F.col("l_discount")))).alias("cost"),
+        (F.col("l_tax") > 0.06).alias("is_var"), F.col("p_type").alias("division"),
     )
     addresses = lines.where(flag == "A").groupBy(
         F.concat(supp, F.lit(":"), F.col("o_custkey").cast("string")).alias("address")
@@ -290,6 +295,7 @@ def pos_fact(t: Tables) -> DataFrame:
     matrix = t.customer.where(F.col("c_acctbal") > 9500).select(
         F.concat(F.lit("C"), F.col("c_nationkey").cast("string")).alias("direct_corp"), day("1996-01-01").alias("from_date"),
         day("2000-12-31").alias("to_date"), (F.col("c_mktsegment") == "BUILDING").alias("bills"),
+        F.col("c_mktsegment").isin("FURNITURE", "BUILDING").alias("reports_pos"),
     ).distinct()
     billed = named.where((flag == "R") & (F.col("l_linestatus") == "F") & (F.col("class") == "CIPO")).select(
         txn_id().alias("txn_id"), F.col("l_partkey").cast("string").alias("product"), F.col("o_custkey").alias("direct"),
@@ -299,7 +305,8 @@ def pos_fact(t: Tables) -> DataFrame:
     number = [F.col(c).cast("double").alias(c) for c in ("quantity", "resale_amount", "cost_amount")]
     return out.select(
         "txn_id", F.col("product").cast("bigint").alias("product"), "internal_part", "direct", "indirect", "direct_corp", "end_corp",
-        "end_corp_rule", "ship_day", *number, "source_of_data", "direct_customer_key", "end_corp_key",
+        "end_corp_rule", "ship_day", *number, "source_of_data", "is_true_pos", "counts_as_pos", "is_var",
+        "direct_customer_key", "end_corp_key",
     )
 
 
