@@ -365,7 +365,7 @@ def pair_nth(
     """
     keys = list(keys)
     marked, steps = _mark_openings(df, keys, order, is_open, is_close)
-    numbered = timeline.scan(marked, keys, [order], steps, chunk=chunk)
+    numbered = timeline.scan(marked, keys, [order], steps, chunk=chunk, sized_by=df)
     opening = F.col("_opens") == 1
     return (
         numbered.where(opening | (F.col("_closes") == 1))
@@ -415,7 +415,12 @@ def inside_intervals(
         .withColumn("_closes", F.coalesce("_closes", zero))
     )
     both = timeline.running(
-        marked, keys, [order], {"_opened": ("sum", "_opens"), "_closed": ("sum", "_closes")}, chunk=chunk
+        marked,
+        keys,
+        [order],
+        {"_opened": ("sum", "_opens"), "_closed": ("sum", "_closes")},
+        chunk=chunk,
+        sized_by=df,
     )
     return both.withColumn(out, F.col("_opened") - F.col("_opens") - F.col("_closed")).select(*df.columns, out)
 

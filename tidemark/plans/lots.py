@@ -71,7 +71,8 @@ def derive(txns: DataFrame, stored: DataFrame, stages: DataFrame) -> DataFrame:
         txns, ["lot"], "txn_id", F.col("txn_type") == HOLD, F.col("txn_type") == RELEASE
     )
     steps |= {"_before": Step("lag", "location"), "_before_id": Step("lag", "txn_id")}
-    df = timeline.scan(marked, ["lot"], ["txn_id"], steps, chunk=id_chunk()).withColumn("open_holds", open_holds)
+    df = timeline.scan(marked, ["lot"], ["txn_id"], steps, chunk=id_chunk(), sized_by=txns)
+    df = df.withColumn("open_holds", open_holds)
     last = stored.groupBy("lot").agg(F.max_by("location", "txn_id").alias("_stored"))
     df = joins.enrich(attach(df, last, ["lot"]), [(stages, {"stage_set": "stage_set"}, {"country": "country"})])
     first = F.col("_before_id").isNull()
