@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +47,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return folder
     if current.isDefined():
         return current.get()
-    if not sc.master.startswith("local"):
+    if not sc.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(folder)
@@ -57,6 +60,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is neither installed nor on their path."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent.parent
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_tidemark_shipped", False):
+        return
+    sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/tidemark", "zip", root, "tidemark"))
+    sc._tidemark_shipped = True
+
+
 BROADCAST_ROW_LIMIT = 100_000
 
 
