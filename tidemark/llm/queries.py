@@ -4,7 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidemark.llm import decontamination, mixing, near_duplicates, tokens, toxicity
+from tidemark.llm import (
+    decontamination,
+    imatch,
+    licences,
+    mixing,
+    near_duplicates,
+    personal_data,
+    tokens,
+    toxicity,
+    warc,
+    wrappers,
+)
 from tidemark.llm.registry import LLM_ORACLE, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES"]
@@ -73,3 +84,33 @@ def op2(spark, folder):
     labels = toxicity.labelled(table(spark, folder, "labels"))
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(docs, labels))
+
+
+@query("op6_personal_data")
+def op6(spark, folder):
+    """Personal data in all ``documents``."""
+    return personal_data.find(table(spark, folder, "documents"))
+
+
+@query("op8_warc")
+def op8(spark, folder):
+    """All ``pages`` written to WARC archives and read back."""
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query("op10_fingerprints")
+def op10(spark, folder):
+    """I-Match fingerprints of all ``documents`` and of their edited texts."""
+    return imatch.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op7_main_text")
+def op7(spark, folder):
+    """Main text of all ``pages``."""
+    return wrappers.extract(table(spark, folder, "pages"))
+
+
+@query("op9_licences")
+def op9(spark, folder):
+    """Licence texts and notices in all ``documents``."""
+    return licences.licences(table(spark, folder, "documents"))
