@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ordered_chunks, stored, text_chunks
 
-SUBSETS = 32
+SUBSETS = 64
 #: Share of all documents that a term of the lexicon is in, at least and at most.
 LEAST_SHARE = 1 / 2000
 MOST_SHARE = 1 / 5
 #: Characters of the texts at scale 1 begin at twice this number.
-SCALE_CHARS = 128
+SCALE_CHARS = 256
 BROADCAST_TERMS = 1_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -11,10 +11,9 @@ task. Documents never leave their partition.
 
 A unit is reported with its nearest template only.
 
-Defined cases: a null or empty text has
-no units; units of one word are the bigram of that
-word alone; equal units are reported once, at their first place, with the smallest unit
-kind; ties between templates go to the smaller identifier; other columns are not read.
+Defined cases: a null or empty text has no units; units of one word are the bigram of that
+word alone; units that cover the same words are reported once, as the smallest kind; ties
+between templates go to the smaller identifier; other columns are not read.
 """
 
 from __future__ import annotations
