@@ -6,9 +6,10 @@ trained with out-of-fold probabilities of the earlier ones, as it will meet them
 texts; scoring runs the chain in order. Features are whole words and their first 4 to 8
 bytes (a language may mark a word's tone in its stem), counted on a log scale.
 
-The models are fitted in one task on at most ``TRAIN_ROWS`` labelled documents, taken by a
-hash of their id. Everything else is scored where it lies, in batches; the fitted model is
-a few thousand numbers.
+The models are fitted on at most ``TRAIN_ROWS`` labelled documents, taken by a hash of their
+id: features are counted and chosen by a distributed aggregation, then one task fits the
+weights from the few chosen features of each. All documents are scored where they lie, in
+batches; the fitted model is a few thousand numbers.
 
 Defined cases: a null or empty text has no features and gets the base rates; labels that
 are null or belong to no document are not used; a document with several labels has the
@@ -20,12 +21,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ALNUM, Words, by_block, mix
+from tidemark.llm.common import ALNUM, Words, by_block, lists, mix, stored
 
-TRAIN_ROWS = 10_000
+TRAIN_ROWS = 6_000
 CHAIN = ("low_quality", "toxic")
 FOLDS = 5
 PREFIXES = (4, 5, 6, 7, 8)
@@ -75,21 +77,39 @@ class Features:
         return pair // len(known), pair % len(known), np.log2(1.0 + n)
 
 
-def select(docs, ids, labels: np.ndarray) -> np.ndarray:
-    """Ids of the features that differ most between the classes of any category, ascending."""
-    kinds, code = np.unique(ids, return_inverse=True)
-    chosen = np.zeros(len(kinds))
-    for y in labels.T:
-        n1, n0 = y.sum(), len(y) - y.sum()
-        if not n1 or not n0:
-            continue
-        a = np.bincount(code, weights=y[docs], minlength=len(kinds))
-        b = np.bincount(code, minlength=len(kinds)) - a
-        p = (a + b + 1) / (n1 + n0 + 2)
-        chosen = np.maximum(chosen, np.abs(a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)))
-    best = np.flatnonzero(chosen >= LEAST_Z)
-    best = best[np.argsort(-chosen[best], kind="stable")][:MOST_FEATURES]
-    return np.sort(kinds[best])
+def _tally(categories: int):
+    """Per block of labelled texts and feature: in how many texts it is, and in how many of each category."""
+
+    def work(block: pa.RecordBatch) -> pa.RecordBatch:
+        docs, ids, _ = Features(block.column("text")).counts()
+        kinds, code = np.unique(ids, return_inverse=True)
+        ys = [block.column(f"y{k}").to_numpy().astype(float) for k in range(categories)]
+        sums = [np.bincount(code, minlength=len(kinds))]
+        sums += [np.bincount(code, weights=y[docs], minlength=len(kinds)) for y in ys]
+        names = ["id", "n", *[f"n{k}" for k in range(categories)]]
+        columns = [kinds.view(np.int64), *[s.astype(np.int64) for s in sums]]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    return work
+
+
+def select(rows: DataFrame, categories: int) -> list[int]:
+    """Ids of the features whose share differs most between the classes of any category, ascending."""
+    schema = "id bigint, n bigint, " + ", ".join(f"n{k} bigint" for k in range(categories))
+    sums = rows.mapInArrow(by_block(_tally(categories)), schema).groupBy("id")
+    sums = sums.agg(*[F.sum(c).alias(c) for c in ["n", *[f"n{k}" for k in range(categories)]]])
+    every = [F.count("*").alias("n"), *[F.sum(f"y{k}").alias(f"y{k}") for k in range(categories)]]
+    whole = rows.agg(*every).first()
+    best = F.lit(0.0)
+    for k in range(categories):
+        n1 = whole[f"y{k}"] or 0
+        n0 = whole.n - n1
+        if n1 and n0:
+            share = (F.col("n") + 1) / (whole.n + 2)
+            off = F.abs(F.col(f"n{k}") / n1 - (F.col("n") - F.col(f"n{k}")) / n0)
+            best = F.greatest(best, off / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0)))
+    found = sums.select("id", best.alias("z")).where(F.col("z") >= LEAST_Z)
+    return [r.id for r in found.orderBy(F.desc("z"), "id").limit(MOST_FEATURES).collect()]
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -129,26 +149,23 @@ def fit_linear(x, extra: np.ndarray, y: np.ndarray, rows: np.ndarray, columns: i
     return w, e, b
 
 
-def fit_chain(features: Features, labels: np.ndarray, fold: np.ndarray):
-    """The chain's models over all rows, its feature ids, and a threshold for each category.
+def fit_chain(x, columns: int, labels: np.ndarray, fold: np.ndarray):
+    """The chain's models over all rows, and a threshold for each category.
 
     A threshold is the out-of-fold probability with the best balanced precision and recall.
     """
-    docs, ids, _ = features.counts()
-    known = select(docs, ids, labels)
-    x = features.of(known)
     n, models, extra, limits = len(labels), [], np.zeros((len(labels), 0)), []
     for y in labels.T:
         out = np.zeros(n)
         for k in range(FOLDS):
             inner, outer = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            w, e, b = fit_linear(x, extra, y, inner, len(known))
+            w, e, b = fit_linear(x, extra, y, inner, columns)
             out[outer] = (_dot(x, w, n) + extra @ e + b)[outer]
         out = 1 / (1 + np.exp(-out))
-        models.append(fit_linear(x, extra, y, np.arange(n), len(known)))
+        models.append(fit_linear(x, extra, y, np.arange(n), columns))
         limits.append(_threshold(out, y))
         extra = np.column_stack([extra, _logit(out)])
-    return known, models, limits
+    return models, limits
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -161,47 +178,69 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.clip((p[order[best]] + low) / 2, 0.2, 0.8))
 
 
-MODEL = "category int, ids array<bigint>, weights array<double>, chain array<double>, intercept double, threshold double"
+MODEL = "category int, weights array<double>, chain array<double>, intercept double, threshold double"
+
+
+def _encode(known: np.ndarray):
+    """A labelled text as the columns and values of its known features."""
+
+    def work(block: pa.RecordBatch) -> pa.RecordBatch:
+        docs, columns, values = Features(block.column("text")).of(known)
+        cut = np.searchsorted(docs, np.arange(len(block) + 1))
+        names = [name for name in block.schema.names if name != "text"]
+        arrays = [block.column(name) for name in names]
+        arrays += [lists(columns, cut, pa.int64()), lists(values, cut, pa.float64())]
+        return pa.RecordBatch.from_arrays(arrays, names=[*names, "columns", "values"])
+
+    return work
 
 
-def _train(categories: int):
+def _fit(columns: int, categories: int):
     def run(batches):
-        batches = [b for b in batches if len(b)]
-        if batches:
-            rows = pa.Table.from_batches(batches).combine_chunks()
+        kept = [b for b in batches if len(b)]
+        if kept:
+            rows = pa.Table.from_batches(kept).combine_chunks()
             labels = np.column_stack([rows.column(f"y{k}").to_numpy() for k in range(categories)]).astype(float)
-            known, models, limits = fit_chain(Features(rows.column("text")), labels, rows.column("fold").to_numpy())
+            many = pc.list_value_length(rows.column("columns")).to_numpy()
+            flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
+            x = np.repeat(np.arange(len(labels)), many), flat("columns"), flat("values")
+            models, limits = fit_chain(x, columns, labels, rows.column("fold").to_numpy())
         else:
-            known, limits = np.zeros(0, np.uint64), [0.5] * categories
-            models = [(np.zeros(0), np.zeros(k), -3.0) for k in range(categories)]
-        ids = known.view(np.int64).tolist()
+            limits = [0.5] * categories
+            models = [(np.zeros(columns), np.zeros(k), -3.0) for k in range(categories)]
         out = [
-            {"category": k, "ids": ids, "weights": w.tolist(), "chain": e.tolist(), "intercept": float(b), "threshold": t}
+            {"category": k, "weights": w.tolist(), "chain": e.tolist(), "intercept": float(b), "threshold": t}
             for k, ((w, e, b), t) in enumerate(zip(models, limits, strict=True))
         ]
-        kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.float64()]
+        kinds = [pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_pylist(out, pa.schema(list(zip(out[0], kinds, strict=True))))
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, chain=CHAIN, train_rows: int = TRAIN_ROWS) -> list:
-    """Model rows of the chain; ``labels`` has doc_id and one 0/1 column for each category."""
-    known = labels.select("doc_id", *[F.col(c).cast("int").alias(f"y{k}") for k, c in enumerate(chain)]).dropna()
-    known = known.groupBy("doc_id").agg(*[F.max(f"y{k}").alias(f"y{k}") for k in range(len(chain))])
+def train(docs: DataFrame, labels: DataFrame, chain=CHAIN, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, list]:
+    """Feature ids and one model row for each category; ``labels`` has doc_id and a 0/1 column for each."""
+    k = len(chain)
+    known = labels.select("doc_id", *[F.col(c).cast("int").alias(f"y{i}") for i, c in enumerate(chain)]).dropna()
+    known = known.groupBy("doc_id").agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(k)])
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     rows = docs.select("doc_id", "text").join(picked, "doc_id").withColumn("fold", F.pmod(F.hash("doc_id"), F.lit(FOLDS)))
-    rows = rows.repartition(1).sortWithinPartitions("doc_id", "text").limit(train_rows)
-    return rows.mapInArrow(_train(len(chain)), MODEL).orderBy("category").collect()
+    rows = stored(rows, "toxicity-sample")
+    ids = np.sort(np.array(select(rows, k), np.int64).view(np.uint64))
+    schema = "doc_id bigint, " + "".join(f"y{i} int, " for i in range(k)) + "fold int, columns array<bigint>, values array<double>"
+    coded = rows.select(F.col("doc_id").cast("bigint"), *[f"y{i}" for i in range(k)], "fold", "text")
+    coded = coded.mapInArrow(by_block(_encode(ids)), schema)
+    coded = coded.orderBy("doc_id", "columns").limit(train_rows).repartition(1).sortWithinPartitions("doc_id", "columns")
+    return ids, coded.mapInArrow(_fit(len(ids), k), MODEL).orderBy("category").collect()
 
 
-def _scorer(model, limits):
+def _scorer(ids, model, limits):
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         features = Features(block.column("text"))
         n, extra, out = features.n, np.zeros((len(block), 0)), []
         for row in model:
             if not out:
-                x = features.of(row["ids"])
+                x = features.of(ids)
             z = _dot(x, row["weights"], n) + extra @ row["chain"] + row["intercept"]
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             out.append(p)
@@ -215,21 +254,14 @@ def _scorer(model, limits):
     return work
 
 
-def score(docs: DataFrame, model: list, chain=CHAIN) -> DataFrame:
+def score(docs: DataFrame, trained: tuple[np.ndarray, list], chain=CHAIN) -> DataFrame:
     """doc_id, ``p_<category>`` and ``<category>`` (the verdict) of each document."""
-    plain = [
-        {
-            "ids": np.array(r.ids, np.int64).view(np.uint64),
-            "weights": np.array(r.weights),
-            "chain": np.array(r.chain),
-            "intercept": r.intercept,
-        }
-        for r in model
-    ]
+    ids, model = trained
+    plain = [{"weights": np.array(r.weights), "chain": np.array(r.chain), "intercept": r.intercept} for r in model]
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     k = range(len(chain))
     schema = "doc_id bigint, " + ", ".join([f"p{i} double" for i in k] + [f"is{i} boolean" for i in k])
-    rows = rows.mapInArrow(by_block(_scorer(plain, [r.threshold for r in model])), schema)
+    rows = rows.mapInArrow(by_block(_scorer(ids, plain, [r.threshold for r in model])), schema)
     return rows.select(
         "doc_id",
         *[F.col(f"p{i}").alias(f"p_{c}") for i, c in enumerate(chain)],
