@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -33,6 +33,8 @@ from tidemark.llm.common import ALNUM, Words, by_block, lists, stored
 SLICE_WORDS = 2_000_000
 #: Room between the documents of a block, so that no match spans two of them; larger than any slop.
 GAP = 16
+#: Bytes of text in a block of the index.
+INDEX_BYTES = 2 << 20
 
 INDEX = (
     "block string, doc_ids array<bigint>, n_words array<int>, terms array<string>, counts array<int>, positions array<int>"
@@ -65,7 +67,7 @@ def _index_block(block: pa.RecordBatch) -> pa.RecordBatch:
 def build_index(docs: DataFrame) -> DataFrame:
     """Positional index of ``docs`` (doc_id, text), one row per block, on shared storage."""
     picked = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return stored(picked.mapInArrow(by_block(_index_block), INDEX), "postings")
+    return stored(picked.mapInArrow(by_block(_index_block, size=INDEX_BYTES), INDEX), "postings")
 
 
 class Phrases:

@@ -15,6 +15,7 @@ empty manifest; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -35,100 +36,115 @@ MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
 #: pre-tokenizer that separates letters from signs, and none of its characters composes with another.
 _SIMPLE = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _UPPER = {i: i + 32 for i in range(65, 91)}
-CACHE_WORDS = 1_500_000
+#: Words that a process remembers of each kind; a full memory starts anew.
+MEMORY_WORDS = 250_000
+_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 
 
 class Encoder:
-    """A tokenizer of the tokenizers library with a memory for words.
+    """A tokenizer of the tokenizers library with a memory for words; ids come as little-endian bytes.
 
     The tokenizer normalises to lower case, drops white space and never joins characters
     across it, so a text's ids are those of its words in turn. Each distinct word goes
-    through the library once. Texts with special-token strings go through it whole.
+    through the library once: plain Latin words straight to its model (in the byte alphabet
+    of its byte-level pre-tokenizer), all others through the whole tokenizer. Texts with
+    special-token strings are encoded whole. Tokenizers of another make are used whole.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, end_id: int = 0):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory: dict[str, list[int]] = {}
-
-    @property
-    def vocabulary_size(self) -> int:
-        return self.tokenizer.get_vocab_size(with_added_tokens=True)
+        largest = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
+        self.kind = np.dtype("<u2" if largest <= 1 << 16 else "<u4")
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in _LETTERS}
+        probe = ["the", "größe", "élan", "ñ", "s", "straße", "internationalisation"]
+        whole = lambda w: self.tokenizer.encode(w, add_special_tokens=False).ids
+        self.by_model = all(whole(w) == self._model_ids(w) for w in probe)
+        self.by_word = self.by_model and whole("Ab, c.\nD") == [t for w in ("ab", ",", "c", ".", "d") for t in whole(w)]
+        self.letters: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _model_ids(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word.translate(self.bytes))]
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        if word not in self.letters:
+            if len(self.letters) >= MEMORY_WORDS:
+                self.letters.clear()
+            self.letters[word] = self._pack(self._model_ids(word))
+        return self.letters[word]
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.memory) > CACHE_WORDS:
-            self.memory.clear()
-        split = {w: m.groups() for w in words if (m := _SIMPLE.fullmatch(w)) and m[2]}
-        parts = {p for pair in split.values() for p in pair}
-        new = [w for w in parts.union(w for w in words if w not in split) if w not in self.memory]
-        for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.memory[word] = coded.ids
-        for word, (letters, signs) in split.items():
-            self.memory[word] = self.memory[letters] + self.memory[signs]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        out: list = [None] * len(texts)
-        plain = []
-        for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                out[i] = self.tokenizer.encode(text, add_special_tokens=False).ids
+        other = []
+        for word in words:
+            found = _SIMPLE.fullmatch(word)
+            if not found or not found[1]:
+                other.append(word)
+            elif found[2]:
+                if found[2] not in self.words:
+                    self.words[found[2]] = self._pack(self.tokenizer.encode(found[2], add_special_tokens=False).ids)
+                self.words[word] = self._letters(found[1]) + self.words[found[2]]
             else:
-                plain.append((i, text.translate(_UPPER).replace("\n", " ").split(" ")))
-        words = {w for _, row in plain for w in row}
-        new = [w for w in words if w not in self.memory]
+                self.words[word] = self._letters(word)
+        for word, coded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.words[word] = self._pack(coded.ids)
+
+    def encode(self, text: str) -> bytes:
+        if not self.by_word or any(s in text for s in self.special):
+            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        row = text.translate(_UPPER).replace("\n", " ").split(" ")
+        new = [w for w in set(row) if w not in self.words]
         if new:
+            if len(self.words) >= MEMORY_WORDS:
+                self.words.clear()
+                new = list(set(row))
             self._learn(new)
-            missing = [w for w in words if w not in self.memory]  # the memory was emptied just now
-            if missing:
-                self._learn(missing)
-        for i, row in plain:
-            out[i] = [t for w in map(self.memory.__getitem__, row) for t in w]
-        return out
+        return b"".join(map(self.words.__getitem__, row))
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, end_id: int) -> Encoder:
     """One encoder per process, so its memory serves all tasks of a worker."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, end_id)
     return _encoders[path]
 
 
 def _writer(folder: str, vocabulary: str, end_id: int):
     def run(batches):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        coder = encoder(vocabulary)
-        kind = np.dtype("<u2" if max(coder.vocabulary_size, end_id + 1) <= 1 << 16 else "<u4")
+        coder = encoder(vocabulary, end_id)
+        end, width = np.array([end_id], coder.kind).tobytes(), coder.kind.itemsize
         part = TaskContext.get().partitionId()
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        name = f"{root}/{part:06d}-{uuid.uuid4().hex}"
-        ids, lengths = [], []
-        with fs.open_output_stream(f"{name}.bin") as out:
+        name = f"{part:06d}-{uuid.uuid4().hex}"
+        ids, lengths = [], [0]
+        with fs.open_output_stream(f"{root}/{name}.bin") as out:
             for batch in batches:
-                for at in range(0, len(batch), 512):
-                    piece = batch.slice(at, 512)
-                    coded = coder.encode([t or "" for t in piece.column("text").to_pylist()])
-                    flat = [t for row in coded for t in (*row, end_id)]
-                    out.write(np.array(flat, kind).tobytes())
-                    lengths.append(np.array([len(row) + 1 for row in coded], np.uint64))
-                    ids.append(piece.column("doc_id"))
+                ids.append(batch.column("doc_id"))
+                for text in batch.column("text"):
+                    coded = coder.encode(text.as_py() or "") + end
+                    out.write(coded)
+                    lengths.append(len(coded) // width)
         if not ids:
-            fs.delete_file(f"{name}.bin")
+            fs.delete_file(f"{root}/{name}.bin")
             return
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype("<u8")
+        offsets = np.cumsum(lengths).astype("<u8")
         doc_ids = pa.chunked_array(ids).combine_chunks()
-        with fs.open_output_stream(f"{name}.idx") as out:
-            out.write(MAGIC + np.array([len(doc_ids), kind.itemsize], "<u8").tobytes() + offsets.tobytes())
+        with fs.open_output_stream(f"{root}/{name}.idx") as out:
+            out.write(MAGIC + np.array([len(doc_ids), width], "<u8").tobytes() + offsets.tobytes())
             out.write(doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes())
             out.write(doc_ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes())
-        row = [part], [f"{folder}/{name.rsplit('/', 1)[1]}"], [len(doc_ids)], [int(offsets[-1])]
+        row = [part], [f"{folder}/{name}"], [len(doc_ids)], [int(offsets[-1])]
         names = ["part", "path", "n_docs", "n_tokens"]
         kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=names)
