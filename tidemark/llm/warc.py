@@ -86,6 +86,8 @@ def parse(content: bytes) -> dict:
         raise Damaged("no version line")
     try:
         fields = dict(line.decode().split(": ", 1) for line in lines[1:])
+        if len(fields) < len(lines) - 1:
+            raise Damaged("a field twice")  # the head of a cut-off record runs into the next one
         length = int(fields["Content-Length"])
         out = {"type": fields["WARC-Type"], "digest": fields["WARC-Payload-Digest"].removeprefix("sha1:")}
         out["bytes"] = int(fields["X-Payload-Length"])
