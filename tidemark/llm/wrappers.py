@@ -34,6 +34,10 @@ from tidemark.operators.skew import attach
 
 LEAST_PAGES = 8
 SAME_SHARE = 0.9
+#: Characters of sample pages, and of templates, that are broadcast; more are joined by a shuffle.
+BROADCAST_CHARS = 16 << 20
+#: Parsed sample pages that a task keeps at hand.
+KNOWN_SAMPLES = 256
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -280,16 +284,18 @@ def page_blocks(root: Node, sample: list[Node] | None) -> list[dict]:
 
 
 def _aligner(batches):
-    host, sample = None, None
+    samples: dict[str, list[Node]] = {}
     for batch in batches:
         for at in range(0, len(batch), 500):
             rows, piece = [], batch.slice(at, 500)
             names = ("page_id", "host", "html", "sample_id", "sample")
             for page_id, name, html, sample_id, first in zip(*(piece.column(c).to_pylist() for c in names), strict=True):
-                if name != host or sample is None:
-                    host, sample = name, number(parse(first or ""))
+                if name not in samples:
+                    if len(samples) >= KNOWN_SAMPLES:
+                        samples.clear()
+                    samples[name] = number(parse(first or ""))
                 own = page_id is not None and page_id == sample_id
-                rows.append((own, page_blocks(parse(html or ""), sample)))
+                rows.append((own, page_blocks(parse(html or ""), samples[name])))
             own, found = zip(*rows, strict=True)
             arrays = [piece.column("page_id").cast(pa.int64()), piece.column("url"), piece.column("host")]
             arrays += [pa.array(own, pa.bool_()), pa.array(found, _BLOCKS)]
@@ -304,8 +310,10 @@ def aligned(pages: DataFrame) -> DataFrame:
     """Blocks of each page next to the sample page of its host."""
     rows = pages.select(F.col("page_id").cast("bigint"), "url", host_of().alias("host"), "html")
     sample = rows.groupBy("host").agg(F.min_by(F.struct("page_id", "html"), "page_id").alias("s"))
-    sample = sample.select("host", F.col("s.page_id").alias("sample_id"), F.col("s.html").alias("sample"))
-    return stored(attach(rows, sample, ["host"]).mapInArrow(_aligner, PAGE), "page-blocks")
+    sample = stored(sample.select("host", F.col("s.page_id").alias("sample_id"), F.col("s.html").alias("sample")), "samples")
+    size = sample.agg(F.coalesce(F.sum(F.length("sample") + F.length("host") + 64), F.lit(0)).alias("n")).first().n
+    both = rows.join(F.broadcast(sample), "host", "left") if size <= BROADCAST_CHARS else attach(rows, sample, ["host"])
+    return stored(both.mapInArrow(_aligner, PAGE), "page-blocks")
 
 
 def templates(blocks: DataFrame, least_pages: int = LEAST_PAGES, share: float = SAME_SHARE) -> DataFrame:
@@ -319,7 +327,9 @@ def templates(blocks: DataFrame, least_pages: int = LEAST_PAGES, share: float =
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, the main ``text`` and its number of characters for each of ``pages`` (page_id, url, html)."""
     blocks = aligned(pages)
-    rows = attach(blocks, templates(blocks), ["host"])
+    known = stored(templates(blocks), "templates")
+    size = known.agg(F.coalesce(F.sum(F.size("constant") + F.length("host") + 16), F.lit(0)).alias("n")).first().n
+    rows = blocks.join(F.broadcast(known), "host", "left") if size <= BROADCAST_CHARS else attach(blocks, known, ["host"])
     constant = F.coalesce("constant", F.array().cast("array<int>"))
     region = F.filter("blocks", lambda b: b.zone == MAIN)
     body = F.filter("blocks", lambda b: b.zone != NOISE)
