@@ -108,8 +108,6 @@ def test_walk_chain_cycle_and_dead_end(spark):
     got = walk(spark, cycle, [("p", "a", "1")])
     assert got[("a", "1", "1")] == 1 and len(got) == 3
     assert walk(spark, chain, [("q", "a", "1")]) == {("a", "1", "1"): 1}
-    with pytest.raises(RuntimeError):
-        walk(spark, chain, [("p", "a", "1")], max_depth=1)
 
 
 def test_routing_edges(spark):
@@ -239,3 +237,59 @@ def test_hot_key_of_a_grouped_side_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_long_route_has_no_depth_cap(spark):
+    schema = "part string, from_site string, from_stage string, to_site string, to_stage string, kind string"
+    edges = spark.createDataFrame([("p", "s", str(i), "s", str(i + 1), "BOM") for i in range(1, 61)], schema)
+    seeds = spark.createDataFrame([("p", "s", "1")], "part string, site string, stage string")
+    got = graph.walk_paths(edges, seeds).collect()
+    assert sorted(r.step for r in got) == list(range(1, 62))
+
+
+def test_asof_tie_is_not_cut_and_null_keys_do_not_match(spark):
+    left = spark.createDataFrame([("a", 5), (None, 5)], "k string, t int")
+    right = spark.createDataFrame([("a", 3, "x" * 25 + "b"), ("a", 3, "x" * 25 + "a"), (None, 1, "n")], "k string, u int, v string")
+    got = {r.k: r.v for r in joins.asof_join(left, right, ["k"], "t", "u", ["v"], tie="v").collect()}
+    assert got == {"a": "x" * 25 + "b", None: None}
+    numbers = spark.createDataFrame([("a", 3, 4.0), (None, 1, 9.0)], "k string, u int, w double")
+    got = {r.k: r.m for r in joins.asof_max(left, numbers, ["k"], "t", "u", "w", "m").collect()}
+    assert got == {"a": 4.0, None: None}
+
+
+def test_two_current_weeks_double_the_rows(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "id int")
+    weeks = spark.createDataFrame([(202401,), (202402,)], "week int")
+    got = joins.stamp_period(rows, weeks, "week", "w").collect()
+    assert sorted(map(tuple, got)) == [(i, w) for i in (1, 2) for w in (202401, 202402)]
+
+
+def test_booking_flag_branches(spark):
+    from tidemark.plans.backlog import booking
+
+    rows = [
+        ("OMD", 1, "2000-07-01", None, "N"), ("X", 0, "2000-07-01", None, "N"), ("X", 1, "2000-09-30", None, "Y"),
+        ("X", 1, "2000-10-01", "2000-07-01", "N"), ("X", 1, None, "2000-07-01", "Y"), ("X", 1, None, "2001-07-01", "N"),
+        ("X", 1, None, None, "N"), (None, None, "2000-07-01", None, "N"), (None, 2, "1999-01-01", None, "Y"),
+    ]
+    df = spark.createDataFrame(rows, "c string, q int, r string, s string, want string")
+    day = lambda n: F.col(n).cast("date")
+    flag = booking(F.col("c"), F.col("q"), day("r"), day("s"), F.lit("2000-06-30").cast("date"))
+    assert df.where(flag != F.col("want")).count() == 0
+
+
+def test_cost_of_equal_months_is_added_together(spark):
+    from tidemark.plans.projects import cost_curve
+
+    wide = spark.createDataFrame([("p", 30, 60)], "project string, a int, b int")
+    got = cost_curve(wide, {"one": (F.lit("2000-01"), F.col("a")), "two": (F.lit("2000-01"), F.col("b"))}).collect()
+    assert sorted({(str(r.process_date), float(r.running_cost)) for r in got}) == [
+        ("2000-01-01", 30.0), ("2000-02-01", 60.0), ("2000-03-01", 90.0)
+    ]
+
+
+def test_more_than_a_thousand_parts_per_board(spark):
+    from tidemark.plans.funnel import revenue
+
+    row = spark.createDataFrame([(2_000_000_000.0, 1500, 1.25, 0.5)], "b double, n int, p double, s double")
+    assert float(row.select(revenue(F.col("b"), F.col("n"), F.col("p"), F.col("s")).alias("r")).first().r) == 1_875_000_000_000.0

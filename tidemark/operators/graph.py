@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tidemark.session import BROADCAST_ROW_LIMIT, broadcast_bounded, cut_lineage
 STATE = ["part", "site", "stage", "last_stage"]
 
 
-def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataFrame:
+def walk_paths(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Stages reachable by each part, with the last material stage on the way.
 
     ``edges``: ``part, from_site, from_stage, to_site, to_stage, kind`` where kind
@@ -23,8 +25,8 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
     round is one equi join of the frontier with the edges; the frontier is
     checkpointed to shared storage, which keeps the plan small and survives lost
     executors. Once the counted frontier is small it is broadcast, so the long tail
-    of short rounds shuffles neither edges nor visited states. ``max_depth`` is a
-    safety stop and raises rather than cutting the result short.
+    of short rounds shuffles neither edges nor visited states. There are finitely many
+    states and none is visited twice, so the walk ends when a round finds nothing new.
     """
     hops = cut_lineage(
         edges.where(F.col("from_site").isNotNull() & F.col("from_stage").isNotNull())
@@ -36,7 +38,7 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
         .withColumn("step", F.lit(1))
     )
     seen, size = frontier, frontier.count()
-    for depth in range(2, max_depth + 2):
+    for depth in itertools.count(2):
         near = seen
         if size <= BROADCAST_ROW_LIMIT:
             parts = broadcast_bounded(frontier.select("part").distinct(), size)
@@ -73,4 +75,3 @@ def walk_paths(edges: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataF
         if size == 0:
             return seen
         seen = seen.unionByName(frontier)
-    raise RuntimeError(f"supply paths longer than {max_depth} steps")

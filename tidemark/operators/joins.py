@@ -287,9 +287,9 @@ def cross_rates(rates: DataFrame) -> DataFrame:
 
 
 def join_any(
-    left: DataFrame, right: DataFrame, conds: Sequence[Column], how: str = "inner"
+    left: DataFrame, right: DataFrame, conds: Sequence[Column]
 ) -> DataFrame:
-    """Join on ``c1 OR c2 OR …`` where each condition contains an equality.
+    """Inner join on ``c1 OR c2 OR …`` where each condition contains an equality.
 
     An OR forces a nested loop. Here each condition is its own equi join, and
     rows already matched by an earlier condition are left out of the later ones.
@@ -297,7 +297,7 @@ def join_any(
     out, earlier = None, None
     for c in conds:
         cond = c if earlier is None else c & ~F.coalesce(earlier, F.lit(False))
-        part = left.join(right, cond, how)
+        part = left.join(right, cond)
         out = part if out is None else out.unionByName(part)
         earlier = c if earlier is None else F.coalesce(earlier, F.lit(False)) | F.coalesce(c, F.lit(False))
     return out
@@ -319,15 +319,10 @@ def expand_periods(df: DataFrame, start: str, end: str, out: str, unit: str = "m
     return df.where(ok).withColumn(out, F.explode(F.sequence(F.col(start), F.col(end), F.expr(step))))
 
 
-def expand_by(df: DataFrame, rows: Sequence[Mapping[str, object]], out: str) -> DataFrame:
-    """Each row once per entry of a small literal list, without a join."""
-    structs = [F.struct(*[F.lit(v).alias(k) for k, v in r.items()]) for r in rows]
-    return df.withColumn(out, F.explode(F.array(*structs)))
-
-
 def stamp_period(df: DataFrame, period: DataFrame, column: str, out: str) -> DataFrame:
-    """Put the single current period's key on every row."""
-    return df.withColumn(out, period.select(column).scalar())
+    """Each row once for every current period's key; around midnight there may be two."""
+    keys = period.agg(F.array_sort(F.collect_set(column))).scalar()
+    return df.withColumn(out, F.explode(keys))
 
 
 def _mark_openings(
@@ -467,7 +462,7 @@ def asof_join(
         *by,
         F.col(left_on).alias("_t"),
         side.alias("_side"),
-        none.cast("string").alias("_tie"),
+        none.cast(types[tie] if tie else "string").alias("_tie"),
         F.struct(*left.columns).alias("_row"),
         F.lit(None).cast(_struct_type(columns, types)).alias("_pay"),
     )
@@ -475,7 +470,7 @@ def asof_join(
         *by,
         F.col(right_on).alias("_t"),
         F.lit(0 if allow_equal else 1).alias("_side"),
-        (F.lpad(F.col(tie).cast("string"), 20, "0") if tie else none.cast("string")).alias("_tie"),
+        (F.col(tie) if tie else none.cast("string")).alias("_tie"),
         none.cast(left.select(F.struct(*left.columns).alias("s")).schema["s"].dataType).alias("_row"),
         payload,
     ).where(_all([F.col(k).isNotNull() for k in by]))
@@ -520,7 +515,7 @@ def asof_max(
             *by, F.col(right_on).alias("_t"), F.lit(0).alias("_side"),
             F.lit(None).cast(left.select(F.struct(*left.columns).alias("s")).schema["s"].dataType).alias("_row"),
             F.col(value).alias("_v"),
-        )
+        ).where(_all([F.col(k).isNotNull() for k in by]))
     )
     # Equal (_t, _side) rows have equal or commuting values, so their order is free.
     run = timeline.running(

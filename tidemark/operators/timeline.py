@@ -25,16 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import attach
-from tidemark.session import broadcast_bounded
 
 CHUNK = "_chunk"
 
 
 # A key with at most this many rows is sorted by one task.
 HOT_ROWS = 1_000_000
-# At most this many keys are cut. A key that is not among the largest holds less than
-# this fraction of all rows, so leaving it whole is safe; and the hot set is small.
-MAX_HOT = 50_000
 
 
 def cut_hot_keys(
@@ -50,10 +46,9 @@ def cut_hot_keys(
     costly to compute (its own input, say).
     """
     counts = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count("*").alias("_n"))
-    largest = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT)
-    hot = broadcast_bounded(largest.select(*keys, F.lit(True).alias("_hot")), MAX_HOT)
-    rows = df.join(hot, list(keys), "left").withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
-    hot_only = df.join(hot.drop("_hot"), list(keys)).withColumn(CHUNK, chunk)
+    hot = counts.where(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    rows = attach(df, hot, keys).withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
+    hot_only = attach(df, hot.drop("_hot"), keys, "inner").withColumn(CHUNK, chunk)
     return rows, hot_only
 
 

@@ -9,6 +9,9 @@ from tidemark.functions.dates import clamp_date, day
 
 ACCRUAL = "BACKLOG_ACCRUAL"
 BOOKING_DAYS = 92
+# Business classes whose lines are never bookings, and the date that stands for none.
+NO_BOOKING = ("OMD", "INT-SPS")
+NO_DATE = "0001-01-01"
 
 
 def late(date: Column, asof: Column) -> Column:
@@ -27,18 +30,28 @@ def backlog_amounts(activity: Column, amount: Column, accrual: Column, quantity:
     }
 
 
+def booking(business_class: Column, quantity: Column, requested: Column, scheduled: Column, asof: Column) -> Column:
+    """Y for open lines due within the window after ``asof``, by the requested date or else the scheduled one."""
+    end = F.date_add(asof, BOOKING_DAYS)
+    barred = F.coalesce(business_class.isin(*NO_BOOKING), F.lit(False)) | (F.coalesce(quantity, F.lit(0)) == 0)
+    due = F.coalesce(requested, scheduled) <= end
+    return F.when(~barred & F.coalesce(due, F.lit(False)), F.lit("Y")).otherwise(F.lit("N"))
+
+
 def backlog_fact(forecast: DataFrame, firm: DataFrame, asof: str) -> DataFrame:
     """Open lines of both demand types with their flags.
 
-    Columns of both: ``line_id, activity, amount, accrual, quantity, requested,
-    scheduled, promised, entered``. The booking flag marks lines entered within the
-    window before ``asof``; missing and ancient dates are clamped first.
+    Columns of both: ``line_id, business_class, activity, amount, accrual, quantity,
+    requested, scheduled, promised``. The date that stands for none is missing; missing
+    and ancient dates are clamped in the output.
     """
     both = forecast.withColumn("demand_type", F.lit("FORECAST")).unionByName(
         firm.withColumn("demand_type", F.lit("ORDER"))
     )
     now = day(asof)
-    dates = {c: clamp_date(F.col(c), "1992-01-01", "1960-01-01") for c in ("requested", "scheduled", "promised")}
+    names = ("requested", "scheduled", "promised")
+    both = both.withColumns({c: F.nullif(F.col(c), day(NO_DATE)) for c in names})
+    dates = {c: clamp_date(F.col(c), "1992-01-01", "1960-01-01") for c in names}
     measures = backlog_amounts(F.col("activity"), F.col("amount"), F.col("accrual"), F.col("quantity"))
     return both.select(
         "line_id",
@@ -46,5 +59,5 @@ def backlog_fact(forecast: DataFrame, firm: DataFrame, asof: str) -> DataFrame:
         *[c.cast("double").alias(n) for n, c in measures.items()],
         *[c.alias(n + "_date") for n, c in dates.items()],
         *[late(F.col(n), now).alias(f"is_{n}_late") for n in dates],
-        F.when(F.col("entered").between(F.date_sub(now, BOOKING_DAYS), now), "Y").otherwise("N").alias("is_booking"),
+        booking(*[F.col(c) for c in ("business_class", "quantity", "requested", "scheduled")], now).alias("is_booking"),
     )

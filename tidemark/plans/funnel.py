@@ -26,9 +26,9 @@ def unit_price(price: Column, rate: Column) -> Column:
 def revenue(boards: Column, per_board: Column, price: Column, share: Column) -> Column:
     """Yearly boards times parts per board times price times own share, to the cent.
 
-    The casts keep the exact product within 38 digits.
+    The casts keep the exact product of up to 10^13 parts within 38 digits.
     """
-    parts = (boards.cast("decimal(11,2)") * per_board.cast("decimal(3,0)")).cast("decimal(14,2)")
+    parts = (boards.cast("decimal(15,2)") * per_board.cast("decimal(6,0)")).cast("decimal(15,2)")
     return F.round(parts * price.cast("decimal(14,6)") * share.cast("decimal(7,4)"), 2)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import dec
@@ -11,16 +11,17 @@ from tidemark.operators.reshape import pivot_max
 from tidemark.operators.rollup import classify
 
 
-def product_master(parts: DataFrame, products: DataFrame, documents: DataFrame, kinds: dict[str, str]) -> DataFrame:
+def product_master(parts: DataFrame, products: DataFrame, documents: DataFrame, kinds: dict[str, str], hidden: Column | None = None) -> DataFrame:
     """Both masters merged, with one column per document kind and a visibility flag.
 
-    ``documents``: ``part_id, kind, title``.
+    ``documents``: ``part_id, kind, title``. Parts with a document are visible unless
+    ``hidden`` holds for them.
     """
     both = merge_sources(parts, products, ["part_id"])
     docs = pivot_max(documents, ["part_id"], "kind", "title", kinds)
     shown = F.coalesce(*[F.col(c) for c in kinds]).isNotNull()
     return both.join(docs, "part_id", "left").withColumn(
-        "is_web_visible", F.when(shown & ~F.col("part_name").like("%anvil%"), "Y").otherwise("N")
+        "is_web_visible", F.when(shown if hidden is None else shown & ~hidden, "Y").otherwise("N")
     )
 
 

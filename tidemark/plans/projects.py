@@ -177,7 +177,8 @@ def cost_curve(wide: DataFrame, periods: Mapping[str, tuple[Column, Column]]) ->
     """Running monthly cost from quarterly columns.
 
     ``periods`` maps a period name to its (quarter label ``YYYY-0q``, cost) columns.
-    A quarter's cost is spread evenly over its three months.
+    A quarter's cost is spread evenly over its three months; periods of the same month
+    are added together.
     """
     rows = unpivot_pair(wide, ["project"], periods, "period", "quarter", "cost")
     year, quarter = F.left("quarter", F.lit(4)).try_cast("int"), F.right("quarter", F.lit(2)).try_cast("int")
@@ -187,5 +188,5 @@ def cost_curve(wide: DataFrame, periods: Mapping[str, tuple[Column, Column]]) ->
             F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.make_date(year, (quarter - 1) * 3 + k + 1, F.lit(1)))
         ).alias("process_date"),
     )
-    w = Window.partitionBy("project").orderBy("process_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("project").orderBy("process_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return monthly.select("project", "period", "process_date", (F.sum("cost").over(w) / 3).alias("running_cost"))

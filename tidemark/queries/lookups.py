@@ -249,7 +249,7 @@ def inside_hold(t: Tables) -> DataFrame:
     "asof_prior_event",
     """SELECT event_id, user_id, prior_id, CAST(prior_value AS DOUBLE) AS prior_value FROM (
   SELECT l.event_id, l.user_id, r.event_id AS prior_id, r.value AS prior_value,
-    ROW_NUMBER() OVER (PARTITION BY l.event_id ORDER BY r.ts DESC NULLS LAST) AS rn
+    ROW_NUMBER() OVER (PARTITION BY l.event_id ORDER BY r.ts DESC NULLS LAST, r.event_id DESC) AS rn
   FROM (SELECT * FROM events WHERE event_type = 'purchase') l
   LEFT JOIN events r ON r.user_id = l.user_id AND r.event_type = 'view' AND r.ts < l.ts) WHERE rn = 1""",
 )
@@ -262,7 +262,7 @@ def asof_prior_event(t: Tables) -> DataFrame:
     )
     return joins.asof_join(
         left, right, ["user_id"], "ts", "ts", ["prior_id", "prior_value"], allow_equal=False,
-        chunk_of=lambda c: F.date_trunc("hour", c),
+        tie="prior_id", chunk_of=lambda c: F.date_trunc("hour", c),
     ).select("event_id", "user_id", "prior_id", "prior_value")
 
 
@@ -292,7 +292,7 @@ LEFT JOIN orders ON o_orderkey = CAST(nullif(regexp_extract(substr(c_name, 5), '
 def regex_key_join(t: Tables) -> DataFrame:
     """Join on digits found inside a name; no digits, no match."""
     c = t.customer.select("c_custkey", "c_name").withColumn(
-        "_key", F.regexp_substr(F.substring("c_name", 5, 255), F.lit("[0-9]+")).try_cast("bigint")
+        "_key", F.regexp_substr(F.expr("substring(c_name, 5)"), F.lit("[0-9]+")).try_cast("bigint")
     )
     return c.join(t.orders, F.col("_key") == F.col("o_orderkey"), "left").select("c_custkey", "c_name", "o_orderkey")
 

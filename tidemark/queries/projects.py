@@ -158,7 +158,7 @@ def risk_burndown(t: Tables) -> DataFrame:
     return projects.risk_burndown(risks, mits)
 
 
-QUARTERS = [f"{y}-0{q}" for y in (1997, 1998) for q in (1, 2, 3, 4)]
+QUARTERS = [f"{y}-0{q}" for y in range(1995, 2005) for q in (1, 2, 3, 4)]
 
 
 COST_PERIODS_SQL = ", ".join(
@@ -168,20 +168,20 @@ COST_PERIODS_SQL = ", ".join(
 
 def cost_sql(key: str, lines: str) -> str:
     return f"""q AS (SELECT {key} AS project, year(l_shipdate) || '-0' || quarter(l_shipdate) AS quarter,
-  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS cost FROM {lines} WHERE l_returnflag = 'R' GROUP BY 1, 2),
+  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS cost FROM {lines} GROUP BY 1, 2),
 p(period, quarter, m1) AS (VALUES {COST_PERIODS_SQL}),
-s AS (SELECT DISTINCT {key} AS project FROM {lines} WHERE l_returnflag = 'R'),
+s AS (SELECT DISTINCT {key} AS project FROM {lines}),
 cm AS (SELECT s.project, period, cost, CAST(m1 + INTERVAL (k) MONTH AS DATE) AS process_date
   FROM s CROSS JOIN p CROSS JOIN (VALUES (0), (1), (2)) t(k) LEFT JOIN q ON q.project = s.project AND q.quarter = p.quarter),
 cost AS (SELECT project, period, process_date,
-  round(CAST(sum(cost) OVER (PARTITION BY project ORDER BY process_date ROWS UNBOUNDED PRECEDING) AS DOUBLE) / 3, 2) AS running_cost FROM cm)"""
+  round(CAST(sum(cost) OVER (PARTITION BY project ORDER BY process_date) AS DOUBLE) / 3, 2) AS running_cost FROM cm)"""
 
 
 def costs(lines: DataFrame, key: str) -> DataFrame:
-    """Running cost of eight quarterly period columns per project."""
+    """Running cost of forty quarterly period columns per project."""
     d, price = F.col("l_shipdate"), dec(F.col("l_extendedprice"))
     label = F.concat(F.year(d).cast("string"), F.lit("-0"), F.quarter(d).cast("string"))
-    wide = lines.where(F.col("l_returnflag") == "R").groupBy(F.col(key).alias("project")).agg(
+    wide = lines.groupBy(F.col(key).alias("project")).agg(
         *[F.sum(F.when(label == q, price)).alias(f"cost{i + 1}") for i, q in enumerate(QUARTERS)]
     )
     periods = {f"PERIOD{i + 1}": (F.lit(q), F.col(f"cost{i + 1}")) for i, q in enumerate(QUARTERS)}

@@ -119,14 +119,15 @@ def billing_fact(t: Tables) -> DataFrame:
     "backlog_delinquency",
     f"""WITH b AS (SELECT {TXN_SQL} AS line_id, CASE o_orderstatus WHEN 'P' THEN 'FORECAST' ELSE 'ORDER' END AS demand_type,
   l_returnflag = 'R' AS a, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) AS accrual,
-  CAST(l_quantity AS DECIMAL(18,2)) AS q, CAST(o_orderdate AS DATE) + 60 AS req, CAST(l_shipdate AS DATE) AS sch,
-  CASE WHEN l_linestatus = 'O' THEN CAST(o_orderdate AS DATE) + 90 END AS pro, CAST(o_orderdate AS DATE) AS ent
+  CASE WHEN l_tax = 0 THEN 0 ELSE CAST(l_quantity AS DECIMAL(18,2)) END AS q, CASE WHEN l_linenumber < 3 THEN CAST(o_orderdate AS DATE) + 60 END AS req, CAST(l_shipdate AS DATE) AS sch,
+  CASE WHEN l_linestatus = 'O' THEN CAST(o_orderdate AS DATE) + 90 END AS pro, CASE o_orderpriority WHEN '1-URGENT' THEN 'OMD' WHEN '2-HIGH' THEN 'INT-SPS' ELSE 'DIST' END AS class
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'F')
 SELECT line_id, demand_type, CAST(CASE WHEN a THEN 0 ELSE amount END AS DOUBLE) AS gross_amount, CAST(CASE WHEN a THEN -accrual ELSE amount END AS DOUBLE) AS net_amount,
-  CAST(CASE WHEN a THEN 0 ELSE q END AS DOUBLE) AS net_quantity, req AS requested_date, sch AS scheduled_date, coalesce(pro, DATE '1960-01-01') AS promised_date,
+  CAST(CASE WHEN a THEN 0 ELSE q END AS DOUBLE) AS net_quantity, coalesce(req, DATE '1960-01-01') AS requested_date, sch AS scheduled_date, coalesce(pro, DATE '1960-01-01') AS promised_date,
   CASE WHEN req <= DATE '2000-06-30' THEN 'Y' ELSE 'N' END AS is_requested_late, CASE WHEN sch <= DATE '2000-06-30' THEN 'Y' ELSE 'N' END AS is_scheduled_late,
   CASE WHEN pro <= DATE '2000-06-30' THEN 'Y' ELSE 'N' END AS is_promised_late,
-  CASE WHEN ent BETWEEN DATE '2000-06-30' - 92 AND DATE '2000-06-30' THEN 'Y' ELSE 'N' END AS is_booking FROM b""",
+  CASE WHEN class IN ('OMD', 'INT-SPS') OR q = 0 THEN 'N' WHEN req <= DATE '2000-06-30' + 92 THEN 'Y' WHEN req > DATE '2000-06-30' + 92 THEN 'N'
+    WHEN sch <= DATE '2000-06-30' + 92 THEN 'Y' ELSE 'N' END AS is_booking FROM b""",
 )
 def backlog_delinquency(t: Tables) -> DataFrame:
     ordered = F.col("o_orderdate").cast("date")
@@ -135,9 +136,10 @@ def backlog_delinquency(t: Tables) -> DataFrame:
     lines = rows.select(
         "o_orderstatus", txn_id().alias("line_id"),
         F.when(F.col("l_returnflag") == "R", backlog.ACCRUAL).alias("activity"),
-        price.alias("amount"), (price * dec(F.col("l_discount"))).alias("accrual"), dec(F.col("l_quantity")).alias("quantity"),
-        F.date_add(ordered, 60).alias("requested"), F.col("l_shipdate").cast("date").alias("scheduled"),
-        F.when(F.col("l_linestatus") == "O", F.date_add(ordered, 90)).alias("promised"), ordered.alias("entered"),
+        price.alias("amount"), (price * dec(F.col("l_discount"))).alias("accrual"), F.when(F.col("l_tax") == 0, F.lit(0)).otherwise(dec(F.col("l_quantity"))).alias("quantity"),
+        F.when(F.col("l_linenumber") < 3, F.date_add(ordered, 60)).when(F.col("l_linenumber") == 3, F.lit("0001-01-01").cast("date")).alias("requested"), F.col("l_shipdate").cast("date").alias("scheduled"),
+        F.when(F.col("l_linestatus") == "O", F.date_add(ordered, 90)).alias("promised"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "OMD").when(F.col("o_orderpriority") == "2-HIGH", "INT-SPS").otherwise("DIST").alias("business_class"),
     )
     forecast = lines.where(F.col("o_orderstatus") == "P").drop("o_orderstatus")
     firm = lines.where(F.col("o_orderstatus") != "P").drop("o_orderstatus")
@@ -474,7 +476,7 @@ def product_master(t: Tables) -> DataFrame:
     docs = li.where(F.col("l_quantity") == 50).select(
         F.col("l_partkey").alias("part_id"), F.col("l_returnflag").alias("kind"), F.concat(F.lit("doc-"), F.col("l_suppkey").cast("string")).alias("title")
     )
-    return product.product_master(p, m, docs, KINDS)
+    return product.product_master(p, m, docs, KINDS, F.col("part_name").like("%anvil%"))
 
 
 @query(

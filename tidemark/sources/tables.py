@@ -146,19 +146,6 @@ def with_history(current: DataFrame, legacy: Iterable[DataFrame], keys: Sequence
     return out
 
 
-def backfill_slices(start: str, end: str, step_days: int) -> list[tuple[str, str]]:
-    """Half-open date slices covering ``[start, end)``."""
-    import datetime as dt
-
-    lo, stop = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    out = []
-    while lo < stop:
-        hi = min(lo + dt.timedelta(days=step_days), stop)
-        out.append((lo.isoformat(), hi.isoformat()))
-        lo = hi
-    return out
-
-
 def backfill(
     job: Callable[[DataFrame], DataFrame],
     df: DataFrame,

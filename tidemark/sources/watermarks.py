@@ -67,8 +67,3 @@ def watermark_plan(loads: DataFrame, job: str, batch: str, loaded: str) -> DataF
     runs = loads.groupBy(job, batch).agg(F.max(loaded).alias("hwm"))
     w = Window.partitionBy(job).orderBy(batch)
     return runs.withColumn("lwm", F.coalesce(F.lag("hwm").over(w), F.lit(EPOCH).cast("timestamp_ntz")))
-
-
-def current_batch(log: DataFrame) -> DataFrame:
-    """Newest run of each job."""
-    return latest(log, ["job"], [F.col("batch_id").desc(), F.col("status").desc()])
