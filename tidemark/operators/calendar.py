@@ -99,6 +99,8 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
         .withColumn("year_key", F.year(d))
         .withColumn("year_description", F.concat(F.lit("CY"), F.year(d).cast("string")))
         .withColumn("year_sequence", F.year(d) - 1970)
+        .withColumns({"total_months_in_quarter": F.lit(3), "total_months_in_year": F.lit(12)})
+        .withColumn("total_quarters_in_year", F.lit(4))
     )
     for unit in ("month", "quarter", "year"):
         out = (
@@ -118,10 +120,9 @@ def fiscal_calendar(days: DataFrame) -> DataFrame:
             .withColumn(f"day_in_fiscal_{p}", F.rank().over(w.orderBy("calendar_date")))
         )
     wk = F.col("fiscal_week") % 100
-    out = out.withColumn(
-        "total_fiscal_weeks_in_fiscal_month",
-        F.size(F.collect_set("fiscal_week").over(Window.partitionBy("fiscal_month"))),
-    )
+    for part, whole in (("week", "month"), ("week", "quarter"), ("week", "year"), ("month", "quarter"), ("month", "year")):
+        held = F.collect_set(f"fiscal_{part}").over(Window.partitionBy(f"fiscal_{whole}"))
+        out = out.withColumn(f"total_fiscal_{part}s_in_fiscal_{whole}", F.size(held))
     total = F.col("total_fiscal_weeks_in_fiscal_month")
     fy = F.col("fiscal_year")
     out = (
@@ -218,6 +219,24 @@ def relative_flags(calendar: DataFrame, asof: str, periods: Sequence[str] = PERI
     return out
 
 
+def calendar_period_flags(calendar: DataFrame, asof: str) -> DataFrame:
+    """Whether a day, or its month, quarter or year, is the current or the prior one seen
+    from ``asof``, and whether its month or quarter is the current one of a year earlier.
+
+    Needs ``calendar_date`` only; ``asof`` need not be in the calendar.
+    """
+    d, now = F.col("calendar_date"), day(asof)
+    months = (F.year(now) - F.year(d)) * 12 + F.month(now) - F.month(d)
+    quarters = (F.year(now) - F.year(d)) * 4 + F.quarter(now) - F.quarter(d)
+    years, days = F.year(now) - F.year(d), F.datediff(now, d)
+    out = calendar
+    for p, back in (("day", days), ("month", months), ("quarter", quarters), ("year", years)):
+        out = out.withColumn(f"is_current_{p}", back == 0).withColumn(f"is_prior_{p}", back == 1)
+    for p, back in (("month", months), ("quarter", quarters)):
+        out = out.withColumn(f"is_prior_year_current_{p}", back == YEAR_AGO[p])
+    return out
+
+
 def keep_recent_years(df: DataFrame, key: str, years: int = 2) -> DataFrame:
     """Rows whose YYYYWW key is in the last fiscal years, by arithmetic on the newest key."""
     top = df.agg(F.max(key)).scalar()

@@ -59,6 +59,11 @@ SELECT calendar_date, fiscal_year, fiscal_week, fiscal_month, fiscal_quarter,
   year(d) AS year_key, 'CY' || year(d) AS year_description, year(d) - 1970 AS year_sequence,
   {_greg("month", 1)}, {_greg("quarter", 3)}, {_greg("year", 12)},
   {", ".join(_bounds(p) for p in cal.PERIODS)},
+  3 AS total_months_in_quarter, 12 AS total_months_in_year, 4 AS total_quarters_in_year,
+  (SELECT count(DISTINCT c.fiscal_week) FROM cal c WHERE c.fiscal_quarter = y.fiscal_quarter) AS total_fiscal_weeks_in_fiscal_quarter,
+  (SELECT count(DISTINCT c.fiscal_week) FROM cal c WHERE c.fiscal_year = y.fiscal_year) AS total_fiscal_weeks_in_fiscal_year,
+  (SELECT count(DISTINCT c.fiscal_month) FROM cal c WHERE c.fiscal_quarter = y.fiscal_quarter) AS total_fiscal_months_in_fiscal_quarter,
+  (SELECT count(DISTINCT c.fiscal_month) FROM cal c WHERE c.fiscal_year = y.fiscal_year) AS total_fiscal_months_in_fiscal_year,
   total_fiscal_weeks_in_fiscal_month, wk AS fiscal_week_number, 52 * (fiscal_year - 1970) + wk - 1 AS fiscal_week_sequence,
   {_cycle("wk", "total_fiscal_weeks_in_fiscal_month")} AS fiscal_week_in_fiscal_month, {_cycle("wk", "13")} AS fiscal_week_in_fiscal_quarter,
   {_cycle("wk", "13")} AS crawl_week_in_fiscal_quarter, ({_cycle("wk", "13")}) - 13 AS crawl_week_in_fiscal_quarter_plus_1,
@@ -100,6 +105,20 @@ def calendar_flags(t: Tables) -> DataFrame:
     return cal.relative_flags(days, "2000-06-15").drop(*names)
 
 
+@query(
+    "calendar_period_flags",
+    f"""WITH {fiscal_sql("orders", "o_orderdate")}, n AS (SELECT calendar_date, 12 * year(calendar_date) + month(calendar_date) AS m,
+  4 * year(calendar_date) + quarter(calendar_date) AS q, year(calendar_date) AS y FROM cal)
+SELECT calendar_date, calendar_date = DATE '2000-06-15' AS is_current_day, calendar_date = DATE '2000-06-14' AS is_prior_day,
+  m = 12 * 2000 + 6 AS is_current_month, m = 12 * 2000 + 5 AS is_prior_month, m = 12 * 1999 + 6 AS is_prior_year_current_month,
+  q = 4 * 2000 + 2 AS is_current_quarter, q = 4 * 2000 + 1 AS is_prior_quarter, q = 4 * 1999 + 2 AS is_prior_year_current_quarter,
+  y = 2000 AS is_current_year, y = 1999 AS is_prior_year FROM n""",
+)
+def calendar_period_flags(t: Tables) -> DataFrame:
+    days = fiscal_cal(t.orders, "o_orderdate").select("calendar_date")
+    return cal.calendar_period_flags(days, "2000-06-15")
+
+
 @query(
     "period_bounds",
     f"""WITH {fiscal_sql("orders", "o_orderdate")}
