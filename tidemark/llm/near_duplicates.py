@@ -13,7 +13,7 @@ candidates. A pair of similarity 0.8 has no common band with probability 3e-6.
 Verification: candidates are confirmed on the full shingle sets. Documents with equal sets
 are one class and are never paired. In a bucket, members are first compared with one pivot
 in each round; components shrink the rest, and when few pairs of different components are
-left (or pivots link nothing more), all those pairs are compared. So no pair of candidates
+left (or a round links hardly any of its pairs), all those pairs are compared. So no pair of candidates
 goes unanswered, and a group of n near copies costs about n comparisons a band. Before a
 comparison, set sizes and a one-bit-a-bin sketch are looked at; a pair of similarity 0.8
 is lost there with probability below 1e-6.
@@ -46,6 +46,8 @@ MOST_BITS = 36
 BROADCAST_IDS = 1_000_000
 #: Open pairs for each bucket member at which comparing them all ends the rounds.
 OPEN_PAIRS = 8
+#: Share of a round's compared pairs that must be links for another round of pivots.
+LEAST_YIELD = 1 / 100
 
 SKETCH = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>, b0 bigint, b1 bigint, b2 bigint"
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -251,17 +253,18 @@ def class_components(docs: DataFrame, sketched: DataFrame, size: int, percent: i
 
     links = _nothing(spark, "u bigint, v bigint")
     tested = _nothing(spark, "a bigint, b bigint")
-    labels, turn, found = None, 0, 1
+    labels, turn, yields = None, 0, True
     while True:
         left = stored(_open_members(members, labels), "near-open")
         open_pairs, rows_left = _open_pairs(left)
         if not open_pairs:
             break
-        last = turn > 0 and (open_pairs <= OPEN_PAIRS * rows_left or not found)
+        last = turn > 0 and (open_pairs <= OPEN_PAIRS * rows_left or not yields)
         asked = _all_pairs(left, pairs.looks, percent) if last else pairs.likely(_pivot_pairs(left, turn))
         asked = stored(asked.join(tested, ["a", "b"], "left_anti"), "near-asked")
         new = pairs.links(asked)
         found = new.count()
+        yields = found > LEAST_YIELD * asked.count()
         if found:
             labels = components(links.unionByName(new))
             links = stored(labels.select(F.col("node").alias("u"), F.col("component").alias("v")), "near-labels")
