@@ -55,10 +55,10 @@ def enrich_lineitem(t: Tables) -> DataFrame:
     "merge_customer_supplier",
     """SELECT coalesce(c_custkey, s_suppkey) AS party, coalesce(s_acctbal, c_acctbal) AS balance,
   coalesce(c_name, s_name) AS name, coalesce(c_nationkey, s_nationkey) AS nation, c_mktsegment AS segment
-FROM (SELECT * FROM customer WHERE c_acctbal >= 0) FULL JOIN supplier ON c_custkey = s_suppkey""",
+FROM customer FULL JOIN supplier ON c_custkey = s_suppkey""",
 )
 def merge_customer_supplier(t: Tables) -> DataFrame:
-    c = t.customer.where(F.col("c_acctbal") >= 0).select(
+    c = t.customer.select(
         F.col("c_custkey").alias("party"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
         F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"),
     )

@@ -118,13 +118,12 @@ def lag_ignore_nulls(t: Tables) -> DataFrame:
 
 @query(
     "effective_to",
-    """WITH p AS (SELECT DISTINCT l_partkey, CAST(l_shipdate AS DATE) AS f FROM lineitem WHERE l_returnflag = 'R')
+    """WITH p AS (SELECT DISTINCT l_partkey, CAST(l_shipdate AS DATE) AS f FROM lineitem)
 SELECT l_partkey, f AS effective_from, coalesce(lead(f) OVER (PARTITION BY l_partkey ORDER BY f) - 1, DATE '9999-12-31') AS effective_to FROM p""",
 )
 def effective_to(t: Tables) -> DataFrame:
     starts = (
-        t.lineitem.where(F.col("l_returnflag") == "R")
-        .select("l_partkey", F.col("l_shipdate").cast("date").alias("effective_from"))
+        t.lineitem.select("l_partkey", F.col("l_shipdate").cast("date").alias("effective_from"))
         .distinct()
     )
     return timeline.valid_to(

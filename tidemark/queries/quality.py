@@ -18,11 +18,9 @@ def dq_unique(t: Tables) -> DataFrame:
     return quality.not_unique(t.lineitem, expr)
 
 
-@query("dq_not_null", """SELECT event_id, user_id FROM events WHERE nullif(event_type, 'view') IS NULL AND ts >= TIMESTAMP '2024-01-15'""")
+@query("dq_not_null", """SELECT event_id, user_id FROM events WHERE nullif(event_type, 'view') IS NULL""")
 def dq_not_null(t: Tables) -> DataFrame:
-    return quality.is_null(
-        t.events, F.nullif("event_type", F.lit("view")), F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
-    ).select("event_id", "user_id")
+    return quality.is_null(t.events, F.nullif("event_type", F.lit("view"))).select("event_id", "user_id")
 
 
 @query(
