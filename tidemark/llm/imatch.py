@@ -40,7 +40,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def term_ids(text: Column) -> Column:
     """Ids of the distinct words of a text."""
     words = F.split(F.translate(text, _UPPER, _LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    return F.transform(F.array_remove(F.array_distinct(words), ""), lambda w: F.xxhash64(w))
+    return F.array_distinct(F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w)))
 
 
 def lexicon(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
@@ -60,20 +60,30 @@ def place(term: Column, at: Column) -> Column:
     return F.pmod(F.shiftright(term, 7), F.call_function("shiftleft", F.lit(SUBSETS).cast("bigint"), at))
 
 
-def sampled(text: Column, at: Column) -> Column:
-    return F.filter(term_ids(text), lambda t: place(t, at) < SUBSETS)
+def sampled(text: Column, at: Column, kind: int) -> Column:
+    """Terms of the subsets at a scale: struct (kind, subset, finer, term); ``finer`` ones are in it at the next scale too."""
+    terms = F.filter(term_ids(text), lambda t: place(t, at) < SUBSETS)
+    return F.transform(
+        terms,
+        lambda t: F.struct(
+            F.lit(kind).alias("kind"), place(t, at).cast("int").alias("subset"),
+            (place(t, at + 1) < SUBSETS).alias("finer"), t.alias("term"),
+        ),
+    )
 
 
-def hashes(terms: Column, at: Column) -> Column:
-    """The hash of each subset, '-' for one without terms."""
-    ranked = F.array_sort(terms)
+def term_hash(terms: Column) -> Column:
+    """Hash of the sorted terms of a subset; '-' without terms."""
+    word = F.lpad(F.lower(F.hex(F.xxhash64(F.sort_array(terms)).bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    return F.when(F.size(terms) > 0, word).otherwise(F.lit("-"))
 
-    def one(j: Column) -> Column:
-        own = F.filter(ranked, lambda t: place(t, at) == j)
-        word = F.lpad(F.lower(F.hex(F.xxhash64(own).bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
-        return F.when(F.size(own) > 0, word).otherwise(F.lit("-"))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one)
+def all_subsets(found: Column) -> Column:
+    """Hashes by subset number from the structs (subset, hash) of the subsets that have terms."""
+    numbers = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+    # the map is the argument of a lambda, so that it is built once and not once a number
+    full = lambda known: F.transform(numbers, lambda j: F.coalesce(known[j], F.lit("-")))
+    return F.transform(F.array(F.map_from_entries(found)), full)[0]
 
 
 def fingerprint(at: Column, own: Column, next_: Column) -> Column:
@@ -131,18 +141,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "chunk", "row", "doc_id", F.length("text").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"),
         scale(F.length("text")).alias("at"), scale(F.length("changed")).alias("edited_at"), "text", "changed",
     )
-    mark = lambda text, at, k: F.transform(
-        sampled(F.col(text), F.col(at)), lambda t: F.struct(F.lit(k).alias("k"), t.alias("term"))
+    info = F.struct("doc_id", "n_chars", "edited_sha256", "at", "edited_at")
+    base = F.struct(F.lit(2).alias("kind"), F.lit(0).alias("subset"), F.lit(False).alias("finer"), F.xxhash64("chunk", "row").alias("term"))
+    many = F.concat(F.array(base), sampled(F.col("text"), F.col("at"), 0), sampled(F.col("changed"), F.col("edited_at"), 1))
+    rows = rows.select("chunk", "row", info.alias("info"), F.explode(many).alias("m"))
+    rows = rows.select("chunk", "row", F.when(F.col("m.kind") == 2, F.col("info")).alias("info"), "m.*")
+    rows = rows.join(terms.withColumn("known", F.lit(True)), "term", "left").where("known or kind = 2")
+    # terms of one subset, then subsets of one document: both stay in the task of their chunk
+    rows = rows.groupBy("chunk", "row", "kind", "subset").agg(
+        F.first("info", ignorenulls=True).alias("info"),
+        term_hash(F.collect_list("term")).alias("own"),
+        term_hash(F.collect_list(F.when(F.col("finer"), F.col("term")))).alias("next"),
+    )
+    got = lambda k, h: F.collect_list(F.when(F.col("kind") == k, F.struct("subset", h)))
+    rows = rows.groupBy("chunk", "row").agg(
+        F.first("info", ignorenulls=True).alias("info"),
+        *[all_subsets(got(k, h)).alias(f"{h}{k}") for k in (0, 1) for h in ("own", "next")],
     )
-    many = F.concat(mark("text", "at", 0), mark("changed", "edited_at", 1))
-    kept = ["chunk", "row", "doc_id", "n_chars", "edited_sha256", "at", "edited_at"]
-    rows = rows.select(*kept, F.explode_outer(many).alias("m")).select(*kept, "m.k", "m.term")
-    rows = rows.join(terms.withColumn("known", F.lit(True)), "term", "left")
-    got = lambda k: F.collect_list(F.when(F.col("known") & (F.col("k") == k), F.col("term")))
-    rows = rows.groupBy(*kept).agg(got(0).alias("t0"), got(1).alias("t1"))
+    rows = rows.select("chunk", "row", "info.*", "own0", "next0", "own1", "next1")
     for k, at in ((0, "at"), (1, "edited_at")):
-        own, finer = hashes(F.col(f"t{k}"), F.col(at)), hashes(F.col(f"t{k}"), F.col(at) + 1)
-        rows = rows.withColumns({f"own{k}": own, f"next{k}": finer})
         text = fingerprint(F.col(at), F.col(f"own{k}"), F.col(f"next{k}"))
         parts = [F.col(at).alias("at"), F.col(f"own{k}").alias("own"), F.col(f"next{k}").alias("next"), text.alias("print")]
         rows = rows.withColumn(f"f{k}", F.struct(*parts))
