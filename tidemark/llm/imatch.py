@@ -21,6 +21,8 @@ that share an id are ordered by their text; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,16 +62,24 @@ def place(term: Column, at: Column) -> Column:
     return F.pmod(F.shiftright(term, 7), F.call_function("shiftleft", F.lit(SUBSETS).cast("bigint"), at))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once a row, also where ``use`` reads it in a loop over terms."""
+    return F.transform(F.array(value), use)[0]
+
+
 def sampled(text: Column, at: Column, kind: int) -> Column:
     """Terms of the subsets at a scale: struct (kind, subset, finer, term); ``finer`` ones are in it at the next scale too."""
-    terms = F.filter(term_ids(text), lambda t: place(t, at) < SUBSETS)
-    return F.transform(
-        terms,
-        lambda t: F.struct(
-            F.lit(kind).alias("kind"), place(t, at).cast("int").alias("subset"),
-            (place(t, at + 1) < SUBSETS).alias("finer"), t.alias("term"),
-        ),
-    )
+
+    def pick(s: Column) -> Column:
+        return F.transform(
+            F.filter(term_ids(text), lambda t: place(t, s) < SUBSETS),
+            lambda t: F.struct(
+                F.lit(kind).alias("kind"), place(t, s).cast("int").alias("subset"),
+                (place(t, s + 1) < SUBSETS).alias("finer"), t.alias("term"),
+            ),
+        )
+
+    return once(at, pick)
 
 
 def term_hash(terms: Column) -> Column:
@@ -81,9 +91,7 @@ def term_hash(terms: Column) -> Column:
 def all_subsets(found: Column) -> Column:
     """Hashes by subset number from the structs (subset, hash) of the subsets that have terms."""
     numbers = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
-    # the map is the argument of a lambda, so that it is built once and not once a number
-    full = lambda known: F.transform(numbers, lambda j: F.coalesce(known[j], F.lit("-")))
-    return F.transform(F.array(F.map_from_entries(found)), full)[0]
+    return once(F.map_from_entries(found), lambda m: F.transform(numbers, lambda j: F.coalesce(m[j], F.lit("-"))))
 
 
 def fingerprint(at: Column, own: Column, next_: Column) -> Column:
