@@ -193,6 +193,66 @@ def test_licences(spark, odd, none):
     assert licences.licences(odd).count() == len(ROWS) and licences.licences(none).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_licences_inside_longer_documents(spark):
+    story = " ".join(f"one word{i} of a story{i % 50} goes on" for i in range(400))
+    texts = {
+        "MIT": [MIT, " ".join(MIT.split()), MIT.replace("\n", "\n// ")],
+        "Apache-2.0": [APACHE, APACHE.replace("\n", "\n * ")],
+    }
+    rows, want = [], {}
+    for name, forms in texts.items():
+        for t in forms:
+            for doc in (f"{story}\n\n{t}\n\n{story}", f"{story} {t} {story}", f"{t}\n\n{story}", f"{story}\n\n{t}"):
+                want[len(rows)] = name
+                rows.append((len(rows), doc))
+    rows.append((len(rows), f"{story}\n\n{MIT}\n\n{story}\n\n{APACHE}\n\n{story}\n\n{MIT}"))
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, name in want.items():
+        best = max(got[i].matches, key=lambda m: (m.dice, m.n_words))
+        assert {m.licence for m in got[i].matches} == {name} and best.dice == pytest.approx(1.0) and best.unit in ("window", "paragraph", "line")
+        assert best.n_words == len(re.findall("[a-z0-9]+", (MIT if name == "MIT" else APACHE).lower()))
+    assert [m.licence for m in got[len(want)].matches if m.n_words > 50] == ["MIT", "Apache-2.0", "MIT"]
+
+
+def test_licence_passages_are_the_nearest_runs():
+    rng = np.random.default_rng(5)
+    for _ in range(150):
+        pairs = rng.integers(0, rng.integers(6, 40), rng.integers(1, 60))
+        own = set(range(int(rng.integers(2, 12))))
+        hit, (before, after) = np.isin(pairs, list(own)), licences._neighbours(pairs)
+        got = licences.passages(hit, before, after, len(own), 0.7)
+        runs = [set(pairs[i:j].tolist()) for i in range(len(pairs)) for j in range(i + 1, len(pairs) + 1)]
+        best = max(2 * len(r & own) / (len(r) + len(own)) for r in runs)
+        assert (got[0][0] if got else 0) == pytest.approx(best if best >= 0.7 else 0)
+        for d, i, j in got:
+            r = set(pairs[i:j].tolist())
+            assert d == pytest.approx(2 * len(r & own) / (len(r) + len(own)))
+
+
 def test_size_bounds_prune_nothing_that_matches():
     for n in range(1, 60):
         low, high = licences.size_bounds(n, 0.85)

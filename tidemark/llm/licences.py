@@ -1,23 +1,28 @@
 """Licence scan: passages of documents against licence texts by the Dice coefficient of word bigrams.
 
-Texts are normalised to lower-case words of letters and digits. A document is read in units
-of four sizes: sentences, lines, paragraphs and the whole text. A unit with n distinct
-bigrams can reach a Dice coefficient of d with a template of m bigrams only if m lies
-between n * d / (2 - d) and n * (2 - d) / d, so most templates are pruned by size; of the
-rest, only templates that share bigrams with the unit are compared.
+Texts are normalised to lower-case words of letters and digits. A passage is any run of
+consecutive words of a document, over sentences, lines and paragraphs. A run with n distinct
+bigrams, c of them in a template of m, has the Dice coefficient 2c / (m + n), so it reaches d
+only if n lies between m * d / (2 - d) and m * (2 - d) / d and c is at least m * d / (2 - d).
+Templates of which a document, and then a stretch of it, has fewer bigrams are passed over;
+in the stretches left, every run that begins at a bigram of the template is compared.
 
 Templates are a parameter, a short list by nature (identifier, text); they travel with the
 task. Documents never leave their partition.
 
-A unit is reported with its nearest template only.
+Of passages that overlap, a template keeps its nearest. Of passages of several templates that
+share more than half of the words they cover together, the nearest is reported; a notice
+inside a much longer passage is reported beside it.
 
-Defined cases: a null or empty text has no units; units of one word are the bigram of that
-word alone; units that cover the same words are reported once, as the smallest kind; ties
-between templates go to the smaller identifier; other columns are not read.
+Defined cases: a null or empty text has no passages; a template of one word is compared with
+sentences of one word; a passage that is just a sentence, line, paragraph or text is named so
+(the smallest of them), others are windows; ties between templates go to the smaller
+identifier; other columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import numpy as np
@@ -108,6 +113,7 @@ _STEP = np.uint64(0x9FB21C651E98DF25)
 #: Bytes after which a unit of each size ends (sentence, line, paragraph); the whole text is the last unit.
 _ENDS = [re.compile(rb"[.!?]\s|\n"), re.compile(rb"\n"), re.compile(rb"\n[ \t\r]*\n")]
 UNITS = ("sentence", "line", "paragraph", "text")
+_MASK = np.uint64((1 << 20) - 1)
 
 
 def bigrams(ids: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +133,7 @@ def size_bounds(n: int, dice: float) -> tuple[float, float]:
 
 
 class Templates:
-    """Bigram sets of the licence texts."""
+    """Bigram sets of the licence texts, and for each known bigram the templates that have it."""
 
     def __init__(self, templates):
         self.names = [name for name, _ in templates]
@@ -135,21 +141,123 @@ class Templates:
         for _, text in templates:
             words = Words(pa.array([text]), ALNUM)
             self.sets.append(np.unique(bigrams(words.ids(), words.doc)[0]))
-        self.known = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.uint64)
-        self.sizes = np.array([len(s) for s in self.sets])
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        grams = np.concatenate([*self.sets, np.zeros(0, np.uint64)])
+        order = np.argsort(grams, kind="stable")
+        self.owners = np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        self.known, self.first = np.unique(grams[order], return_index=True)
+        self.counts = np.diff(np.append(self.first, len(grams)))
+        self.likely = np.zeros(1 << 20, bool)
+        self.likely[(self.known & _MASK).astype(np.int64)] = True
 
+    def numbers(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the known bigrams among ``pairs``, and their numbers in ``known``."""
+        at = np.flatnonzero(self.likely[(pairs & _MASK).astype(np.int64)])
+        number = np.minimum(np.searchsorted(self.known, pairs[at]), max(len(self.known) - 1, 0))
+        same = self.known[number] == pairs[at] if len(at) else np.zeros(0, bool)
+        return at[same], number[same]
 
-def _best(unit_ids: np.ndarray, templates: Templates, least: float) -> tuple[float, str] | None:
-    """Dice coefficient and name of the template that is nearest to the unit's distinct bigrams, from ``least`` on."""
-    low, high = size_bounds(len(unit_ids), least)
-    best = None
-    for k in np.flatnonzero((templates.sizes >= low - 1e-9) & (templates.sizes <= high + 1e-9)):
-        own = templates.sets[k]
-        common = len(np.intersect1d(own, unit_ids, assume_unique=True))
-        dice = 2 * common / (len(own) + len(unit_ids))
-        if dice >= least and (best is None or (-dice, templates.names[k]) < (-best[0], best[1])):
-            best = dice, templates.names[k]
-    return best
+    def candidates(self, pairs: np.ndarray, doc: np.ndarray, n_docs: int, least: float) -> np.ndarray:
+        """(document, template) of which the document has enough distinct bigrams for a passage."""
+        at, number = self.numbers(pairs)
+        own = np.unique(doc[at] * len(self.known) + number)
+        row, number = own // max(len(self.known), 1), own % max(len(self.known), 1)
+        n = self.counts[number]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        owner = self.owners[np.repeat(self.first[number], n) + inner]
+        k = len(self.sets)
+        seen = np.bincount(np.repeat(row, n) * k + owner, minlength=n_docs * k).reshape(n_docs, k)
+        return np.argwhere(seen >= np.maximum(size_bounds(self.sizes, least)[0] - 1e-9, 1))
+
+
+def _reach(before: np.ndarray, a: int, count_from: int, most: float, stop: int) -> int:
+    """End of the longest run from ``a`` to ``stop`` whose places from ``count_from`` on have at most ``most`` bigrams new since ``a``."""
+    size = int(2 * most) + 2 + count_from - a
+    while True:
+        new = np.cumsum(before[count_from : min(a + size, stop)] < a)
+        if len(new) and new[-1] > most:
+            return count_from + int(np.searchsorted(new, most, "right"))
+        if a + size >= stop:
+            return stop
+        size *= 2
+
+
+def passages(hit: np.ndarray, before: np.ndarray, after: np.ndarray, m: int, least: float) -> list[tuple[float, int, int]]:
+    """(Dice, first, end) of the nearest runs of bigrams from ``least`` on that do not overlap.
+
+    ``hit`` tells whether a bigram is one of the template's ``m``; ``before`` and ``after`` are
+    the places of the same bigram before and after, -1 and the length without one. A run counts
+    each bigram once, so a run without its first place is as near if that bigram comes again:
+    runs are compared up to there, and those kept take in repeated bigrams at their ends.
+    """
+    low, high = size_bounds(m, least)
+    low, high = low - 1e-9, high + 1e-9
+    step = max(16, m // 8)
+    found = []
+    for a in np.unique(np.flatnonzero(hit) // step) * step:
+        starts = a + np.flatnonzero(hit[a : a + step])
+        # none of the runs that begin here has more bigrams of the template than the longest from a on
+        end = _reach(before, a, min(a + step, len(hit)), high, max(int(after[starts].max()), min(a + step, len(hit))))
+        if np.count_nonzero(hit[a:end] & (before[a:end] < a)) < low:
+            continue
+        for i in starts:
+            end = _reach(before, i, i, high, int(after[i]))
+            new = before[i:end] < i
+            common = np.cumsum(new & hit[i:end])
+            if common[-1] < low:
+                continue
+            dice = 2 * common / (m + np.cumsum(new))
+            j = int(np.argmax(dice))
+            if dice[j] >= least:
+                found.append((float(dice[j]), int(i), int(i) + j + 1))
+    found.sort(key=lambda f: (-f[0], f[1], f[2]))
+    taken = np.zeros(len(hit), bool)
+    out = []
+    for dice, i, j in found:
+        if taken[i:j].any():
+            continue
+        while i and hit[i - 1] and after[i - 1] < j and not taken[i - 1]:
+            i -= 1
+        while j < len(hit) and hit[j] and before[j] >= i and not taken[j]:
+            j += 1
+        taken[i:j] = True
+        out.append((dice, i, j))
+    return out
+
+
+def _nearest(found: list[tuple]) -> list[tuple]:
+    """Of (-Dice, name, first word, words), those that share no place with a nearer one."""
+    kept: list[tuple] = []  # first word, words, -Dice, name
+    for d, name, first, n in sorted(found, key=lambda f: (f[0], f[1], -f[3], f[2])):
+        a, b = bisect.bisect_left(kept, (first - 2 * n,)), bisect.bisect_left(kept, (first + n,))
+        if not any(_same_place((first, n), o) for o in kept[a:b]):
+            bisect.insort(kept, (first, n, d, name))
+    return kept
+
+
+def _same_place(a: tuple, b: tuple) -> bool:
+    """Whether two (first word, words, ..) share more than half of the words they cover together."""
+    both = min(a[0] + a[1], b[0] + b[1]) - max(a[0], b[0])
+    return 2 * both > a[1] + b[1] - both
+
+
+def _neighbours(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the same bigram before and after each place; -1 and the length without one."""
+    order = np.argsort(pairs, kind="stable")
+    before, after = np.full(len(pairs), -1, np.int64), np.full(len(pairs), len(pairs), np.int64)
+    same = pairs[order[1:]] == pairs[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    after[order[:-1][same]] = order[1:][same]
+    return before, after
+
+
+def _single_words(templates: Templates, ids: np.ndarray, unit: np.ndarray) -> list[tuple[int, int]]:
+    """(word, template) of sentences of one word that are a template."""
+    alone = np.append(True, unit[1:] != unit[:-1]) & np.append(unit[1:] != unit[:-1], True)
+    words = np.flatnonzero(alone) if len(ids) else np.zeros(0, np.int64)
+    at, number = templates.numbers(mix(ids[words] * _STEP))
+    owners = [templates.owners[f : f + n] for f, n in zip(templates.first[number], templates.counts[number], strict=True)]
+    return [(int(words[w]), int(k)) for w, own in zip(at, owners, strict=True) for k in own if templates.sizes[k] == 1]
 
 
 FOUND = "doc_id bigint, matches array<struct<licence:string,dice:double,unit:string,first_word:bigint,n_words:bigint>>"
@@ -159,39 +267,43 @@ _KIND = pa.list_(
 
 
 def _scan_block(templates: Templates, least: float):
-    smallest, largest = templates.sizes.min(initial=1 << 40), templates.sizes.max(initial=0)
-
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(block.column("text"), ALNUM)
         ids, doc = words.ids(), words.doc
         raw = words.data.tobytes()
-        found: list[dict] = [{} for _ in range(len(block))]
-        for kind, name in enumerate(UNITS):
-            if kind < len(_ENDS):
-                cuts = np.array([m.end() for m in _ENDS[kind].finditer(raw)], np.int64)
-                cuts = np.unique(np.concatenate([cuts, words.offsets]))
-                unit = np.searchsorted(cuts, words.start, "right")
-            else:
-                unit = doc
-            pairs, owner = bigrams(ids, unit)
-            hit = np.isin(pairs, templates.known)
-            for u in np.unique(owner[hit]):
-                a, b = np.searchsorted(owner, [u, u + 1])
-                own = np.unique(pairs[a:b])
-                if not size_bounds(largest, least)[1] >= len(own) >= size_bounds(smallest, least)[0]:
-                    continue
-                first, last = np.searchsorted(unit, [u, u + 1])
-                row = doc[first]
-                best = _best(own, templates, least)
-                if best:
-                    found[row].setdefault((int(first - words.first_word[row]), int(last - first)), (*best, name))
-        rows = [
-            [
-                {"licence": licence, "dice": dice, "unit": name, "first_word": a, "n_words": n}
-                for (a, n), (dice, licence, name) in sorted(f.items())
-            ]
-            for f in found
-        ]
+        units = []
+        for ends in _ENDS:
+            cuts = np.array([m.end() for m in ends.finditer(raw)], np.int64)
+            units.append(np.searchsorted(np.unique(np.concatenate([cuts, words.offsets])), words.start, "right"))
+        units.append(doc)
+        found: list[list] = [[] for _ in range(len(block))]
+        for w, k in _single_words(templates, ids, units[0]):
+            found[doc[w]].append((-1.0, templates.names[k], w, 1))
+        inside = np.append(doc[1:] == doc[:-1], False) if len(doc) else np.zeros(0, bool)
+        starts = np.flatnonzero(inside)  # first word of each bigram
+        pairs = mix(ids[starts] * _STEP + ids[starts + 1]) if len(starts) else np.zeros(0, np.uint64)
+        owner, last = doc[starts], None
+        for row, k in templates.candidates(pairs, owner, len(block), least):
+            if row != last:
+                a, b = np.searchsorted(owner, [row, row + 1])
+                (before, after), last = _neighbours(pairs[a:b]), row
+            hit = np.isin(pairs[a:b], templates.sets[k])
+            for dice, i, j in passages(hit, before, after, int(templates.sizes[k]), least):
+                found[row].append((-dice, templates.names[k], int(starts[a + i]), j - i + 1))
+
+        def kind(first: int, n: int) -> str:
+            for name, unit in zip(UNITS, units, strict=True):
+                a, b = np.searchsorted(unit, [unit[first], unit[first] + 1])
+                if (a, b) == (first, first + n):
+                    return name
+            return "window"
+
+        rows = []
+        for row, f in enumerate(found):
+            rows.append([
+                {"licence": name, "dice": -d, "unit": kind(a, n), "first_word": int(a - words.first_word[row]), "n_words": n}
+                for a, n, d, name in _nearest(f)
+            ])
         arrays = [block.column("doc_id").cast(pa.int64()), pa.array(rows, _KIND)]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "matches"])
 
