@@ -238,6 +238,40 @@ def test_licences_inside_longer_documents(spark):
     assert [m.licence for m in got[len(want)].matches if m.n_words > 50] == ["MIT", "Apache-2.0", "MIT"]
 
 
+DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+IN NO EVENT SHALL THE COPYRIGHT OWNER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR
+TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE."""
+CONDITIONS = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+  * Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+  * Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+    disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+THIRD = """
+  * Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+    derived from this software without specific prior written permission.
+"""
+
+
+def test_whole_licence_texts_are_found(spark):
+    story = " ".join(f"one word{i} of a story{i % 50} goes on" for i in range(400))
+    texts = [("BSD-2-Clause", f"{CONDITIONS}\n{DISCLAIMER}"), ("BSD-3-Clause", f"{CONDITIONS}{THIRD}\n{DISCLAIMER}")]
+    texts += [(n, licences.whole_text(n)) for n in licences.TEXTS] + [(n, licences.whole_text(f"{n}.notice")) for n in licences.NOTICES]
+    texts += [("LGPL-2.1", licences.whole_text("LGPL-2.1.notice").replace("version 2.1 of", "version 2 of"))]
+    rows = [(2 * i + k, doc) for i, (_, t) in enumerate(texts) for k, doc in enumerate((t, f"{story}\n\n{t}\n\n{story}"))]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, (name, t) in enumerate(texts):
+        for k in (0, 1):
+            best = max(got[2 * i + k].matches, key=lambda m: m.n_words)
+            assert best.licence == name and best.n_words > 0.9 * len(re.findall("[a-z0-9]+", t.lower())), (name, k)
+
+
 def test_licence_passages_are_the_nearest_runs():
     rng = np.random.default_rng(5)
     for _ in range(150):

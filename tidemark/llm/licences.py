@@ -23,6 +23,7 @@ identifier; other columns are not read.
 from __future__ import annotations
 
 import bisect
+import pkgutil
 import re
 
 import numpy as np
@@ -34,7 +35,7 @@ from tidemark.llm.common import ALNUM, Words, by_block, mix
 
 LEAST_DICE = 0.85
 
-# Public licence texts and notices.
+# Short notices, then the whole public texts and notices.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -81,21 +82,6 @@ TEMPLATES = [
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
     ("BSD", "Licensed under the BSD License."),
-    (
-        "BSD-2-Clause",
-        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
-        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
-        this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
-        distribution.""",
-    ),
-    (
-        "ISC",
-        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
-        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
-        PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
-        OF MERCHANTABILITY AND FITNESS.""",
-    ),
     (
         "MPL-2.0",
         """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
@@ -109,6 +95,17 @@ TEMPLATES = [
     ),
 ]
 
+#: Whole texts in ``licence_texts``, and those of them that also have a notice for source files.
+TEXTS = "0BSD AGPL-3.0 Apache-2.0 BSD-2-Clause BSD-3-Clause GPL-2.0 GPL-3.0 ISC LGPL-2.1 LGPL-3.0 MPL-2.0 Unlicense".split()
+NOTICES = "AGPL-3.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0".split()
+
+
+def whole_text(file: str) -> str:
+    return pkgutil.get_data("tidemark.llm", f"licence_texts/{file}.txt").decode()
+
+
+TEMPLATES += [(name, whole_text(name)) for name in TEXTS] + [(name, whole_text(f"{name}.notice")) for name in NOTICES]
+
 _STEP = np.uint64(0x9FB21C651E98DF25)
 #: Bytes after which a unit of each size ends (sentence, line, paragraph); the whole text is the last unit.
 _ENDS = [re.compile(rb"[.!?]\s|\n"), re.compile(rb"\n"), re.compile(rb"\n[ \t\r]*\n")]
