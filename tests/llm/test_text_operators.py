@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ROWS
 from tidemark.llm import imatch, licences, personal_data, warc, wrappers
@@ -312,6 +313,29 @@ def test_fingerprints(spark, none):
     assert imatch.fingerprints(none).count() == 0
 
 
+def test_texts_without_lexicon_terms_are_told_apart(spark):
+    common = " ".join(f"all{i}" for i in range(30))
+    rows = [(i, common) for i in range(40)]  # in most documents: not in the lexicon
+    rows += [(100 + i, f"all{i} all{i + 1} " * 200) for i in range(20)] + [(200, "all1 all0 " * 300), (201, "all0 all1")]
+    rows += [(300 + i, f"few{i // 2} few{i // 2 + 1} " * 400) for i in range(20)]  # long, of two lexicon terms
+    got = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    prints = defaultdict(set)
+    for i, text in rows:
+        prints[got[i].fingerprint].add(frozenset(text.split()))
+    assert all(len(sets) == 1 for sets in prints.values())
+    assert len(prints) == len({frozenset(t.split()) for _, t in rows})
+    assert got[100].near_next == 0.0 and got[200].near_next == 1.0 and got[0].near_next == 1.0
+    assert got[300].near_next == 1.0 and 0 < got[301].near_next < 1
+
+
+def test_terms_thin_out_by_scale(spark):
+    df = spark.range(-500, 500).select(F.xxhash64("id").alias("t"))
+    for r in df.select("t", imatch.subset(F.col("t")).alias("s"), imatch.last_scale(F.col("t")).alias("last")).collect():
+        for at in range(6):
+            place = (r.t >> 7) % (imatch.SUBSETS << at)
+            assert (r.last >= at) == (place < imatch.SUBSETS) and (place >= imatch.SUBSETS or place == r.s)
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     got = imatch.fingerprints(odd).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in ROWS)

@@ -6,16 +6,17 @@ hash. An edit changes only the hashes of the subsets that hold a changed term, s
 of equal hashes tells how alike two texts are.
 
 Long texts would hit every subset with many terms, so subsets thin out with the length: at
-scale s a subset keeps one of 2**s of its terms, and s follows the number of characters. A
-fingerprint has the hashes at its own scale and the next, so texts at neighbouring scales
-can be compared.
+scale s a subset keeps one of 2**s of its terms, and s follows the text's number of distinct
+lexicon terms. A fingerprint has the hashes at its own scale and the next, so texts at
+neighbouring scales can be compared. A text of which no subset holds a term has the hash of
+all its distinct terms instead, in the lexicon or not, so only equal sets share it.
 
 Everything is DataFrame expressions. Document frequencies cover all documents. The lexicon
 holds at most (distinct terms per document) / ``LEAST_SHARE`` terms whatever the corpus, and
 is broadcast only below ``BROADCAST_TERMS``.
 
-Defined cases: a null text is empty; texts without lexicon terms have empty hashes and are
-like each other only if their fingerprints are equal; rows without an id come first; rows
+Defined cases: a null text is empty; texts without lexicon terms are like each other only if
+their terms are the same; rows without an id come first; rows
 that share an id are ordered by their text; other columns are not read.
 """
 
@@ -32,8 +33,8 @@ SUBSETS = 64
 #: Share of all documents that a term of the lexicon is in, at least and at most.
 LEAST_SHARE = 1 / 2000
 MOST_SHARE = 1 / 5
-#: Characters of the texts at scale 1 begin at twice this number.
-SCALE_CHARS = 256
+#: Distinct lexicon terms of the texts at scale 1 begin at twice this number.
+SCALE_TERMS = 32
 BROADCAST_TERMS = 1_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,14 +53,20 @@ def lexicon(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHAR
     return stored(seen.where(F.col("n").between(least * total, most * total)).select("term"), "lexicon")
 
 
-def scale(chars: Column) -> Column:
-    fit = F.floor(F.log2(F.greatest(chars, F.lit(1)) / SCALE_CHARS))
+def scale(terms: Column) -> Column:
+    """Scale of a text with a number of distinct lexicon terms."""
+    fit = F.floor(F.log2(F.greatest(terms, F.lit(1)) / SCALE_TERMS))
     return F.greatest(fit, F.lit(0)).cast("int")
 
 
-def place(term: Column, at: Column) -> Column:
-    """Subset of a term at a scale; from ``SUBSETS`` on it is in none."""
-    return F.pmod(F.shiftright(term, 7), F.call_function("shiftleft", F.lit(SUBSETS).cast("bigint"), at))
+def subset(term: Column) -> Column:
+    return F.pmod(F.shiftright(term, 7), F.lit(SUBSETS)).cast("int")
+
+
+def last_scale(term: Column) -> Column:
+    """Largest scale at which a term is still in its subset."""
+    rest = F.shiftright(term, 13)
+    return F.bit_count(rest.bitwiseAND(-rest) - 1).cast("int")
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -67,19 +74,18 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def sampled(text: Column, at: Column, kind: int) -> Column:
-    """Terms of the subsets at a scale: struct (kind, subset, finer, term); ``finer`` ones are in it at the next scale too."""
+TEXT, CHANGED, BOTH, ROW = 0, 1, 2, 3
+
 
-    def pick(s: Column) -> Column:
-        return F.transform(
-            F.filter(term_ids(text), lambda t: place(t, s) < SUBSETS),
-            lambda t: F.struct(
-                F.lit(kind).alias("kind"), place(t, s).cast("int").alias("subset"),
-                (place(t, s + 1) < SUBSETS).alias("finer"), t.alias("term"),
-            ),
-        )
+def tagged(text: Column, changed: Column) -> Column:
+    """Terms of a text and of its edited text: structs (kind, term), once for those of both."""
 
-    return once(at, pick)
+    def tag(terms: Column, kind: int) -> Column:
+        return F.transform(terms, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term")))
+
+    return F.concat(
+        tag(F.array_except(text, changed), TEXT), tag(F.array_except(changed, text), CHANGED), tag(F.array_intersect(text, changed), BOTH)
+    )
 
 
 def term_hash(terms: Column) -> Column:
@@ -88,14 +94,25 @@ def term_hash(terms: Column) -> Column:
     return F.when(F.size(terms) > 0, word).otherwise(F.lit("-"))
 
 
-def all_subsets(found: Column) -> Column:
-    """Hashes by subset number from the structs (subset, hash) of the subsets that have terms."""
+def set_hash(terms: Column) -> Column:
+    """Hash of all distinct terms of a text."""
+    return F.lpad(F.lower(F.hex(F.xxhash64(F.sort_array(terms)))), 16, "0")
+
+
+def all_subsets(found: Column, other: int, at: Column) -> Column:
+    """Hashes by subset number at a scale, from structs (subset, terms), without the terms of kind ``other``."""
     numbers = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
-    return once(F.map_from_entries(found), lambda m: F.transform(numbers, lambda j: F.coalesce(m[j], F.lit("-"))))
+
+    def own(terms: Column) -> Column:
+        return term_hash(F.transform(F.filter(terms, lambda t: (t.kind != other) & (t.last >= at)), lambda t: t.term))
+
+    return once(F.map_from_entries(found), lambda m: F.transform(numbers, lambda j: F.coalesce(own(m[j]), F.lit("-"))))
 
 
-def fingerprint(at: Column, own: Column, next_: Column) -> Column:
-    return F.concat(at.cast("string"), F.lit(":"), F.array_join(own, ""), F.lit(":"), F.array_join(next_, ""))
+def fingerprint(at: Column, own: Column, next_: Column, whole: Column) -> Column:
+    """Text of a fingerprint; ``whole``, the hash of all terms, where no subset has one."""
+    subsets = F.concat(at.cast("string"), F.lit(":"), F.array_join(own, ""), F.lit(":"), F.array_join(next_, ""))
+    return F.when(F.exists(own, lambda h: h != "-"), subsets).otherwise(F.concat(F.lit("="), whole))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -147,30 +164,35 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = with_next(docs).withColumn("changed", edited(F.col("text"), F.col("other")))
     rows = rows.select(
         "chunk", "row", "doc_id", F.length("text").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"),
-        scale(F.length("text")).alias("at"), scale(F.length("changed")).alias("edited_at"), "text", "changed",
+        term_ids(F.col("text")).alias("t0"), term_ids(F.col("changed")).alias("t1"),
     )
-    info = F.struct("doc_id", "n_chars", "edited_sha256", "at", "edited_at")
-    base = F.struct(F.lit(2).alias("kind"), F.lit(0).alias("subset"), F.lit(False).alias("finer"), F.xxhash64("chunk", "row").alias("term"))
-    many = F.concat(F.array(base), sampled(F.col("text"), F.col("at"), 0), sampled(F.col("changed"), F.col("edited_at"), 1))
-    rows = rows.select("chunk", "row", info.alias("info"), F.explode(many).alias("m"))
-    rows = rows.select("chunk", "row", F.when(F.col("m.kind") == 2, F.col("info")).alias("info"), "m.*")
-    rows = rows.join(terms.withColumn("known", F.lit(True)), "term", "left").where("known or kind = 2")
+    info = F.struct("doc_id", "n_chars", "edited_sha256", set_hash(F.col("t0")).alias("whole0"), set_hash(F.col("t1")).alias("whole1"))
+    base = F.struct(F.lit(ROW).alias("kind"), F.xxhash64("chunk", "row").alias("term"))
+    rows = rows.select("chunk", "row", info.alias("info"), F.explode(F.concat(F.array(base), tagged(F.col("t0"), F.col("t1")))).alias("m"))
+    rows = rows.select("chunk", "row", F.when(F.col("m.kind") == ROW, F.col("info")).alias("info"), "m.*")
+    rows = rows.join(terms.withColumn("known", F.lit(True)), "term", "left").where(f"known or kind = {ROW}")
     # terms of one subset, then subsets of one document: both stay in the task of their chunk
-    rows = rows.groupBy("chunk", "row", "kind", "subset").agg(
+    term = F.col("term")
+    one = F.when(F.col("kind") != ROW, F.struct("kind", last_scale(term).alias("last"), "term"))
+    number = F.when(F.col("kind") != ROW, subset(term)).otherwise(SUBSETS)  # the row itself is beyond the subsets
+    rows = rows.groupBy("chunk", "row", number.alias("subset")).agg(
         F.first("info", ignorenulls=True).alias("info"),
-        term_hash(F.collect_list("term")).alias("own"),
-        term_hash(F.collect_list(F.when(F.col("finer"), F.col("term")))).alias("next"),
+        F.collect_list(one).alias("terms"),
+        *[F.count_if(~F.col("kind").isin(other, ROW)).alias(f"n{k}") for k, other in ((0, CHANGED), (1, TEXT))],
     )
-    got = lambda k, h: F.collect_list(F.when(F.col("kind") == k, F.struct("subset", h)))
     rows = rows.groupBy("chunk", "row").agg(
         F.first("info", ignorenulls=True).alias("info"),
-        *[all_subsets(got(k, h)).alias(f"{h}{k}") for k in (0, 1) for h in ("own", "next")],
+        F.collect_list(F.struct("subset", "terms")).alias("subsets"),
+        *[scale(F.sum(f"n{k}")).alias(f"at{k}") for k in (0, 1)],
     )
-    rows = rows.select("chunk", "row", "info.*", "own0", "next0", "own1", "next1")
-    for k, at in ((0, "at"), (1, "edited_at")):
-        text = fingerprint(F.col(at), F.col(f"own{k}"), F.col(f"next{k}"))
-        parts = [F.col(at).alias("at"), F.col(f"own{k}").alias("own"), F.col(f"next{k}").alias("next"), text.alias("print")]
-        rows = rows.withColumn(f"f{k}", F.struct(*parts))
+    rows = rows.select("chunk", "row", "info.*", "at0", "at1", *[
+        all_subsets(F.col("subsets"), other, F.col(f"at{k}") + step).alias(f"{h}{k}")
+        for k, other in ((0, CHANGED), (1, TEXT)) for h, step in (("own", 0), ("next", 1))
+    ])
+    for k in (0, 1):
+        at, own, next_ = F.col(f"at{k}"), F.col(f"own{k}"), F.col(f"next{k}")
+        text = fingerprint(at, own, next_, F.col(f"whole{k}"))
+        rows = rows.withColumn(f"f{k}", F.struct(at.alias("at"), own.alias("own"), next_.alias("next"), text.alias("print")))
     rows = stored(rows.select("chunk", "row", "doc_id", "n_chars", "edited_sha256", "f0", "f1"), "fingerprints")
     order = Window.partitionBy(F.lit(0)).orderBy("chunk")
     heads = rows.where("row = 1").select("chunk", "f0")
