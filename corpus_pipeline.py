@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet on
 shared storage and reread as the next stage's ``docs``. All stages but the last keep the
-columns of ``documents``; rows without an id pass the filters.
+columns of ``documents``; rows are judged one by one, also those without an id or with one that others have.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontamination, mixing, near_duplicates, tokens, toxicity
-from tidemark.llm.common import stored
+from tidemark.llm.common import ROW_KEY, by_row, stored
 from tidemark.llm.registry import table
 
 END_OF_DOCUMENT = 2
@@ -24,12 +24,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked at 80 % of five-word shingles."""
-    return near_duplicates.keep_one(docs, size=5, percent=80)
+    return near_duplicates.keep_one_row(by_row(docs), ROW_KEY, size=5, percent=80).drop(ROW_KEY)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a ten-word phrase of ``benchmark``."""
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(by_row(docs), table(spark, sf_dir, "benchmark"), key=ROW_KEY).drop(ROW_KEY)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

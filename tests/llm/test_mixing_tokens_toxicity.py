@@ -6,9 +6,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from tests.llm.conftest import ROWS
+from tests.llm.conftest import ROWS, frame
 from tidemark.llm import mixing, tokens, toxicity
 from tidemark.llm.common import shared_folder
 
@@ -159,6 +160,45 @@ def test_chain_uses_earlier_categories():
     assert all(0.2 <= t <= 0.8 for t in limits)
 
 
+def test_stages_judge_rows_and_not_ids(spark, monkeypatch):
+    import corpus_pipeline
+
+    passage = " ".join(f"leak{i}" for i in range(20))
+    text = " ".join(f"plain{i} word{i % 7}" for i in range(60))
+    other = " ".join(f"quite{i} different{i % 5}" for i in range(60))
+    rows = [
+        (None, f"{text} {passage}", "a"), (1, f"{other} {passage}", "a"), (1, text, "a"), (2, other, "a"),
+        (2, text, "a"), (None, text, "a"), (3, None, "a"), (3, "", "a"),
+    ]
+    docs = frame(spark, rows)
+    bench = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: bench)
+    clean = Counter((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, docs, "").collect())
+    assert clean == Counter((i, t) for i, t, _ in rows if passage not in (t or ""))
+    one = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in one) == Counter([(1, text), (1, f"{other} {passage}"), (3, None), (3, "")])
+    judge = lambda *_, **__: lambda b: pa.RecordBatch.from_arrays(
+        [*b.columns, *[pa.array([0.0] * len(b))] * 2, *[pa.array(["leak" in (t or "") for t in b.column("text").to_pylist()])] * 2],
+        names=[*b.schema.names, "p0", "p1", "is0", "is1"],
+    )
+    monkeypatch.setattr(toxicity, "train", lambda *_: ([], []))
+    monkeypatch.setattr(toxicity, "_scorer", judge)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    kept = Counter((r.doc_id, r.text) for r in toxicity.keep_clean(docs, labels).collect())
+    assert kept == Counter((i, t) for i, t, _ in rows if passage not in (t or ""))
+
+
+def test_rows_without_an_id_are_ranked_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 50)
+    rows = [(None, "one two three", "a")] * 900 + [(i, "x " * 9, "b") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sliced = mixing.choose(df).where("doc_id is null")
+    assert 0 < sliced.where("times > 0").count() <= 900 and mixing.mix(df).columns == df.columns
+    assert mixing.mix(df).count() == mixing.choose(df).agg({"times": "sum"}).first()[0]
+    order = mixing.measured(df).where("doc_id is null").select(mixing.ROW_KEY).distinct().count()
+    assert order == 900
+
+
 def test_pipeline_stages(spark, sf_dir, odd, none):
     import corpus_pipeline
 

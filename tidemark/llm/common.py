@@ -33,6 +33,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Name of the row key that ``by_row`` adds.
+ROW_KEY = "_row_key"
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """``docs``, stored, with a key of its own for each row: null and repeated ids are told apart by it."""
+    return stored(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "rows")
+
+
 def ordered_chunks(df: DataFrame, key: str, chunks: int) -> Column:
     """Chunk number of a row, ascending with ``key``; nulls are in chunk 0.
 

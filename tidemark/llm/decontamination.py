@@ -262,7 +262,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, slop: int =
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """``docs`` without the documents that hold a phrase of an item; rows without an id are kept."""
-    bad = contamination(docs, items, size).where("contaminated and doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+def clean(docs: DataFrame, items: DataFrame, size: int = 10, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the documents that hold a phrase of an item; rows without a key are kept."""
+    found = contamination(docs.select(F.col(key).alias("doc_id"), "text"), items, size)
+    bad = found.where("contaminated and doc_id is not null").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(bad, key, "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import ROW_KEY, by_row, stored
 from tidemark.operators.skew import attach
 
 WEIGHTS = (5, 2, 1)
@@ -134,8 +134,9 @@ def word_count() -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, source and ``size``, the number of words (anything between ASCII white space)."""
-    return _keyed(docs.select("doc_id", "source", word_count())).drop("source")
+    """doc_id, row key, source and ``size``, the number of words (anything between ASCII white space)."""
+    key = F.col(ROW_KEY) if ROW_KEY in docs.columns else F.monotonically_increasing_id()
+    return _keyed(docs.select("doc_id", key.alias(ROW_KEY), "source", word_count())).drop("source")
 
 
 def choose(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -146,7 +147,7 @@ def choose(docs: DataFrame, seed: int = SEED) -> DataFrame:
     lengths = rows.groupBy(*KEY, "size").agg(F.count("*").alias("n"))
     plan = lengths.join(goals, KEY).groupBy(*KEY).applyInPandas(_plan_source, PLAN)
     plan = stored(plan.join(goals, KEY), "mix-plan")
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    order = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("bigint"), ROW_KEY))
     marked = attach(rows, plan, [*KEY, "size"]).withColumn("_order", order)
     slices = F.ceil(F.col("n") / SLICE_ROWS)
     marked = marked.withColumn("_slice", F.pmod(F.shiftrightunsigned("_order", 8), slices))
@@ -154,11 +155,11 @@ def choose(docs: DataFrame, seed: int = SEED) -> DataFrame:
     cut = marked.where(F.col("n") > SLICE_ROWS).groupBy(*group).agg(F.count("*").alias("m"))
     earlier = Window.partitionBy(*KEY, "size").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     cut = cut.withColumn("_before", F.coalesce(F.sum("m").over(earlier), F.lit(0))).drop("m")
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", "doc_id", ROW_KEY))
     ranked = attach(marked.withColumn("_rank", rank), cut, group)
     place = F.col("_rank") + F.coalesce("_before", F.lit(0))
     times = F.col("base") + (place <= F.col("extra")).cast("bigint")
-    return ranked.select("doc_id", *KEY, "size", "source_size", "target", times.alias("times"))
+    return ranked.select("doc_id", ROW_KEY, *KEY, "size", "source_size", "target", times.alias("times"))
 
 
 def mixture(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -168,18 +169,9 @@ def mixture(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it; wordless rows are kept once.
-
-    Rows that share id, source and size are interchangeable: they take the places of their group in turn.
-    """
-    same = [*KEY, "_id", "_no_id", "size"]
-    ids = {"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "_no_id": F.col("doc_id").isNull()}
-    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("times"))
-    picked = choose(docs, seed).withColumns(ids).groupBy(*same)
-    picked = picked.agg(F.sort_array(F.collect_list(times), asc=False).alias("_times"))
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", F.xxhash64("text").alias("_text"), word_count())
-    turn = F.row_number().over(Window.partitionBy(*same).orderBy("_text"))
-    rows = _keyed(rows).withColumns(ids).select("row", *same, turn.alias("_turn"))
-    joined = rows.join(picked, same).withColumn("_n", F.element_at("_times", F.col("_turn")).cast("int"))
-    repeated = joined.where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return repeated.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    """``docs`` with each row repeated as often as the mix takes it; wordless rows are kept once."""
+    rows = by_row(docs)
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("times")).cast("int")
+    picked = choose(rows, seed).select(ROW_KEY, times.alias("_n")).where("_n > 0")
+    repeated = rows.join(picked, ROW_KEY).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return repeated.select(*docs.columns)

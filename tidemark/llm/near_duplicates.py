@@ -293,6 +293,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return found.withColumn("kept", kept)
 
 
+def keep_one_row(docs: DataFrame, key: str, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group, that of the smallest id; ``key`` is not null and unlike in all rows."""
+    found = near_duplicates(docs.select(F.col(key).alias("doc_id"), "text"), size, percent)
+    found = found.select(F.col("doc_id").alias(key), "component_id").join(docs.select(key, "doc_id"), key)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key))
+    kept = found.groupBy("component_id").agg(first.alias("m")).select(F.col(f"m.{key}").alias(key))
+    return docs.join(kept, key, "left_semi").select(*docs.columns)
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group; rows without an id are kept."""
     ids = near_duplicates(docs, size, percent).where("kept and doc_id is not null").select("doc_id").distinct()

@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import ALNUM, Words, by_block, lists, mix, stored
 
@@ -234,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, chain=CHAIN, train_rows: int = TRA
     return ids, coded.mapInArrow(_fit(len(ids), k), MODEL).orderBy("category").collect()
 
 
-def _scorer(ids, model, limits):
+def _scorer(ids, model, limits, without=("text",)):
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         features = Features(block.column("text"))
         n, extra, out = features.n, np.zeros((len(block), 0)), []
@@ -245,7 +246,7 @@ def _scorer(ids, model, limits):
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             out.append(p)
             extra = np.column_stack([extra, _logit(p)])
-        names = [name for name in block.schema.names if name != "text"]
+        names = [name for name in block.schema.names if name not in without]
         arrays = [block.column(name) for name in names]
         arrays += [pa.array(p) for p in out] + [pa.array(p >= t) for p, t in zip(out, limits, strict=True)]
         names += [f"p{k}" for k in range(len(out))] + [f"is{k}" for k in range(len(out))]
@@ -275,7 +276,12 @@ def labelled(labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those found toxic; rows without an id are kept."""
-    found = score(docs, train(docs, labelled(labels)))
-    bad = found.where("toxic and doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows found toxic, whatever their ids."""
+    ids, model = train(docs, labelled(labels))
+    plain = [{"weights": np.array(r.weights), "chain": np.array(r.chain), "intercept": r.intercept} for r in model]
+    schema = StructType(list(docs.schema.fields))
+    for kind, name in (("double", "p"), ("boolean", "is")):
+        for i in range(len(CHAIN)):
+            schema = schema.add(f"{name}{i}", kind)
+    rows = docs.mapInArrow(by_block(_scorer(ids, plain, [r.threshold for r in model], without=())), schema)
+    return rows.where(~F.col(f"is{CHAIN.index('toxic')}")).select(*docs.columns)
