@@ -109,6 +109,13 @@ def test_constant_nodes_are_template(spark):
     assert all(r.text.startswith("Same slogan") for r in got)
 
 
+def test_text_without_a_partner_stays(spark):
+    body = "<div><p>By <{0}>{1}</{0}></p><p>story of page {1} and more words on {1}</p></div>"
+    rows = [(i, "https://h.x/", page(body.format("i" if i else "b", f"n{i}"))) for i in range(12)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"By n{i}\nstory of page n{i} and more words on n{i}" for i in range(12)}
+
+
 def test_tree_matching_is_maximal():
     def brute(x, y):
         if x.tag != y.tag:

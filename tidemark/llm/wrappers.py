@@ -278,8 +278,9 @@ def page_blocks(root: Node, sample: list[Node] | None) -> list[dict]:
     out = []
     for text, zone, nodes in text_blocks(root):
         first = next((partner[n.number] for n in nodes if n.number in partner and _plain(n)), -1)
-        same = first >= 0 and all(_plain(sample[partner[n.number]]) == _plain(n) for n in nodes if n.number in partner)
-        out.append({"text": text, "zone": zone, "node": first, "same": same and any(n.number in partner for n in nodes)})
+        # a text without a partner is nowhere in the sample's block: the block is not the template's
+        same = first >= 0 and all(_plain(sample[partner[n.number]]) == _plain(n) if n.number in partner else not _plain(n) for n in nodes)
+        out.append({"text": text, "zone": zone, "node": first, "same": same})
     return out
 
 
