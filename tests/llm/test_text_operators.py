@@ -169,6 +169,34 @@ def test_salvage(packed):
     assert sum(n for _, n, _ in found) == len(bad) and sum(isinstance(r, str) for _, _, r in found) == 4
 
 
+def foreign(kind, block, *more, content="application/http; msgtype=response"):
+    """A record as crawlers write it: no fields of this writer, digests only among ``more``."""
+    lines = ["WARC/1.0", f"warc-type: {kind}", "WARC-Record-ID: <urn:uuid:1>", "WARC-Date:2020-02-02T00:00:00Z", *more]
+    return "\r\n".join([*lines, f"Content-Type: {content}", f"content-length:{len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_archives_of_other_writers_are_read(packed):
+    http, body = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n", b"<p>body</p>"
+    sha = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\n<p>b\r\n7\r\nody</p>\r\n0\r\n\r\n"
+    parts = [
+        foreign("warcinfo", b"software: x\r\n", "WARC-Filename: a.warc", content="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "WARC-Concurrent-To: <urn:uuid:2>", "WARC-Concurrent-To: <urn:uuid:3>"),
+        foreign("response", http + body), foreign("response", http + body, f"WARC-Payload-Digest: sha1:{sha}"),
+        foreign("response", http + body, f"WARC-Block-Digest: sha256:{hashlib.sha256(http + body).hexdigest()}"),
+        foreign("response", chunked, f"WARC-Payload-Digest: sha1:{sha}"),
+        foreign("metadata", b"a: b\r\n", content="application/warc-fields"), foreign("resource", body, content="text/html"),
+        foreign("revisit", http, f"WARC-Payload-Digest: sha1:{sha}"),
+    ]
+    bad = foreign("response", http + body, f"WARC-Payload-Digest: sha1:{sha[::-1]}")
+    data = b"".join(warc.member(p) if packed else p for p in [*parts, bad, parts[0]])
+    found = [r for _, _, r in warc.salvage(io.BytesIO(data), len(data))]
+    kinds = ["warcinfo", "request", "response", "response", "response", "response", "metadata", "resource", "revisit"]
+    assert [r["type"] for r in found if isinstance(r, dict)] == [*kinds, "warcinfo"] and isinstance(found[9], str) and len(found) == 11
+    assert [(r["bytes"], r["digest"]) for r in found[2:5]] == [(len(body), sha)] * 3 and found[7]["payload"] == body
+
+
 def test_damaged_archive_on_shared_storage(spark):
     df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(20)], "page_id bigint, url string, html string").coalesce(1)
     manifest = warc.write(df, shared_folder(spark, "w"))

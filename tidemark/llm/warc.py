@@ -1,7 +1,7 @@
 """WARC archives on shared storage, with a reader that salvages damaged ones.
 
 Every record is a gzip member of its own (plain archives are read as well). The reader
-checks each record: the member's checksum, version line, length and payload digest. After a
+checks each record of any type: the member's checksum, version line, length and the digests it has. After a
 failed check it searches for the next offset at which a whole valid record begins - a gzip
 member or a version line -, logs the bytes between as quarantined and goes on, so damage
 costs only the records it hits.
@@ -78,33 +78,95 @@ class Damaged(ValueError):
     """The bytes at an offset are not one whole valid record."""
 
 
+#: Fields that a record has once; a second one is the head of the next record after a cut.
+ONCE = set(
+    "warc-record-id content-length warc-date warc-type content-type warc-block-digest warc-payload-digest warc-ip-address "
+    "warc-refers-to warc-target-uri warc-truncated warc-warcinfo-id warc-filename warc-profile warc-identified-payload-type "
+    "warc-segment-number warc-segment-origin-id warc-segment-total-length x-payload-length x-page-id x-refers-to-page-id".split()
+)
+_HASHES = {"sha1", "sha256", "sha512", "md5"}
+
+
+def _fields(lines: list[bytes]) -> dict[str, str]:
+    """Fields by lower-case name; of a repeated one the first, continued lines joined."""
+    out: dict[str, str] = {}
+    name = ""
+    for line in lines:
+        text = line.decode()
+        if text[:1] in (" ", "\t") and name:
+            out[name] += " " + text.strip()
+            continue
+        name, mark, value = text.partition(":")
+        name = name.strip().lower()
+        if not mark or not name or (name in ONCE and name in out):
+            raise Damaged("headers")
+        out.setdefault(name, value.strip())
+    return out
+
+
+def _agrees(stated: str | None, content: bytes) -> bool | None:
+    """Whether content has a stated digest (base 32 or hex); none if it is absent or of another kind."""
+    kind, mark, value = (stated or "").partition(":")
+    if not mark or kind.lower() not in _HASHES:
+        return None
+    raw = hashlib.new(kind.lower(), content).digest()
+    return value.lower().rstrip("=") in (raw.hex(), base64.b32encode(raw).decode().lower().rstrip("="))
+
+
+def _joined_chunks(body: bytes) -> bytes:
+    """Body of a chunked transfer; what is not chunked is left."""
+    out, at = [], 0
+    while at < len(body):
+        size, mark, _ = body[at : at + 64].partition(b"\r\n")
+        try:
+            n = int(size.split(b";")[0], 16)
+        except ValueError:
+            return body
+        at += len(size) + len(mark)
+        if not n:
+            break
+        out.append(body[at : at + n])
+        at += n + 2
+    return b"".join(out)
+
+
 def parse(content: bytes) -> dict:
-    """Headers and payload of one whole record; raises ``Damaged`` if any check fails."""
+    """Headers and payload of one whole record; raises ``Damaged`` if any check fails.
+
+    Digests are checked where the record has them. The payload of HTTP messages is their body,
+    that of other records the block; a revisit record has none, so its length may be unknown.
+    """
     head, mark, rest = content.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
     if not mark or not lines[0].startswith(b"WARC/1."):
         raise Damaged("no version line")
     try:
-        fields = dict(line.decode().split(": ", 1) for line in lines[1:])
-        if len(fields) < len(lines) - 1:
-            raise Damaged("a field twice")  # the head of a cut-off record runs into the next one
-        length = int(fields["Content-Length"])
-        out = {"type": fields["WARC-Type"], "digest": fields["WARC-Payload-Digest"].removeprefix("sha1:")}
-        out["bytes"] = int(fields["X-Payload-Length"])
-        out |= {k: int(fields[h]) if h in fields else None for k, h in (("page_id", "X-Page-ID"), ("refers_to", "X-Refers-To-Page-ID"))}
+        fields = _fields(lines[1:])
+        length = int(fields["content-length"])
+        kind = fields["warc-type"].lower()
+        known = {k: int(fields[h]) if h in fields else None for k, h in (("page_id", "x-page-id"), ("refers_to", "x-refers-to-page-id"))}
+        stated = int(fields["x-payload-length"]) if "x-payload-length" in fields else None
     except (KeyError, ValueError) as e:
         raise Damaged("headers") from e
     block = rest[:length]
-    if len(block) != length or rest[length:] != b"\r\n\r\n":
+    if length < 0 or len(block) != length or rest[length:] != b"\r\n\r\n":
         raise Damaged("length")
-    if f"sha1:{digest(block)}" != fields.get("WARC-Block-Digest"):
+    whole = _agrees(fields.get("warc-block-digest"), block)
+    if whole is False:
         raise Damaged("block digest")
-    if out["type"] == "response":
-        payload = block.partition(b"\r\n\r\n")[2]
-        if len(payload) != out["bytes"] or digest(payload) != out["digest"]:
-            raise Damaged("payload digest")
-        out["payload"] = payload
-    return out
+    given = fields.get("warc-payload-digest")
+    out = {"type": kind, "digest": given.removeprefix("sha1:") if given else None, "bytes": stated, **known}
+    if kind == "revisit":
+        return out
+    http = fields.get("content-type", "").lower().startswith("application/http")
+    payload = block.partition(b"\r\n\r\n")[2] if http else block
+    part = "warc-segment-number" in fields or "warc-truncated" in fields  # the digest may be that of the whole
+    # some crawlers state the digest of the joined chunks; a good block digest covers the payload as well
+    if whole is None and not part and _agrees(given, payload) is False and _agrees(given, _joined_chunks(payload)) is False:
+        raise Damaged("payload digest")
+    if stated is not None and stated != len(payload):
+        raise Damaged("payload length")
+    return out | {"bytes": len(payload), "digest": out["digest"] or digest(payload), "payload": payload}
 
 
 def _read_at(f, at: int, n: int) -> bytes:
@@ -136,7 +198,7 @@ def _plain_record(f, at: int) -> tuple[dict, int]:
             raise Damaged("cut off")
         head, pos = head + chunk, pos + len(chunk)
     top, _, _ = head.partition(b"\r\n\r\n")
-    length = next((x[16:] for x in top.split(b"\r\n") if x.lower().startswith(b"content-length: ")), b"")
+    length = next((x[15:].strip() for x in top.split(b"\r\n") if x.lower().startswith(b"content-length:")), b"")
     if not length.isdigit():
         raise Damaged("headers")
     total = len(top) + 4 + int(length) + 4
