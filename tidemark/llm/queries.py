@@ -11,9 +11,12 @@ from tidemark.llm import (
     mixing,
     near_duplicates,
     personal_data,
+    ranked,
+    simhash,
     tokens,
     toxicity,
     warc,
+    whitening,
     wrappers,
 )
 from tidemark.llm.registry import LLM_ORACLE, LLM_QUERIES, query, table
@@ -114,3 +117,55 @@ def op7(spark, folder):
 def op9(spark, folder):
     """Licence texts and notices in all ``documents``."""
     return licences.licences(table(spark, folder, "documents"))
+
+
+@query("op11_simhash")
+def op11(spark, folder):
+    """SimHash fingerprints and groups of all ``documents``."""
+    return simhash.near_duplicates(table(spark, folder, "documents"), size=4, most=4)
+
+
+@query("op12_whitening")
+def op12(spark, folder):
+    """First eight whitened components of all ``embeddings``."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents WHERE text IS NOT NULL
+), b AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL
+), q AS (
+    SELECT item_id, term, count(*) AS reps FROM b GROUP BY item_id, term
+), size AS (
+    SELECT row_number() OVER () AS row, doc_id, words, CAST(len(words) AS BIGINT) AS n FROM d WHERE len(words) > 0
+), total AS (
+    SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size
+), tf AS (
+    SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM size)
+    WHERE term IN (SELECT term FROM q) GROUP BY row, term
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM tf CROSS JOIN total GROUP BY term, docs
+), scored AS (
+    SELECT item_id, row, CAST(sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM q JOIN weight USING (term) JOIN tf USING (term) JOIN size USING (row) CROSS JOIN total
+    GROUP BY item_id, row
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+        doc_id, score
+    FROM scored JOIN size USING (row) WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13(spark, folder):
+    """The ten best ``documents`` for each item of ``benchmark``."""
+    return ranked.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
