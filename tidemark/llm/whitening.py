@@ -12,9 +12,10 @@ about the mean itself follows by taking off n times the remainders' products (ea
 
 Defined cases: rows whose vector is null or holds a null or an entry that is not finite are left
 out; a vector that is shorter than the longest is read as ending in zeros; entries beyond
-2**40 in size count as 2**40; components with an eigenvalue of zero (equal rows, dependent dimensions) are
-not returned, as nothing can be divided by their deviation; a deviation beyond 64 bits is null; repeated rows and rows
-without an id are rows of their own; an empty table gives an empty result; other columns are not read.
+2**40 in size count as 2**40; components whose eigenvalue is zero to double precision (equal rows,
+dependent dimensions) are not returned, as nothing can be divided by their deviation; a deviation
+beyond 64 bits is null; repeated rows and rows without an id are rows of their own; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
