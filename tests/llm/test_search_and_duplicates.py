@@ -22,8 +22,8 @@ def items(spark, rows):
     return spark.createDataFrame(rows, "item_id bigint, text string")
 
 
-def test_all_ten_are_registered():
-    assert sorted({int(re.match(r"op(\d+)_", n)[1]) for n in LLM_QUERIES}) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted({int(re.match(r"op(\d+)_", n)[1]) for n in LLM_QUERIES}) == list(range(1, 14))
 
 
 def test_op1_matches_sql(spark, sf_dir, duck):
@@ -108,8 +108,11 @@ def brute_components(docs, size, percent):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_near_duplicates_match_brute_force(spark, size):
+@pytest.mark.parametrize("size,rounds,rows", [(2, 2, 1024), (5, 2, 1024), (2, 0, 1024), (5, 0, 16)])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, size, rounds, rows):
+    """With pivots, without (all is left to the tasks), and with buckets cut into slices."""
+    monkeypatch.setattr(near_duplicates, "PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr(near_duplicates, "SLICE_ROWS", rows)
     rng = random.Random(size)
     words = [f"t{i}" for i in range(400)]
     docs, base = [], [rng.choice(words) for _ in range(90)]

@@ -13,9 +13,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import attach
 from tidemark.session import checkpoint_dir
 
 BLOCK_BYTES = 1 << 20
@@ -37,9 +39,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 ROW_KEY = "_row_key"
 
 
+#: Keys or files that are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
+BROADCAST_FILES = 100_000
+
+
 def by_row(docs: DataFrame) -> DataFrame:
-    """``docs``, stored, with a key of its own for each row: null and repeated ids are told apart by it."""
-    return stored(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "rows")
+    """``docs`` with a key of its own for each row: null and repeated ids are told apart by it.
+
+    Rows of Parquet files are numbered by their place: rows of earlier files (a prefix sum over
+    files) plus the place in the file, so nothing is copied and every read gives the same keys.
+    Other relations are stored with a number first.
+    """
+    try:
+        placed = docs.withColumns({"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.row_index")})
+    except AnalysisException:
+        return stored(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "rows")
+    counts = placed.groupBy("_file").agg(F.count("*").alias("n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    bases = counts.select("_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    bases = stored(bases, "files")
+    bases = F.broadcast(bases) if bases.count() <= BROADCAST_FILES else bases
+    return placed.join(bases, "_file").select(*docs.columns, (F.col("_base") + F.col("_at")).alias(ROW_KEY))
+
+
+def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``docs`` but the rows with one of the distinct ``keys``: texts are not shuffled for a counted few."""
+    keys = stored(keys, "left-out")
+    few = keys.count() <= BROADCAST_KEYS
+    return docs.join(F.broadcast(keys), key, "left_anti") if few else attach(docs, keys, [key], "left_anti")
 
 
 def ordered_chunks(df: DataFrame, key: str, chunks: int) -> Column:

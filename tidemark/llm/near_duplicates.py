@@ -12,16 +12,18 @@ candidates. A pair of similarity 0.8 has no common band with probability 3e-6.
 
 Verification: candidates are confirmed on the full shingle sets. Documents with equal sets
 are one class and are never paired. In a bucket, members are first compared with one pivot
-in each round; components shrink the rest, and when few pairs of different components are
-left (or a round links hardly any of its pairs), all those pairs are compared. So no pair of candidates
-goes unanswered, and a group of n near copies costs about n comparisons a band. Before a
-comparison, set sizes and a one-bit-a-bin sketch are looked at; a pair of similarity 0.8
-is lost there with probability below 1e-6.
+in each of ``PIVOT_ROUNDS`` rounds, and a bucket whose members are all connected is done: a group
+of n near copies costs about n comparisons a band. What is left of a bucket is then compared
+within one task, on sizes and one-bit sketches first and on the sets of those that may be alike;
+the task gives back links of a spanning forest, never pairs. A bucket with more than
+``SLICE_ROWS`` open members or ``SLICE_SHINGLES`` shingles is cut into slices, and each two slices
+are compared by a task of their own, so that what a task holds is bounded. So no pair of candidates goes unanswered.
+A pair of similarity 0.8 is lost by the one-bit sketches with probability below 1e-6.
 
 Defined cases: documents without words have an empty set and are linked with nothing;
-equal rows are linked; rows that share an id are one node; rows without an id take part as
-copies of others, and get a null component if no document with an id is in their group;
-other columns are not read by ``near_duplicates`` and kept by ``keep_one``.
+equal rows are linked; every row takes part, also one without an id or with one that others
+have; a component without any id is null; other columns are not read by ``near_duplicates``
+and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NOT_SPACE, Words, by_block, lists, mix, stored
+from tidemark.llm.common import NOT_SPACE, Words, by_block, lists, mix, stored, without
 from tidemark.llm.components import components
 from tidemark.operators.skew import attach
 
@@ -42,14 +44,20 @@ ROWS = 5
 BANDS = BINS // ROWS
 #: Differing one-bit sketches of a pair that is still compared; 16 are expected at a similarity of 0.8.
 MOST_BITS = 36
-#: Ids that are broadcast to filter the documents; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-#: Open pairs for each bucket member at which comparing them all ends the rounds.
-OPEN_PAIRS = 8
-#: Share of a round's compared pairs that must be links for another round of pivots.
-LEAST_YIELD = 1 / 100
-
-SKETCH = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>, b0 bigint, b1 bigint, b2 bigint"
+#: Texts that are picked by a broadcast of their hashes; more are joined by a shuffle.
+BROADCAST_TEXTS = 1_000_000
+#: Rounds in which the members of a bucket are compared with a pivot; more rounds cost more than they save the tasks after.
+PIVOT_ROUNDS = 1
+#: Members and shingles of a slice of a bucket; a task compares two slices.
+SLICE_ROWS = 1024
+SLICE_SHINGLES = 500_000
+#: Members whose likeness to all others is looked at at once.
+LOOK_ROWS = 256
+
+SKETCH = (
+    "doc_id bigint, h1 bigint, h2 bigint, n_shingles bigint, key binary, bands array<bigint>, "
+    "b0 bigint, b1 bigint, b2 bigint"
+)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _LARGEST = np.uint64(2**64 - 1)
 _SEEDS = np.arange(1, 2 * BINS + 1, dtype=np.uint64) * _STEP
@@ -135,13 +143,13 @@ def _sketch_block(size: int):
         cut = np.arange(len(bins) + 1) * BANDS
         return pa.RecordBatch.from_arrays(
             [
-                block.column("doc_id").cast(pa.int64()),
+                *(block.column(c) for c in ("doc_id", "h1", "h2")),
                 pa.array(np.diff(bounds), pa.int64()),
                 pa.array(keys, pa.binary()),
                 lists(bands.reshape(-1).view(np.int64), cut, pa.int64()),
                 *(pa.array(np.ascontiguousarray(packed[:, k]), mask=~filled) for k in range(3)),
             ],
-            names=["doc_id", "n_shingles", "key", "bands", "b0", "b1", "b2"],
+            names=["doc_id", "h1", "h2", "n_shingles", "key", "bands", "b0", "b1", "b2"],
         )
 
     return work
@@ -213,70 +221,199 @@ def _pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
     return rows.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
 
 
-def _all_pairs(members: DataFrame, looks: DataFrame, percent: int) -> DataFrame:
-    """All likely pairs of members of one bucket and different components."""
-    rows = attach(members, looks, ["node"], "inner")
-    other = rows.select("band", *[F.col(c).alias(f"o_{c}") for c in ("node", "component", "n", "b0", "b1", "b2")])
-    off = sum((F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"o_b{k}"))) for k in range(3)), F.lit(0))
-    near = (100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n")) & (off <= MOST_BITS)
-    pairs = rows.join(other, (rows.band == other.band) & (F.col("node") > F.col("o_node")) & (F.col("component") != F.col("o_component")) & near)
-    return pairs.select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
+# ---- comparing what is left of a bucket ----------------------------------------------
+
+
+def whole_groups(batches, keys: list[str]):
+    """Batches that end where a group of equal ``keys`` ends; rows come sorted by them."""
+    kept = None
+    for batch in batches:
+        rows = batch if kept is None else pa.concat_batches([kept, batch])
+        if not len(rows):
+            continue
+        values = [rows.column(k).to_numpy() for k in keys]
+        first = int(np.argmax(np.logical_and.reduce([v == v[-1] for v in values])))
+        if first:
+            yield rows.slice(0, first)
+        kept = rows.slice(first)
+    if kept is not None:
+        yield kept
+
+
+def _bounds(rows: pa.RecordBatch) -> np.ndarray:
+    """Bounds of the groups of equal band and cell."""
+    band, cell = (rows.column(c).to_numpy() for c in ("band", "cell"))
+    new = np.flatnonzero((band[1:] != band[:-1]) | (cell[1:] != cell[:-1])) + 1
+    return np.concatenate([[0], new, [len(band)]])
+
+
+class _Group:
+    """Members of one cell: which may be alike by component, size and one-bit sketch."""
+
+    def __init__(self, rows: pa.RecordBatch, percent: int):
+        self.component, self.part, self.n = (rows.column(c).to_numpy() for c in ("component", "part", "n"))
+        self.bits = [rows.column(f"b{k}").to_numpy().view(np.uint64) for k in range(3)]
+        self.two_slices = self.part.min() != self.part.max()
+        self.percent = percent
+
+    def likely(self, a: int, b: int) -> np.ndarray:
+        """Table of rows ``a`` to ``b`` against all rows."""
+        at = slice(a, b)
+        n, m = self.n[at, None], self.n[None, :]
+        out = self.component[at, None] != self.component[None, :]
+        out &= 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
+        if self.two_slices:
+            out &= self.part[at, None] != self.part[None, :]
+        off = sum(np.bitwise_count(x[at, None] ^ x[None, :]).astype(np.uint16) for x in self.bits)
+        return out & (off <= MOST_BITS)
+
+
+def _alive(percent: int):
+    """Members that may be like another of their cell."""
+
+    def run(batches):
+        for rows in whole_groups(batches, ["band", "cell"]):
+            keep = np.zeros(len(rows), bool)
+            bounds = _bounds(rows)
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if b - a > 1:
+                    group = _Group(rows.slice(a, b - a), percent)
+                    for at in range(0, b - a, LOOK_ROWS):
+                        to = min(at + LOOK_ROWS, b - a)
+                        keep[a + at : a + to] = group.likely(at, to).any(axis=1)
+            yield rows.filter(pa.array(keep))
+
+    return run
+
+
+def group_links(rows: pa.RecordBatch, percent: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the members of one cell, by their sets."""
+    group, nodes = _Group(rows, percent), rows.column("node").to_numpy()
+    sets = rows.column("set")
+    cut = np.concatenate([[0], np.cumsum(group.n)])
+    _, codes = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    mark = np.zeros(codes.max() + 1, bool)
+    component = group.component.copy()
+    found = []
+    for at in range(0, len(rows), LOOK_ROWS):
+        table = group.likely(at, min(at + LOOK_ROWS, len(rows)))
+        for i in range(at, at + len(table)):
+            other = np.flatnonzero(table[i - at, :i])
+            other = other[component[other] != component[i]]
+            if not len(other):
+                continue
+            sizes = group.n[other]
+            ends = np.cumsum(sizes)
+            place = np.repeat(cut[other] - (ends - sizes), sizes) + np.arange(ends[-1])
+            own = codes[cut[i] : cut[i + 1]]
+            mark[own] = True
+            common = np.add.reduceat(mark[codes[place]], ends - sizes, dtype=np.int64)
+            mark[own] = False
+            alike = other[100 * common >= percent * (group.n[i] + sizes - common)]
+            for j in alike:
+                if component[j] != component[i]:
+                    found.append((int(nodes[i]), int(nodes[j])))
+                    component[component == component[j]] = component[i]
+    return found
+
+
+def _linker(percent: int):
+    def run(batches):
+        for rows in whole_groups(batches, ["band", "cell"]):
+            bounds = _bounds(rows)
+            found = []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if b - a > 1:
+                    found.extend(group_links(rows.slice(a, b - a), percent))
+            u, v = np.array(found, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    return run
+
+
+def _cells(members: DataFrame) -> DataFrame:
+    """Members with the ``cell`` of their bucket: a bucket itself, or each two of its slices."""
+    per = members.groupBy("band").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    slices = F.ceil(F.greatest(F.col("c") / SLICE_ROWS, F.col("s") / SLICE_SHINGLES)).cast("bigint").alias("slices")
+    rows = attach(members, per.select("band", slices), ["band"])
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("slices")))
+    other = F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)
+    cells = F.transform(other, lambda t: F.least("part", t) * F.col("slices") + F.greatest("part", t))
+    return rows.withColumn("cell", F.explode(cells)).drop("slices")
+
+
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    def work(block: pa.RecordBatch) -> pa.RecordBatch:
+        values, bounds = shingle_sets(block.column("text"), size)
+        return pa.RecordBatch.from_arrays([block.column("node"), lists(values.view(np.int64), bounds, pa.int64())], names=["node", "set"])
+
+    return texts.mapInArrow(by_block(work), "node bigint, set array<bigint>")
+
+
+def _within(members: DataFrame, pairs: _Pairs) -> DataFrame:
+    """Links between members of one bucket and different components."""
+    rows = _cells(attach(members, pairs.looks, ["node"], "inner"))
+    dealt = rows.repartition("band", "cell").sortWithinPartitions("band", "cell")
+    alive = stored(dealt.mapInArrow(_alive(pairs.percent), dealt.schema), "near-alive")
+    texts = attach(pairs.texts, alive.select("node").distinct(), ["node"], "left_semi")
+    sets = stored(_sets(texts, pairs.size), "near-sets")
+    dealt = attach(alive, sets, ["node"], "inner").repartition("band", "cell").sortWithinPartitions("band", "cell")
+    return stored(dealt.mapInArrow(_linker(pairs.percent), "u bigint, v bigint"), "near-links")
 
 
-def _open_pairs(members: DataFrame) -> tuple[float, int]:
-    """Number of pairs of different components in the buckets, and of bucket members."""
-    parts = members.groupBy("band", "component").agg(F.count("*").alias("n"))
-    n = F.col("n").cast("double")
-    per = parts.groupBy("band").agg(F.sum(n).alias("s"), F.sum(n * n).alias("q"))
-    row = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs"), F.sum("s").alias("rows")).first()
-    return row.pairs or 0.0, int(row.rows or 0)
+def _class_texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One text of each class in ``nodes``, found by its hash."""
+    picked = attach(classes.select("node", "pick.*"), nodes, ["node"], "left_semi")
+    picked = stored(picked.withColumnRenamed("doc_id", "_id"), "near-picked")
+    rows = _hashed(docs).where("text is not null")
+    few = picked.count() <= BROADCAST_TEXTS
+    same = rows.h1.eqNullSafe(picked.h1) & (rows.h2 == picked.h2) & rows.doc_id.eqNullSafe(picked._id)
+    rows = rows.join(F.broadcast(picked) if few else picked, same).select("node", "text")
+    rows = stored(rows, "near-texts")
+    if rows.count() == nodes.count():
+        return rows
+    return stored(rows.groupBy("node").agg(F.first("text").alias("text")), "near-texts")  # repeated rows
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    hashes = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")]
+    return docs.select(F.col("doc_id").cast("bigint"), "text", *hashes)
 
 
 def class_components(docs: DataFrame, sketched: DataFrame, size: int, percent: int) -> DataFrame:
     """``key`` (of a shingle set) and ``component``, the smallest document id it is linked with."""
     spark = docs.sparkSession
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
     classes = sketched.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
+        F.min("doc_id").alias("least"), F.min(row).alias("pick"), F.first("n_shingles").alias("n"),
         *[F.first(c).alias(c) for c in ("b0", "b1", "b2", "bands")],
     )
-    classes = stored(classes, "near-classes")
-    known = classes.where("node is not null")
-    banded = known.select("node", F.explode("bands").alias("band"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    banded = classes.select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     members = stored(attach(banded, shared.select("band"), ["band"], "left_semi").distinct(), "near-members")
     nodes = stored(members.select("node").distinct(), "near-nodes")
-    few = nodes.count() <= BROADCAST_IDS
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").where("node is not null and text is not null")
-    texts = rows.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
-    texts = stored(texts, "near-texts")
-    pairs = _Pairs(known, texts, size, percent)
-
-    links = _nothing(spark, "u bigint, v bigint")
-    tested = _nothing(spark, "a bigint, b bigint")
-    labels, turn, yields = None, 0, True
-    while True:
+    pairs = _Pairs(classes, _class_texts(docs, classes, nodes), size, percent)
+
+    links, labels = _nothing(spark, "u bigint, v bigint"), None
+    for turn in range(PIVOT_ROUNDS + 1):
         left = stored(_open_members(members, labels), "near-open")
-        open_pairs, rows_left = _open_pairs(left)
-        if not open_pairs:
+        if left.isEmpty():
             break
-        last = turn > 0 and (open_pairs <= OPEN_PAIRS * rows_left or not yields)
-        asked = _all_pairs(left, pairs.looks, percent) if last else pairs.likely(_pivot_pairs(left, turn))
-        asked = stored(asked.join(tested, ["a", "b"], "left_anti"), "near-asked")
-        new = pairs.links(asked)
-        found = new.count()
-        yields = found > LEAST_YIELD * asked.count()
-        if found:
+        if turn < PIVOT_ROUNDS:
+            new = pairs.links(stored(pairs.likely(_pivot_pairs(left, turn)), "near-asked"))
+        else:
+            new = _within(left, pairs)
+        if not new.isEmpty():
             labels = components(links.unionByName(new))
             links = stored(labels.select(F.col("node").alias("u"), F.col("component").alias("v")), "near-labels")
             labels = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        if last:
-            break
-        tested = tested.unionByName(asked)
-        turn += 1
     if labels is None:
-        return classes.select("key", F.col("node").alias("component"))
-    both = attach(classes.select("key", "node"), labels, ["node"])
-    return both.select("key", F.coalesce("component", "node").alias("component"))
+        return classes.select("key", F.col("least").alias("component"))
+    both = attach(classes.select("key", "node", "least"), labels, ["node"])
+    both = both.select("key", "least", F.coalesce("component", "node").alias("root"))
+    least = both.groupBy("root").agg(F.min("least").alias("component"))
+    return attach(both.select("key", "root"), least, ["root"]).select("key", "component")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -284,8 +421,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     ``size`` words make a shingle; documents are linked from a Jaccard similarity of ``percent`` on.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    sketched = stored(rows.mapInArrow(by_block(_sketch_block(size)), SKETCH), "near-sketches")
+    sketched = stored(_hashed(docs).mapInArrow(by_block(_sketch_block(size)), SKETCH), "near-sketches")
     found = attach(sketched.select("doc_id", "n_shingles", "key"), class_components(docs, sketched, size, percent), ["key"])
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     found = found.select("doc_id", "n_shingles", component.alias("component_id"))
@@ -299,7 +435,7 @@ def keep_one_row(docs: DataFrame, key: str, size: int = 5, percent: int = 80) ->
     found = found.select(F.col("doc_id").alias(key), "component_id").join(docs.select(key, "doc_id"), key)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key))
     kept = found.groupBy("component_id").agg(first.alias("m")).select(F.col(f"m.{key}").alias(key))
-    return docs.join(kept, key, "left_semi").select(*docs.columns)
+    return without(docs, attach(found.select(key), kept, [key], "left_anti"), key).select(*docs.columns)
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
