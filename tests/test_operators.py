@@ -55,7 +55,7 @@ def test_asof_join_matches_brute_force(spark):
     right.createOrReplaceTempView("rr")
     for eq, op in ((True, "<="), (False, "<")):
         out = joins.asof_join(
-            left, right, ["k"], "t", "t2", ["rid"], allow_equal=eq, chunk_of=lambda c: F.floor(c / 50)
+            left, right, ["k"], "t", "t2", ["rid"], allow_equal=eq, ranged=True
         )
         want = spark.sql(f"SELECT l.id, max_by(rid, t2) rid FROM l LEFT JOIN rr ON l.k = rr.k AND t2 {op} t GROUP BY l.id")
         assert sorted((r.id, r.rid or -1) for r in out.collect()) == sorted((r.id, r.rid or -1) for r in want.collect())

@@ -1,4 +1,4 @@
-"""Chunked ordered computations equal the plain windows, also with one dominating key."""
+"""Ranged ordered computations equal the plain windows, also with one dominating key."""
 
 import random
 
@@ -20,10 +20,6 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k int, id int, v string, n int").cache()
 
 
-def chunk():
-    return F.floor(F.col("id") / 97)
-
-
 def rows(df, *cols):
     return sorted(tuple(r) for r in df.select("id", *cols).collect())
 
@@ -32,13 +28,13 @@ def rows(df, *cols):
 def test_scan_steps(skewed, kind):
     step = {"out": Step(kind, "n")}
     plain = timeline.scan(skewed, ["k"], ["id"], step)
-    assert rows(timeline.scan(skewed, ["k"], ["id"], step, chunk=chunk(), hot_rows=60), "out") == rows(plain, "out")
+    assert rows(timeline.scan(skewed, ["k"], ["id"], step, ranged=True, ranges=12), "out") == rows(plain, "out")
 
 
 def test_change_event_and_islands(skewed):
     for fn in (timeline.change_event, timeline.islands):
         plain = fn(skewed, ["k"], ["id"], "v", "out")
-        assert rows(fn(skewed, ["k"], ["id"], "v", "out", chunk=chunk(), hot_rows=60), "out") == rows(plain, "out")
+        assert rows(fn(skewed, ["k"], ["id"], "v", "out", ranged=True, ranges=12), "out") == rows(plain, "out")
 
 
 def test_change_event_example(spark):
@@ -51,7 +47,7 @@ def test_change_event_example(spark):
 
 def test_valid_to(spark):
     df = spark.sql("SELECT 1 k, explode(array(date'2024-01-01', date'2024-02-01', date'2024-03-01')) s")
-    out = timeline.valid_to(df, ["k"], "s", "e", chunk=F.trunc("s", "month"), hot_rows=0).orderBy("s").collect()
+    out = timeline.valid_to(df, ["k"], "s", "e", ranged=True, ranges=3).orderBy("s").collect()
     assert [str(r.e) for r in out] == ["2024-01-31", "2024-02-29", "9999-12-31"]
 
 
@@ -73,18 +69,18 @@ def test_floored_counter(spark, seed):
     ]
     df = spark.createDataFrame(data, "k int, id int, op string")
     step = F.when(F.col("op") == "up", 1).otherwise(-1)
-    for chunk in (None, F.floor(F.col("id") / 31)):
-        out = counter.floored_counter(df, ["k"], ["id"], step, F.col("op") == "reset", "c", chunk=chunk, hot_rows=50)
+    for ranges in (1, 25):
+        out = counter.floored_counter(df, ["k"], ["id"], step, F.col("op") == "reset", "c", ranged=True, ranges=ranges)
         assert {r.id: r.c for r in out.collect()} == fold(data)
 
 
 def test_open_count_equals_pairing(skewed):
     """The closed form equals pairing the nth opening with the nth closing."""
     is_open, is_close = F.coalesce(F.col("v") == "a", F.lit(False)), F.coalesce(F.col("v") == "b", F.lit(False))
-    pairs = joins.pair_nth(skewed, ["k"], "id", is_open, is_close, chunk=chunk())
-    want = rows(joins.inside_intervals(skewed, pairs, ["k"], "id", "n_open", chunk=chunk()), "n_open")
+    pairs = joins.pair_nth(skewed, ["k"], "id", is_open, is_close, ranged=True)
+    want = rows(joins.inside_intervals(skewed, pairs, ["k"], "id", "n_open", ranged=True), "n_open")
     marked, steps, count = joins.open_count(skewed, ["k"], "id", is_open, is_close)
-    got = rows(timeline.scan(marked, ["k"], ["id"], steps, chunk=chunk(), hot_rows=60).withColumn("n_open", count), "n_open")
+    got = rows(timeline.scan(marked, ["k"], ["id"], steps, ranged=True, ranges=12).withColumn("n_open", count), "n_open")
     assert got == want
 
 
@@ -101,7 +97,7 @@ def test_copy_ordinal_with_a_hot_group_of_copies(spark):
     """A third of the rows are one row repeated; blocks are smaller than the group."""
     data = [(1, 5, "x")] * 700 + [(1, i % 9, "y") for i in range(700)] + [(2, i, "z") for i in range(700)]
     df = spark.createDataFrame(data, "k int, t int, v string")
-    out = timeline.copy_ordinal(df, ["k"], ["t", "v"], "n", chunk=F.floor(F.col("t") / 2), block=64, hot_rows=3)
+    out = timeline.copy_ordinal(df, ["k"], ["t", "v"], "n", ranged=True, block=64, ranges=9)
     got = [tuple(r) for r in out.orderBy("k", "n").collect()]
     assert [r[:3] for r in got] == sorted(data)
     assert [r[3] for r in got] == [*range(1, 1401), *range(1, 701)]
@@ -111,5 +107,49 @@ def test_null_keys_and_cold_keys_match_plain_windows(skewed):
     df = skewed.withColumn("k", F.when(F.col("k") != 7, F.col("k")))
     steps = {"p": Step("lag", "n"), "s": Step("sum", "n")}
     plain = rows(timeline.scan(df, ["k"], ["id"], steps), "p", "s")
-    for hot_rows in (0, 60, 10_000):
-        assert rows(timeline.scan(df, ["k"], ["id"], steps, chunk=chunk(), hot_rows=hot_rows), "p", "s") == plain
+    for ranges in (1, 4, 40):
+        assert rows(timeline.scan(df, ["k"], ["id"], steps, ranged=True, ranges=ranges), "p", "s") == plain
+
+
+def null_third(spark):
+    """A third of the rows have no key."""
+    return spark.sql("SELECT if(id % 3 = 0, null, id % 97) k, id, id % 7 n FROM range(6000)")
+
+
+def test_a_null_key_with_a_third_of_the_rows_is_cut(spark):
+    df = null_third(spark)
+    cut, hot = timeline.cut_keys(df, ["k"], ["id"], 30)
+    parts = {r[0]: r[1] for r in cut.where("k is null").groupBy(timeline.CHUNK).count().collect()}
+    assert len(parts) >= 9 and max(parts.values()) < 600 and sum(parts.values()) == 2000
+    assert cut.where("k is not null").select(timeline.CHUNK).distinct().collect()[0][0] is None
+    assert {r.k for r in hot.select("k").distinct().collect()} == {None}
+    steps = {"p": Step("lag", "n"), "q": Step("lead_known", "n"), "s": Step("sum", "n")}
+    plain = rows(timeline.scan(df, ["k"], ["id"], steps), "p", "q", "s")
+    assert rows(timeline.scan(df, ["k"], ["id"], steps, ranged=True, ranges=30), "p", "q", "s") == plain
+    for fn in (timeline.change_event, timeline.islands):
+        assert rows(fn(df, ["k"], ["id"], "n", "o", ranged=True, ranges=30), "o") == rows(fn(df, ["k"], ["id"], "n", "o"), "o")
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    rows = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan") + plan.count("Range ("), rows.count("Exchange hashpartitioning")
+
+
+def test_rows_are_shuffled_once_and_small_keys_cost_a_plain_window(spark):
+    df = null_third(spark)
+    step = {"s": Step("sum", "n"), "p": Step("lag", "n")}
+    whole = timeline.scan(df.where("k is not null"), ["k"], ["id"], step, ranged=True, ranges=4)
+    assert shuffles(whole) == (1, 1)
+    cut = timeline.scan(df, ["k"], ["id"], step, ranged=True, ranges=30)
+    read, shuffled = shuffles(cut)
+    assert read == 2  # all rows, and those of the cut key for the carries
+    assert shuffled <= 3  # the rows; the carries by (key, range) and by key
+    assert "SortMergeJoin" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_bounds_are_searched_in_strides(spark):
+    df = spark.range(0, 9000).selectExpr("id", "1 AS k", "id % 5 AS n")
+    cut, _ = timeline.cut_keys(df, ["k"], ["id"], 300)
+    found = [r[0] for r in cut.orderBy("id").select(timeline.CHUNK).collect()]
+    assert found == sorted(found) and found[0] == 0 and found[-1] > 2 * timeline.STRIDE

@@ -3,8 +3,8 @@
 Rows are +1 (open), -1 (close, not below zero) or reset to zero. A run of such
 steps is the map ``x -> max(x + a, l)``: ``a`` is the plain sum, ``l`` the result
 when starting from zero. A reset makes the map constant. These maps compose, so
-each chunk of a key is reduced to (a, l, constant?) and the starting count of a
-chunk follows from the chunks before it, without walking row by row.
+each range of a key is reduced to (a, l, constant?) and the starting count of a
+range follows from the ranges before it, without walking row by row.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.timeline import CHUNK, HOT_ROWS, cut_hot_keys
+from tidemark.operators.timeline import CHUNK, cut_keys, with_carry
 
 
 def floored_counter(
@@ -26,8 +26,9 @@ def floored_counter(
     out: str,
     *,
     reset_to: Column | None = None,
-    chunk: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    ranged: bool = False,
+    ranges: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Count after each row, starting from zero.
 
@@ -45,7 +46,7 @@ def floored_counter(
             Window.unboundedPreceding, Window.currentRow
         )
 
-    # Within the chunk: segment after each reset, running sum, and its lowest point.
+    # Within the range: segment after each reset, running sum, and its lowest point.
     seg = [*parts, "_seg"]
 
     def counted(rows: DataFrame) -> DataFrame:
@@ -56,14 +57,15 @@ def floored_counter(
             .withColumn("_l", F.col("_a") - F.col("_low"))
         )
 
-    if chunk is None:
+    found = cut_keys(steps, keys, order, ranges, df if sized_by is None else sized_by) if ranged else None
+    if found is None:
         return counted(steps.withColumn(CHUNK, F.lit(0))).select(*df.columns, F.col("_l").alias(out))
 
-    cut, hot = cut_hot_keys(steps, keys, chunk, hot_rows)
+    cut, hot = found
     local = counted(cut)
     end = F.max_by(F.struct("_seg", "_a", "_l"), F.struct(*order))
     ends = counted(hot).groupBy(*parts).agg(end.alias("_e")).select(*parts, "_e.*")
-    # The same algebra over the chunks of a key: a chunk with a reset starts a segment
+    # The same algebra over the ranges of a key: a range with a reset starts a segment
     # whose first value is a constant.
     seg2 = [*keys, "_s"]
     hard = F.col("_seg") > 0
@@ -79,7 +81,7 @@ def floored_counter(
         *parts,
         F.coalesce(F.lag("_x").over(Window.partitionBy(*keys).orderBy(CHUNK)), F.lit(0)).alias("_x0"),
     )
-    joined = local.join(start, parts, "left")
+    joined = with_carry(local, start, keys)
     value = F.when(F.col("_seg") > 0, F.col("_l")).otherwise(
         F.greatest(F.coalesce("_x0", F.lit(0)) + F.col("_a"), F.col("_l"))
     )

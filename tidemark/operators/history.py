@@ -143,7 +143,7 @@ def merge_timelines(
     first_cols: Sequence[str],
     second_cols: Sequence[str],
     *,
-    chunk_of=None,
+    ranged: bool = False,
 ) -> DataFrame:
     """One time line from two effective-dated ones.
 
@@ -166,7 +166,7 @@ def merge_timelines(
         [key],
         [start],
         {"_a": Step("last", "_p1"), "_b": Step("last", "_p2"), "_next": Step("lead", start)},
-        chunk=chunk_of(F.col(start)) if chunk_of else None,
+        ranged=ranged,
     )
 
     def in_force(box: str, cols: Sequence[str]) -> list[Column]:

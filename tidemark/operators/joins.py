@@ -350,7 +350,7 @@ def pair_nth(
     is_open: Column,
     is_close: Column,
     *,
-    chunk: Column | None = None,
+    ranged: bool = False,
 ) -> DataFrame:
     """Pair the nth opening row of a key with its nth closing row after the first opening.
 
@@ -360,7 +360,7 @@ def pair_nth(
     """
     keys = list(keys)
     marked, steps = _mark_openings(df, keys, order, is_open, is_close)
-    numbered = timeline.scan(marked, keys, [order], steps, chunk=chunk, sized_by=df)
+    numbered = timeline.scan(marked, keys, [order], steps, ranged=ranged, sized_by=df)
     opening = F.col("_opens") == 1
     return (
         numbered.where(opening | (F.col("_closes") == 1))
@@ -381,7 +381,7 @@ def inside_intervals(
     order: str,
     out: str,
     *,
-    chunk: Column | None = None,
+    ranged: bool = False,
 ) -> DataFrame:
     """Number of intervals (``open_id``, ``close_id``) a row lies strictly inside of.
 
@@ -414,7 +414,7 @@ def inside_intervals(
         keys,
         [order],
         {"_opened": ("sum", "_opens"), "_closed": ("sum", "_closes")},
-        chunk=chunk,
+        ranged=ranged,
         sized_by=df,
     )
     return both.withColumn(out, F.col("_opened") - F.col("_opens") - F.col("_closed")).select(*df.columns, out)
@@ -444,14 +444,14 @@ def asof_join(
     columns: Sequence[str],
     *,
     allow_equal: bool = True,
-    chunk_of=None,
+    ranged: bool = False,
     tie: str | None = None,
 ) -> DataFrame:
     """The newest right row at or before (or strictly before) each left row.
 
     Both sides are put on one time line and the right payload is carried forward,
-    so the cost is linear and no pair is built. ``chunk_of`` maps the time column
-    to a chunk (see ``timeline``); ``tie`` orders right rows of the same time.
+    so the cost is linear and no pair is built. ``ranged`` cuts large keys (see
+    ``timeline``), also the null key of left rows; ``tie`` orders right rows of the same time.
     """
     by = list(by)
     payload = F.struct(*[F.col(c) for c in columns]).alias("_pay")
@@ -480,7 +480,7 @@ def asof_join(
         by,
         ["_t", "_side", "_tie"],
         {"_hit": ("last", "_pay")},
-        chunk=chunk_of(F.col("_t")) if chunk_of else None,
+        ranged=ranged,
     )
     return carried.where(F.col("_row").isNotNull()).select(
         "_row.*", *[F.col("_hit").getField(c).alias(c) for c in columns]
@@ -502,7 +502,7 @@ def asof_max(
     value: str,
     out: str,
     *,
-    chunk_of=None,
+    ranged: bool = False,
 ) -> DataFrame:
     """Largest right ``value`` of the same key dated at or before each left row."""
     by = list(by)
@@ -519,7 +519,7 @@ def asof_max(
     )
     # Equal (_t, _side) rows have equal or commuting values, so their order is free.
     run = timeline.running(
-        line, by, ["_t", "_side"], {out: ("max", "_v")}, chunk=chunk_of(F.col("_t")) if chunk_of else None
+        line, by, ["_t", "_side"], {out: ("max", "_v")}, ranged=ranged
     )
     return run.where(F.col("_row").isNotNull()).select("_row.*", out)
 

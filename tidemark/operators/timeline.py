@@ -1,19 +1,19 @@
 """Ordered computations over keyed rows, safe for very large keys.
 
 A SQL window sends all rows of a key to one task. When one key holds a third of
-the table that task never ends. The functions here take a ``chunk``: a column
-that never decreases along the order (the day or hour of a timestamp, a range of
-an id). Keys with more rows than one task should sort are found by a
-pre-aggregated count; only their rows are cut into chunks, so the window runs per
-(key, chunk) and a hot key is spread over the cluster. What a chunk needs to know
-of the rows before it is a small carry value per chunk, computed from an
-aggregate of the hot keys and joined back on the window's own partitioning: the
-rows are shuffled once, and without hot keys the plan does what a plain window
-does. Without ``chunk`` a plain window runs, which is right for keys known to be
-small.
-
-The order must be total within a key. Order columns must not be null; rows with a
-null key form a group of their own that is never cut.
+the table that task never ends. With ``ranged`` the functions here work like a
+prefix scan over even ranges of (key, order): a sample of the keys and orders gives
+the bounds of as many ranges as there are shuffle partitions. A key that spans
+several ranges is cut at the bounds within it, any other stays whole. The window
+then runs per (key, range), and what a range needs to know of the rows before it
+is a small carry value, computed from an aggregate of the cut keys' rows. Bounds
+and carries have at most two rows for each range, so both are broadcast: rows are
+shuffled once, and where no key spans several ranges the plan is a plain window.
+Rows with a null key are a key like any other. Without ``ranged`` a plain window
+runs, which is right for keys known to be small.
+
+The order must be total within a key, and order columns must not be null but where
+a function says so. The sample only sets how even the ranges are, never the result.
 """
 
 from __future__ import annotations
@@ -26,30 +26,79 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.skew import attach
 
-CHUNK = "_chunk"
+CHUNK = "_range"
 
+#: Sampled rows for each range, and the most ranges; the sample has 100,000 rows at most.
+SAMPLED = 20
+MOST_RANGES = 5_000
+#: Bounds are searched in steps of so many.
+STRIDE = 64
 
-# A key with at most this many rows is sorted by one task.
-HOT_ROWS = 1_000_000
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Keys equal to their ``prefix`` names, null to null."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).eqNullSafe(F.col(prefix + k))
+    return out
 
-def cut_hot_keys(
+
+def key_bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int) -> DataFrame | None:
+    """Keys that span several of the even ranges of all rows, with the ascending bounds within them.
+
+    Returns None if there are none. All keys together have fewer bounds than ranges.
+    """
+    rows = df.select(*keys, F.struct(*order).alias("_at"))
+    sample = rows.withColumn("_turn", F.rand(7)).orderBy("_turn").limit(ranges * SAMPLED)
+    place = F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys], "_at"))  # sampled rows
+    bounds = sample.withColumn("_i", place).where(F.col("_i") % SAMPLED == 0)
+    lists = bounds.groupBy(*keys).agg(F.array_sort(F.collect_set("_at")).alias("_bounds")).where(F.size("_bounds") > 1)
+    found = lists.collect()  # fewer bounds than ranges
+    return df.sparkSession.createDataFrame(found, lists.schema) if found else None
+
+
+def _range_number(at: Column) -> Column:
+    """Number of ``_bounds`` up to ``at``: whole strides first, then within one."""
+    upto = lambda b: b <= at
+    strides = F.size(F.filter("_strides", upto))
+    within = F.size(F.filter(F.slice("_bounds", strides * STRIDE + 1, F.lit(STRIDE)), upto))
+    return strides * STRIDE + within
+
+
+def cut_keys(
     df: DataFrame,
     keys: Sequence[str],
-    chunk: Column,
-    hot_rows: int = HOT_ROWS,
+    order: Sequence[str],
+    ranges: int | None = None,
     sized_by: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """All rows with a chunk (null for ordinary keys), and the rows of hot keys alone.
+) -> tuple[DataFrame, DataFrame] | None:
+    """All rows with their range (null for whole keys), and the rows of cut keys alone.
 
-    ``sized_by`` is a cheaper relation to count the rows of a key in, if ``df`` is
-    costly to compute (its own input, say).
+    None if no key spans several ranges. ``sized_by`` is a cheaper relation with the same
+    keys and orders to sample, if ``df`` is costly to compute (its own input, say).
     """
-    counts = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    rows = attach(df, hot, keys).withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
-    hot_only = attach(df, hot.drop("_hot"), keys, "inner").withColumn(CHUNK, chunk)
-    return rows, hot_only
+    names = {*keys, *order}
+    source = sized_by if sized_by is not None and names <= set(sized_by.columns) else df
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = key_bounds(source, keys, order, min(parts, MOST_RANGES))
+    if bounds is None:
+        return None
+    ends = F.filter("_bounds", lambda b, i: i % STRIDE == STRIDE - 1).alias("_strides")
+    cut = F.broadcast(bounds.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_bounds", ends))
+    number = F.when(F.col("_bounds").isNotNull(), _range_number(F.struct(*order)))
+    same = _same(keys, "_b_")
+    return tuple(df.join(cut, same, how).withColumn(CHUNK, number).select(*df.columns, CHUNK) for how in ("left", "inner"))
+
+
+def with_carry(local: DataFrame, carry: DataFrame, keys: Sequence[str], bounded: bool = True) -> DataFrame:
+    """``local`` with the columns of ``carry``, which has a row for some (key, range).
+
+    ``bounded``: there is at most one for each bound and cut key, so it is broadcast.
+    """
+    by = [*keys, CHUNK]
+    named = carry.select(*[F.col(k).alias(f"_b_{k}") for k in by], *[c for c in carry.columns if c not in by])
+    named = F.broadcast(named) if bounded else named
+    return local.join(named, _same(by, "_b_"), "left").drop(*[f"_b_{k}" for k in by])
 
 
 def _upto(keys: Sequence[str], order: Sequence[str]):
@@ -98,7 +147,7 @@ class Step:
         return {"sum": F.sum, "max": F.max, "min": F.min}[self.kind](c).over(_upto(keys, order))
 
     def edge(self, order) -> Column:
-        """What later (or earlier) chunks need to know of a chunk."""
+        """What later (or earlier) ranges need to know of a range."""
         c = self.column
         known = F.col(c).isNotNull()
         # A struct keeps "the edge row's value is null" apart from "no edge row".
@@ -145,21 +194,22 @@ def scan(
     order: Sequence[str],
     outputs: Mapping[str, Step],
     *,
-    chunk: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    ranged: bool = False,
+    ranges: int | None = None,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add several ordered outputs in one pass.
 
-    However many outputs there are, rows are counted, shuffled and sorted once;
+    However many outputs there are, rows are sampled, shuffled and sorted once;
     prefer one call over a chain.
     """
     keys, order = list(keys), list(order)
-    if chunk is None:
+    found = cut_keys(df, keys, order, ranges, sized_by) if ranged else None
+    if found is None:
         return df.select("*", *[s.finish(s.plain(keys, order)).alias(out) for out, s in outputs.items()])
 
     parts = [*keys, CHUNK]
-    cut, hot = cut_hot_keys(df, keys, chunk, hot_rows, sized_by)
+    cut, hot = found
     edges = hot.groupBy(*parts).agg(*[s.edge(order).alias(f"_e_{out}") for out, s in outputs.items()])
     carry = edges.select(*parts, *[s.carry(f"_e_{out}", keys).alias(f"_c_{out}") for out, s in outputs.items()])
 
@@ -171,36 +221,36 @@ def scan(
     if "lead" in kinds:
         marks.append(F.lead(F.lit(True)).over(w).alias("_not_last"))
     local = cut.select("*", *marks, *[s.plain(parts, order).alias(f"_l_{out}") for out, s in outputs.items()])
-    joined = local.join(carry, parts, "left")
+    joined = with_carry(local, carry, keys)
     return joined.select(
         *df.columns,
         *[s.finish(s.merge(F.col(f"_l_{out}"), F.col(f"_c_{out}"))).alias(out) for out, s in outputs.items()],
     )
 
 
-def previous(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None, **hot) -> DataFrame:
+def previous(df, keys, order, values: Mapping[str, str], *, ranged=False, ignore_nulls=False, default=None, **hot) -> DataFrame:
     """Value of the row before (LAG), or of the nearest earlier row that has one."""
     kind = "lag_known" if ignore_nulls else "lag"
-    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk, **hot)
+    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, ranged=ranged, **hot)
 
 
-def following(df, keys, order, values: Mapping[str, str], *, chunk=None, ignore_nulls=False, default=None, **hot) -> DataFrame:
+def following(df, keys, order, values: Mapping[str, str], *, ranged=False, ignore_nulls=False, default=None, **hot) -> DataFrame:
     """Value of the next row (LEAD), or of the nearest later row that has one."""
     kind = "lead_known" if ignore_nulls else "lead"
-    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, chunk=chunk, **hot)
+    return scan(df, keys, order, {o: Step(kind, c, default) for o, c in values.items()}, ranged=ranged, **hot)
 
 
-def running(df, keys, order, outputs: Mapping[str, tuple[str, str]], *, chunk=None, **hot) -> DataFrame:
+def running(df, keys, order, outputs: Mapping[str, tuple[str, str]], *, ranged=False, **hot) -> DataFrame:
     """Running aggregates up to and including each row: name -> (kind, column)."""
-    return scan(df, keys, order, {o: Step(k, c) for o, (k, c) in outputs.items()}, chunk=chunk, **hot)
+    return scan(df, keys, order, {o: Step(k, c) for o, (k, c) in outputs.items()}, ranged=ranged, **hot)
 
 
 def ordinal(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, *, chunk: Column | None = None, **hot
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, *, ranged: bool = False, **hot
 ) -> DataFrame:
     """1, 2, 3 … within each key (ROW_NUMBER), as a bigint."""
     tagged = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running(tagged, keys, order, {out: ("sum", "_one")}, chunk=chunk, **hot).drop("_one")
+    return running(tagged, keys, order, {out: ("sum", "_one")}, ranged=ranged, **hot).drop("_one")
 
 
 COPY_BLOCK = 10_000
@@ -212,20 +262,20 @@ def copy_ordinal(
     order: Sequence[str],
     out: str,
     *,
-    chunk: Column | None = None,
+    ranged: bool = False,
     block: int = COPY_BLOCK,
-    hot_rows: int = HOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``ordinal`` for rows that may repeat exactly.
 
-    No chunk can split equal rows, so copies are first counted (combined on the map
+    No range can split equal rows, so copies are first counted (combined on the map
     side), the counts are added up along the order, and each distinct row is then
     repeated with its range of numbers. A row with very many copies is repeated in
     blocks spread over the cluster. ``order`` must be total over distinct rows.
     """
     cols = df.columns
     counted = df.groupBy(*cols).agg(F.count("*").alias("_n"))
-    numbered = running(counted, keys, order, {"_hi": ("sum", "_n")}, chunk=chunk, hot_rows=hot_rows, sized_by=df)
+    numbered = running(counted, keys, order, {"_hi": ("sum", "_n")}, ranged=ranged, ranges=ranges, sized_by=df)
     lo, hi = F.col("_hi") - F.col("_n") + 1, F.col("_hi")
     few = numbered.where(F.col("_n") <= block).select(*cols, F.explode(F.sequence(lo, hi)).alias(out))
     blocks = (
@@ -246,13 +296,14 @@ def change_event(
     value: str,
     out: str,
     *,
-    chunk: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    ranged: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Counter that starts at 0 and grows by one whenever the value differs from
     the row before. A comparison with null is not a change."""
     keys, order = list(keys), list(order)
-    if chunk is None:
+    found = cut_keys(df, keys, order, ranges) if ranged else None
+    if found is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         step = F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), F.lit(0).cast("bigint"))
         return (
@@ -268,7 +319,7 @@ def change_event(
     def stepped(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_step", F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), zero))
 
-    cut, hot = cut_hot_keys(df, keys, chunk, hot_rows)
+    cut, hot = found
     local = stepped(cut).withColumn("_local", F.sum("_step").over(_upto(parts, order)))
     edges = stepped(hot).groupBy(*parts).agg(
         F.sum("_step").alias("_n"),
@@ -285,7 +336,7 @@ def change_event(
         .withColumn("_base", F.col("_done") + F.sum("_jump").over(_upto(keys, [CHUNK])))
         .select(*parts, "_base")
     )
-    joined = local.join(carry, parts, "left")
+    joined = with_carry(local, carry, keys)
     return joined.select(*df.columns, (F.col("_local") + F.coalesce("_base", zero)).alias(out))
 
 
@@ -296,8 +347,8 @@ def islands(
     value: str,
     out: str,
     *,
-    chunk: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    ranged: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Difference of the row's ordinals within the key and within (key, value).
 
@@ -306,17 +357,15 @@ def islands(
     keys, order = list(keys), list(order)
     # Inside a struct a null value is an ordinary key value.
     boxed = df.withColumn("_v", F.struct(value))
-    if chunk is None:
-        rows = boxed.withColumn(CHUNK, F.lit(0))
-    else:
-        rows, hot = cut_hot_keys(boxed, keys, chunk, hot_rows)
+    found = cut_keys(boxed, keys, order, ranges, df) if ranged else None
+    rows, hot = found or (boxed.withColumn(CHUNK, F.lit(0)), None)
     local = rows.select(
         "*",
         F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*order)).alias("_all"),
         F.row_number().over(Window.partitionBy(*keys, CHUNK, "_v").orderBy(*order)).alias("_own"),
     )
     diff = F.col("_all").cast("bigint") - F.col("_own")
-    if chunk is None:
+    if hot is None:
         return local.select(*df.columns, diff.alias(out))
 
     zero = F.lit(0).cast("bigint")
@@ -325,9 +374,8 @@ def islands(
         counts = hot.groupBy(*by, CHUNK).agg(F.count("*").alias("_n"))
         return counts.select(*by, CHUNK, F.coalesce(F.sum("_n").over(_before(by)), F.lit(0)).alias(name))
 
-    joined = local.join(earlier([*keys, "_v"], "_own0"), [*keys, "_v", CHUNK], "left").join(
-        earlier(keys, "_all0"), [*keys, CHUNK], "left"
-    )
+    joined = with_carry(local, earlier([*keys, "_v"], "_own0"), [*keys, "_v"], bounded=False)
+    joined = with_carry(joined, earlier(keys, "_all0"), keys)
     return joined.select(*df.columns, (diff + F.coalesce("_all0", zero) - F.coalesce("_own0", zero)).alias(out))
 
 
@@ -337,12 +385,12 @@ def valid_to(
     start: str,
     out: str,
     *,
-    chunk: Column | None = None,
+    ranged: bool = False,
     open_end: str = "9999-12-31",
     **hot,
 ) -> DataFrame:
     """Last day of validity: the day before the next start, or ``open_end``."""
-    nxt = following(df, keys, [start], {"_next": start}, chunk=chunk, **hot)
+    nxt = following(df, keys, [start], {"_next": start}, ranged=ranged, **hot)
     return nxt.withColumn(
         out, F.coalesce(F.date_sub("_next", 1), F.lit(open_end).cast("date"))
     ).drop("_next")

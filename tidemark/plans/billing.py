@@ -63,13 +63,13 @@ def billing_fact(
     currency``. ``second``/``third`` are (output name, currency).
 
     Repeats of an order line are numbered and the number is part of the key. The
-    numbering runs on (order, line) with the ship month as chunk, after exact copies
+    numbering runs on (order, line), cut into ranges, after exact copies
     have been counted, so neither a huge order nor a huge group of copies meets in one
     task; the order join is an equi join that splits under skew.
     """
     order = ["ship_day", "product", "seller", "quantity", "unit_amount", "discount", "activity", "accrual"]
     lines = timeline.copy_ordinal(
-        staging, ["order_id", "line_no"], order, "dup_no", chunk=F.trunc("ship_day", "month")
+        staging, ["order_id", "line_no"], order, "dup_no", ranged=True
     )
     df = lines.join(orders, "order_id", "left")
     cal = calendar.select(

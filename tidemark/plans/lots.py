@@ -1,7 +1,7 @@
 """Lot tracking: completed transactions, derived flags, hold counter, lot state, aging.
 
-Lots are followed by transaction id, which grows with time. ``chunk`` is a range of
-ids (or of time), so a lot with any number of transactions is spread over tasks.
+Lots are followed by transaction id, which grows with time. A lot with any number of
+transactions is cut into ranges (see ``timeline``) and spread over tasks.
 """
 
 from __future__ import annotations
@@ -20,11 +20,6 @@ from tidemark.operators.timeline import Step
 MOVES = ["SplitLot", "CombineLot", "ConsumeLot"]
 HOLD, RELEASE, RELEASE_ALL = "HoldLot", "ReleaseLot", "ReleaseAll"
 CLOSED = ["CLOSED", "TERMINATED"]
-ID_RANGE = 4096
-
-
-def id_chunk(c: Column | str = "txn_id") -> Column:
-    return F.floor((F.col(c) if isinstance(c, str) else c) / ID_RANGE)
 
 
 def complete(txns: DataFrame) -> DataFrame:
@@ -46,7 +41,7 @@ def complete(txns: DataFrame) -> DataFrame:
     )
     states = txns.select(F.col("lot").alias("src"), F.col("txn_id").alias("src_txn"), F.col("location").alias("src_location"))
     matched = joins.asof_join(
-        moves, states, ["src"], "txn_id", "src_txn", ["src_txn", "src_location"], allow_equal=False, chunk_of=id_chunk
+        moves, states, ["src"], "txn_id", "src_txn", ["src_txn", "src_location"], allow_equal=False, ranged=True
     ).where(F.col("src_txn").isNotNull())
     made = matched.select(
         "txn_id", F.col("src").alias("lot"), "txn_type", F.col("src_location").alias("location"),
@@ -71,7 +66,7 @@ def derive(txns: DataFrame, stored: DataFrame, stages: DataFrame) -> DataFrame:
         txns, ["lot"], "txn_id", F.col("txn_type") == HOLD, F.col("txn_type") == RELEASE
     )
     steps |= {"_before": Step("lag", "location"), "_before_id": Step("lag", "txn_id")}
-    df = timeline.scan(marked, ["lot"], ["txn_id"], steps, chunk=id_chunk(), sized_by=txns)
+    df = timeline.scan(marked, ["lot"], ["txn_id"], steps, ranged=True, sized_by=txns)
     df = df.withColumn("open_holds", open_holds)
     last = stored.groupBy("lot").agg(F.max_by("location", "txn_id").alias("_stored"))
     df = joins.enrich(attach(df, last, ["lot"]), [(stages, {"stage_set": "stage_set"}, {"country": "country"})])
@@ -97,13 +92,12 @@ def hold_counts(derived: DataFrame) -> DataFrame:
     one, a release takes one off (not below zero), a release of all, or without a
     reason, sets zero. Runs at the very start of a lot are not counted.
     """
-    chunk = id_chunk()
     df = timeline.scan(
         derived.select("lot", "txn_id", "txn_type", "reason", "hold_count"),
         ["lot"],
         ["txn_id"],
         {"_type": Step("lag", "txn_type"), "_count": Step("lag", "hold_count")},
-        chunk=chunk,
+        ranged=True,
     )
     rows = df.where(F.col("txn_type").isin(HOLD, RELEASE) & F.col("hold_count").isNull())
     seed = F.coalesce(~F.col("_type").isin(HOLD, RELEASE), F.lit(False))
@@ -119,7 +113,7 @@ def hold_counts(derived: DataFrame) -> DataFrame:
         (F.col("_seed") == 1) | cleared,
         "_n",
         reset_to=F.when(F.col("_seed") == 1, seeded).otherwise(0),
-        chunk=chunk,
+        ranged=True,
     )
     firsts = rows.where(F.col("_seed") == 1).groupBy("lot").agg(F.min("txn_id").alias("_from"))
     return (
@@ -129,7 +123,7 @@ def hold_counts(derived: DataFrame) -> DataFrame:
     )
 
 
-def lot_state(txns: DataFrame, attributes: list[str], planned: list[str], chunk: Column) -> DataFrame:
+def lot_state(txns: DataFrame, attributes: list[str], planned: list[str]) -> DataFrame:
     """One row per lot: last known attributes and the state of its newest transaction.
 
     ``txns``: ``lot, at, txn_id, location, lot_state, wafers, dies`` and the columns
@@ -138,7 +132,7 @@ def lot_state(txns: DataFrame, attributes: list[str], planned: list[str], chunk:
     aggregation by lot, combined on the map side; only the stay numbers need order.
     """
     order = ["at", "txn_id"]
-    stays = timeline.change_event(txns, ["lot"], order, "location", "stay", chunk=chunk)
+    stays = timeline.change_event(txns, ["lot"], order, "location", "stay", ranged=True)
     active = ~((F.col("wafers") == 0) & (F.col("dies") == 0))
     per_stay = stays.groupBy("lot", "stay").agg(
         *[F.max(c).alias(c) for c in planned],

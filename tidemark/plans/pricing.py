@@ -19,7 +19,7 @@ def price_history(book: DataFrame, points: DataFrame, asof: str, deleted: Column
     named = book.withColumn("book_from", F.col("effective_from"))
     line = merge_timelines(
         named, points, "part_id", "effective_from", "effective_to", ["price_a", "book_from"], ["price_b"],
-        chunk_of=lambda c: F.trunc(c, "year"),
+        ranged=True,
     )
     firsts = book.groupBy("part_id").agg(F.min("effective_from").alias("_first"))
     newest = book.agg(F.max("effective_from")).scalar()

@@ -340,7 +340,7 @@ def price_source(t: Tables, flag: str, out: str) -> DataFrame:
         .groupBy(F.col("l_partkey").alias("part_id"), F.col("l_shipdate").cast("date").alias("effective_from"))
         .agg(F.max(F.col("l_extendedprice").cast("decimal(18,2)")).alias(out))
     )
-    return valid_to(rows, ["part_id"], "effective_from", "effective_to", chunk=F.trunc("effective_from", "year"))
+    return valid_to(rows, ["part_id"], "effective_from", "effective_to", ranged=True)
 
 
 @query(
@@ -351,7 +351,7 @@ def merge_timelines(t: Tables) -> DataFrame:
     out = history.merge_timelines(
         price_source(t, "R", "price_a"), price_source(t, "A", "price_b"),
         "part_id", "effective_from", "effective_to", ["price_a"], ["price_b"],
-        chunk_of=lambda c: F.trunc(c, "year"),
+        ranged=True,
     )
     return out.withColumn("price_a", F.col("price_a").cast("double")).withColumn("price_b", F.col("price_b").cast("double"))
 

@@ -13,7 +13,7 @@ from tidemark.operators import calendar as cal
 from tidemark.operators import joins, timeline
 from tidemark.operators.dedup import latest, latest_batch, latest_slice
 from tidemark.operators.snapshots import current_weeks
-from tidemark.queries.inputs import events_day, fiscal_cal, fiscal_sql, on_day
+from tidemark.queries.inputs import fiscal_cal, fiscal_sql, on_day
 from tidemark.queries.registry import Tables, query
 
 
@@ -104,9 +104,8 @@ def asof_max_events(t: Tables) -> DataFrame:
     ev = t.events.withColumn("v", dec(F.col("value")))
     left = ev.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts")
     right = ev.where(F.col("event_type") == "click").select("user_id", "ts", "v")
-    hour = lambda c: F.date_trunc("hour", c)
-    best = joins.asof_max(left, right, ["user_id"], "ts", "ts", "v", "best", chunk_of=hour)
-    out = timeline.ordinal(best, ["user_id"], ["ts", "event_id"], "sort_order", chunk=events_day())
+    best = joins.asof_max(left, right, ["user_id"], "ts", "ts", "v", "best", ranged=True)
+    out = timeline.ordinal(best, ["user_id"], ["ts", "event_id"], "sort_order", ranged=True)
     return out.select("event_id", "user_id", F.col("best").cast("double").alias("best_click"), "sort_order")
 
 

@@ -99,8 +99,3 @@ CUT_SQL = (
     "sign({amount}) * CAST((CAST(round(abs({amount}) * 100) AS HUGEINT) * 100000000) "
     "// CAST(round({rate} * 1000000) AS HUGEINT) AS DOUBLE) / 10000 END"
 )
-
-
-def events_day() -> Column:
-    """Chunk of an event time line: an hour never holds more of a user than a task can sort."""
-    return F.date_trunc("hour", F.col("ts"))

@@ -215,15 +215,10 @@ closes AS (SELECT e.user_id, event_id AS close_id, ROW_NUMBER() OVER (PARTITION
 holds AS (SELECT o.user_id, o.rn, open_id, close_id FROM opens o LEFT JOIN closes c ON o.user_id = c.user_id AND o.rn = c.rn)"""
 
 
-def id_chunk():
-    """Event ids grow with time: ranges of them are chunks."""
-    return F.floor(F.col("event_id") / 4096)
-
-
 def holds(t: Tables) -> DataFrame:
     return joins.pair_nth(
         t.events.select("user_id", "event_id", "event_type"), ["user_id"], "event_id",
-        F.col("event_type") == "error", F.col("event_type") == "purchase", chunk=id_chunk(),
+        F.col("event_type") == "error", F.col("event_type") == "purchase", ranged=True,
     )
 
 
@@ -241,7 +236,7 @@ GROUP BY 1, 2""",
 )
 def inside_hold(t: Tables) -> DataFrame:
     ev = t.events.select("event_id", "user_id")
-    out = joins.inside_intervals(ev, holds(t), ["user_id"], "event_id", "open_holds", chunk=id_chunk())
+    out = joins.inside_intervals(ev, holds(t), ["user_id"], "event_id", "open_holds", ranged=True)
     return out.withColumn("is_hold", F.col("open_holds") > 0)
 
 
@@ -262,7 +257,7 @@ def asof_prior_event(t: Tables) -> DataFrame:
     )
     return joins.asof_join(
         left, right, ["user_id"], "ts", "ts", ["prior_id", "prior_value"], allow_equal=False,
-        tie="prior_id", chunk_of=lambda c: F.date_trunc("hour", c),
+        tie="prior_id", ranged=True,
     ).select("event_id", "user_id", "prior_id", "prior_value")
 
 

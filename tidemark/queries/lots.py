@@ -140,7 +140,7 @@ def state(t: Tables) -> DataFrame:
     touched = rows.where(F.col("at") >= instant("2024-01-28"))
     rows = expand_changed_keys(rows, ["lot"], touched)
     loc = F.col("location")
-    rows = scan(rows, ["lot"], ["at", "txn_id"], {"_pl": Step("lag", "location")}, chunk=F.date_trunc("hour", F.col("at")))
+    rows = scan(rows, ["lot"], ["at", "txn_id"], {"_pl": Step("lag", "location")}, ranged=True)
     rows = rows.select(
         "lot", "at", "txn_id", "location",
         F.when(loc == "purchase", "CLOSED").when(loc != "view", "RUN").alias("lot_state"),
@@ -150,7 +150,7 @@ def state(t: Tables) -> DataFrame:
         F.when(loc != F.col("_pl"), F.col("at")).alias("moved_at"),
         F.col("value").alias("planned"),
     )
-    return lots.lot_state(rows, ["click_value", "hold_at", "moved_at"], ["planned"], F.date_trunc("hour", F.col("at")))
+    return lots.lot_state(rows, ["click_value", "hold_at", "moved_at"], ["planned"])
 
 
 @query(

@@ -10,7 +10,7 @@ from tidemark.functions.numbers import dec
 from tidemark.operators import counter, timeline
 from tidemark.operators.dedup import latest, latest_batch, prefer_first
 from tidemark.operators.timeline import Step
-from tidemark.queries.inputs import LINE_TIE, events_day
+from tidemark.queries.inputs import LINE_TIE
 from tidemark.queries.registry import Tables, query
 
 USER = ["user_id"]
@@ -98,7 +98,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 def lag_event(t: Tables) -> DataFrame:
     ev = t.events.select("event_id", "user_id", "event_type", "ts")
     both = {"previous_type": Step("lag", "event_type"), "next_type": Step("lead", "event_type")}
-    return timeline.scan(ev, USER, TIME, both, chunk=events_day()).drop("ts")
+    return timeline.scan(ev, USER, TIME, both, ranged=True).drop("ts")
 
 
 @query(
@@ -112,7 +112,7 @@ def lag_ignore_nulls(t: Tables) -> DataFrame:
         "event_id", "user_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("score")
     )
     return timeline.previous(
-        ev, USER, TIME, {"previous_score": "score"}, chunk=events_day(), ignore_nulls=True, default=F.lit(0.0)
+        ev, USER, TIME, {"previous_score": "score"}, ranged=True, ignore_nulls=True, default=F.lit(0.0)
     ).drop("ts")
 
 
@@ -127,7 +127,7 @@ def effective_to(t: Tables) -> DataFrame:
         .distinct()
     )
     return timeline.valid_to(
-        starts, ["l_partkey"], "effective_from", "effective_to", chunk=F.trunc("effective_from", "year")
+        starts, ["l_partkey"], "effective_from", "effective_to", ranged=True
     )
 
 
@@ -192,8 +192,8 @@ SELECT event_id, user_id, run, max(value) OVER (PARTITION BY user_id, run ORDER
 def running_max_run(t: Tables) -> DataFrame:
     """Running maximum inside each unbroken run of one event type."""
     ev = t.events.select("event_id", "user_id", "ts", "event_type", "value")
-    runs = timeline.change_event(ev, USER, TIME, "event_type", "run", chunk=events_day())
-    out = timeline.running(runs, [*USER, "run"], TIME, {"run_max": ("max", "value")}, chunk=events_day())
+    runs = timeline.change_event(ev, USER, TIME, "event_type", "run", ranged=True)
+    out = timeline.running(runs, [*USER, "run"], TIME, {"run_max": ("max", "value")}, ranged=True)
     return out.select("event_id", "user_id", "run", "run_max")
 
 
@@ -205,7 +205,7 @@ SELECT event_id, user_id, t, sum(step) OVER (PARTITION BY user_id ORDER BY ts, e
 )
 def change_event(t: Tables) -> DataFrame:
     ev = t.events.select("event_id", "user_id", "ts", F.nullif("event_type", F.lit("view")).alias("t"))
-    return timeline.change_event(ev, USER, TIME, "t", "changes", chunk=events_day()).drop("ts")
+    return timeline.change_event(ev, USER, TIME, "t", "changes", ranged=True).drop("ts")
 
 
 @query(
@@ -215,7 +215,7 @@ def change_event(t: Tables) -> DataFrame:
 )
 def islands(t: Tables) -> DataFrame:
     ev = t.events.select("event_id", "user_id", "ts", "event_type")
-    return timeline.islands(ev, USER, TIME, "event_type", "island", chunk=events_day()).drop("ts")
+    return timeline.islands(ev, USER, TIME, "event_type", "island", ranged=True).drop("ts")
 
 
 @query(
@@ -228,7 +228,7 @@ def dup_ordinal(t: Tables) -> DataFrame:
     """Number repeats of a key and hash the number into the key."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     out = timeline.copy_ordinal(
-        li, ["l_orderkey", "l_linenumber"], LINE_TIE, "dup_no", chunk=F.date_trunc("month", F.col("l_shipdate"))
+        li, ["l_orderkey", "l_linenumber"], LINE_TIE, "dup_no", ranged=True
     )
     return out.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "dup_no",
@@ -265,6 +265,6 @@ def floored_counter(t: Tables) -> DataFrame:
     step = F.when(e == "error", 1).when(e == "purchase", -1).otherwise(0)
     reset = (e == "signup") & (F.col("value") < 5)
     ev = t.events.select("event_id", "user_id", "ts", "event_type", "value")
-    return counter.floored_counter(ev, USER, TIME, step, reset, "hold_count", chunk=events_day()).select(
+    return counter.floored_counter(ev, USER, TIME, step, reset, "hold_count", ranged=True).select(
         "event_id", "user_id", "hold_count"
     )
