@@ -8,10 +8,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 
 from tests.llm.conftest import ROWS, frame
 from tidemark.llm import mixing, tokens, toxicity
-from tidemark.llm.common import shared_folder
+from tidemark.llm.common import ROW_KEY, by_row, shared_folder, stored
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -103,14 +104,14 @@ def test_encoder_is_the_library():
     coder = tokens.Encoder(VOCABULARY)
     assert coder.by_word
     for text in TEXTS:
-        assert np.frombuffer(coder.encode(text), coder.kind).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert coder.encode(pa.array([text]))[0].tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_full_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "MEMORY_WORDS", 3)
     coder = tokens.Encoder(VOCABULARY)
     for text in ["one two three, four", "five, six seven", "one two. eight"] * 2:
-        assert np.frombuffer(coder.encode(text), coder.kind).tolist() == coder.tokenizer.encode(text).ids
+        assert coder.encode(pa.array([text]))[0].tolist() == coder.tokenizer.encode(text).ids
 
 
 def test_token_files(spark, odd, none):
@@ -118,7 +119,12 @@ def test_token_files(spark, odd, none):
     df = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
     got = sorted(map(tuple, tokens.round_trip(df, VOCABULARY, 2).collect()), key=lambda r: r[1])
     coder = tokens.Encoder(VOCABULARY).tokenizer
-    order = sorted(((i, t) for i, t, _ in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    seed = 42  # of the engine's xxhash64, which is also that of a null
+
+    def turn(t):
+        return np.array([seed if t is None else xxhash.xxh64_intdigest(t.encode(), seed)], np.uint64).view(np.int64)[0]
+
+    order = sorted(((i, t) for i, t, _ in rows), key=lambda r: (r[0] is not None, r[0] or 0, turn(r[1])))
     start = 0
     for (doc, text), found in zip(order, got, strict=True):
         ids = np.array(coder.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -192,13 +198,33 @@ def test_rows_without_an_id_are_ranked_in_slices(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLICE_ROWS", 50)
     rows = [(None, "one two three", "a")] * 900 + [(i, "x " * 9, "b") for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    sliced = mixing.choose(df).where("doc_id is null")
-    assert 0 < sliced.where("times > 0").count() <= 900 and mixing.mix(df).columns == df.columns
-    assert mixing.mix(df).count() == mixing.choose(df).agg({"times": "sum"}).first()[0]
+    sizes = stored(mixing.measured(df), "sizes")
+    sliced = mixing.choose(sizes, mixing.plan(sizes))
+    assert 0 < sliced.where("doc_id is null and times > 0").count() <= 900 and mixing.mix(df).columns == df.columns
+    assert mixing.mix(df).count() == sliced.agg({"times": "sum"}).first()[0]
+    plain = Counter(tuple(r) for r in mixing.mixture(df).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_LENGTHS", 0)
+    assert Counter(tuple(r) for r in mixing.mixture(df).collect()) == plain
     order = mixing.measured(df).where("doc_id is null").select(mixing.ROW_KEY).distinct().count()
     assert order == 900
 
 
+def test_mixes_of_other_file_splits_agree(spark, tmp_path):
+    """Also for rows without an id, with shared ids and of one length."""
+    r = random.Random(7)
+    rows = [(None if i % 3 else i % 50, " ".join(r.choices("abcdef", k=4)), "s" if i % 2 else "t", i) for i in range(260)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _order bigint")
+    found = []
+    for parts in (1, 2, 7):
+        df.repartition(parts).write.parquet(f"{tmp_path}/{parts}")
+        docs = spark.read.parquet(f"{tmp_path}/{parts}")
+        found.append(Counter((x.doc_id, x.text, x.source) for x in mixing.mix(docs).collect()))
+        assert mixing.mix(docs).columns == df.columns
+        keyed = by_row(docs)
+        assert sorted(x[0] for x in keyed.select(ROW_KEY).collect()) == list(range(260))
+    assert found[0] == found[1] == found[2] and sum(found[0].values()) > 100
+
+
 def test_pipeline_stages(spark, sf_dir, odd, none):
     import corpus_pipeline
 

@@ -9,35 +9,40 @@ attempts are never read. Prefix sums over the parts' totals give every part its
 base plus local offset is a document's place in the whole corpus.
 
 Defined cases: a null text is empty and yields only the end id; documents without an id
-come first; rows that share an id keep the order of their texts; an empty table gives an
-empty manifest; other columns are not read.
+come first; rows that share an id, or have none, are in the order of a hash of their texts, by
+which they are also dealt to parts; an empty table gives an empty manifest; other columns are
+not read.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_folder, stored
+from tidemark.llm.common import LOWER, blocks, flat_bytes, shared_folder, stored
 
 MAGIC = b"TIDETOK1"
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
 
 #: Words made of Latin letters and then ASCII signs (no apostrophe): such a word is two pieces for every
 #: pre-tokenizer that separates letters from signs, and none of its characters composes with another.
-_SIMPLE = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-_UPPER = {i: i + 32 for i in range(65, 91)}
+_SIMPLE = r"^(?P<letters>[a-zß-öø-ÿ]+)(?P<signs>[!-&(-/:-@\[-`{-~]*)\z"
+#: Bytes in lower case, line ends as blanks.
+_PLAIN = LOWER.copy()
+_PLAIN[0x0A] = 0x20
 #: Words that a process remembers of each kind; a full memory starts anew.
-MEMORY_WORDS = 250_000
+MEMORY_WORDS = 400_000
+#: Bytes of text that are encoded at once; a longer text is encoded alone.
+CODED_BYTES = 4 << 20
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 
 
@@ -73,39 +78,65 @@ class Encoder:
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    def _letters(self, word: str) -> bytes:
-        if word not in self.letters:
-            if len(self.letters) >= MEMORY_WORDS:
-                self.letters.clear()
-            self.letters[word] = self._pack(self._model_ids(word))
-        return self.letters[word]
+    def _learn_letters(self, words: list[str]) -> None:
+        """Ids of new words of letters alone: one text of all, cut by the number of each id's word."""
+        if not words:
+            return
+        coded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        number = np.array(coded.word_ids, np.int64)
+        if len(number) and number[-1] == len(words) - 1 and (np.diff(number) <= 1).all():
+            packed, width = self._pack(coded.ids), self.kind.itemsize
+            cut = (np.searchsorted(number, np.arange(len(words) + 1)) * width).tolist()
+            self.letters.update(zip(words, [packed[a:b] for a, b in zip(cut, cut[1:], strict=False)], strict=True))
+        else:
+            self.letters.update((w, self._pack(self._model_ids(w))) for w in words)
 
     def _learn(self, words: list[str]) -> None:
-        other = []
-        for word in words:
-            found = _SIMPLE.fullmatch(word)
-            if not found or not found[1]:
-                other.append(word)
-            elif found[2]:
-                if found[2] not in self.words:
-                    self.words[found[2]] = self._pack(self.tokenizer.encode(found[2], add_special_tokens=False).ids)
-                self.words[word] = self._letters(found[1]) + self.words[found[2]]
-            else:
-                self.words[word] = self._letters(word)
+        parts = pc.extract_regex(pa.array(words, pa.large_string()), _SIMPLE)
+        letters, signs = (pc.struct_field(parts, k).to_numpy(zero_copy_only=False).tolist() for k in (0, 1))
+        needed = set(letters) - {None}
+        if len(self.letters) + len(needed) > MEMORY_WORDS:
+            self.letters.clear()
+        self._learn_letters(list(needed - self.letters.keys()))
+        other = [w for w, found in zip(words, letters, strict=True) if found is None]
+        other += list(set(signs) - {None, ""} - self.words.keys() - set(other))
         for word, coded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self.words[word] = self._pack(coded.ids)
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_word or any(s in text for s in self.special):
-            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        row = text.translate(_UPPER).replace("\n", " ").split(" ")
-        new = [w for w in set(row) if w not in self.words]
+        known, ids = self.words, self.letters
+        known[""] = b""
+        known.update((w, ids[a] + known[b]) for w, a, b in zip(words, letters, signs, strict=True) if a is not None)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the bounds of each text in them.
+
+        Words are told apart in Arrow and each distinct word of the texts is looked up once;
+        ids of all words are then taken by number.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.by_word or any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special):
+            coded = [np.array(c.ids, self.kind) for c in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            bounds = np.concatenate([[0], np.cumsum([len(c) for c in coded], dtype=np.int64)])
+            return np.concatenate([np.zeros(0, self.kind), *coded]), bounds
+        data, offsets = flat_bytes(texts)
+        plain = pa.py_buffer(_PLAIN[data].tobytes())
+        words = pc.split_pattern(pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), plain), " ")
+        coded = pc.list_flatten(words).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in distinct if w not in self.words]
+        if len(self.words) + len(new) > MEMORY_WORDS:
+            self.words.clear()
+            new = distinct
         if new:
-            if len(self.words) >= MEMORY_WORDS:
-                self.words.clear()
-                new = list(set(row))
             self._learn(new)
-        return b"".join(map(self.words.__getitem__, row))
+        known = [self.words[w] for w in distinct]
+        ends = np.cumsum([len(k) // self.kind.itemsize for k in known], dtype=np.int64)
+        starts = np.concatenate([[0], ends])[:-1].astype(np.int64)
+        number = coded.indices.to_numpy()
+        lengths = (ends - starts)[number]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(starts[number] - before[:-1], lengths) + np.arange(before[-1])
+        first_word = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
+        return np.frombuffer(b"".join(known), self.kind)[at], before[first_word]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -122,19 +153,21 @@ def _writer(folder: str, vocabulary: str, end_id: int):
     def run(batches):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         coder = encoder(vocabulary, end_id)
-        end, width = np.array([end_id], coder.kind).tobytes(), coder.kind.itemsize
+        width = coder.kind.itemsize
         part = TaskContext.get().partitionId()
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         name = f"{part:06d}-{uuid.uuid4().hex}"
         ids, lengths = [], [0]
         with fs.open_output_stream(f"{root}/{name}.bin") as out:
-            for batch in batches:
-                ids.append(batch.column("doc_id"))
-                for text in batch.column("text"):
-                    coded = coder.encode(text.as_py() or "") + end
-                    out.write(coded)
-                    lengths.append(len(coded) // width)
+            for block in blocks(batches, "text", CODED_BYTES):
+                ids.append(block.column("doc_id"))
+                coded, bounds = coder.encode(block.column("text"))
+                own = np.diff(bounds)
+                row = np.full(len(coded) + len(own), end_id, coder.kind)
+                row[np.arange(len(coded)) + np.repeat(np.arange(len(own)), own)] = coded
+                out.write(row.tobytes())
+                lengths.extend((own + 1).tolist())
         if not ids:
             fs.delete_file(f"{root}/{name}.bin")
             return
@@ -154,9 +187,9 @@ def _writer(folder: str, vocabulary: str, end_id: int):
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, parts: int) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into files below ``folder``; returns the manifest with each part's ``base``."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("turn"))
+    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "turn")
+    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "turn", "text").drop("turn")
     manifest = stored(rows.mapInArrow(_writer(folder, vocabulary, end_id), MANIFEST), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
