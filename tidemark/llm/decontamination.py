@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ALNUM, Words, by_block, lists, stored
+from tidemark.llm.common import ALNUM, Words, by_block, lists, stored, without
 
 #: Largest number of benchmark words that are sent to the executors at once; more are searched in slices.
 SLICE_WORDS = 2_000_000
@@ -266,4 +266,4 @@ def clean(docs: DataFrame, items: DataFrame, size: int = 10, key: str = "doc_id"
     """``docs`` without the documents that hold a phrase of an item; rows without a key are kept."""
     found = contamination(docs.select(F.col(key).alias("doc_id"), "text"), items, size)
     bad = found.where("contaminated and doc_id is not null").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(bad, key, "left_anti").select(*docs.columns)
+    return without(docs, bad, key).select(*docs.columns)

@@ -5,7 +5,9 @@ budget. A budget of several times the source takes every document that often; th
 is a bounded knapsack: the same share of every length first, then single documents in
 seeded order, and for the last few thousand words dynamic programming over the counts
 that are left. At last the planned number of documents of each length is selected in the
-order of a seeded hash, so reruns agree.
+order of a seeded hash of what a document holds, so reruns agree however rows are dealt. For
+a length that is taken in part, the place of the last document taken is found by ranking
+hashes alone; each document then compares its own place, so texts are not shuffled.
 
 A length of one source may hold a third of all documents (copies): its documents are
 ranked in hash slices whose counts are added up first, never in one group.
@@ -30,6 +32,8 @@ MOST_REPEATS = 3
 SEED = 20
 #: Words that are left to dynamic programming after the proportional and the greedy step.
 TAIL_WORDS = 4096
+#: Lengths of sources that are broadcast; more are joined by a shuffle.
+BROADCAST_LENGTHS = 1_000_000
 #: Documents of one length that are ranked in one group.
 SLICE_ROWS = 50_000
 
@@ -133,45 +137,76 @@ def word_count() -> Column:
     return F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint").alias("size")
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, row key, source and ``size``, the number of words (anything between ASCII white space)."""
-    key = F.col(ROW_KEY) if ROW_KEY in docs.columns else F.monotonically_increasing_id()
-    return _keyed(docs.select("doc_id", key.alias(ROW_KEY), "source", word_count())).drop("source")
+def _order(seed: int) -> Column:
+    """Seeded turn of a row by what it holds, so that it does not depend on how rows are dealt."""
+    return F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), "text")
 
 
-def choose(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """Per document: size, source_size, target of its source, and how many ``times`` the mix takes it."""
-    rows = stored(measured(docs), "mix-sizes")
-    totals = rows.groupBy(*KEY).agg(F.sum("size").alias("source_size"))
+def measured(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """doc_id, row key, source, turn and ``size``, the number of words (anything between ASCII white space)."""
+    rows = docs if ROW_KEY in docs.columns else by_row(docs)
+    turn = _order(seed).alias("_order")
+    return _keyed(rows.select(F.col("doc_id"), ROW_KEY, "source", turn, word_count())).drop("source")
+
+
+def _slice() -> Column:
+    """Part of a group of ``n`` rows by its turn."""
+    return F.pmod(F.shiftrightunsigned("_order", 8), F.ceil(F.col("n") / SLICE_ROWS)).alias("_slice")
+
+
+PLACE = ["_slice", "_order", ROW_KEY]
+
+
+def plan(sizes: DataFrame) -> DataFrame:
+    """Per source and length: ``base`` takes of every row, and ``last``, the place of the last row that is taken once more.
+
+    ``sizes`` is what ``measured`` returns. Only rows of lengths that are taken in part are ranked.
+    """
+    totals = sizes.groupBy(*KEY).agg(F.sum("size").alias("source_size"))
     goals = targets(totals)
-    lengths = rows.groupBy(*KEY, "size").agg(F.count("*").alias("n"))
-    plan = lengths.join(goals, KEY).groupBy(*KEY).applyInPandas(_plan_source, PLAN)
-    plan = stored(plan.join(goals, KEY), "mix-plan")
-    order = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("bigint"), ROW_KEY))
-    marked = attach(rows, plan, [*KEY, "size"]).withColumn("_order", order)
-    slices = F.ceil(F.col("n") / SLICE_ROWS)
-    marked = marked.withColumn("_slice", F.pmod(F.shiftrightunsigned("_order", 8), slices))
+    lengths = sizes.groupBy(*KEY, "size").agg(F.count("*").alias("n"))
+    fitted = lengths.join(goals, KEY).groupBy(*KEY).applyInPandas(_plan_source, PLAN)
+    fitted = stored(fitted.join(goals, KEY), "mix-plan")
+    part = fitted.where("extra > 0 and extra < n").select(*KEY, "size", "n", "extra")
+    marked = attach(sizes.select(*KEY, "size", "_order", ROW_KEY), part, [*KEY, "size"], "inner").withColumn("_slice", _slice())
     group = [*KEY, "size", "_slice"]
-    cut = marked.where(F.col("n") > SLICE_ROWS).groupBy(*group).agg(F.count("*").alias("m"))
+    counts = marked.where(F.col("n") > SLICE_ROWS).groupBy(*group).agg(F.count("*").alias("m"))
     earlier = Window.partitionBy(*KEY, "size").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    cut = cut.withColumn("_before", F.coalesce(F.sum("m").over(earlier), F.lit(0))).drop("m")
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", "doc_id", ROW_KEY))
-    ranked = attach(marked.withColumn("_rank", rank), cut, group)
-    place = F.col("_rank") + F.coalesce("_before", F.lit(0))
-    times = F.col("base") + (place <= F.col("extra")).cast("bigint")
-    return ranked.select("doc_id", ROW_KEY, *KEY, "size", "source_size", "target", times.alias("times"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("m").over(earlier), F.lit(0))).drop("m")
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", ROW_KEY))
+    ranked = attach(marked.withColumn("_rank", rank), counts, group)
+    last = ranked.where(F.col("_rank") + F.coalesce("_before", F.lit(0)) == F.col("extra"))
+    last = last.select(*KEY, "size", F.struct(*PLACE).alias("last"))
+    return stored(fitted.join(last, [*KEY, "size"], "left"), "mix-places")
+
+
+def choose(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """``rows`` (with source key, size, turn and row key) and how many ``times`` the mix takes each.
+
+    A row compares its place with the last one of its length, so rows are neither ranked nor
+    shuffled where the plan, one row for each source and length, is small enough to broadcast.
+    """
+    few = planned.count() <= BROADCAST_LENGTHS
+    marked = rows.join(F.broadcast(planned), [*KEY, "size"]) if few else attach(rows, planned, [*KEY, "size"], "inner")
+    taken = F.struct(_slice(), "_order", ROW_KEY) <= F.col("last")
+    more = F.when(F.col("last").isNull(), (F.col("extra") > 0).cast("bigint")).otherwise(taken.cast("bigint"))
+    return marked.withColumn("times", F.col("base") + more)
 
 
 def mixture(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The contract's columns: ``taken`` counts the words of all takes of a document."""
-    rows = choose(docs, seed)
+    sizes = stored(measured(docs, seed), "mix-sizes")
+    rows = choose(sizes, plan(sizes))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; wordless rows are kept once."""
+    own = {c: F.col(c).alias(f"_own_{i}") for i, c in enumerate(docs.columns)}  # other columns may have any name
     rows = by_row(docs)
+    planned = plan(stored(measured(rows, seed), "mix-sizes"))
+    keyed = _keyed(rows.select(*own.values(), "source", ROW_KEY, _order(seed).alias("_order"), word_count())).drop("source")
     times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("times")).cast("int")
-    picked = choose(rows, seed).select(ROW_KEY, times.alias("_n")).where("_n > 0")
-    repeated = rows.join(picked, ROW_KEY).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return repeated.select(*docs.columns)
+    picked = choose(keyed, planned).withColumn("_n", times).where("_n > 0")
+    repeated = picked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return repeated.select(*[F.col(f"_own_{i}").alias(c) for i, c in enumerate(docs.columns)])
