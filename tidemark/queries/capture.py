@@ -120,6 +120,9 @@ SCD_TGT_SQL = """tgt AS (SELECT * EXCLUDE (rn) FROM (SELECT o_custkey, o_orderke
   FROM orders WHERE o_orderdate < TIMESTAMP '2000-06-01') WHERE rn = 1)"""
 
 
+SCD_ALL_SQL = SCD_TGT_SQL.replace(" WHERE o_orderdate < TIMESTAMP '2000-06-01'", "")
+
+
 def run_rows(t: Tables, since: str | None, until: str | None) -> DataFrame:
     o = t.orders
     if since:
@@ -138,10 +141,10 @@ def shown(df: DataFrame) -> DataFrame:
 
 @query(
     "scd2_init",
-    f"""WITH {SCD_TGT_SQL} SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, {VERSION_SQL} AS version_id FROM tgt""",
+    f"""WITH {SCD_ALL_SQL} SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, {VERSION_SQL} AS version_id FROM tgt""",
 )
 def scd2_init(t: Tables) -> DataFrame:
-    return shown(history.init(run_rows(t, None, "2000-06-01"), ["o_custkey"], F.col("o_orderdate")))
+    return shown(history.init(run_rows(t, None, None), ["o_custkey"], F.col("o_orderdate")))
 
 
 APPLY_SQL = f"""WITH {SCD_TGT_SQL}, {SCD_SRC_SQL}
@@ -173,13 +176,13 @@ def scd2_delete(t: Tables) -> DataFrame:
 
 @query(
     "scd2_same_day",
-    f"""WITH {SCD_TGT_SQL}
+    f"""WITH {SCD_ALL_SQL}
 SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderdate AS valid_from,
   CAST(NULL AS VARCHAR) AS valid_to, {VERSION_SQL} AS version_id FROM tgt""",
 )
 def scd2_same_day(t: Tables) -> DataFrame:
     """A change dated like the open version overwrites it in place."""
-    rows = run_rows(t, None, "2000-06-01")
+    rows = run_rows(t, None, None)
     fixed = rows.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", "X").otherwise(F.col("o_orderstatus")))
     add = lambda df: df.withColumn("row_md5", row_hash(df, ["o_custkey"]))
     first = history.init(add(rows), ["o_custkey"], F.col("o_orderdate"))
@@ -188,7 +191,7 @@ def scd2_same_day(t: Tables) -> DataFrame:
 
 @query(
     "scd2_check",
-    f"""WITH {SCD_TGT_SQL}, n AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_orderdate FROM tgt)
+    f"""WITH {SCD_ALL_SQL}, n AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_orderdate FROM tgt)
 SELECT t.o_custkey, t.o_orderkey, t.o_orderstatus, t.o_orderdate AS valid_from,
   CASE WHEN t.o_orderstatus IS DISTINCT FROM n.o_orderstatus THEN '2001-08-01 00:00' END AS valid_to,
   md5(CAST(t.o_custkey AS VARCHAR) || '|' || CAST(t.o_orderdate AS VARCHAR)) AS version_id FROM tgt t JOIN n USING (o_custkey)
@@ -197,7 +200,7 @@ FROM tgt t JOIN n USING (o_custkey) WHERE t.o_orderstatus IS DISTINCT FROM n.o_o
 )
 def scd2_check(t: Tables) -> DataFrame:
     """Versions by comparing columns, nulls included, instead of dates."""
-    rows = run_rows(t, None, "2000-06-01")
+    rows = run_rows(t, None, None)
     changed = rows.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")))
     first = history.init(rows, ["o_custkey"], F.col("o_orderdate"))
     return shown(
@@ -322,9 +325,9 @@ def archive_day(t: Tables) -> DataFrame:
 
 
 PRICES_SQL = """a AS (SELECT l_partkey AS part_id, CAST(l_shipdate AS DATE) AS f, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS price_a FROM lineitem
-  WHERE l_returnflag = 'R' AND l_quantity > 40 GROUP BY 1, 2),
+  WHERE l_returnflag = 'R' GROUP BY 1, 2),
 b AS (SELECT l_partkey AS part_id, CAST(l_shipdate AS DATE) AS f, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS price_b FROM lineitem
-  WHERE l_returnflag = 'A' AND l_quantity > 40 GROUP BY 1, 2),
+  WHERE l_returnflag = 'A' GROUP BY 1, 2),
 a2 AS (SELECT *, coalesce(lead(f) OVER (PARTITION BY part_id ORDER BY f) - 1, DATE '9999-12-31') AS u FROM a),
 b2 AS (SELECT *, coalesce(lead(f) OVER (PARTITION BY part_id ORDER BY f) - 1, DATE '9999-12-31') AS u FROM b),
 dates AS (SELECT part_id, f FROM a UNION SELECT part_id, f FROM b),
@@ -336,7 +339,7 @@ merged AS (SELECT s.part_id, s.f AS effective_from, s.u AS effective_to, price_a
 def price_source(t: Tables, flag: str, out: str) -> DataFrame:
     """Dated prices of a part from lines of one kind, with their validity ends."""
     rows = (
-        t.lineitem.where((F.col("l_returnflag") == flag) & (F.col("l_quantity") > 40))
+        t.lineitem.where(F.col("l_returnflag") == flag)
         .groupBy(F.col("l_partkey").alias("part_id"), F.col("l_shipdate").cast("date").alias("effective_from"))
         .agg(F.max(F.col("l_extendedprice").cast("decimal(18,2)")).alias(out))
     )

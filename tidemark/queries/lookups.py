@@ -323,11 +323,11 @@ def vs_global_max(t: Tables) -> DataFrame:
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN b.region ELSE 'DIRECT' END AS region,
   CASE WHEN o_orderstatus = 'F' THEN b.seg ELSE o_orderpriority END AS seg
 FROM orders LEFT JOIN (SELECT c_custkey, r_name AS region, c_mktsegment AS seg FROM customer JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > 0) b ON o_custkey = c_custkey""",
+  JOIN region ON n_regionkey = r_regionkey) b ON o_custkey = c_custkey""",
 )
 def choose_attribution(t: Tables) -> DataFrame:
     bridge = (
-        t.customer.where(F.col("c_acctbal") > 0)
+        t.customer
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("region"), F.col("c_mktsegment").alias("seg"))

@@ -60,9 +60,12 @@ d AS (SELECT n.*, CASE WHEN txn_type NOT IN ('HoldLot', 'ReleaseLot') THEN CASE
   lag(location) OVER w AS pl, lag(txn_id) OVER w AS pid FROM n WINDOW w AS (PARTITION BY lot ORDER BY txn_id))"""
 
 
-def new_rows(t: Tables) -> DataFrame:
+HOLDS_ALL_SQL = HOLDS_SQL.replace(f" WHERE tm >= TIMESTAMP '{CUT}'", "")
+
+
+def mapped(rows: DataFrame) -> DataFrame:
     loc = F.col("location")
-    return transactions(t).where(F.col("at") >= instant(CUT)).select(
+    return rows.select(
         "txn_id", "lot", "txn_type", "location", "at",
         F.when(F.col("value") > 8, lots.RELEASE_ALL).when(F.col("value") >= 1, "Other").alias("reason"),
         F.when(loc == "view", "WAIT").when(loc == "click", "INTRANSIT").otherwise("RUN").alias("lot_state"),
@@ -71,6 +74,10 @@ def new_rows(t: Tables) -> DataFrame:
     )
 
 
+def new_rows(t: Tables) -> DataFrame:
+    return mapped(transactions(t).where(F.col("at") >= instant(CUT)))
+
+
 def derived_rows(t: Tables) -> DataFrame:
     stored = transactions(t).where(F.col("at") < instant(CUT)).select("lot", "txn_id", "location")
     stages = t.region.select(
@@ -98,7 +105,7 @@ def derived_events(t: Tables) -> DataFrame:
 
 @query(
     "running_counter",
-    f"""WITH RECURSIVE {MAPPED_SQL}, {HOLDS_SQL},
+    f"""WITH RECURSIVE {MAPPED_SQL}, {HOLDS_ALL_SQL},
 m AS (SELECT lot, txn_id, txn_type, reason, hold_count, lag(hold_count) OVER w AS pc, lag(txn_type) OVER w AS pt FROM d WINDOW w AS (PARTITION BY lot ORDER BY txn_id)),
 q AS (SELECT *, CASE WHEN pt NOT IN ('HoldLot', 'ReleaseLot') THEN 1 ELSE 0 END AS seed, ROW_NUMBER() OVER (PARTITION BY lot ORDER BY txn_id) AS k
   FROM m WHERE txn_type IN ('HoldLot', 'ReleaseLot') AND hold_count IS NULL),
@@ -108,8 +115,9 @@ r AS (SELECT lot, txn_id, txn_type, reason, k, CASE WHEN txn_type = 'HoldLot' TH
 SELECT lot, txn_id, txn_type, reason, n AS hold_count FROM r""",
 )
 def running_counter(t: Tables) -> DataFrame:
-    """The derived rows are written once (checkpoint), then counted."""
-    rows = lots.derive(new_rows(t), new_rows(t).select("lot", "txn_id", "location"), empty_stages(t))
+    """A first load of all rows, nothing stored before; the derived rows are written once (checkpoint), then counted."""
+    stored = transactions(t).select("lot", "txn_id", "location").where(F.lit(False))
+    rows = lots.derive(mapped(transactions(t)), stored, empty_stages(t))
     return lots.hold_counts(cut_lineage(rows.select("lot", "txn_id", "txn_type", "reason", "hold_count")))
 
 
@@ -122,7 +130,7 @@ x AS (SELECT *, CASE WHEN location = 'purchase' THEN 'CLOSED' WHEN location <> '
   CASE WHEN location = 'click' THEN value END AS click_value, CASE WHEN location = 'error' THEN tm END AS hold_at,
   CASE WHEN location <> lag(location) OVER w THEN tm END AS moved_at,
   CASE WHEN location <> lag(location) OVER w THEN 1 ELSE 0 END AS step, ROW_NUMBER() OVER (PARTITION BY lot ORDER BY tm DESC, txn_id DESC) AS rn
-  FROM t WHERE lot IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-28') WINDOW w AS (PARTITION BY lot ORDER BY tm, txn_id)),
+  FROM t WINDOW w AS (PARTITION BY lot ORDER BY tm, txn_id)),
 y AS (SELECT *, sum(step) OVER (PARTITION BY lot ORDER BY tm, txn_id ROWS UNBOUNDED PRECEDING) AS stay FROM x),
 z AS (SELECT *, max(value) OVER (PARTITION BY lot, stay) AS planned,
   last_value(lot_state IGNORE NULLS) OVER v AS ls, last_value(click_value IGNORE NULLS) OVER v AS click, last_value(hold_at IGNORE NULLS) OVER v AS held, last_value(moved_at IGNORE NULLS) OVER v AS moved
@@ -132,13 +140,10 @@ st AS (SELECT lot, txn_id AS last_txn_id, location, stay AS location_changes, pl
 
 
 def state(t: Tables) -> DataFrame:
-    """Full history of the lots touched lately, reduced to one row each."""
+    """Full history of all lots, reduced to one row each."""
     from tidemark.operators.timeline import Step, scan
-    from tidemark.sources.tables import expand_changed_keys
 
     rows = transactions(t)
-    touched = rows.where(F.col("at") >= instant("2024-01-28"))
-    rows = expand_changed_keys(rows, ["lot"], touched)
     loc = F.col("location")
     rows = scan(rows, ["lot"], ["at", "txn_id"], {"_pl": Step("lag", "location")}, ranged=True)
     rows = rows.select(

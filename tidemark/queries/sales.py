@@ -461,7 +461,7 @@ KINDS = {"datasheet": "R", "app_note": "A"}
 
 @query(
     "product_master",
-    """WITH p AS (SELECT p_partkey AS part_id, p_name AS part_name, p_brand AS brand FROM part WHERE p_size > 10),
+    """WITH p AS (SELECT p_partkey AS part_id, p_name AS part_name, p_brand AS brand FROM part),
 m AS (SELECT l_partkey AS part_id, max(l_suppkey) AS owner FROM lineitem WHERE l_quantity >= 48 GROUP BY 1),
 d AS (SELECT l_partkey AS part_id, max(CASE WHEN l_returnflag = 'R' THEN 'doc-' || l_suppkey END) AS datasheet, max(CASE WHEN l_returnflag = 'A' THEN 'doc-' || l_suppkey END) AS app_note
   FROM lineitem WHERE l_quantity = 50 GROUP BY 1)
@@ -471,7 +471,7 @@ FROM p FULL JOIN m ON p.part_id = m.part_id LEFT JOIN d ON d.part_id = coalesce(
 )
 def product_master(t: Tables) -> DataFrame:
     li = t.lineitem
-    p = t.part.where(F.col("p_size") > 10).select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("part_name"), F.col("p_brand").alias("brand"))
+    p = t.part.select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("part_name"), F.col("p_brand").alias("brand"))
     m = li.where(F.col("l_quantity") >= 48).groupBy(F.col("l_partkey").alias("part_id")).agg(F.max("l_suppkey").alias("owner"))
     docs = li.where(F.col("l_quantity") == 50).select(
         F.col("l_partkey").alias("part_id"), F.col("l_returnflag").alias("kind"), F.concat(F.lit("doc-"), F.col("l_suppkey").cast("string")).alias("title")
