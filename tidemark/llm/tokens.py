@@ -40,7 +40,7 @@ _SIMPLE = r"^(?P<letters>[a-zß-öø-ÿ]+)(?P<signs>[!-&(-/:-@\[-`{-~]*)\z"
 _PLAIN = LOWER.copy()
 _PLAIN[0x0A] = 0x20
 #: Words that a process remembers of each kind; a full memory starts anew.
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 300_000
 #: Bytes of text that are encoded at once; a longer text is encoded alone.
 CODED_BYTES = 2 << 20
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
