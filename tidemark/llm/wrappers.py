@@ -17,7 +17,7 @@ is spread over tasks.
 
 Defined cases: a null or empty html gives an empty text; a null or strange url is a host of
 its own kind (the empty host); repeated rows are pages of their own; pages without an id are
-returned; markup may be cut off or unbalanced anywhere; other columns are not read.
+returned; markup may be cut off, unbalanced anywhere and nested to any depth; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ SAME_SHARE = 0.9
 BROADCAST_CHARS = 16 << 20
 #: Parsed sample pages that a task keeps at hand.
 KNOWN_SAMPLES = 256
+#: Cells of a table of two child lists that is held at once.
+TABLE_CELLS = 1 << 20
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -168,22 +171,35 @@ def number(root: Node) -> list[Node]:
 
 
 def align(a: Node, b: Node) -> dict[int, int]:
-    """Simple tree matching of two numbered trees: number in ``a`` -> number in ``b``."""
-    memory: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(x: Node, y: Node) -> int:
-        if x.tag != y.tag:
-            return 0
-        if x.shape == y.shape:
-            return x.weight
-        key = x.number, y.number
-        if key not in memory:
-            memory[key] = _children(x.kids, y.kids, match)
-        return memory[key][0] + 1
-
+    """Simple tree matching of two numbered trees: number in ``a`` -> number in ``b``.
+
+    The matching of two nodes depends on their shapes alone, so it is worked out once for each
+    pair of shapes, children first and on a stack of its own: trees may be of any depth.
+    """
+    if a.tag != b.tag:
+        return {}
+    known: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+    todo = [(a, b)]
+    while todo:
+        x, y = todo[-1]
+        if x.shape == y.shape or (x.shape, y.shape) in known:
+            todo.pop()
+            continue
+        head, tail = _equal_ends(x.kids, y.kids)
+        firsts = {k.shape: k for k in x.kids[head : len(x.kids) - tail]}
+        seconds = {k.shape: k for k in y.kids[head : len(y.kids) - tail]}
+        missing = [
+            (i, j)
+            for i in firsts.values()
+            for j in seconds.values()
+            if i.tag == j.tag and i.shape != j.shape and (i.shape, j.shape) not in known
+        ]
+        if missing:
+            todo.extend(missing)
+            continue
+        known[x.shape, y.shape] = _children(x.kids, y.kids, head, tail, firsts, seconds, known)
+        todo.pop()
     out: dict[int, int] = {}
-    if not match(a, b):
-        return out
     todo = [(a, b)]
     while todo:
         x, y = todo.pop()
@@ -191,38 +207,78 @@ def align(a: Node, b: Node) -> dict[int, int]:
         if x.shape == y.shape:
             todo.extend(zip(x.kids, y.kids, strict=True))
         else:
-            todo.extend(memory[x.number, y.number][1])
+            todo.extend((x.kids[i], y.kids[j]) for i, j in known[x.shape, y.shape][1])
     return out
 
 
-def _children(xs: list[Node], ys: list[Node], match) -> tuple[int, list]:
-    """Weight and pairs of the best order-keeping match of two child lists."""
-    head = 0
-    while head < len(xs) and head < len(ys) and xs[head].shape == ys[head].shape and xs[head].tag == ys[head].tag:
-        head += 1  # equal shapes reach the largest weight either can have
+def _equal_ends(xs: list[Node], ys: list[Node]) -> tuple[int, int]:
+    """Number of leading and of trailing children of equal shapes: they reach the largest weight either can have."""
+    head, shorter = 0, min(len(xs), len(ys))
+    while head < shorter and xs[head].shape == ys[head].shape:
+        head += 1
     tail = 0
-    while tail < len(xs) - head and tail < len(ys) - head and xs[-1 - tail].shape == ys[-1 - tail].shape:
+    while tail < shorter - head and xs[-1 - tail].shape == ys[-1 - tail].shape:
         tail += 1
-    pairs = list(zip(xs[:head], ys[:head], strict=True)) + list(zip(xs[len(xs) - tail :], ys[len(ys) - tail :], strict=True))
-    total = sum(x.weight for x, _ in pairs)
-    xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
-    if xs and ys:
-        table = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        for i, x in enumerate(xs):
-            row, above = table[i + 1], table[i]
-            for j, y in enumerate(ys):
-                both = match(x, y)
-                row[j + 1] = max(above[j + 1], row[j], above[j] + both if both else 0)
-        i, j = len(xs), len(ys)
-        total += table[i][j]
+    return head, tail
+
+
+def _children(xs, ys, head: int, tail: int, firsts: dict, seconds: dict, known: dict) -> tuple[int, list[tuple[int, int]]]:
+    """Weight of two nodes and the places of their children in the best order-keeping match."""
+    pairs = [(i, i) for i in range(head)] + [(len(xs) - 1 - i, len(ys) - 1 - i) for i in range(tail)]
+    total = 1 + sum(xs[i].weight for i, _ in pairs)
+    if len(xs) == head + tail or len(ys) == head + tail:
+        return total, pairs
+    weight = np.zeros((len(firsts), len(seconds)), np.int64)
+    for i, x in enumerate(firsts.values()):
+        for j, y in enumerate(seconds.values()):
+            if x.tag == y.tag:
+                weight[i, j] = x.weight if x.shape == y.shape else known[x.shape, y.shape][0]
+    of_x, of_y = ({shape: n for n, shape in enumerate(kinds)} for kinds in (firsts, seconds))
+    left = np.array([of_x[k.shape] for k in xs[head : len(xs) - tail]])
+    right = np.array([of_y[k.shape] for k in ys[head : len(ys) - tail]])
+    best, middle = _best_order(weight, left, right)
+    return total + best, pairs + [(head + i, head + j) for i, j in middle]
+
+
+def _rows(weight: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """Rows of the table of best weights of beginnings of ``left`` and ``right``, one for each length of ``left``."""
+    row = np.zeros(len(right) + 1, np.int64)
+    yield row
+    for kind in left:
+        own = weight[kind][right]
+        both = np.where(own > 0, row[:-1] + own, 0)
+        row = np.concatenate([[0], np.maximum.accumulate(np.maximum(row[1:], both))])
+        yield row
+
+
+def _best_order(weight: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[int, list[tuple[int, int]]]:
+    """Largest weight and places of an order-keeping match; long lists are halved until a table has ``TABLE_CELLS``."""
+    total, pairs = 0, []
+    todo = [(0, len(left), 0, len(right))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if (b - a) * (d - c) > TABLE_CELLS and b - a > 1:
+            half = (a + b) // 2
+            for first in _rows(weight, left[a:half], right[c:d]):
+                pass
+            for second in _rows(weight, left[half:b][::-1], right[c:d][::-1]):
+                pass
+            cut = c + int(np.argmax(first + second[::-1]))
+            todo += [(a, half, c, cut), (half, b, cut, d)]
+            continue
+        table = np.stack(list(_rows(weight, left[a:b], right[c:d])))
+        total += int(table[-1, -1])
+        i, j = b - a, d - c
         while i and j:
-            if table[i][j] == table[i - 1][j]:
+            if table[i, j] == table[i - 1, j]:
                 i -= 1
-            elif table[i][j] == table[i][j - 1]:
+            elif table[i, j] == table[i, j - 1]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                pairs.append((xs[i], ys[j]))
+                pairs.append((a + i, c + j))
     return total, pairs
 
 
