@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -79,6 +80,36 @@ def test_em_finds_the_reliable_labeler():
     assert accuracy[0] > accuracy[1] > accuracy[2]
 
 
+def test_what_is_named_otherwise_is_rejected(spark):
+    """Planted spans of both sorts: precision and recall of each kind."""
+    sha = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(80)]
+    rows = [(i, f'token = "{sha[i]}"', True) for i in range(40)] + [(i, f"see commit {sha[i]} of it", False) for i in range(40, 80)]
+    rows += [(i, f"my tel 030 {1834000 + 617 * i} at home", True) for i in range(100, 130)]
+    rows += [(i, f"your order 030 {1834000 + 617 * i} was sent", False) for i in range(130, 160)]
+    got = {r.doc_id: r.spans for r in personal_data.find(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")).collect()}
+    for kind, ids in (("secret", range(80)), ("local_phone", range(100, 160))):
+        found = {i for i in ids if kind in got[i]}
+        true = {i for i, _, good in rows if good and i in ids}
+        assert found == true
+
+
+def brute_spans(name, text):
+    return [m.span() for m in personal_data._WIDE[name].finditer(text)]
+
+
+def test_written_addresses_are_the_pattern():
+    cases = ["bob [at] site [dot] org", "a(at)b.c(at)d.e", "x [at] y z(at)w.de", "bob  [at] a.b", "[at] a.b c.d(at) e (dot) f, é(at)g.h", "a b(at)c(at)d.e"]
+    for text in cases:
+        assert list(personal_data._written_addresses(text)) == brute_spans("address", text)
+
+
+@pytest.mark.parametrize("text", ["7" * 10**6, "a" * 10**6 + " (at) b.", "1." * 500_000, "+1" + "(" * 10**6, "a@" * 500_000, "x" * 10**6 + "@", "A1" * 500_000])
+def test_long_runs_take_linear_time(text):
+    began = time.process_time()
+    personal_data.wide_spans(text, personal_data.base_spans(text))
+    assert time.process_time() - began < 10
+
+
 def page(body, tail="</body></html>"):
     return f"<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head><body>{body}{tail}"
 
@@ -116,6 +147,20 @@ def test_text_without_a_partner_stays(spark):
     assert got == {i: f"By n{i}\nstory of page n{i} and more words on n{i}" for i in range(12)}
 
 
+def test_deep_and_wide_pages(monkeypatch):
+    deep = wrappers.parse("<div>" * 5000 + "<p>end</p>")
+    other = wrappers.number(wrappers.parse("<div>" * 4000 + "<b>x</b><p>end</p>"))
+    assert wrappers.page_blocks(deep, other)[-1]["text"] == "end"
+    wide = [wrappers.parse("".join(f"<p>{'<b>x</b>' * (i * k % 7)}<i>{i}</i></p>" for i in range(1000))) for k in (1, 3)]
+    for w in wide:
+        wrappers.number(w)
+    began = time.process_time()
+    whole = wrappers.align(*wide)
+    assert time.process_time() - began < 5
+    monkeypatch.setattr(wrappers, "TABLE_CELLS", 500)
+    assert len(wrappers.align(*wide)) == len(whole)
+
+
 def test_tree_matching_is_maximal():
     def brute(x, y):
         if x.tag != y.tag:

@@ -5,7 +5,8 @@ patterns give further candidates: written-out addresses, local phone numbers, na
 account numbers and secrets. Regular-expression, checksum, gazetteer, context and shape
 labelers vote for, against or not at all on every candidate, base ones included.
 Expectation-maximisation over the counts of all vote patterns of all documents estimates
-each labeler's reliability and each pattern's probability; a logistic span classifier is
+each labeler's reliability and each pattern's probability, held to seeds on both sides: spans
+named as personal data and spans named as something else; a logistic span classifier is
 then trained on these probabilities and on coarse features of the spans. A candidate is a
 function of a few small features here, so the counts, the training and the decisions need
 one row for each distinct combination, a number that does not grow with the corpus.
@@ -35,7 +36,8 @@ KINDS = (*BASE, *ADDED)
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match begins at the first digit of a run: where that fails, later digits of the run fail too.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -48,6 +50,7 @@ _WIDE = {
     "account": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "secret": re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9_/+-])"),
 }
+_AT = re.compile(r"\s?[\[(]at[\])]")
 _LONG = re.compile(r"[A-Za-z0-9_-]{20}")
 _ACCOUNT_START = re.compile(r"[A-Z]{2}[0-9]{2}")
 
@@ -67,6 +70,8 @@ OTHER = {"version", "isbn", "issn", "order", "invoice", "page", "pages", "sha",
 #: Context words anywhere in the characters before a span.
 CONTEXT = re.compile(r"(?i)\b(call|phone|tel|mail|contact|reach|write|pay|account|bank|login|password|secret|token|key|id)\b")
 CONTEXT_CHARS = 48
+#: Probability that a seed is what it is taken for.
+SEED = 0.98
 LABELERS = ("pattern", "checksum", "gazetteer", "context", "shape")
 
 
@@ -97,6 +102,19 @@ def _emails(text: str):
         at = text.find("@", max(done, at + 1))
 
 
+def _written_addresses(text: str):
+    """Leftmost matches of the pattern of written-out addresses, looked for around each marker only."""
+    done = 0
+    for marker in _AT.finditer(text):
+        start = at = marker.start()
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        found = _WIDE["address"].match(text, start) if start < at else None
+        if found:
+            yield found.start(), found.end()
+        done = found.end() if found else marker.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base kinds, in order."""
     out = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
@@ -121,7 +139,7 @@ def wide_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     """Further candidates that overlap neither base spans nor an earlier candidate."""
     out = []
     if "at]" in text or "at)" in text:
-        out += [(m.start(), 4, m.end()) for m in _WIDE["address"].finditer(text)]
+        out += [(a, 4, b) for a, b in _written_addresses(text)]
     if _DIGIT.search(text):
         names = ["local_phone", "national_id"]
         names += ["account"] if _ACCOUNT_START.search(text) else []
@@ -156,17 +174,15 @@ def votes(text: str, kind: int, a: int, b: int) -> tuple[list[int], int]:
         "email": lambda: 1 if re.fullmatch(r"[^@]{1,64}@[^@]+\.[A-Za-z]{2,}", span) else -1,
         "ip": lambda: -1 if digits == "0" * len(digits) else 1,
         "card": lambda: 1 if re.fullmatch(r"[2-6][0-9]{12,15}|[2-6][0-9]{3}(?:[ -][0-9]{4}){3}", span) else -1,
-        "phone": lambda: 1,
-        "address": lambda: 1,
+        "phone": lambda: -1 if digits[0] == "0" else 1,
+        "address": lambda: 1 if re.search(r"[A-Za-z]{2,}\Z", span) else -1,
         "local_phone": lambda: 1 if 9 <= len(digits) <= 12 else -1,
         "national_id": lambda: -1 if span[:3] in ("000", "666") or span[4:6] == "00" or span[0] == "9" else 1,
         "account": lambda: 1 if 15 <= len(span.replace(" ", "")) <= 34 else -1,
         "secret": lambda: 1 if re.fullmatch(r"[0-9a-f]{32,64}|[A-Za-z0-9_-]{24,}", span) else -1,
     }[name]()
-    checksum = 0
-    if name == "card":
-        checksum = 1 if _luhn(digits) else -1
-    elif name == "account":
+    checksum = 0  # cards have passed theirs already, so it tells nothing about them
+    if name == "account":
         checksum = 1 if _mod97(span.replace(" ", "")) else -1
     gazetteer = 1 if any(w in NAMED[name] for w in words) else -1 if any(w in OTHER for w in words) else 0
     context = 1 if CONTEXT.search(before) else 0
@@ -215,19 +231,37 @@ def _finder(batches):
         yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+def seeds(patterns: np.ndarray) -> np.ndarray:
+    """Probability of the vote patterns whose truth is taken as known, nan for all others.
+
+    Personal data: named as such right before the span, with no vote against. Something else: named
+    as something else (a version, an order, a commit), without a checksum that holds.
+    """
+    pattern, checksum, gazetteer, _, shape = patterns.T
+    out = np.full(len(patterns), np.nan)
+    out[(gazetteer == 1) & (pattern >= 0) & (checksum >= 0) & (shape >= 0)] = SEED
+    out[(gazetteer == -1) & (checksum < 1)] = 1 - SEED
+    return out
+
+
+def reliabilities(
+    patterns: np.ndarray, counts: np.ndarray, known: np.ndarray | None = None, rounds: int = 50
+) -> tuple[np.ndarray, np.ndarray]:
     """EM over vote patterns (rows of -1, 0, 1): accuracy of each labeler and probability of each pattern.
 
-    A labeler that votes is right with its accuracy, whatever the truth; not voting says nothing.
+    A labeler that votes is right with its accuracy, whatever the truth; not voting says nothing. An
+    accuracy below one half turns a labeler's votes round. ``known`` holds the probabilities of seeds.
     """
+    known = np.full(len(patterns), np.nan) if known is None else known
     accuracy, prior = np.full(patterns.shape[1], 0.7), 0.5
     p = np.full(len(patterns), 0.5)
     for _ in range(rounds):
         weight = np.log(accuracy / (1 - accuracy))
         p = 1 / (1 + np.exp(-(patterns @ weight + np.log(prior / (1 - prior)))))
+        p = np.where(np.isnan(known), p, known)
         right = (counts[:, None] * np.where(patterns == 1, p[:, None], np.where(patterns == -1, 1 - p[:, None], 0))).sum(axis=0)
         voted = (counts[:, None] * (patterns != 0)).sum(axis=0)
-        accuracy = np.clip((right + 7) / (voted + 10), 0.51, 0.99)  # a prior of ten votes
+        accuracy = np.clip((right + 7) / (voted + 10), 0.05, 0.99)  # a prior of ten votes
         prior = float(np.clip((counts @ p + 5) / (counts.sum() + 10), 0.05, 0.95))
     return accuracy, p
 
@@ -245,7 +279,7 @@ def classify(rows: list[tuple[int, int, int, int]]) -> set[tuple[int, int, int]]
         return set()
     kinds, codes, features, counts = (np.array(c, np.int64) for c in zip(*rows, strict=True))
     patterns = codes[:, None] // 3 ** np.arange(len(LABELERS)) % 3 - 1
-    _, p = reliabilities(patterns, counts.astype(float))
+    _, p = reliabilities(patterns, counts.astype(float), seeds(patterns))
     x, w = _design(kinds, patterns, features), counts / counts.sum()
     beta = np.zeros(x.shape[1])
     for _ in range(30):  # Newton steps with a small ridge
