@@ -79,7 +79,7 @@ def ordered_chunks(df: DataFrame, key: str, chunks: int) -> Column:
     if chunks < 2:
         return F.lit(0)
     steps = [i / chunks for i in range(1, chunks)]
-    bounds = df.agg(F.percentile_approx(key, steps, 10_000).alias("b")).first().b
+    bounds = df.agg(F.percentile_approx(key, steps, max(10_000, 10 * chunks)).alias("b")).first().b
     if not bounds:
         return F.lit(0)
     cut = F.array(*[F.lit(int(b)) for b in sorted(set(bounds))])
@@ -87,8 +87,8 @@ def ordered_chunks(df: DataFrame, key: str, chunks: int) -> Column:
 
 
 def text_chunks(spark: SparkSession) -> int:
-    """Number of ordered chunks: a few per shuffle partition, bounded for the chunk tables."""
-    return min(2048, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Number of ordered chunks: a few per shuffle partition, so they grow with the cluster's setting."""
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 # ---- words of a block of texts -------------------------------------------------------
