@@ -293,3 +293,34 @@ def test_more_than_a_thousand_parts_per_board(spark):
 
     row = spark.createDataFrame([(2_000_000_000.0, 1500, 1.25, 0.5)], "b double, n int, p double, s double")
     assert float(row.select(revenue(F.col("b"), F.col("n"), F.col("p"), F.col("s")).alias("r")).first().r) == 1_875_000_000_000.0
+
+
+def test_checks_share_one_scan_of_the_fact(spark, tmp_path):
+    """Six checks, a third of the rows under one key, null keys, an empty fact; the same keys as the single checks."""
+    path = str(tmp_path / "fact")
+    spark.sql(
+        "SELECT id, if(id % 3 = 0, 0, id % 50) k, if(id % 11 = 0, NULL, id % 20) d, if(id % 13 = 0, NULL, 'x') c FROM range(600)"
+    ).write.parquet(path)
+    fact, dim = spark.read.parquet(path), spark.sql("SELECT id + 1 AS pk FROM range(12) UNION ALL SELECT NULL UNION ALL SELECT 1")
+    checks = [
+        quality.Check("id", "unique", "id"), quality.Check("k", "unique", "k"),
+        quality.Check("some_k", "unique", "k", where=F.col("id") < 40), quality.Check("c", "not_null", "c"),
+        quality.Check("d", "foreign", "d", dim, "pk"), quality.Check("k_dim", "foreign", "k", dim, "pk"),
+    ]
+    got = quality.failures(fact, checks)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("FileScan parquet") == 1
+    rows = got.collect()
+    keys = {c.name: {r.failed_key for r in rows if r.check_name == c.name} for c in checks}
+    text = lambda df: {str(r[0]) for r in df.collect()}
+    assert keys["id"] == set() and keys["k"] == text(quality.not_unique(fact, "k"))
+    assert keys["some_k"] == text(quality.not_unique(fact, "k", F.col("id") < 40))
+    assert keys["d"] == text(quality.missing_keys(fact, "d", dim, "pk"))
+    assert keys["k_dim"] == text(quality.missing_keys(fact, "k", dim, "pk"))
+    assert [(r.failed_key, r.n_records) for r in rows if r.check_name == "c"] == [(None, quality.is_null(fact, "c").count())]
+    outcome = {r.check_name: r.status for r in quality.report(fact, checks).collect()}
+    assert outcome == {c.name: "pass" if c.name == "id" else "fail" for c in checks}
+    assert quality.failures(fact.limit(0), checks).count() == 0
+    assert quality.failures(fact, []).count() == 0 and quality.report(fact, []).count() == 0
+    with pytest.raises(ValueError):
+        quality.Check("d", "foreign", "d")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,75 @@ def insert_inferred(dim: DataFrame, missing: DataFrame, natural_key: str, key: s
     return dim.unionByName(rows.join(known, natural_key, "left_anti"), allowMissingColumns=True)
 
 
+@dataclass(frozen=True)
+class Check:
+    """One test of a fact: ``unique``, ``not_null`` or ``foreign`` (then with the dimension and its key).
+
+    ``where`` limits it to some rows. Keys are compared as text, so both sides of a foreign key
+    need one type.
+    """
+
+    name: str
+    kind: str
+    expr: str | Column
+    dim: DataFrame | None = None
+    pk: str | None = None
+    where: Column | None = None
+
+    def __post_init__(self):
+        if self.kind not in ("unique", "not_null", "foreign"):
+            raise ValueError(f"{self.name}: no check of the kind {self.kind}")
+        if (self.kind == "foreign") != (self.dim is not None and self.pk is not None):
+            raise ValueError(f"{self.name}: a dimension and its key go with foreign checks, and only with them")
+
+
+def failures(fact: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failing keys of all checks from one scan of the fact: check_name, failed_key, n_records.
+
+    Every row yields one (check, key) for each check it takes part in. They are counted with
+    map-side combining in one shuffle, so a hot key costs a row a map task, and the counts meet the
+    keys of all dimensions in one join on the same two columns. Null keys are checked by
+    ``not_null`` only, whose failing key is null. Without checks, or rows, nothing fails.
+    """
+    items, known = [], None
+    for i, c in enumerate(checks):
+        value = _expr(c.expr)
+        fails = value.isNull() if c.kind == "not_null" else value.isNotNull()
+        fails = fails if c.where is None else fails & c.where
+        key = F.lit(None).cast("string") if c.kind == "not_null" else value.cast("string")
+        items.append(F.when(fails, F.struct(F.lit(i).alias("check"), key.alias("key"))))
+        if c.kind == "foreign":
+            keys = c.dim.select(F.lit(i).alias("check"), F.col(c.pk).cast("string").alias("key")).where("key IS NOT NULL").distinct()
+            known = keys if known is None else known.unionByName(keys)
+    if not items:
+        return fact.sparkSession.createDataFrame([], "check_name string, failed_key string, n_records bigint")
+    rows = fact.select(F.explode(F.array_compact(F.array(*items))).alias("item")).select("item.*")
+    counts = rows.groupBy("check", "key").agg(F.count("*").alias("n_records"))
+    of_kind = lambda kind: F.col("check").isin([i for i, c in enumerate(checks) if c.kind == kind])
+    bad = of_kind("not_null") | (of_kind("unique") & (F.col("n_records") > 1))
+    if known is not None:
+        counts = counts.join(known.withColumn("known", F.lit(True)), ["check", "key"], "left")
+        bad = bad | (of_kind("foreign") & F.col("known").isNull())
+    names = F.array(*[F.lit(c.name) for c in checks])
+    return counts.where(bad).select(names[F.col("check")].alias("check_name"), F.col("key").alias("failed_key"), "n_records")
+
+
+def report(fact: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row a check, passed ones too: check_name, kind, failed_keys (a null counts as one), failed_records, status."""
+    failed = failures(fact, checks).groupBy("check_name").agg(
+        F.count("*").alias("failed_keys"), F.sum("n_records").alias("failed_records")
+    )
+    all_ = [F.struct(F.lit(c.name).alias("check_name"), F.lit(c.kind).alias("kind")) for c in checks]
+    none = F.array().cast("array<struct<check_name:string,kind:string>>")
+    every = fact.sparkSession.range(1).select(F.inline(F.array(*all_) if all_ else none))
+    return every.join(failed, "check_name", "left").select(
+        "check_name",
+        "kind",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("failed_keys", "failed_records")],
+        F.when(F.col("failed_keys").isNull(), "pass").otherwise("fail").alias("status"),
+    )
+
+
 def freshness(df: DataFrame, loaded: str, now: Column, warn_hours: int = 24, error_hours: int = 48) -> DataFrame:
     """One row: newest load time, its age in hours, and pass / warn / error."""
     age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now) / 3600

@@ -71,3 +71,52 @@ def inferred_members(t: Tables) -> DataFrame:
     )
     missing = quality.missing_keys(t.lineitem, "l_orderkey", dim, "o_orderkey")
     return quality.insert_inferred(dim, missing, "o_orderkey", "order_key", origin=F.lit("INFERRED"))
+
+
+_CHECKS_SQL = """WITH line AS (SELECT *, l_orderkey || '--' || l_linenumber AS line_key FROM lineitem),
+failed AS (
+  SELECT 'line_unique' AS check_name, line_key AS failed_key, count(*) AS n_records FROM line GROUP BY 2 HAVING count(*) > 1
+  UNION ALL SELECT 'part_unique', CAST(l_partkey AS VARCHAR), count(*) FROM line
+    WHERE date_trunc('year', l_shipdate) = (SELECT max(date_trunc('year', l_shipdate)) FROM line) GROUP BY 2 HAVING count(*) > 1
+  UNION ALL SELECT 'flag_not_null', CAST(NULL AS VARCHAR), count(*) FROM line WHERE nullif(l_returnflag, 'R') IS NULL HAVING count(*) > 0
+  UNION ALL SELECT 'order_known', CAST(l_orderkey AS VARCHAR), count(*) FROM line
+    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY 2
+  UNION ALL SELECT 'part_known', CAST(l_partkey AS VARCHAR), count(*) FROM line
+    WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40) GROUP BY 2
+  UNION ALL SELECT 'supplier_known', CAST(l_suppkey AS VARCHAR), count(*) FROM line
+    WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY 2)
+"""
+
+
+def line_checks(t: Tables) -> list[quality.Check]:
+    """Six checks of the lines: keys, a scoped key, a blank flag and three dimensions."""
+    year = F.date_trunc("year", F.col("l_shipdate"))
+    last = t.lineitem.agg(F.max(year)).scalar()
+    line = F.concat(F.col("l_orderkey").cast("string"), F.lit("--"), F.col("l_linenumber").cast("string"))
+    return [
+        quality.Check("line_unique", "unique", line),
+        quality.Check("part_unique", "unique", "l_partkey", where=year == last),
+        quality.Check("flag_not_null", "not_null", F.nullif("l_returnflag", F.lit("R"))),
+        quality.Check("order_known", "foreign", "l_orderkey", t.orders.where(F.col("o_orderstatus") != "P"), "o_orderkey"),
+        quality.Check("part_known", "foreign", "l_partkey", t.part.where(F.col("p_size") <= 40), "p_partkey"),
+        quality.Check("supplier_known", "foreign", "l_suppkey", t.supplier, "s_suppkey"),
+    ]
+
+
+@query("dq_failures", _CHECKS_SQL + "SELECT * FROM failed")
+def dq_failures(t: Tables) -> DataFrame:
+    """Failing keys of six checks from one scan of the lines."""
+    return quality.failures(t.lineitem, line_checks(t))
+
+
+@query(
+    "dq_report",
+    _CHECKS_SQL
+    + """SELECT c.check_name, c.kind, coalesce(count(f.check_name), 0) AS failed_keys, CAST(coalesce(sum(n_records), 0) AS BIGINT) AS failed_records,
+  CASE WHEN count(f.check_name) > 0 THEN 'fail' ELSE 'pass' END AS status
+FROM (VALUES ('line_unique', 'unique'), ('part_unique', 'unique'), ('flag_not_null', 'not_null'), ('order_known', 'foreign'),
+  ('part_known', 'foreign'), ('supplier_known', 'foreign')) c(check_name, kind) LEFT JOIN failed f ON f.check_name = c.check_name GROUP BY 1, 2""",
+)
+def dq_report(t: Tables) -> DataFrame:
+    """Outcome of the six checks, passed ones too."""
+    return quality.report(t.lineitem, line_checks(t))
