@@ -1,5 +1,7 @@
 """Joins, dedup, graph walk and quality checks on small hand-made inputs."""
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from tidemark.functions import numbers
 from tidemark.operators import graph, joins, money, quality, reshape, snapshots
 from tidemark.operators.dedup import latest, latest_batch
 from tidemark.operators.joins import Rule
-from tidemark.plans import parts, projects
+from tidemark.plans import funnel, parts, projects
 
 
 def test_cascade(spark):
@@ -324,3 +326,11 @@ def test_checks_share_one_scan_of_the_fact(spark, tmp_path):
     assert quality.failures(fact, []).count() == 0 and quality.report(fact, []).count() == 0
     with pytest.raises(ValueError):
         quality.Check("d", "foreign", "d")
+
+
+def test_revenue_of_large_orders(spark):
+    rows = [("10", "3", "1.234567", "0.5"), ("5", "2000000", "2", "1"), ("90000000000000", "40", "0.5", "0.25"), (None, "1", "1", "1")]
+    df = spark.createDataFrame(rows, "boards string, per_board string, price string, share string")
+    got = [r[0] for r in df.select(funnel.revenue(*[F.col(c).cast("decimal(38,8)") for c in df.columns])).collect()]
+    want = [None if b is None else (Decimal(b) * Decimal(n) * Decimal(p) * Decimal(s)).quantize(Decimal("0.01"), ROUND_HALF_UP) for b, n, p, s in rows]
+    assert got == want

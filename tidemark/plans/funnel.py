@@ -26,10 +26,13 @@ def unit_price(price: Column, rate: Column) -> Column:
 def revenue(boards: Column, per_board: Column, price: Column, share: Column) -> Column:
     """Yearly boards times parts per board times price times own share, to the cent.
 
-    The casts keep the exact product of up to 10^13 parts within 38 digits.
+    Up to 10^13 parts the product is exact before it is rounded. Beyond that it is held with 38 digits, of
+    which six are decimals; up to 10^10 parts per board and 10^20 parts nothing overflows.
     """
-    parts = (boards.cast("decimal(15,2)") * per_board.cast("decimal(6,0)")).cast("decimal(15,2)")
-    return F.round(parts * price.cast("decimal(14,6)") * share.cast("decimal(7,4)"), 2)
+    price, share = price.cast("decimal(14,6)"), share.cast("decimal(7,4)")
+    few = (boards.try_cast("decimal(15,2)") * per_board.try_cast("decimal(6,0)")).try_cast("decimal(15,2)")
+    many = (boards.cast("decimal(20,2)") * per_board.cast("decimal(10,0)")).cast("decimal(22,2)")
+    return F.coalesce(F.round(few * price * share, 2), F.round(many * price * share, 2))
 
 
 def roles(mapping: DataFrame, key: str, names: Mapping[str, str]) -> DataFrame:
