@@ -121,25 +121,6 @@ def stage_summary(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     )
 
 
-def sample_routes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Routes between ten sites read off order lines: supplier gives the site, flags the stage."""
-    site = lambda c: F.concat(F.lit("S"), (c % 10).cast("string"))
-    edges = lines.select(
-        F.col("l_partkey").alias("part"),
-        site(F.col("l_suppkey")).alias("from_site"),
-        F.col("l_returnflag").alias("from_stage"),
-        site(F.col("l_suppkey") * 7 + F.col("l_linenumber")).alias("to_site"),
-        F.when(F.col("l_linestatus") == "F", "A").when(F.col("l_returnflag") == "A", "R").otherwise("N").alias("to_stage"),
-        F.when(F.col("l_discount") > 0.05, "BOM").otherwise("BOD").alias("kind"),
-    ).distinct()
-    seeds = (
-        edges.where(F.col("kind") == "BOM")
-        .groupBy("part", F.col("from_stage").alias("stage"))
-        .agg(F.max("from_site").alias("site"))
-    )
-    return edges, seeds
-
-
 def part_precedence(engineering: DataFrame, legacy: DataFrame, planning: DataFrame, key: str) -> DataFrame:
     """Part master: engineering, then legacy, then planning parts not seen before."""
     return precedence_union([engineering, legacy, planning], [key])

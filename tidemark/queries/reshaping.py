@@ -137,6 +137,25 @@ WALK_SQL = """edges AS (SELECT DISTINCT l_partkey AS part, 'S' || (l_suppkey % 1
 seeds AS (SELECT part, max(from_site) AS site, from_stage AS stage FROM edges WHERE kind = 'BOM' GROUP BY part, from_stage)"""
 
 
+def sample_routes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Routes between ten sites read off order lines: supplier gives the site, flags the stage."""
+    site = lambda c: F.concat(F.lit("S"), (c % 10).cast("string"))
+    edges = lines.select(
+        F.col("l_partkey").alias("part"),
+        site(F.col("l_suppkey")).alias("from_site"),
+        F.col("l_returnflag").alias("from_stage"),
+        site(F.col("l_suppkey") * 7 + F.col("l_linenumber")).alias("to_site"),
+        F.when(F.col("l_linestatus") == "F", "A").when(F.col("l_returnflag") == "A", "R").otherwise("N").alias("to_stage"),
+        F.when(F.col("l_discount") > 0.05, "BOM").otherwise("BOD").alias("kind"),
+    ).distinct()
+    seeds = (
+        edges.where(F.col("kind") == "BOM")
+        .groupBy("part", F.col("from_stage").alias("stage"))
+        .agg(F.max("from_site").alias("site"))
+    )
+    return edges, seeds
+
+
 @query(
     "walk_paths",
     f"""WITH RECURSIVE {WALK_SQL},
@@ -147,7 +166,7 @@ SELECT part, last_stage, max(stage) AS default_stage, count(*) AS states FROM wa
 )
 def walk_paths(t: Tables) -> DataFrame:
     """Supply routes of each part through sites and stages."""
-    edges, seeds = parts_plan.sample_routes(t.lineitem)
+    edges, seeds = sample_routes(t.lineitem)
     return parts_plan.stage_summary(edges, seeds)
 
 
