@@ -101,3 +101,43 @@ def test_hot_key_is_asked_once_a_day_and_rows_go_back_once(spark):
     assert {(r.d.day, r.found, r["count"]) for r in got.groupBy("d", "found").count().collect()} == {
         (1, "0", 10000), (2, "1", 10000), (3, "2", 10000), (4, "3", 10000), (5, None, 10000)
     }
+
+
+def test_bridge_overrides_by_rule(spark):
+    """Adjusted and reference corporation: exact, product-wide, own corporation of an indirect customer
+    without an end corporation, out of time, and none."""
+    from tidemark.plans.attribution import customer_bridge
+
+    def table(sql, names):
+        return spark.sql(f"SELECT * FROM VALUES {sql} AS t({names})")
+
+    facts = table(
+        """(1, 'p1', 'd', 'i', date'2020-05-01'), (2, 'p2', 'd', 'i', date'2020-05-01'), (3, 'p3', 'd', 'n', date'2020-05-01'),
+        (4, 'p1', 'd', 'i', date'2019-01-01'), (5, 'p4', 'd', null, date'2020-05-01'), (6, 'p1', 'e', 'i', null)""",
+        "txn_id, product, direct, indirect, process_date",
+    )
+    customers = table(
+        "('d', 'DC', 'DE', 'OEM'), ('i', 'IC', 'IE', 'DIST'), ('n', 'NC', null, 'DIST'), ('e', 'EC', null, 'EMSI')",
+        "customer, corp, end_corp, class",
+    )
+    interest = table(
+        "('p1', 'e', null, 'COI', date'2000-01-01', date'9999-12-31')", "product, customer, corp, interest, from_date, to_date"
+    ).withColumn("corp", F.col("corp").cast("string"))
+    year = "date'2020-01-01', date'2020-12-31'"
+    over = table(
+        f"""('p1', 'd', 'i', 'IE', 'exact', {year}), ('p1', null, null, null, 'wide', {year}), ('p2', 'd', 'i', 'IC', 'no', {year}),
+        ('p2', null, null, null, 'wide', {year}), ('p3', 'd', 'n', 'NC', 'lone', {year}), ('p4', 'x', 'y', 'Z', 'no', {year})""",
+        "product, direct, indirect, end_corp, adjusted, from_date, to_date",
+    )
+    reference = over.where("adjusted <> 'exact'").withColumnRenamed("adjusted", "reference")
+    corps, custom = spark.createDataFrame([], "corp string"), spark.createDataFrame([], "product string")
+    out = customer_bridge(facts, customers, interest, over, corps, custom, reference).collect()
+    got = {r.txn_id: (r.end_corp, r.adjusted_end_corp, r.reference_corp, r.end_corp_definition) for r in out}
+    assert got == {
+        1: ("IE", "exact", "wide", "SUBCorp"),
+        2: ("IE", "wide", "wide", "SUBCorp"),
+        3: ("NC", "lone", "lone", "SUBCorp"),
+        4: ("IE", "IE", "IE", "SUBCorp"),
+        5: (None, None, None, "SUBCorp"),
+        6: ("EC", "EC", "EC", "NoCOI-Using DIRCoproration"),
+    }

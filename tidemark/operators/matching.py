@@ -13,7 +13,8 @@ lookup for each combination shuffles the facts as many times. Here
   overlapping rules never multiply a fact.
 
 The facts take part as distinct (keys, date), which one aggregate with map-side
-combine gives; whole rows are shuffled only once, to fetch the answers.
+combine gives, and only with keys that some rule has; whole rows are shuffled only
+once, to fetch the answers.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import date_span
+from tidemark.session import broadcast_bounded
 
 #: A cell's number and its size class share one bigint.
 SIZES = 32
@@ -39,7 +41,7 @@ def cells_of_day(day: Column, sizes: Column, bits: int) -> Column:
     """Cells that hold a day (counted from 0), one of each size."""
     return F.transform(
         F.sequence(F.lit(0), sizes - 1),
-        lambda s: F.floor(day.cast("bigint") / F.pow(F.lit(2), s * bits)).cast("bigint") * SIZES + s,
+        lambda s: F.call_function("shiftright", day.cast("bigint"), s * bits) * SIZES + s,
     )
 
 
@@ -57,11 +59,8 @@ def cells_of_interval(first: Column, last: Column, sizes: Column, bits: int) ->
 
     def of_size(s: Column) -> Column:
         def inside(size: Column) -> tuple[Column, Column]:
-            width = F.pow(F.lit(2), size * bits)
-            return (
-                F.ceil(first.cast("bigint") / width).cast("bigint"),
-                F.floor((last.cast("bigint") + 1) / width).cast("bigint") - 1,
-            )
+            whole = lambda day: F.call_function("shiftright", day.cast("bigint"), size * bits)
+            return whole(first - 1) + 1, whole(last + 1) - 1
 
         lo, hi = inside(s)
         up, down = inside(s + 1)
@@ -100,7 +99,7 @@ class Choice:
 
 
 def match_rules(
-    facts: DataFrame, choices: Sequence[Choice], date: str, *, span: Column | None = None, bits: int = 6
+    facts: DataFrame, choices: Sequence[Choice], date: str, *, span: Column | None = None, bits: int = 3
 ) -> DataFrame:
     """``facts`` with one column for each choice, null where no rule matches.
 
@@ -118,10 +117,7 @@ def match_rules(
     best = [f"_best{i}" for i in range(len(choices))]
     types = dict(facts.dtypes)
 
-    parts = []
-    for i, choice in enumerate(choices):
-        for number, rule in enumerate(choice.rules, 1):
-            parts.append(_rule_rows(choice, rule, number, keys, numbered, types, span, i, choices))
+    parts = [_rule_rows(c, keys, numbered, types, span, i, choices) for i, c in enumerate(choices)]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
@@ -151,11 +147,13 @@ def match_rules(
             for mask, i in numbered.items()
         ]
     )
+    named = rows.select(F.xxhash64(*held).alias("_lh")).distinct()  # keys that some rule has; counted, then joined
     asked = (
-        asks.withColumns({"_place": F.datediff("_day", lo), "_sizes": sizes})
+        asks.withColumn("_turn", F.explode(F.array_compact(turns)))
+        .select(*asks.columns, F.col("_turn.mask").alias("_m"), F.col("_turn.hash").alias("_lh"))
+        .join(broadcast_bounded(named, named.count()), "_lh", "left_semi")
+        .withColumns({"_place": F.datediff("_day", lo), "_sizes": sizes})
         .withColumn("_at", F.explode(cells_of_day(F.col("_place"), F.col("_sizes"), bits)))
-        .withColumn("_turn", F.explode(F.array_compact(turns)))
-        .select(*asks.columns, "_at", F.col("_turn.mask").alias("_m"), F.col("_turn.hash").alias("_lh"))
     )
     same = [F.col("_m") == F.col("_mask"), F.col("_lh") == F.col("_rh"), F.col("_at") == F.col("_cell")]
     same += [F.col(f"_r_{k}").isNull() | (F.col(f"_f_{k}") == F.col(f"_r_{k}")) for k in keys]
@@ -178,33 +176,37 @@ def match_rules(
     return left.join(answers, _all(back), "left").select(*facts.columns, *out)
 
 
-def _rule_rows(choice, rule, number, keys, numbered, types, span, place, choices) -> DataFrame:
-    """Rows of one rule: mask, keys (null where the mask has none), days from the span's start, candidate values."""
+def _rule_rows(choice, keys, numbered, types, span, place, choices) -> DataFrame:
+    """One scan of a choice's table, a row repeated for each rule that takes it: mask, keys (null
+    where the mask has none), first and last day from the span's start, candidate values."""
     lo, hi = span.getField("lo"), span.getField("hi")
-    ref = choice.ref if rule.where is None else choice.ref.where(rule.where)
-    kinds = dict(ref.dtypes)
-    for k, r in rule.on.items():
-        if kinds[r] != types[k]:
-            raise TypeError(f"{k} is {types[k]}, rule column {r} is {kinds[r]}")
+    kinds = dict(choice.ref.dtypes)
+    turns = []
+    for number, rule in enumerate(choice.rules, 1):
+        for k, r in rule.on.items():
+            if kinds[r] != types[k]:
+                raise TypeError(f"{k} is {types[k]}, rule column {r} is {kinds[r]}")
+        takes = _all([F.col(r).isNotNull() for r in rule.on.values()])
+        mask = numbered[tuple(k for k in keys if k in rule.on)]
+        parts = [(F.col(rule.on[k]) if k in rule.on else F.lit(None)).cast(types[k]).alias(f"_r_{k}") for k in keys]
+        turn = F.struct(F.lit(mask).alias("_mask"), F.lit(number).alias("rule"), *parts)
+        turns.append(F.when(takes if rule.where is None else takes & rule.where, turn))
     start, end = F.col(choice.start).cast("date"), F.col(choice.end).cast("date")
-    used = [*rule.on.values(), choice.value, choice.start, choice.end]
-    ref = ref.where(_all([F.col(c).isNotNull() for c in used]))
+    given = choice.ref.where(_all([F.col(c).isNotNull() for c in (choice.value, choice.start, choice.end)]))
+    rows = given.select(
+        F.datediff(F.greatest(start, lo), lo).alias("_first"),
+        F.datediff(F.least(end, hi), lo).alias("_last"),
+        (-F.datediff(start, F.lit("1970-01-01").cast("date")) if choice.latest else F.lit(0)).alias("order"),
+        F.col(choice.value).alias("value"),
+        F.explode(F.array_compact(F.array(*turns))).alias("_turn"),
+    ).where(F.col("_first") <= F.col("_last"))
     # smaller is better: rule number, then a later start if asked for, then the value
-    order = (-F.datediff(start, F.lit("1970-01-01").cast("date")) if choice.latest else F.lit(0)).alias("order")
-    mine = F.struct(F.lit(number).alias("rule"), order, F.col(choice.value).alias("value"))
+    mine = F.struct(F.col("_turn.rule").alias("rule"), "order", "value")
     values = []
     for i, other in enumerate(choices):
         kind = f"struct<rule:int,order:int,value:{dict(other.ref.dtypes)[other.value]}>"
         values.append((mine if i == place else F.lit(None)).cast(kind).alias(f"_best{i}"))
-    mask = tuple(k for k in keys if k in rule.on)
-    rows = ref.select(
-        F.lit(numbered[mask]).alias("_mask"),
-        *[(F.col(rule.on[k]) if k in rule.on else F.lit(None)).cast(types[k]).alias(f"_r_{k}") for k in keys],
-        F.datediff(F.greatest(start, lo), lo).alias("_first"),
-        F.datediff(F.least(end, hi), lo).alias("_last"),
-        *values,
-    )
-    return rows.where(F.col("_first") <= F.col("_last"))
+    return rows.select("_turn._mask", *[f"_turn._r_{k}" for k in keys], "_first", "_last", *values)
 
 
 def _all(conds: Sequence[Column]) -> Column:

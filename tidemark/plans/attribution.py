@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import surrogate_key
-from tidemark.operators.joins import date_span, enrich, lookup_effective
+from tidemark.operators.joins import date_span, enrich
+from tidemark.operators.matching import Choice, Rule, match_rules
 
 # Business classes and labels are fixed values.
 NO_INTEREST = "COIW"
 
 
+def overrides() -> list[Rule]:
+    """Rules of the adjusted and the reference corporation: exact with the indirect customer's
+    end corporation, product-wide, exact with its own corporation where it has no other."""
+    exact = {"product": "product", "direct": "direct", "indirect": "indirect"}
+    named = F.col("indirect").isNotNull()
+    return [
+        Rule({**exact, "ind_end_corp": "end_corp"}, named),
+        Rule({"product": "product"}, ~named),
+        Rule({**exact, "_lone_corp": "end_corp"}, named),
+    ]
+
+
 def customer_bridge(
     facts: DataFrame,
     customers: DataFrame,
@@ -19,15 +32,17 @@ def customer_bridge(
     adjusted: DataFrame,
     allowed_corps: DataFrame,
     custom_products: DataFrame,
+    reference: DataFrame,
 ) -> DataFrame:
-    """Direct, indirect, end and adjusted end corporation of each transaction.
+    """Direct, indirect, end, adjusted end and reference corporation of each transaction.
 
     ``facts``: ``txn_id, product, direct, indirect, process_date``.
     ``customers``: ``customer, corp, end_corp, class``.
     ``interest``: ``product, customer, corp, interest, from_date, to_date``, where
     either ``customer`` (customer rule) or ``corp`` (corporation rule) is set.
     ``adjusted``: ``product, direct, indirect, end_corp, adjusted, from_date, to_date``;
-    a null ``indirect`` makes a product-wide rule.
+    a null ``indirect`` makes a product-wide rule. ``reference``: the same with ``reference``
+    instead of ``adjusted``.
 
     EMSI customers, OEM customers of an allowed corporation, and distributors of a
     custom product use the interest rules, falling back to their own corporation;
@@ -39,16 +54,19 @@ def customer_bridge(
     custom = (custom_products.distinct().withColumn("_y", F.lit(True)), {"product": "product"}, {"_custom": "_y"})
     df = enrich(facts, [direct, indirect, oem, custom])
 
-    rules = interest.where(F.col("interest") != NO_INTEREST)
-    by_customer = rules.where(F.col("customer").isNotNull())
-    by_corp = rules.where(F.col("customer").isNull())
-    span = date_span(facts, "process_date")
-
-    def valid(df: DataFrame, ref: DataFrame, on: dict[str, str], value: str, out: str) -> DataFrame:
-        return lookup_effective(df, ref, on, "process_date", "from_date", "to_date", value, out, span=span)
-
-    df = valid(df, by_customer, {"product": "product", "direct": "customer"}, "interest", "_coi_cust")
-    df = valid(df, by_corp, {"product": "product", "direct_corp": "corp"}, "interest", "_coi_corp")
+    # an indirect customer without an end corporation is looked up by its own
+    df = df.withColumn("_lone_corp", F.when(F.col("ind_end_corp").isNull(), F.col("ind_corp")))
+    no_customer = F.col("customer").isNull()
+    owned = [
+        Rule({"product": "product", "direct": "customer"}, ~no_customer),
+        Rule({"product": "product", "direct_corp": "corp"}, no_customer),
+    ]
+    choices = [
+        Choice("_coi", interest.where(F.col("interest") != NO_INTEREST), "interest", "from_date", "to_date", owned, rule_out="_coi_rule"),
+        Choice("_adjusted", adjusted, "adjusted", "from_date", "to_date", overrides()),
+        Choice("_reference", reference, "reference", "from_date", "to_date", overrides()),
+    ]
+    df = match_rules(df, choices, "process_date", span=date_span(facts, "process_date"))
 
     cls = F.col("class")
     own = (
@@ -60,32 +78,19 @@ def customer_bridge(
     df = df.withColumn("indirect_corp", F.coalesce("ind_end_corp", "ind_corp"))
     df = df.withColumn(
         "end_corp",
-        F.when(own, F.coalesce("_coi_cust", "_coi_corp", "direct_corp")).otherwise(F.col("indirect_corp")),
+        F.when(own, F.coalesce("_coi", "direct_corp")).otherwise(F.col("indirect_corp")),
     )
     label = (
-        F.when(F.col("_coi_cust").isNotNull(), "COICustomer")
-        .when(F.col("_coi_corp").isNotNull(), "COICorporation")
+        F.when(F.col("_coi_rule") == 1, "COICustomer")
+        .when(F.col("_coi_rule") == 2, "COICorporation")
         .when(F.col("direct_corp").isNotNull(), "NoCOI-Using DIRCoproration")
         .otherwise("Not Defined")
     )
     df = df.withColumn("end_corp_definition", F.when(own, label).otherwise("SUBCorp"))
-    return _adjust(df, adjusted, valid)
-
-
-def _adjust(df: DataFrame, adjusted: DataFrame, valid) -> DataFrame:
-    """Adjusted end corporation: exact rule on the indirect end corporation, product-wide
-    rule, rule on the indirect corporation where it has no end corporation, else unchanged."""
-    exact = adjusted.where(F.col("indirect").isNotNull())
-    wide = adjusted.where(F.col("indirect").isNull())
-    full = {"product": "product", "direct": "direct", "indirect": "indirect"}
-    no_end: Column = F.when(F.col("ind_end_corp").isNull(), F.col("ind_corp"))
-    df = df.withColumn("_lone_corp", no_end)
-    df = valid(df, exact, {**full, "ind_end_corp": "end_corp"}, "adjusted", "_adj1")
-    df = valid(df, wide, {"product": "product"}, "adjusted", "_adj2")
-    df = valid(df, exact, {**full, "_lone_corp": "end_corp"}, "adjusted", "_adj3")
-    out = df.withColumn("adjusted_end_corp", F.coalesce("_adj1", "_adj2", "_adj3", "end_corp"))
-    keyed = ["direct_corp", "indirect_corp", "end_corp", "adjusted_end_corp"]
-    return out.select(
+    df = df.withColumn("adjusted_end_corp", F.coalesce("_adjusted", "end_corp"))
+    df = df.withColumn("reference_corp", F.coalesce("_reference", "end_corp"))
+    keyed = ["direct_corp", "indirect_corp", "end_corp", "adjusted_end_corp", "reference_corp"]
+    return df.select(
         "txn_id", "process_date", *keyed, "end_corp_definition",
         *[surrogate_key(F.col(c)).alias(c + "_key") for c in keyed],
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import day
 from tidemark.functions.numbers import dec
 from tidemark.operators import calendar as cal
-from tidemark.operators import joins
+from tidemark.operators import joins, matching
 from tidemark.operators.joins import Rule
 from tidemark.plans import npd
 from tidemark.queries.inputs import RATES_SQL, fiscal_cal, fiscal_sql, rate_table
@@ -144,6 +144,33 @@ def effective_join(t: Tables) -> DataFrame:
     ).drop("ship_day")
 
 
+@query(
+    "effective_latest",
+    f"""WITH r AS (SELECT l_partkey AS p, l_suppkey AS s, CAST(l_shipdate AS DATE) AS f,
+  CASE WHEN l_linenumber = 1 THEN DATE '9999-12-31' WHEN l_linenumber = 2 THEN CAST(l_shipdate AS DATE) ELSE CAST(l_shipdate AS DATE) + 300 END AS u
+  FROM lineitem WHERE l_quantity >= 49 AND l_returnflag = 'R'),
+d AS (SELECT DISTINCT l_partkey AS p, CAST(l_shipdate AS DATE) AS day FROM lineitem),
+best AS (SELECT d.p, day, s FROM d JOIN r ON r.p = d.p AND day BETWEEN f AND u
+  QUALIFY row_number() OVER (PARTITION BY d.p, day ORDER BY f DESC, s) = 1)
+SELECT {LINE_SQL}, s AS newest_supplier FROM lineitem LEFT JOIN best ON p = l_partkey AND day = CAST(l_shipdate AS DATE)""",
+)
+def effective_latest(t: Tables) -> DataFrame:
+    """Lines with the supplier of the rule that began last of those valid on the ship date; a rule
+    holds for one day, 300 days or without end."""
+    li = t.lineitem
+    began = F.col("l_shipdate").cast("date")
+    no = F.col("l_linenumber")
+    rules = li.where((F.col("l_quantity") >= 49) & (F.col("l_returnflag") == "R")).select(
+        "l_partkey", "l_suppkey", began.alias("valid_from"),
+        F.when(no == 1, day("9999-12-31")).when(no == 2, began).otherwise(F.date_add(began, 300)).alias("valid_to"),
+    )
+    newest = matching.Choice(
+        "newest_supplier", rules, "l_suppkey", "valid_from", "valid_to", [matching.Rule({"l_partkey": "l_partkey"})],
+        latest=True,
+    )
+    return matching.match_rules(li.select(*LINE, began.alias("ship_day")), [newest], "ship_day").drop("ship_day")
+
+
 @query(
     "cascade_lookup",
     f"""WITH ref AS (SELECT l_partkey AS p, l_suppkey AS s, l_returnflag AS g, l_linenumber AS v FROM lineitem WHERE l_quantity = 50 AND l_linestatus = 'F'),

@@ -182,6 +182,9 @@ interest AS (SELECT l_partkey AS product, CASE WHEN l_returnflag = 'R' THEN o_cu
 adj AS (SELECT l_partkey AS product, o_custkey AS direct, CASE WHEN l_returnflag <> 'N' THEN l_suppkey END AS indirect,
   coalesce(end_corp, corp) AS end_corp, 'ADJ' || l_linenumber AS adjusted, ship_day AS f, ship_day + 400 AS u
   FROM ol JOIN cust ON l_suppkey = cust.customer WHERE l_quantity = 49),
+refc AS (SELECT l_partkey AS product, o_custkey AS direct, CASE WHEN l_returnflag <> 'N' THEN l_suppkey END AS indirect,
+  coalesce(end_corp, corp) AS end_corp, 'REF' || l_linenumber AS reference, ship_day - 200 AS f,
+  CASE WHEN l_linestatus = 'O' THEN DATE '9999-12-31' ELSE ship_day END AS u FROM ol JOIN cust ON l_suppkey = cust.customer WHERE l_quantity = 48),
 x AS (SELECT {TXN_SQL} AS txn_id, l_partkey AS product, o_custkey AS direct, l_suppkey AS indirect, ship_day AS process_date,
   d.corp AS direct_corp, d.class, i.corp AS ind_corp, i.end_corp AS ind_end_corp,
   coalesce(d.corp IN (SELECT 'C' || n_nationkey FROM nation WHERE n_regionkey = 1), false) AS oem, l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO') AS custom
@@ -191,15 +194,18 @@ y AS (SELECT *,
   (SELECT min(interest) FROM interest r WHERE r.product = x.product AND r.customer IS NULL AND r.corp = x.direct_corp AND x.process_date BETWEEN f AND u AND interest <> 'COIW') AS c2,
   (SELECT min(adjusted) FROM adj r WHERE r.product = x.product AND r.direct = x.direct AND r.indirect = x.indirect AND r.end_corp = x.ind_end_corp AND x.process_date BETWEEN f AND u) AS a1,
   (SELECT min(adjusted) FROM adj r WHERE r.product = x.product AND r.indirect IS NULL AND x.process_date BETWEEN f AND u) AS a2,
-  (SELECT min(adjusted) FROM adj r WHERE r.product = x.product AND r.direct = x.direct AND r.indirect = x.indirect AND x.ind_end_corp IS NULL AND r.end_corp = x.ind_corp AND x.process_date BETWEEN f AND u) AS a3
+  (SELECT min(adjusted) FROM adj r WHERE r.product = x.product AND r.direct = x.direct AND r.indirect = x.indirect AND x.ind_end_corp IS NULL AND r.end_corp = x.ind_corp AND x.process_date BETWEEN f AND u) AS a3,
+  (SELECT min(reference) FROM refc r WHERE r.product = x.product AND r.direct = x.direct AND r.indirect = x.indirect AND r.end_corp = x.ind_end_corp AND x.process_date BETWEEN f AND u) AS r1,
+  (SELECT min(reference) FROM refc r WHERE r.product = x.product AND r.indirect IS NULL AND x.process_date BETWEEN f AND u) AS r2,
+  (SELECT min(reference) FROM refc r WHERE r.product = x.product AND r.direct = x.direct AND r.indirect = x.indirect AND x.ind_end_corp IS NULL AND r.end_corp = x.ind_corp AND x.process_date BETWEEN f AND u) AS r3
   FROM x),
 z AS (SELECT *, coalesce(ind_end_corp, ind_corp) AS indirect_corp,
   CASE WHEN {OWN_SQL} THEN coalesce(c1, c2, direct_corp) ELSE coalesce(ind_end_corp, ind_corp) END AS end_corp,
   CASE WHEN {OWN_SQL} THEN CASE WHEN c1 IS NOT NULL THEN 'COICustomer' WHEN c2 IS NOT NULL THEN 'COICorporation'
     WHEN direct_corp IS NOT NULL THEN 'NoCOI-Using DIRCoproration' ELSE 'Not Defined' END ELSE 'SUBCorp' END AS end_corp_definition FROM y),
-w AS (SELECT *, coalesce(a1, a2, a3, end_corp) AS adjusted_end_corp FROM z)
-SELECT txn_id, process_date, direct_corp, indirect_corp, end_corp, adjusted_end_corp, end_corp_definition, md5(direct_corp) AS direct_corp_key,
-  md5(indirect_corp) AS indirect_corp_key, md5(end_corp) AS end_corp_key, md5(adjusted_end_corp) AS adjusted_end_corp_key FROM w""",
+w AS (SELECT *, coalesce(a1, a2, a3, end_corp) AS adjusted_end_corp, coalesce(r1, r2, r3, end_corp) AS reference_corp FROM z)
+SELECT txn_id, process_date, direct_corp, indirect_corp, end_corp, adjusted_end_corp, reference_corp, end_corp_definition, md5(direct_corp) AS direct_corp_key,
+  md5(indirect_corp) AS indirect_corp_key, md5(end_corp) AS end_corp_key, md5(adjusted_end_corp) AS adjusted_end_corp_key, md5(reference_corp) AS reference_corp_key FROM w""",
 )
 def customer_bridge(t: Tables) -> DataFrame:
     lines, cust = order_lines(t), customers(t)
@@ -231,9 +237,21 @@ def customer_bridge(t: Tables) -> DataFrame:
             *span,
         )
     )
+    reference = (
+        lines.where(F.col("l_quantity") == 48)
+        .join(cust, F.col("l_suppkey") == F.col("customer"))
+        .select(
+            F.col("l_partkey").alias("product"), F.col("o_custkey").alias("direct"),
+            F.when(flag != "N", F.col("l_suppkey")).alias("indirect"),
+            F.coalesce("end_corp", "corp").alias("end_corp"),
+            F.concat(F.lit("REF"), no.cast("string")).alias("reference"),
+            F.date_sub("ship_day", 200).alias("from_date"),
+            F.when(F.col("l_linestatus") == "O", day("9999-12-31")).otherwise(F.col("ship_day")).alias("to_date"),
+        )
+    )
     corps = t.nation.where(F.col("n_regionkey") == 1).select(F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("corp"))
     custom = t.part.where(F.col("p_type") == "PROMO").select(F.col("p_partkey").alias("product"))
-    return attribution.customer_bridge(facts, cust, interest, adjusted, corps, custom)
+    return attribution.customer_bridge(facts, cust, interest, adjusted, corps, custom, reference)
 
 
 # --- point of sale -------------------------------------------------------------------------
