@@ -170,3 +170,52 @@ def walk_paths(t: Tables) -> DataFrame:
     return parts_plan.stage_summary(edges, seeds)
 
 
+ROUTING_SQL = """routing AS (SELECT 'P' || l_partkey AS prod_item,
+  CASE l_linenumber WHEN 2 THEN 'C_' || l_suppkey WHEN 3 THEN 'COE_' || l_suppkey WHEN 4 THEN NULL ELSE 'P' || l_partkey END AS consum_item,
+  'S' || ((l_suppkey * 7 + l_linenumber) % 4) || '_' || CASE WHEN l_linestatus = 'F' THEN 'A' WHEN l_returnflag = 'A' THEN 'R' ELSE 'N' END AS prod_fclty,
+  CASE WHEN l_linenumber = 7 THEN 'ADC' ELSE 'S' || (l_suppkey % 4) || '_' || l_returnflag END AS consum_fclty,
+  CASE WHEN l_discount > 0.05 THEN 'R' END AS res_grp, CASE WHEN l_tax < 0.07 THEN 'B' END AS bom_name FROM lineitem),
+edges AS (SELECT prod_item, consum_item, CASE WHEN res_grp IS NOT NULL THEN 'BOM' ELSE 'BOD' END AS kind,
+  split_part(prod_fclty, '_', 1) AS to_site, split_part(prod_fclty, '_', 2) AS to_stage, split_part(consum_fclty, '_', 1) AS from_site,
+  CASE WHEN consum_fclty = 'ADC' THEN 'SGC' ELSE split_part(consum_fclty, '_', 2) END AS from_stage
+  FROM routing WHERE bom_name IS NOT NULL AND NOT (res_grp IS NOT NULL AND consum_item IS NULL)),
+multi AS (SELECT DISTINCT consum_item AS part, from_stage AS stage FROM edges
+  WHERE kind = 'BOM' AND prod_item = consum_item AND to_site = from_site AND to_stage <> from_stage),
+moves AS (SELECT * FROM edges e WHERE EXISTS (SELECT 1 FROM multi m WHERE m.part = e.prod_item AND m.stage = e.to_stage)
+  OR (kind = 'BOD' AND EXISTS (SELECT 1 FROM multi m WHERE m.part = e.consum_item AND m.stage = e.from_stage))),
+seeds AS (SELECT prod_item AS part, to_stage AS stage, max(to_site) AS site FROM moves WHERE kind = 'BOM' AND prod_item <> consum_item GROUP BY 1, 2),
+steps AS (SELECT DISTINCT prod_item AS part, from_site, from_stage, to_site, to_stage, kind FROM moves WHERE prod_item = consum_item)"""
+
+
+@query(
+    "master_part_list",
+    f"""WITH RECURSIVE {ROUTING_SQL},
+walk AS (SELECT part, site, stage, stage AS last_stage FROM seeds
+  UNION SELECT w.part, e.to_site, e.to_stage, CASE WHEN e.kind = 'BOM' THEN e.to_stage ELSE w.last_stage END
+  FROM walk w JOIN steps e ON w.part = e.part AND w.site = e.from_site AND w.stage = e.from_stage),
+listed AS (SELECT 1 AS source_rank, prod_item AS part_id, max(regexp_replace(prod_item, '^[^_]*_', '')) AS base_part_id, 'BOB' AS default_stage
+    FROM routing WHERE NOT prod_item LIKE 'COE%' GROUP BY 2
+  UNION ALL SELECT 2, consum_item, max(regexp_replace(consum_item, '^[^_]*_', '')), 'BOB' FROM routing WHERE NOT consum_item LIKE 'COE%' GROUP BY 2
+  UNION ALL SELECT 3, part || '-' || last_stage, max(part), max(stage) FROM walk GROUP BY 2
+  UNION ALL SELECT DISTINCT 4, p_brand, p_brand, NULL FROM part)
+SELECT part_id, base_part_id, default_stage, source_rank FROM listed
+QUALIFY row_number() OVER (PARTITION BY part_id ORDER BY source_rank, base_part_id) = 1""",
+)
+def master_part_list(t: Tables) -> DataFrame:
+    """Parts of a routing read off order lines, part-stage combinations of multistage parts, and brands known by attributes only."""
+    col, text = F.col, lambda c: c.cast("string")
+    no, supplier, own = col("l_linenumber"), col("l_suppkey"), F.concat(F.lit("P"), text(col("l_partkey")))
+    site = lambda c: F.concat(F.lit("S"), text(c % 4), F.lit("_"))
+    to_stage = F.when(col("l_linestatus") == "F", "A").when(col("l_returnflag") == "A", "R").otherwise("N")
+    routing = t.lineitem.select(
+        own.alias("prod_item"),
+        F.when(no == 2, F.concat(F.lit("C_"), text(supplier)))
+        .when(no == 3, F.concat(F.lit("COE_"), text(supplier)))
+        .when(no != 4, own)
+        .alias("consum_item"),
+        F.concat(site(supplier * 7 + no), to_stage).alias("prod_fclty"),
+        F.when(no == 7, "ADC").otherwise(F.concat(site(supplier), col("l_returnflag"))).alias("consum_fclty"),
+        F.when(col("l_discount") > 0.05, "R").alias("res_grp"),
+        F.when(col("l_tax") < 0.07, "B").alias("bom_name"),
+    )
+    return parts_plan.master_part_list(routing, t.part.select(F.col("p_brand").alias("part_id")))
