@@ -141,3 +141,20 @@ def test_bridge_overrides_by_rule(spark):
         5: (None, None, None, "SUBCorp"),
         6: ("EC", "EC", "EC", "NoCOI-Using DIRCoproration"),
     }
+
+
+def test_whole_facts_are_shuffled_once(spark):
+    """However many rules and looked-up columns there are, one exchange carries the facts' other columns."""
+    facts, ref = _facts(spark).withColumn("payload", F.col("id") * 2), _rules(spark)
+    rules = [Rule({"a": "a", "b": "b"}), Rule({"a": "a"}, F.col("b").isNull()), Rule({"b": "b"}, F.col("a").isNull())]
+    choices = [Choice(f"found{i}", ref, "v", "s", "e", rules, latest=i == 1) for i in range(3)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = matching.match_rules(facts, choices, "d", span=date_span(facts, "d"))
+        plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    exchanges = [block for block in plan.split("\n\n") if block.lstrip().startswith("(") and ") Exchange" in block.split("\n")[0]]
+    assert len(exchanges) >= 4
+    assert sum("payload" in block for block in exchanges) == 1
