@@ -158,3 +158,49 @@ def test_whole_facts_are_shuffled_once(spark):
     exchanges = [block for block in plan.split("\n\n") if block.lstrip().startswith("(") and ") Exchange" in block.split("\n")[0]]
     assert len(exchanges) >= 4
     assert sum("payload" in block for block in exchanges) == 1
+
+
+@pytest.mark.parametrize("few", [1, 20, 1000])
+def test_rules_with_a_shared_key_match_like_brute_force(spark, few):
+    """All shared keys crowded, some of them, none; null keys, a column fetched with the rules."""
+    facts, ref = _facts(spark), _rules(spark).where("a IS NULL OR a < 3 OR s < date'1950-01-01'")
+    rules = [Rule({"a": "a", "b": "b"}), Rule({"a": "a"}, F.col("b").isNull())]
+    choices = [
+        Choice("found", ref, "v", "s", "e", rules, rule_out="found_rule"),
+        Choice("last", ref, "v", "s", "e", rules[::-1], latest=True),
+    ]
+    known = spark.sql("SELECT id a, 'k' || id known FROM range(1, 9)")
+    got = matching.match_rules(facts, choices, "d", also=known, few=few)
+    assert got.columns == [*facts.columns, "known", "found", "found_rule", "last"]
+    rows = [r for r in ref.collect() if r.a is not None and r.s and r.e and r.v is not None]
+
+    def first(f, order, latest):
+        for n, exact in enumerate(order, 1):
+            hits = [r for r in rows if f.d and r.s <= f.d <= r.e and r.a == f.a and (r.b == f.b if exact else r.b is None)]
+            hits = [r for r in hits if not exact or r.b is not None]
+            if hits:
+                day = max(r.s for r in hits) if latest else None
+                return min(r.v for r in hits if day is None or r.s == day), n
+        return None, None
+
+    out = got.collect()
+    assert len(out) == facts.count() and {f.found_rule for f in out} == {None, 1, 2}
+    for f in out:
+        assert (f.found, f.found_rule) == first(f, [True, False], False), f
+        assert f.last == first(f, [False, True], True)[0], f
+        assert f.known == (f"k{f.a}" if 1 <= f.a < 9 else None)
+
+
+def test_facts_with_a_shared_key_are_shuffled_once_and_not_repeated(spark):
+    """With short lists of rules no row of a fact is repeated for masks or cells, and nothing goes through a second exchange."""
+    facts, ref = _facts(spark).where("a IS NOT NULL").withColumn("payload", F.col("id") * 2), _rules(spark)
+    rules = [Rule({"a": "a", "b": "b"}), Rule({"a": "a"}, F.col("b").isNull())]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = matching.match_rules(facts, [Choice("found", ref, "v", "s", "e", rules)], "d", few=1000)
+        plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    exchanges = [block for block in plan.split("\n\n") if block.lstrip().startswith("(") and ") Exchange" in block.split("\n")[0]]
+    assert sum("payload" in block for block in exchanges) == 1 and len(exchanges) == 3

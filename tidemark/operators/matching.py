@@ -15,6 +15,11 @@ lookup for each combination shuffles the facts as many times. Here
 The facts take part as distinct (keys, date), which one aggregate with map-side
 combine gives, and only with keys that some rule has; whole rows are shuffled only
 once, to fetch the answers.
+
+Where all combinations share a key ("product" above) and few rules have the same value of
+it, none of this is needed: the rules of a shared key are one short list, which
+the facts fetch by their one shuffle and search in place. Shared keys with more than
+``FEW_RULES`` rules take the way over cells, so that no list is long.
 """
 
 from __future__ import annotations
@@ -26,8 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import date_span
+from tidemark.operators.skew import attach
 from tidemark.session import broadcast_bounded
 
+#: Rules of a shared key that are searched as a list.
+FEW_RULES = 32
+
 #: A cell's number and its size class share one bigint.
 SIZES = 32
 
@@ -99,28 +108,92 @@ class Choice:
 
 
 def match_rules(
-    facts: DataFrame, choices: Sequence[Choice], date: str, *, span: Column | None = None, bits: int = 3
+    facts: DataFrame,
+    choices: Sequence[Choice],
+    date: str,
+    *,
+    span: Column | None = None,
+    bits: int = 3,
+    also: DataFrame | None = None,
+    few: int = FEW_RULES,
 ) -> DataFrame:
     """``facts`` with one column for each choice, null where no rule matches.
 
     ``span`` (``joins.date_span``) must cover the dates of the facts; it is computed
-    if not given. A cell size is ``2**bits`` times the one before. Key columns have
+    if not given and needed. A cell size is ``2**bits`` times the one before. Key columns have
     the same type on both sides. A fact whose key part is null is not matched by rules that use that
-    part; a null date matches nothing. Repeated facts stay repeated.
+    part; a null date matches nothing. Repeated facts stay repeated. ``also`` has one row for each
+    value of the keys that all rules share; its other columns are fetched by the same shuffle.
     """
+    keys = list(dict.fromkeys(k for c in choices for r in c.rules for k in r.on))
+    shared = [k for k in keys if all(k in r.on for c in choices for r in c.rules)]
+    if also is not None and not {*shared} <= {*also.columns}:
+        raise ValueError(f"the rules share {shared}, which is not a key of {also.columns}")
+    if not shared:
+        return _match_cells(facts, choices, date, span, bits)
+    named = {k: F.col(f"_r_{k}") for k in shared}
+    rows = _all_rule_rows(choices, keys, dict(facts.dtypes))
+    crowded = rows.groupBy(*[c.alias(k) for k, c in named.items()]).agg(F.count("*").alias("_n")).where(F.col("_n") > few).drop("_n")
+    number = crowded.count()
+    if not number:
+        return _match_lists(facts, rows, choices, keys, shared, date, also)
+    crowded = broadcast_bounded(crowded, number)
+    on = _all([named[k] == F.col(k) for k in shared])
+    few_facts = facts.join(crowded, shared, "left_anti").select(*facts.columns)
+    alone = _match_lists(
+        few_facts, rows.join(crowded, on, "left_anti"), choices, keys, shared, date, also
+    )
+    many = facts.join(crowded, shared, "left_semi")
+    many = many if also is None else attach(many, also, shared)
+    return alone.unionByName(_match_cells(many, choices, date, span, bits, crowded))
+
+
+def _match_lists(facts, rows, choices, keys, shared, date, also) -> DataFrame:
+    """Rules of a shared key as one list, searched by each fact that fetched it."""
+    best = [f"_best{i}" for i in range(len(choices))]
+    own = [k for k in keys if k not in shared]
+    entry = F.struct(*[f"_r_{k}" for k in own], "_start", "_end", *best)
+    lists = rows.groupBy(*[F.col(f"_r_{k}").alias(k) for k in shared]).agg(F.collect_list(entry).alias("_rules"))
+    extra = [] if also is None else [c for c in also.columns if c not in shared]
+    found = attach(facts, lists if also is None else lists.join(also, shared, "full_outer"), shared)
+    day = F.col(date).cast("date")
+
+    def holds(e: Column) -> Column:
+        same = [e.getField(f"_r_{k}").isNull() | (e.getField(f"_r_{k}") == F.col(k)) for k in own]
+        return _all([e.getField("_start") <= day, e.getField("_end") >= day, *same])
+
+    found = found.withColumn("_valid", F.filter("_rules", holds))
+    answers = [F.array_min(F.col("_valid").getField(b)).alias(b) for b in best]
+    return found.select(*facts.columns, *extra, *answers).select(*facts.columns, *extra, *_chosen(choices))
+
+
+def _chosen(choices: Sequence[Choice]) -> list[Column]:
+    out: list[Column] = []
+    for i, choice in enumerate(choices):
+        out.append(F.col(f"_best{i}").getField("value").alias(choice.out))
+        if choice.rule_out:
+            out.append(F.col(f"_best{i}").getField("rule").alias(choice.rule_out))
+    return out
+
+
+def _match_cells(facts, choices, date, span, bits, only: DataFrame | None = None) -> DataFrame:
+    """Rules and facts meet in cells of days; ``only`` limits the rules to some values of its columns."""
     span = span if span is not None else date_span(facts, date)
     lo = span.getField("lo")
     sizes = levels(F.datediff(span.getField("hi"), lo), bits)
     keys = list(dict.fromkeys(k for c in choices for r in c.rules for k in r.on))
-    masks = list(dict.fromkeys(tuple(k for k in keys if k in r.on) for c in choices for r in c.rules))
-    numbered = {m: i for i, m in enumerate(masks)}
+    numbered = _numbered(choices, keys)
     best = [f"_best{i}" for i in range(len(choices))]
     types = dict(facts.dtypes)
 
-    parts = [_rule_rows(c, keys, numbered, types, span, i, choices) for i, c in enumerate(choices)]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    rows = _all_rule_rows(choices, keys, types)
+    if only is not None:
+        rows = rows.join(only, _all([F.col(f"_r_{k}") == F.col(k) for k in only.columns]), "left_semi")
+    rows = (
+        rows.withColumn("_first", F.datediff(F.greatest("_start", lo), lo))
+        .withColumn("_last", F.datediff(F.least("_end", span.getField("hi")), lo))
+        .where(F.col("_first") <= F.col("_last"))
+    )
     # the span is a subquery, which a lambda can not hold: its values are columns first
     cell = F.explode(cells_of_interval(F.col("_first"), F.col("_last"), F.col("_sizes"), bits)).alias("_cell")
     held = ["_mask", *[f"_r_{k}" for k in keys]]
@@ -168,18 +241,26 @@ def match_rules(
     left = facts.withColumn("_lh", F.xxhash64(*keys, F.col(date).cast("date")))
     back = [F.col("_lh") == F.col("_ah"), F.col(date).cast("date") == F.col("_day")]
     back += [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys]
-    out: list[Column] = []
-    for b, choice in zip(best, choices):
-        out.append(F.col(b).getField("value").alias(choice.out))
-        if choice.rule_out:
-            out.append(F.col(b).getField("rule").alias(choice.rule_out))
-    return left.join(answers, _all(back), "left").select(*facts.columns, *out)
+    return left.join(answers, _all(back), "left").select(*facts.columns, *_chosen(choices))
+
+
+def _numbered(choices: Sequence[Choice], keys: Sequence[str]) -> dict[tuple[str, ...], int]:
+    masks = dict.fromkeys(tuple(k for k in keys if k in r.on) for c in choices for r in c.rules)
+    return {m: i for i, m in enumerate(masks)}
+
+
+def _all_rule_rows(choices: Sequence[Choice], keys: Sequence[str], types: Mapping[str, str]) -> DataFrame:
+    numbered = _numbered(choices, keys)
+    parts = [_rule_rows(c, keys, numbered, types, i, choices) for i, c in enumerate(choices)]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
 
 
-def _rule_rows(choice, keys, numbered, types, span, place, choices) -> DataFrame:
+def _rule_rows(choice, keys, numbered, types, place, choices) -> DataFrame:
     """One scan of a choice's table, a row repeated for each rule that takes it: mask, keys (null
-    where the mask has none), first and last day from the span's start, candidate values."""
-    lo, hi = span.getField("lo"), span.getField("hi")
+    where the mask has none), first and last date, candidate values."""
     kinds = dict(choice.ref.dtypes)
     turns = []
     for number, rule in enumerate(choice.rules, 1):
@@ -194,19 +275,19 @@ def _rule_rows(choice, keys, numbered, types, span, place, choices) -> DataFrame
     start, end = F.col(choice.start).cast("date"), F.col(choice.end).cast("date")
     given = choice.ref.where(_all([F.col(c).isNotNull() for c in (choice.value, choice.start, choice.end)]))
     rows = given.select(
-        F.datediff(F.greatest(start, lo), lo).alias("_first"),
-        F.datediff(F.least(end, hi), lo).alias("_last"),
+        start.alias("_start"),
+        end.alias("_end"),
         (-F.datediff(start, F.lit("1970-01-01").cast("date")) if choice.latest else F.lit(0)).alias("order"),
         F.col(choice.value).alias("value"),
         F.explode(F.array_compact(F.array(*turns))).alias("_turn"),
-    ).where(F.col("_first") <= F.col("_last"))
+    ).where(F.col("_start") <= F.col("_end"))
     # smaller is better: rule number, then a later start if asked for, then the value
     mine = F.struct(F.col("_turn.rule").alias("rule"), "order", "value")
     values = []
     for i, other in enumerate(choices):
         kind = f"struct<rule:int,order:int,value:{dict(other.ref.dtypes)[other.value]}>"
         values.append((mine if i == place else F.lit(None)).cast(kind).alias(f"_best{i}"))
-    return rows.select("_turn._mask", *[f"_turn._r_{k}" for k in keys], "_first", "_last", *values)
+    return rows.select("_turn._mask", *[f"_turn._r_{k}" for k in keys], "_start", "_end", *values)
 
 
 def _all(conds: Sequence[Column]) -> Column:

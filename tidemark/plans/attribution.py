@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import surrogate_key
-from tidemark.operators.joins import date_span, enrich
+from tidemark.operators.joins import enrich
 from tidemark.operators.matching import Choice, Rule, match_rules
 
 # Business classes and labels are fixed values.
@@ -51,8 +51,16 @@ def customer_bridge(
     direct = (customers, {"direct": "customer"}, {"direct_corp": "corp", "class": "class"})
     indirect = (customers, {"indirect": "customer"}, {"ind_corp": "corp", "ind_end_corp": "end_corp"})
     oem = (allowed_corps.distinct().withColumn("_y", F.lit(True)), {"direct_corp": "corp"}, {"_oem": "_y"})
-    custom = (custom_products.distinct().withColumn("_y", F.lit(True)), {"product": "product"}, {"_custom": "_y"})
-    df = enrich(facts, [direct, indirect, oem, custom])
+    cls = F.col("class")
+    # what the class says is kept as two flags, so that the rows stay narrow
+    df = enrich(facts, [direct, oem]).withColumns(
+        {
+            "_own": F.coalesce((cls == "EMSI") | ((cls == "OEM") & F.col("_oem").isNotNull()), F.lit(False)),
+            "_own_custom": F.coalesce(cls.isin("DIST", "CIPO"), F.lit(False)),
+        }
+    )
+    df = enrich(df.drop("class", "_oem"), [indirect])
+    custom = custom_products.distinct().withColumn("_custom", F.lit(True))
 
     # an indirect customer without an end corporation is looked up by its own
     df = df.withColumn("_lone_corp", F.when(F.col("ind_end_corp").isNull(), F.col("ind_corp")))
@@ -66,15 +74,8 @@ def customer_bridge(
         Choice("_adjusted", adjusted, "adjusted", "from_date", "to_date", overrides()),
         Choice("_reference", reference, "reference", "from_date", "to_date", overrides()),
     ]
-    df = match_rules(df, choices, "process_date", span=date_span(facts, "process_date"))
-
-    cls = F.col("class")
-    own = (
-        (cls == "EMSI")
-        | ((cls == "OEM") & F.col("_oem").isNotNull())
-        | (cls.isin("DIST", "CIPO") & F.col("_custom").isNotNull())
-    )
-    own = F.coalesce(own, F.lit(False))
+    df = match_rules(df, choices, "process_date", also=custom)
+    own = F.col("_own") | (F.col("_own_custom") & F.col("_custom").isNotNull())
     df = df.withColumn("indirect_corp", F.coalesce("ind_end_corp", "ind_corp"))
     df = df.withColumn(
         "end_corp",
