@@ -191,8 +191,9 @@ def test_rules_with_a_shared_key_match_like_brute_force(spark, few):
         assert f.known == (f"k{f.a}" if 1 <= f.a < 9 else None)
 
 
-def test_facts_with_a_shared_key_are_shuffled_once_and_not_repeated(spark):
+def test_facts_with_a_shared_key_are_shuffled_once_and_not_repeated(spark, monkeypatch):
     """With short lists of rules no row of a fact is repeated for masks or cells, and nothing goes through a second exchange."""
+    monkeypatch.setattr("tidemark.session.BROADCAST_ROW_LIMIT", 0)
     facts, ref = _facts(spark).where("a IS NOT NULL").withColumn("payload", F.col("id") * 2), _rules(spark)
     rules = [Rule({"a": "a", "b": "b"}), Rule({"a": "a"}, F.col("b").isNull())]
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

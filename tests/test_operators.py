@@ -334,3 +334,25 @@ def test_revenue_of_large_orders(spark):
     got = [r[0] for r in df.select(funnel.revenue(*[F.col(c).cast("decimal(38,8)") for c in df.columns])).collect()]
     want = [None if b is None else (Decimal(b) * Decimal(n) * Decimal(p) * Decimal(s)).quantize(Decimal("0.01"), ROUND_HALF_UP) for b, n, p, s in rows]
     assert got == want
+
+
+def test_point_of_sale_rows_are_shuffled_once_for_each_key(spark, sf_dir):
+    """Ship address, end address, direct customer, product: no exchange of whole rows for each rule or attribute."""
+    from tidemark.queries.registry import QUERIES
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = QUERIES["pos_fact"](spark, sf_dir)
+        plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    exchanges = [block for block in plan.split("\n\n") if block.lstrip().startswith("(") and ") Exchange" in block.split("\n")[0]]
+    assert sum("resale" in block and "ship_day" in block for block in exchanges) <= 4
+
+
+def test_governed_rows_without_a_date_are_refused_and_rows_without_a_key_kept(spark):
+    f = spark.sql("SELECT * FROM VALUES ('m', null, 1), ('m', date'2024-05-01', 2), (null, null, 3), ('x', null, 4), ('m', date'2024-05-01', 5) AS t(k, d, id)")
+    m = spark.sql("SELECT 'm' k, date'2024-01-01' s, date'2024-12-31' e, true yes UNION ALL SELECT null, date'2024-01-01', date'2024-12-31', false")
+    out = joins.exists_or_absent(f, m, "k", "d", "s", "e", F.col("yes"))
+    assert sorted(r.id for r in out.collect()) == [2, 3, 4, 5] and out.columns == f.columns

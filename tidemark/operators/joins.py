@@ -553,20 +553,14 @@ def exists_or_absent(
 ) -> DataFrame:
     """Keep facts whose key is not governed by the matrix, or that a valid matrix row accepts.
 
-    ``matrix`` rows carry ``key``, ``start`` and ``end``. Both tests are left
-    joins of key sets, so neither becomes a nested loop. A null fact key is kept:
-    it is governed by nothing.
+    ``matrix`` rows carry ``key``, ``start`` and ``end``. Whether a fact is refused depends on its
+    key and date alone: that is decided on the distinct ones, and the facts are shuffled once.
+    A null fact key is kept: it is governed by nothing.
     """
-    governed = matrix.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_gov", F.lit(True))
-    # Whether a fact is accepted depends on its key and date alone.
-    asked = facts.select(key, date).distinct()
-    hits = (
-        join_effective(asked, matrix.where(accept), [key], date, start, end, [], how="inner")
-        .distinct()
-        .withColumn("_hit", F.lit(True))
-    )
-    return (
-        attach(attach(facts, governed, [key]), hits, [key, date])
-        .where(F.col("_gov").isNull() | F.col("_hit"))
-        .select(*facts.columns)
-    )
+    governed = matrix.where(F.col(key).isNotNull()).select(key).distinct()
+    # a governed key without a date is refused, so dates are compared as texts that are never null
+    facts_on = facts.withColumn("_on", F.coalesce(F.col(date).cast("string"), F.lit("")))
+    asked = attach(facts_on.select(key, date, "_on").distinct(), governed, [key], "left_semi")
+    hits = join_effective(asked, matrix.where(accept), [key], date, start, end, [], how="inner").select(key, "_on").distinct()
+    refused = asked.select(key, "_on").join(hits, [key, "_on"], "left_anti").distinct()
+    return attach(facts_on, refused, [key, "_on"], "left_anti").select(*facts.columns)

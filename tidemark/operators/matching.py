@@ -133,29 +133,29 @@ def match_rules(
         return _match_cells(facts, choices, date, span, bits)
     named = {k: F.col(f"_r_{k}") for k in shared}
     rows = _all_rule_rows(choices, keys, dict(facts.dtypes))
-    crowded = rows.groupBy(*[c.alias(k) for k, c in named.items()]).agg(F.count("*").alias("_n")).where(F.col("_n") > few).drop("_n")
-    number = crowded.count()
-    if not number:
-        return _match_lists(facts, rows, choices, keys, shared, date, also)
-    crowded = broadcast_bounded(crowded, number)
+    counts = rows.groupBy(*[c.alias(k) for k, c in named.items()]).agg(F.count("*").alias("_n"))
+    size = counts.agg(F.count_if(F.col("_n") > few).alias("crowded"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
+    if not size.crowded:
+        return _match_lists(facts, rows, choices, keys, shared, date, also, size.rows)
+    crowded = broadcast_bounded(counts.where(F.col("_n") > few).drop("_n"), size.crowded)
     on = _all([named[k] == F.col(k) for k in shared])
     few_facts = facts.join(crowded, shared, "left_anti").select(*facts.columns)
     alone = _match_lists(
-        few_facts, rows.join(crowded, on, "left_anti"), choices, keys, shared, date, also
+        few_facts, rows.join(crowded, on, "left_anti"), choices, keys, shared, date, also, size.rows
     )
     many = facts.join(crowded, shared, "left_semi")
     many = many if also is None else attach(many, also, shared)
     return alone.unionByName(_match_cells(many, choices, date, span, bits, crowded))
 
 
-def _match_lists(facts, rows, choices, keys, shared, date, also) -> DataFrame:
-    """Rules of a shared key as one list, searched by each fact that fetched it."""
+def _match_lists(facts, rows, choices, keys, shared, date, also, size) -> DataFrame:
+    """Rules of a shared key as one list, searched by each fact that fetched it; ``size`` is their counted number."""
     best = [f"_best{i}" for i in range(len(choices))]
     own = [k for k in keys if k not in shared]
     entry = F.struct(*[f"_r_{k}" for k in own], "_start", "_end", *best)
     lists = rows.groupBy(*[F.col(f"_r_{k}").alias(k) for k in shared]).agg(F.collect_list(entry).alias("_rules"))
     extra = [] if also is None else [c for c in also.columns if c not in shared]
-    found = attach(facts, lists if also is None else lists.join(also, shared, "full_outer"), shared)
+    found = attach(facts, broadcast_bounded(lists, size) if also is None else lists.join(also, shared, "full_outer"), shared)
     day = F.col(date).cast("date")
 
     def holds(e: Column) -> Column:

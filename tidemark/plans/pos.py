@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day
 from tidemark.functions.hashing import member_key
-from tidemark.operators.joins import date_span, enrich, exists_or_absent, lookup_effective
+from tidemark.operators.joins import enrich, exists_or_absent
+from tidemark.operators.matching import Choice, Rule, match_rules
 
 
 def end_corporation(same_name: Column, end: Column, ship_end: Column, ship: Column, direct: Column) -> Column:
@@ -36,25 +37,20 @@ def resolve_customers(pos: DataFrame, addresses: DataFrame, customers: DataFrame
     ``customer, corp, end_corp, class``.
     """
     glue = lambda c: F.concat(F.col(c).cast("string"), F.lit(":"), F.col("direct").cast("string"))
-    df = pos.withColumn("_ship_addr", glue("ship_id")).withColumn("_end_addr", glue("end_id"))
-    df = enrich(
-        df,
-        [
-            (addresses, {"_ship_addr": "address"}, {"indirect": "customer"}),
-            (addresses, {"_end_addr": "address"}, {"end_customer": "customer"}),
-            (customers, {"direct": "customer"}, {"direct_corp": "corp", "direct_class": "class"}),
-            (customers, {"indirect": "customer"}, {"ship_corp": "corp", "ship_end": "end_corp", "ship_class": "class"}),
-            (customers, {"end_customer": "customer"}, {"own_end": "corp"}),
-        ],
-    )
-    same = F.col("ship_name") == F.col("end_name")
+    df = pos.withColumn("_same", F.col("ship_name") == F.col("end_name")).drop("ship_name", "end_name")
+    # an address names one customer: customers are put to the addresses, which are fewer than the rows
+    known = enrich(addresses, [(customers, {"customer": "customer"}, {"_corp": "corp", "_end_corp": "end_corp", "_class": "class"})])
+    ship = {"indirect": "customer", "ship_corp": "_corp", "ship_end": "_end_corp", "ship_class": "_class"}
+    df = enrich(df.withColumn("_address", glue("ship_id")), [(known, {"_address": "address"}, ship)])
+    df = enrich(df.withColumn("_address", glue("end_id")), [(known, {"_address": "address"}, {"own_end": "_corp"})])
+    df = enrich(df, [(customers, {"direct": "customer"}, {"direct_corp": "corp", "direct_class": "class"})])
     args = F.col("own_end"), F.col("ship_end")
     return df.withColumn(
-        "end_corp", end_corporation(same, *args, F.col("ship_corp"), F.col("direct_corp"))
-    ).withColumn("end_corp_rule", end_corporation_rule(same, *args))
+        "end_corp", end_corporation(F.col("_same"), *args, F.col("ship_corp"), F.col("direct_corp"))
+    ).withColumn("end_corp_rule", end_corporation_rule(F.col("_same"), *args))
 
 
-def internal_part(df: DataFrame, xref: DataFrame, span: Column) -> DataFrame:
+def internal_part(df: DataFrame, xref: DataFrame) -> DataFrame:
     """Internal part: rule of the direct customer, of the end corporation, the product's
     default, else the product itself.
 
@@ -62,15 +58,12 @@ def internal_part(df: DataFrame, xref: DataFrame, span: Column) -> DataFrame:
     """
     no_direct, no_corp = F.col("direct").isNull(), F.col("end_corp").isNull()
     rules = [
-        (xref.where(no_corp), {"product": "product", "direct": "direct"}),
-        (xref.where(no_direct), {"product": "product", "end_corp": "end_corp"}),
-        (xref.where(no_direct & no_corp & F.col("is_default")), {"product": "product"}),
+        Rule({"product": "product", "direct": "direct"}, no_corp),
+        Rule({"product": "product", "end_corp": "end_corp"}, no_direct),
+        Rule({"product": "product"}, no_direct & no_corp & F.col("is_default")),
     ]
-    names = []
-    for i, (rows, on) in enumerate(rules):
-        names.append(f"_ipn{i}")
-        df = lookup_effective(df, rows, on, "ship_day", "from_date", "to_date", "ipn", names[-1], span=span)
-    return df.withColumn("internal_part", F.coalesce(*names, "product")).drop(*names)
+    df = match_rules(df, [Choice("_ipn", xref, "ipn", "from_date", "to_date", rules)], "ship_day")
+    return df.withColumn("internal_part", F.coalesce("_ipn", "product")).drop("_ipn")
 
 
 # Corporations of the contract-manufacturing class whose POS never counts (fixed values).
@@ -105,13 +98,13 @@ def pos_fact(
     is not in the reporting ``matrix`` (``direct_corp, from_date, to_date, bills, reports_pos``)
     or a valid row allows it.
     """
-    span = date_span(pos, "ship_day")
-    df = internal_part(resolve_customers(pos, addresses, customers), xref, span)
-    df = lookup_effective(
-        df, matrix, {"direct_corp": "direct_corp"}, "ship_day", "from_date", "to_date", "reports_pos", "_reports", span=span
-    )
-    df = df.withColumn("is_true_pos", is_true_pos(F.col("is_var"), F.col("division"), F.col("ship_day")))
+    # flags first and rows that do not count left out early, so that fewer and narrower rows are shuffled
+    pos = pos.withColumn("is_true_pos", is_true_pos(F.col("is_var"), F.col("division"), F.col("ship_day"))).drop("division")
+    df = resolve_customers(pos, addresses, customers)
     df = df.where(F.col("ship_class").isNull() | ~F.col("ship_class").isin("DIST", "CIPO", "D3PL"))
+    by_corp = [Rule({"direct_corp": "direct_corp"})]
+    df = match_rules(df, [Choice("_reports", matrix, "reports_pos", "from_date", "to_date", by_corp)], "ship_day")
+    df = internal_part(df, xref)
     sold = df.select(
         "txn_id", "product", "internal_part", "direct", "indirect", "direct_corp", "end_corp", "end_corp_rule", "ship_day",
         "quantity",
