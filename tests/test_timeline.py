@@ -153,3 +153,32 @@ def test_many_bounds_are_searched_in_strides(spark):
     cut, _ = timeline.cut_keys(df, ["k"], ["id"], 300)
     found = [r[0] for r in cut.orderBy("id").select(timeline.CHUNK).collect()]
     assert found == sorted(found) and found[0] == 0 and found[-1] > 2 * timeline.STRIDE
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_more_rows_are_dealt_to_more_tasks(spark, monkeypatch, hot):
+    """A window's tasks follow the rows, not only the configured partitions; whole and cut keys give the same result."""
+    monkeypatch.setattr(timeline, "ROWS_A_TASK", 500)
+    df = spark.range(0, 20_000, 1, 4).selectExpr(f"if({str(hot).lower()} AND id % 3 = 0, -1, id % 700) k", "id v")
+    size = timeline.key_bounds(df, ["k"], ["v"], 40)[1]
+    assert 0.8 * 20_000 < size < 1.2 * 20_000
+    rows, cut = timeline.deal(df, ["k"], ["v"])
+    assert (cut is not None) == hot and rows.rdd.getNumPartitions() > 30
+    per_task = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 4_000
+    got = timeline.running(df, ["k"], ["v"], {"s": ("sum", "v")}, ranged=True)
+    assert got.exceptAll(timeline.running(df, ["k"], ["v"], {"s": ("sum", "v")})).isEmpty() and got.count() == 20_000
+
+
+def test_merged_time_lines_are_dealt_before_dates_are_grouped(spark, monkeypatch):
+    from tidemark.operators import history
+
+    side = lambda step, c: spark.range(0, 6_000, step, 4).selectExpr(
+        "if(id % 2 = 0, 0, id % 50) k", "date_add(date'2000-01-01', cast(id AS int)) s", "date'9999-12-31' e", f"id {c}"
+    )
+    merged = lambda ranged: history.merge_timelines(side(1, "a"), side(3, "b"), "k", "s", "e", ["a"], ["b"], ranged=ranged)
+    plain = merged(False)
+    monkeypatch.setattr(timeline, "ROWS_A_TASK", 200)
+    got = merged(True)
+    assert got.rdd.getNumPartitions() > 20
+    assert got.count() == plain.count() and got.exceptAll(plain).isEmpty()

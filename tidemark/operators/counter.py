@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.timeline import CHUNK, cut_keys, with_carry
+from tidemark.operators.timeline import CHUNK, deal, with_carry
 
 
 def floored_counter(
@@ -49,20 +49,19 @@ def floored_counter(
     # Within the range: segment after each reset, running sum, and its lowest point.
     seg = [*parts, "_seg"]
 
-    def counted(rows: DataFrame) -> DataFrame:
+    def counted(some: DataFrame) -> DataFrame:
         return (
-            rows.withColumn("_seg", F.sum("_reset").over(upto(parts, order)))
+            some.withColumn("_seg", F.sum("_reset").over(upto(parts, order)))
             .withColumn("_a", F.sum("_step").over(upto(seg, order)))
             .withColumn("_low", F.least(F.min("_a").over(upto(seg, order)), F.lit(0)))
             .withColumn("_l", F.col("_a") - F.col("_low"))
         )
 
-    found = cut_keys(steps, keys, order, ranges, df if sized_by is None else sized_by) if ranged else None
-    if found is None:
-        return counted(steps.withColumn(CHUNK, F.lit(0))).select(*df.columns, F.col("_l").alias(out))
+    rows, hot = deal(steps, keys, order, ranges, df if sized_by is None else sized_by) if ranged else (steps, None)
+    if hot is None:
+        return counted(rows.withColumn(CHUNK, F.lit(0))).select(*df.columns, F.col("_l").alias(out))
 
-    cut, hot = found
-    local = counted(cut)
+    local = counted(rows)
     end = F.max_by(F.struct("_seg", "_a", "_l"), F.struct(*order))
     ends = counted(hot).groupBy(*parts).agg(end.alias("_e")).select(*parts, "_e.*")
     # The same algebra over the ranges of a key: a range with a reset starts a segment

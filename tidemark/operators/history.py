@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import OPEN_END, day, instant
 from tidemark.functions.hashing import version_id
-from tidemark.operators.timeline import Step, scan
+from tidemark.operators.timeline import Step, deal, scan_dealt
 
 HISTORY = ["valid_from", "valid_to", "updated_at", "version_id"]
 
@@ -155,18 +155,20 @@ def merge_timelines(
     def side(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
         return df.select(key, start, F.struct(F.col(end).alias("_end"), *cols).alias(name))
 
-    line = (
-        side(first, first_cols, "_p1")
-        .unionByName(side(second, second_cols, "_p2"), allowMissingColumns=True)
-        .groupBy(key, start)
-        .agg(F.max("_p1").alias("_p1"), F.max("_p2").alias("_p2"))
-    )
-    out = scan(
-        line,
+    line = side(first, first_cols, "_p1").unionByName(side(second, second_cols, "_p2"), allowMissingColumns=True)
+    # dealt by key before rows of a date are put together: both need one sort, of a bounded number of rows
+    rows, hot = deal(line, [key], [start]) if ranged else (line, None)
+
+    def dates(some: DataFrame) -> DataFrame:
+        by = [c for c in some.columns if c not in ("_p1", "_p2")]
+        return some.groupBy(*by).agg(F.max("_p1").alias("_p1"), F.max("_p2").alias("_p2"))
+
+    out = scan_dealt(
+        dates(rows),
+        None if hot is None else dates(hot),
         [key],
         [start],
         {"_a": Step("last", "_p1"), "_b": Step("last", "_p2"), "_next": Step("lead", start)},
-        ranged=ranged,
     )
 
     def in_force(box: str, cols: Sequence[str]) -> list[Column]:

@@ -12,6 +12,10 @@ shuffled once, and where no key spans several ranges the plan is a plain window.
 Rows with a null key are a key like any other. Without ``ranged`` a plain window
 runs, which is right for keys known to be small.
 
+The sample also tells how many rows there are. If they would give the configured shuffle
+partitions more than ``ROWS_A_TASK`` each, there are as many more ranges and the rows are dealt to
+as many more tasks, so that what a task sorts does not grow with the table.
+
 The order must be total within a key, and order columns must not be null but where
 a function says so. The sample only sets how even the ranges are, never the result.
 """
@@ -31,6 +35,8 @@ CHUNK = "_range"
 #: Sampled rows for each range, and the most ranges; the sample has 100,000 rows at most.
 SAMPLED = 20
 MOST_RANGES = 5_000
+#: Rows that one task is to sort.
+ROWS_A_TASK = 500_000
 #: Bounds are searched in steps of so many.
 STRIDE = 64
 
@@ -43,18 +49,33 @@ def _same(keys: Sequence[str], prefix: str) -> Column:
     return out
 
 
-def key_bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int) -> DataFrame | None:
-    """Keys that span several of the even ranges of all rows, with the ascending bounds within them.
+def key_bounds(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int
+) -> tuple[DataFrame | None, int]:
+    """Keys that span several of the even ranges of all rows, with the ascending bounds within them,
+    and about how many rows there are (0 if there are fewer than ``SAMPLED``).
 
-    Returns None if there are none. All keys together have fewer bounds than ranges.
+    The first is None if there are none. All keys together have fewer bounds than ranges.
     """
+    most = ranges * SAMPLED
     rows = df.select(*keys, F.struct(*order).alias("_at"))
-    sample = rows.withColumn("_turn", F.rand(7)).orderBy("_turn").limit(ranges * SAMPLED)
-    place = F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys], "_at"))  # sampled rows
-    bounds = sample.withColumn("_i", place).where(F.col("_i") % SAMPLED == 0)
-    lists = bounds.groupBy(*keys).agg(F.array_sort(F.collect_set("_at")).alias("_bounds")).where(F.size("_bounds") > 1)
-    found = lists.collect()  # fewer bounds than ranges
-    return df.sparkSession.createDataFrame(found, lists.schema) if found else None
+    sample = rows.withColumn("_turn", F.rand(7)).orderBy("_turn").limit(most)
+    whole = Window.partitionBy()  # sampled rows
+    place = F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys], "_at"))
+    bounds = (
+        sample.select(*keys, "_at", place.alias("_i"), F.max("_turn").over(whole).alias("_top"), F.count("*").over(whole).alias("_n"))
+        .where(F.col("_i") % SAMPLED == 0)
+        .drop("_i")
+    )
+    found = bounds.collect()  # as many as ranges
+    if not found:
+        return None, 0
+    # of evenly spread turns the least ``most`` were taken: the largest of them tells how many there are
+    size = found[0]._n if found[0]._n < most else round(most / found[0]._top)
+    given = df.sparkSession.createDataFrame(found, bounds.schema)
+    lists = given.groupBy(*keys).agg(F.array_sort(F.collect_set("_at")).alias("_bounds")).where(F.size("_bounds") > 1)
+    cut = lists.collect()
+    return df.sparkSession.createDataFrame(cut, lists.schema) if cut else None, size
 
 
 def _range_number(at: Column) -> Column:
@@ -74,20 +95,42 @@ def cut_keys(
 ) -> tuple[DataFrame, DataFrame] | None:
     """All rows with their range (null for whole keys), and the rows of cut keys alone.
 
-    None if no key spans several ranges. ``sized_by`` is a cheaper relation with the same
+    None if no key spans several ranges. See ``deal``.
+    """
+    rows, hot = deal(df, keys, order, ranges, sized_by)
+    return None if hot is None else (rows, hot)
+
+
+def deal(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    ranges: int | None = None,
+    sized_by: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows ready for windows by key, or if keys are cut by (key, range), and then the rows of cut keys alone.
+
+    Rows are dealt to more tasks than there are shuffle partitions if they are too many for
+    these, unless ``ranges`` is given. ``sized_by`` is a cheaper relation with the same
     keys and orders to sample, if ``df`` is costly to compute (its own input, say).
     """
     names = {*keys, *order}
     source = sized_by if sized_by is not None and names <= set(sized_by.columns) else df
-    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = key_bounds(source, keys, order, min(parts, MOST_RANGES))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(ranges or usual, MOST_RANGES)
+    bounds, size = key_bounds(source, keys, order, parts)
+    tasks = parts if ranges else min(-(-size // ROWS_A_TASK), MOST_RANGES)
+    if tasks > parts:
+        bounds, _ = key_bounds(source, keys, order, tasks)
+    more = tasks > parts
     if bounds is None:
-        return None
+        return df.repartition(tasks, *keys) if more else df, None
     ends = F.filter("_bounds", lambda b, i: i % STRIDE == STRIDE - 1).alias("_strides")
     cut = F.broadcast(bounds.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_bounds", ends))
     number = F.when(F.col("_bounds").isNotNull(), _range_number(F.struct(*order)))
     same = _same(keys, "_b_")
-    return tuple(df.join(cut, same, how).withColumn(CHUNK, number).select(*df.columns, CHUNK) for how in ("left", "inner"))
+    rows, hot = (df.join(cut, same, how).withColumn(CHUNK, number).select(*df.columns, CHUNK) for how in ("left", "inner"))
+    return rows.repartition(tasks, *keys, CHUNK) if more else rows, hot
 
 
 def with_carry(local: DataFrame, carry: DataFrame, keys: Sequence[str], bounded: bool = True) -> DataFrame:
@@ -204,12 +247,18 @@ def scan(
     prefer one call over a chain.
     """
     keys, order = list(keys), list(order)
-    found = cut_keys(df, keys, order, ranges, sized_by) if ranged else None
-    if found is None:
-        return df.select("*", *[s.finish(s.plain(keys, order)).alias(out) for out, s in outputs.items()])
+    rows, hot = deal(df, keys, order, ranges, sized_by) if ranged else (df, None)
+    return scan_dealt(rows, hot, keys, order, outputs)
+
+
+def scan_dealt(
+    rows: DataFrame, hot: DataFrame | None, keys: Sequence[str], order: Sequence[str], outputs: Mapping[str, Step]
+) -> DataFrame:
+    """``scan`` of what ``deal`` gave."""
+    if hot is None:
+        return rows.select("*", *[s.finish(s.plain(keys, order)).alias(out) for out, s in outputs.items()])
 
     parts = [*keys, CHUNK]
-    cut, hot = found
     edges = hot.groupBy(*parts).agg(*[s.edge(order).alias(f"_e_{out}") for out, s in outputs.items()])
     carry = edges.select(*parts, *[s.carry(f"_e_{out}", keys).alias(f"_c_{out}") for out, s in outputs.items()])
 
@@ -220,10 +269,10 @@ def scan(
         marks.append(F.lag(F.lit(True)).over(w).alias("_not_first"))
     if "lead" in kinds:
         marks.append(F.lead(F.lit(True)).over(w).alias("_not_last"))
-    local = cut.select("*", *marks, *[s.plain(parts, order).alias(f"_l_{out}") for out, s in outputs.items()])
+    local = rows.select("*", *marks, *[s.plain(parts, order).alias(f"_l_{out}") for out, s in outputs.items()])
     joined = with_carry(local, carry, keys)
     return joined.select(
-        *df.columns,
+        *[c for c in rows.columns if c != CHUNK],
         *[s.finish(s.merge(F.col(f"_l_{out}"), F.col(f"_c_{out}"))).alias(out) for out, s in outputs.items()],
     )
 
@@ -302,12 +351,12 @@ def change_event(
     """Counter that starts at 0 and grows by one whenever the value differs from
     the row before. A comparison with null is not a change."""
     keys, order = list(keys), list(order)
-    found = cut_keys(df, keys, order, ranges) if ranged else None
-    if found is None:
+    rows, hot = deal(df, keys, order, ranges) if ranged else (df, None)
+    if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         step = F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), F.lit(0).cast("bigint"))
         return (
-            df.withColumn("_step", step)
+            rows.withColumn("_step", step)
             .withColumn(out, F.sum("_step").over(_upto(keys, order)))
             .drop("_step")
         )
@@ -316,11 +365,10 @@ def change_event(
     zero = F.lit(0).cast("bigint")
     w = Window.partitionBy(*parts).orderBy(*order)
 
-    def stepped(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_step", F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), zero))
+    def stepped(some: DataFrame) -> DataFrame:
+        return some.withColumn("_step", F.coalesce((F.col(value) != F.lag(value).over(w)).cast("bigint"), zero))
 
-    cut, hot = found
-    local = stepped(cut).withColumn("_local", F.sum("_step").over(_upto(parts, order)))
+    local = stepped(rows).withColumn("_local", F.sum("_step").over(_upto(parts, order)))
     edges = stepped(hot).groupBy(*parts).agg(
         F.sum("_step").alias("_n"),
         F.min_by(F.struct(F.col(value).alias("v")), _at(order)).alias("_first"),
@@ -357,8 +405,8 @@ def islands(
     keys, order = list(keys), list(order)
     # Inside a struct a null value is an ordinary key value.
     boxed = df.withColumn("_v", F.struct(value))
-    found = cut_keys(boxed, keys, order, ranges, df) if ranged else None
-    rows, hot = found or (boxed.withColumn(CHUNK, F.lit(0)), None)
+    rows, hot = deal(boxed, keys, order, ranges, df) if ranged else (boxed, None)
+    rows = rows if hot is not None else rows.withColumn(CHUNK, F.lit(0))
     local = rows.select(
         "*",
         F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*order)).alias("_all"),
