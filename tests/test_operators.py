@@ -356,3 +356,43 @@ def test_governed_rows_without_a_date_are_refused_and_rows_without_a_key_kept(sp
     m = spark.sql("SELECT 'm' k, date'2024-01-01' s, date'2024-12-31' e, true yes UNION ALL SELECT null, date'2024-01-01', date'2024-12-31', false")
     out = joins.exists_or_absent(f, m, "k", "d", "s", "e", F.col("yes"))
     assert sorted(r.id for r in out.collect()) == [2, 3, 4, 5] and out.columns == f.columns
+
+
+@pytest.mark.parametrize("few", [1, 12, 1000])
+def test_parts_walked_in_a_row_and_by_rounds_agree(spark, few):
+    """All parts by rounds, some, none: missing stages, kinds and parts, repeated edges, cycles, against a plain search."""
+    rng = __import__("random").Random(5)
+    pick = lambda *values: rng.choice(values)
+    edges = [
+        (f"p{p}", pick("a", "b", None), pick("1", "2", "3", None), pick("a", "b", None), pick("1", "2", "3", None), pick("BOM", "BOD", None))
+        for p in range(20) for _ in range(p)
+    ]
+    edges += edges[::7] + [(None, "a", "1", "b", "2", "BOM")]
+    seeds = [(f"p{p}", pick("a", "b", None), pick("1", "2", None)) for p in range(25) for _ in range(2)] + [(None, "a", "1")] * 2
+    want = {}
+    for part, site, stage in seeds:
+        want[(part, site, stage, stage)] = 1
+    frontier, step = set(want), 1
+    while frontier:
+        step, reached = step + 1, set()
+        for part, site, stage, last in frontier:
+            for p, fs, ft, ts, tt, kind in edges:
+                if None not in (part, site, stage) and (p, fs, ft) == (part, site, stage):
+                    reached.add((part, ts, tt, tt if kind == "BOM" else last))
+        frontier = reached - set(want)
+        want.update({s: step for s in frontier})
+    e = spark.createDataFrame(edges, "part string, from_site string, from_stage string, to_site string, to_stage string, kind string")
+    s = spark.createDataFrame(seeds, "part string, site string, stage string")
+    got = graph.walk_paths(e, s, few=few)
+    assert got.columns == ["part", "site", "stage", "last_stage", "step"]
+    rows = got.collect()
+    assert len(rows) == len(want) and {tuple(r[:4]): r.step for r in rows} == want
+
+
+def test_small_parts_are_walked_without_rounds(spark, monkeypatch):
+    """No job or checkpoint for a round: a route of 100 steps is one plan."""
+    schema = "part string, from_site string, from_stage string, to_site string, to_stage string, kind string"
+    edges = spark.createDataFrame([("p", "s", str(i), "s", str(i + 1), "BOM") for i in range(1, 101)], schema)
+    seeds = spark.createDataFrame([("p", "s", "1")], "part string, site string, stage string")
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: pytest.fail("a round was checkpointed"))
+    assert sorted(r.step for r in graph.walk_paths(edges, seeds).collect()) == list(range(1, 102))

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import BROADCAST_ROW_LIMIT, broadcast_bounded, cut_lineage
 
 STATE = ["part", "site", "stage", "last_stage"]
 
+#: Edges and seeds of a part that is walked within its row.
+FEW_EDGES = 128
+#: A state's place and its last stage, both numbered within the part, share one bigint.
+BITS = 20
 
-def walk_paths(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+
+def walk_paths(edges: DataFrame, seeds: DataFrame, *, few: int = FEW_EDGES) -> DataFrame:
     """Stages reachable by each part, with the last material stage on the way.
 
     ``edges``: ``part, from_site, from_stage, to_site, to_stage, kind`` where kind
@@ -21,18 +26,121 @@ def walk_paths(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     first reached at.
 
     The walk is breadth first over states, not over paths: a state met again is
-    dropped, so parallel routes do not multiply and a cycle ends by itself. Each
-    round is one equi join of the frontier with the edges; the frontier is
+    dropped, so parallel routes do not multiply and a cycle ends by itself. Parts do not meet,
+    so a part with at most ``few`` edges and seeds, repeats included, becomes one row and is walked there, all
+    rounds in one pass over the rows: its edges and seeds are shuffled once. Parts with more are
+    walked together, one join of the frontier with the edges for each round.
+    """
+    hops = edges.where(
+        F.col("part").isNotNull() & F.col("from_site").isNotNull() & F.col("from_stage").isNotNull()
+    ).select("part", "from_site", "from_stage", "to_site", "to_stage", "kind")
+    starts = seeds.select("part", "site", "stage")
+    lone = starts.where(F.col("part").isNull()).distinct()  # no edge has a part that is missing
+    starts = starts.where(F.col("part").isNotNull())
+    crowded = (
+        hops.select("part").unionByName(starts.select("part")).groupBy("part").agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > few)
+        .select("part")
+    )
+    out = lone.select(*starts.columns, F.col("stage").alias("last_stage"), F.lit(1).alias("step"))
+    number = crowded.count()
+    if not number:
+        return out.unionByName(_walk_rows(hops, starts))
+    crowded = broadcast_bounded(crowded, number)
+    small, large = ([df.join(crowded, "part", how) for df in (hops, starts)] for how in ("left_anti", "left_semi"))
+    return out.unionByName(_walk_rows(*small)).unionByName(_walk_rounds(*large))
+
+
+def _walk_rows(hops: DataFrame, starts: DataFrame) -> DataFrame:
+    """All rounds of a part in its row. Places and stages are numbered within the part; a
+    list holds the states found in each round, and a round without new ones ends it."""
+    hop = F.struct("from_site", "from_stage", "to_site", "to_stage", "kind")
+    start = F.struct("site", "stage")
+    kind = lambda df, c: df.select(c.alias("s")).schema["s"].dataType
+    both = hops.select("part", hop.alias("_hop"), F.lit(None).cast(kind(starts, start)).alias("_start")).unionByName(
+        starts.select("part", F.lit(None).cast(kind(hops, hop)).alias("_hop"), start.alias("_start"))
+    )
+    place = lambda site, stage: F.struct(site.alias("site"), stage.alias("stage"))
+    # in a struct a missing stage has a number like any other
+    stage = lambda c: F.struct(c.alias("stage"))
+    rows = (
+        both.groupBy("part")
+        .agg(F.collect_set("_hop").alias("_hops"), F.collect_set("_start").alias("_starts"))
+        .where(F.size("_starts") > 0)
+        .withColumns(
+            {
+                "_places": F.array_distinct(
+                    F.concat(
+                        F.transform("_starts", lambda s: place(s.site, s.stage)),
+                        F.transform("_hops", lambda e: place(e.from_site, e.from_stage)),
+                        F.transform("_hops", lambda e: place(e.to_site, e.to_stage)),
+                    )
+                ),
+                "_stages": F.array_distinct(
+                    F.concat(F.transform("_starts", lambda s: stage(s.stage)), F.transform("_hops", lambda e: stage(e.to_stage)))
+                ),
+            }
+        )
+    )
+    at = lambda site, name: F.array_position("_places", place(site, name))
+    number = lambda name: F.array_position("_stages", stage(name))
+    state = lambda here, last: F.shiftleft(here, BITS).bitwiseOR(last)
+    of = lambda s: F.shiftright(s, BITS)
+    last = lambda s: s.bitwiseAND(F.lit((1 << BITS) - 1).cast("bigint"))
+
+    moves = F.transform(
+        "_hops",
+        lambda e: F.struct(
+            at(e.from_site, e.from_stage).alias("here"),
+            at(e.to_site, e.to_stage).alias("there"),
+            F.when(e.kind == "BOM", number(e.to_stage)).alias("stage"),  # null: the carried one stays
+        ),
+    )
+    first = F.array_distinct(F.transform("_starts", lambda s: state(at(s.site, s.stage), number(s.stage))))
+
+    def further(walk: Column) -> Column:
+        found = walk.getField("found")
+        reached = F.flatten(
+            F.transform(
+                F.element_at(found, -1),
+                lambda s: F.transform(
+                    F.filter(walk.getField("moves"), lambda m: m.here == of(s)),
+                    lambda m: state(m.there, F.coalesce(m.stage, last(s))),
+                ),
+            )
+        )
+        fresh = F.array_except(reached, F.flatten(found))
+        longer = F.struct(walk.getField("moves").alias("moves"), F.concat(found, F.array(fresh)).alias("found"))
+        return F.when(F.size(F.element_at(found, -1)) == 0, walk).otherwise(longer)
+
+    # every round but the last finds a state; the moves go along, so that they are numbered once
+    most = F.sequence(F.lit(1), F.size("_places") * F.size("_stages") + 1)
+    walked = rows.select(
+        "part", "_places", "_stages",
+        F.aggregate(most, F.struct(moves.alias("moves"), F.array(first).alias("found")), lambda walk, _: further(walk))
+        .getField("found").alias("_found"),
+    )
+
+    def named(s: Column, turn: Column) -> Column:
+        here = F.element_at("_places", of(s).cast("int"))
+        return F.struct(
+            here.site.alias("site"), here.stage.alias("stage"),
+            F.element_at("_stages", last(s).cast("int")).getField("stage").alias("last_stage"),
+            (turn + 1).alias("step"),
+        )
+
+    states = F.flatten(F.transform("_found", lambda of_round, turn: F.transform(of_round, lambda s: named(s, turn))))
+    return walked.select("part", F.inline(states))
+
+
+def _walk_rounds(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """A round for all parts at a time. Each is one equi join of the frontier with the edges; the frontier is
     checkpointed to shared storage, which keeps the plan small and survives lost
     executors. Once the counted frontier is small it is broadcast, so the long tail
     of short rounds shuffles neither edges nor visited states. There are finitely many
     states and none is visited twice, so the walk ends when a round finds nothing new.
     """
-    hops = cut_lineage(
-        edges.where(F.col("from_site").isNotNull() & F.col("from_stage").isNotNull())
-        .select("part", "from_site", "from_stage", "to_site", "to_stage", "kind")
-        .distinct()
-    )
+    hops = cut_lineage(edges.distinct())
     frontier = cut_lineage(
         seeds.select("part", "site", "stage", F.col("stage").alias("last_stage")).distinct()
         .withColumn("step", F.lit(1))
