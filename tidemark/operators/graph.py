@@ -61,29 +61,22 @@ def _walk_rows(hops: DataFrame, starts: DataFrame) -> DataFrame:
         starts.select("part", F.lit(None).cast(kind(hops, hop)).alias("_hop"), start.alias("_start"))
     )
     place = lambda site, stage: F.struct(site.alias("site"), stage.alias("stage"))
-    # in a struct a missing stage has a number like any other
-    stage = lambda c: F.struct(c.alias("stage"))
+    text = lambda c: F.coalesce(F.concat(F.length(c.cast("string")), F.lit(":"), c.cast("string")), F.lit("-"))
+    known = lambda site, stage: F.concat(text(site), text(stage))
+    ends = lambda f: F.concat(
+        F.transform("_starts", lambda s: f(s.site, s.stage)),
+        F.transform("_hops", lambda e: f(e.from_site, e.from_stage)),
+        F.transform("_hops", lambda e: f(e.to_site, e.to_stage)),
+    )
+    # the number of a place or stage is where its text stands first in the list; a missing name has a text, too
     rows = (
         both.groupBy("part")
-        .agg(F.collect_set("_hop").alias("_hops"), F.collect_set("_start").alias("_starts"))
+        .agg(F.collect_list("_hop").alias("_hops"), F.collect_list("_start").alias("_starts"))
         .where(F.size("_starts") > 0)
-        .withColumns(
-            {
-                "_places": F.array_distinct(
-                    F.concat(
-                        F.transform("_starts", lambda s: place(s.site, s.stage)),
-                        F.transform("_hops", lambda e: place(e.from_site, e.from_stage)),
-                        F.transform("_hops", lambda e: place(e.to_site, e.to_stage)),
-                    )
-                ),
-                "_stages": F.array_distinct(
-                    F.concat(F.transform("_starts", lambda s: stage(s.stage)), F.transform("_hops", lambda e: stage(e.to_stage)))
-                ),
-            }
-        )
+        .withColumns({"_places": ends(place), "_names": ends(known), "_stages": ends(lambda _, stage: text(stage))})
     )
-    at = lambda site, name: F.array_position("_places", place(site, name))
-    number = lambda name: F.array_position("_stages", stage(name))
+    at = lambda site, stage: F.array_position("_names", known(site, stage))
+    number = lambda stage: F.array_position("_stages", text(stage))
     state = lambda here, last: F.shiftleft(here, BITS).bitwiseOR(last)
     of = lambda s: F.shiftright(s, BITS)
     last = lambda s: s.bitwiseAND(F.lit((1 << BITS) - 1).cast("bigint"))
@@ -114,9 +107,9 @@ def _walk_rows(hops: DataFrame, starts: DataFrame) -> DataFrame:
         return F.when(F.size(F.element_at(found, -1)) == 0, walk).otherwise(longer)
 
     # every round but the last finds a state; the moves go along, so that they are numbered once
-    most = F.sequence(F.lit(1), F.size("_places") * F.size("_stages") + 1)
+    most = F.sequence(F.lit(1), F.size(F.array_distinct("_names")) * F.size(F.array_distinct("_stages")) + 1)
     walked = rows.select(
-        "part", "_places", "_stages",
+        "part", "_places",
         F.aggregate(most, F.struct(moves.alias("moves"), F.array(first).alias("found")), lambda walk, _: further(walk))
         .getField("found").alias("_found"),
     )
@@ -125,7 +118,7 @@ def _walk_rows(hops: DataFrame, starts: DataFrame) -> DataFrame:
         here = F.element_at("_places", of(s).cast("int"))
         return F.struct(
             here.site.alias("site"), here.stage.alias("stage"),
-            F.element_at("_stages", last(s).cast("int")).getField("stage").alias("last_stage"),
+            F.element_at("_places", last(s).cast("int")).stage.alias("last_stage"),
             (turn + 1).alias("step"),
         )
 
