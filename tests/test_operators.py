@@ -396,3 +396,12 @@ def test_small_parts_are_walked_without_rounds(spark, monkeypatch):
     seeds = spark.createDataFrame([("p", "s", "1")], "part string, site string, stage string")
     monkeypatch.setattr(graph, "cut_lineage", lambda df: pytest.fail("a round was checkpointed"))
     assert sorted(r.step for r in graph.walk_paths(edges, seeds).collect()) == list(range(1, 102))
+
+
+def test_spread_is_narrow_and_follows_the_key(spark):
+    """A few bits of the hash of the key, equal for equal keys, so that it costs next to nothing in a shuffled row."""
+    from tidemark.operators.skew import spread
+
+    rows = spark.range(1000).select(spread(["id"]).alias("a"), spread([F.col("id")]).alias("b"))
+    assert dict(rows.dtypes) == {"a": "tinyint", "b": "tinyint"}
+    assert rows.where("a <> b").isEmpty() and 1 < rows.select("a").distinct().count() <= 8

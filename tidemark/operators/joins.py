@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import timeline
-from tidemark.operators.skew import attach
+from tidemark.operators.skew import attach, spread
 
 
 def enrich(
@@ -44,8 +44,8 @@ def _attach_on(
 
     See ``skew`` for why the key's hash takes part in the join.
     """
-    left = df.select("*", F.xxhash64(*on).alias("_lh"))
-    right = side.select("*", F.xxhash64(*on.values()).alias("_rh"))
+    left = df.select("*", spread(list(on)).alias("_lh"))
+    right = side.select("*", spread(list(on.values())).alias("_rh"))
     cond = _all([F.col(l) == F.col(r) for l, r in on.items()] + [F.col("_lh") == F.col("_rh")])
     return left.join(right, cond if when is None else cond & when, "left").drop("_lh", "_rh", *on.values())
 
