@@ -22,16 +22,23 @@ from tidemark.session import checkpoint_dir
 
 BLOCK_BYTES = 1 << 20
 
+#: Bytes of rows that go to a Python worker at once (Spark's default is 64 MB, held by the executor and by the worker).
+BATCH_BYTES = 4 * BLOCK_BYTES
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the folder that the whole cluster shares."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to shared storage and read it back: no later step recomputes it."""
+def stored(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """Write ``df`` to shared storage and read it back: no later step recomputes it.
+
+    Readers hold some thousand rows of a file at once; ``file_rows`` bounds the rows of a file where rows are large.
+    """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -214,6 +221,17 @@ def by_block(work: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text
     return run
 
 
+def in_arrow(df: DataFrame, work, schema) -> DataFrame:
+    """``df.mapInArrow`` on batches of at most ``BATCH_BYTES`` and a row.
+
+    The bound is a setting of the session, as Spark has no other; one that the user has set stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING, None) is None:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(work, schema)
+
+
 def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     """List column with ``values[bounds[i]:bounds[i + 1]]`` in row i."""
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, kind))

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ALNUM, Words, by_block, lists, stored, without
+from tidemark.llm.common import ALNUM, Words, by_block, in_arrow, lists, stored, without
 
 #: Largest number of benchmark words that are sent to the executors at once; more are searched in slices.
 SLICE_WORDS = 2_000_000
@@ -35,6 +35,8 @@ SLICE_WORDS = 2_000_000
 GAP = 16
 #: Bytes of text in a block of the index.
 INDEX_BYTES = 2 << 20
+#: Blocks in a file of the index; a reader holds all of a file's blocks.
+FILE_BLOCKS = 4
 
 INDEX = (
     "block string, doc_ids array<bigint>, n_words array<int>, terms array<string>, counts array<int>, positions array<int>"
@@ -67,7 +69,7 @@ def _index_block(block: pa.RecordBatch) -> pa.RecordBatch:
 def build_index(docs: DataFrame) -> DataFrame:
     """Positional index of ``docs`` (doc_id, text), one row per block, on shared storage."""
     picked = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return stored(picked.mapInArrow(by_block(_index_block, size=INDEX_BYTES), INDEX), "postings")
+    return stored(in_arrow(picked, by_block(_index_block, size=INDEX_BYTES), INDEX), "postings", FILE_BLOCKS)
 
 
 class Phrases:
@@ -225,7 +227,7 @@ def search(index: DataFrame, items: DataFrame, size: int = 10, slop: int = 0, sl
     for k in range(slices):
         rows = [(r.item_id, r.words) for r in numbered.where(F.col("slice") == k).collect()]
         shared = spark.sparkContext.broadcast(Phrases(rows, size))
-        part = index.mapInArrow(_searcher(shared, slop), FOUND)
+        part = in_arrow(index, _searcher(shared, slop), FOUND)
         found = part if found is None else found.unionByName(part)
     if slices > 1:
         found = found.groupBy("block", "row").agg(

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NOT_SPACE, Words, by_block, lists, mix, stored, without
+from tidemark.llm.common import NOT_SPACE, Words, by_block, in_arrow, lists, mix, stored, without
 from tidemark.llm.components import components
 from tidemark.operators.skew import attach
 
@@ -194,14 +194,10 @@ class _Pairs:
         for side in "ab":
             texts = self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
             rows = rows.join(texts, side)
-        found = rows.mapInArrow(by_block(_verify(self.size, self.percent), "text_a", 1 << 20), "a bigint, b bigint")
+        found = in_arrow(rows, by_block(_verify(self.size, self.percent), "text_a", 1 << 20), "a bigint, b bigint")
         return stored(found.select(F.col("a").alias("u"), F.col("b").alias("v")), "near-links")
 
 
-def _nothing(spark, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of buckets that hold more than one component, with their component."""
     rows = members
@@ -347,18 +343,18 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
         values, bounds = shingle_sets(block.column("text"), size)
         return pa.RecordBatch.from_arrays([block.column("node"), lists(values.view(np.int64), bounds, pa.int64())], names=["node", "set"])
 
-    return texts.mapInArrow(by_block(work), "node bigint, set array<bigint>")
+    return in_arrow(texts, by_block(work), "node bigint, set array<bigint>")
 
 
 def _within(members: DataFrame, pairs: _Pairs) -> DataFrame:
     """Links between members of one bucket and different components."""
     rows = _cells(attach(members, pairs.looks, ["node"], "inner"))
     dealt = rows.repartition("band", "cell").sortWithinPartitions("band", "cell")
-    alive = stored(dealt.mapInArrow(_alive(pairs.percent), dealt.schema), "near-alive")
+    alive = stored(in_arrow(dealt, _alive(pairs.percent), dealt.schema), "near-alive")
     texts = attach(pairs.texts, alive.select("node").distinct(), ["node"], "left_semi")
     sets = stored(_sets(texts, pairs.size), "near-sets")
     dealt = attach(alive, sets, ["node"], "inner").repartition("band", "cell").sortWithinPartitions("band", "cell")
-    return stored(dealt.mapInArrow(_linker(pairs.percent), "u bigint, v bigint"), "near-links")
+    return stored(in_arrow(dealt, _linker(pairs.percent), "u bigint, v bigint"), "near-links")
 
 
 def _class_texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -382,7 +378,6 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 def class_components(docs: DataFrame, sketched: DataFrame, size: int, percent: int) -> DataFrame:
     """``key`` (of a shingle set) and ``component``, the smallest document id it is linked with."""
-    spark = docs.sparkSession
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
     classes = sketched.where("key is not null").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.min(row).alias("pick"), F.first("n_shingles").alias("n"),
@@ -395,7 +390,7 @@ def class_components(docs: DataFrame, sketched: DataFrame, size: int, percent: i
     nodes = stored(members.select("node").distinct(), "near-nodes")
     pairs = _Pairs(classes, _class_texts(docs, classes, nodes), size, percent)
 
-    links, labels = _nothing(spark, "u bigint, v bigint"), None
+    links = labels = None  # an empty relation made in Python would start Python workers of its own kind
     for turn in range(PIVOT_ROUNDS + 1):
         left = stored(_open_members(members, labels), "near-open")
         if left.isEmpty():
@@ -405,7 +400,7 @@ def class_components(docs: DataFrame, sketched: DataFrame, size: int, percent: i
         else:
             new = _within(left, pairs)
         if not new.isEmpty():
-            labels = components(links.unionByName(new))
+            labels = components(new if links is None else links.unionByName(new))
             links = stored(labels.select(F.col("node").alias("u"), F.col("component").alias("v")), "near-labels")
             labels = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     if labels is None:
@@ -421,7 +416,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     ``size`` words make a shingle; documents are linked from a Jaccard similarity of ``percent`` on.
     """
-    sketched = stored(_hashed(docs).mapInArrow(by_block(_sketch_block(size)), SKETCH), "near-sketches")
+    sketched = stored(in_arrow(_hashed(docs), by_block(_sketch_block(size)), SKETCH), "near-sketches")
     found = attach(sketched.select("doc_id", "n_shingles", "key"), class_components(docs, sketched, size, percent), ["key"])
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     found = found.select("doc_id", "n_shingles", component.alias("component_id"))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, blocks, flat_bytes, shared_folder, stored
+from tidemark.llm.common import LOWER, blocks, flat_bytes, in_arrow, shared_folder, stored
 
 MAGIC = b"TIDETOK1"
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
@@ -190,7 +190,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, parts: int
     rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("turn"))
     rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "turn")
     rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "turn", "text").drop("turn")
-    manifest = stored(rows.mapInArrow(_writer(folder, vocabulary, end_id), MANIFEST), "token-manifest")
+    manifest = stored(in_arrow(rows, _writer(folder, vocabulary, end_id), MANIFEST), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
@@ -224,6 +224,7 @@ READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def _reader(batches):
+    _encoders.clear()  # all is written; a worker that lives on need not hold the words
     for batch in batches:
         for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
             part = Part(path)

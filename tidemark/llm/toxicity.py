@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import ALNUM, Words, by_block, lists, mix, stored
+from tidemark.llm.common import ALNUM, Words, by_block, in_arrow, lists, mix, stored
 
 TRAIN_ROWS = 6_000
 CHAIN = ("low_quality", "toxic")
@@ -97,7 +97,7 @@ def _tally(categories: int):
 def select(rows: DataFrame, categories: int) -> list[int]:
     """Ids of the features whose share differs most between the classes of any category, ascending."""
     schema = "id bigint, n bigint, " + ", ".join(f"n{k} bigint" for k in range(categories))
-    sums = rows.mapInArrow(by_block(_tally(categories)), schema).groupBy("id")
+    sums = in_arrow(rows, by_block(_tally(categories)), schema).groupBy("id")
     sums = sums.agg(*[F.sum(c).alias(c) for c in ["n", *[f"n{k}" for k in range(categories)]]])
     every = [F.count("*").alias("n"), *[F.sum(f"y{k}").alias(f"y{k}") for k in range(categories)]]
     whole = rows.agg(*every).first()
@@ -230,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, chain=CHAIN, train_rows: int = TRA
     ids = np.sort(np.array(select(rows, k), np.int64).view(np.uint64))
     schema = "doc_id bigint, " + "".join(f"y{i} int, " for i in range(k)) + "fold int, columns array<bigint>, values array<double>"
     coded = rows.select(F.col("doc_id").cast("bigint"), *[f"y{i}" for i in range(k)], "fold", "text")
-    coded = coded.mapInArrow(by_block(_encode(ids)), schema)
+    coded = in_arrow(coded, by_block(_encode(ids)), schema)
     coded = coded.orderBy("doc_id", "columns").limit(train_rows).repartition(1).sortWithinPartitions("doc_id", "columns")
     return ids, coded.mapInArrow(_fit(len(ids), k), MODEL).orderBy("category").collect()
 
@@ -262,7 +262,7 @@ def score(docs: DataFrame, trained: tuple[np.ndarray, list], chain=CHAIN) -> Dat
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     k = range(len(chain))
     schema = "doc_id bigint, " + ", ".join([f"p{i} double" for i in k] + [f"is{i} boolean" for i in k])
-    rows = rows.mapInArrow(by_block(_scorer(ids, plain, [r.threshold for r in model])), schema)
+    rows = in_arrow(rows, by_block(_scorer(ids, plain, [r.threshold for r in model])), schema)
     return rows.select(
         "doc_id",
         *[F.col(f"p{i}").alias(f"p_{c}") for i, c in enumerate(chain)],
@@ -283,5 +283,5 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for kind, name in (("double", "p"), ("boolean", "is")):
         for i in range(len(CHAIN)):
             schema = schema.add(f"{name}{i}", kind)
-    rows = docs.mapInArrow(by_block(_scorer(ids, plain, [r.threshold for r in model], without=())), schema)
+    rows = in_arrow(docs, by_block(_scorer(ids, plain, [r.threshold for r in model], without=())), schema)
     return rows.where(~F.col(f"is{CHAIN.index('toxic')}")).select(*docs.columns)
