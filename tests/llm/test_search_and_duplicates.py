@@ -12,6 +12,7 @@ import pytest
 from tests.compare import compare
 from tests.llm.conftest import BASE, LONG, NEAR, ROWS, frame
 from tidemark.llm import components, decontamination, near_duplicates
+from tidemark.llm.common import stored
 from tidemark.llm.queries import LLM_ORACLE, LLM_QUERIES
 
 UPPER = {i: i + 32 for i in range(65, 91)}
@@ -156,6 +157,55 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
 
 
+def brute_stars(links):
+    least = {x: x for link in links for x in link}
+    changed = True
+    while changed:
+        changed = False
+        for u, v in links:
+            m = min(least[u], least[v])
+            changed |= least[u] != m or least[v] != m
+            least[u] = least[v] = m
+    return {u: v for u, v in least.items() if u != v}
+
+
+def test_components_of_groups_take_few_passes(spark, monkeypatch):
+    """Every pass costs a task for each shuffle partition in each of its stages, however few the links are."""
+    written = []
+    monkeypatch.setattr(components, "stored", lambda df, name: written.append(name) or stored(df, name))
+    rng = random.Random(5)
+    links = [(x, x // 50 * 50 + rng.randrange(50)) for x in range(3000) for _ in range(4)]
+    df = stored(spark.createDataFrame(links, "u bigint, v bigint").repartition(8), "given")
+    got = {r.node: r.component for r in components.components(df).collect()}
+    want = brute_stars(links)
+    assert got == {x: want.get(x, x) for link in links for x in link}
+    assert len(written) <= 3
+
+
+@pytest.mark.parametrize("task,broadcast", [(1 << 18, 1_000_000), (8, 1_000_000), (8, 0)])
+def test_stars_match_brute_force(spark, monkeypatch, task, broadcast):
+    """Links shortened as a whole and by small pieces, minima broadcast and joined by a shuffle."""
+    monkeypatch.setattr(components, "TASK_LINKS", task)
+    monkeypatch.setattr(components, "BROADCAST_LINKS", broadcast)
+    rng = random.Random(task + broadcast)
+    links = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(280)]
+    links += [(1000, i) for i in range(1001, 1060)] + [(i, i + 1) for i in range(2000, 2060)] + [(7, 7), (5000, 5000)] + [(2**62, -(2**62))] * 3
+    df = spark.createDataFrame(links, "u bigint, v bigint").repartition(5)
+    got = components.stars(df).distinct().collect()
+    assert len({r.u for r in got}) == len(got)
+    assert {r.u: r.v for r in got} == brute_stars(links)
+    assert components.stars(df.where("u = v")).count() == 0 and components.stars(df.where("u > v and u < v")).count() == 0
+
+
+def test_shortened_links_are_the_stars_of_the_components():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 50, 400):
+        u, v = rng.integers(0, 300, n), rng.integers(0, 300, n)
+        a, b = components.shortened(u, v)
+        assert len(set(a.tolist())) == len(a)
+        assert dict(zip(a.tolist(), b.tolist(), strict=True)) == brute_stars(list(zip(u.tolist(), v.tolist(), strict=True)))
+
+
 def test_words_do_not_run_over_texts():
     from tidemark.llm.common import ALNUM, Words
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import NOT_SPACE, Words, by_block, in_arrow, lists, mix, stored, without
-from tidemark.llm.components import components
+from tidemark.llm.components import stars
 from tidemark.operators.skew import attach
 
 BINS = 160
@@ -58,6 +58,8 @@ SKETCH = (
     "doc_id bigint, h1 bigint, h2 bigint, n_shingles bigint, key binary, bands array<bigint>, "
     "b0 bigint, b1 bigint, b2 bigint"
 )
+#: Columns by which members of a bucket are first compared: size of the set and one-bit sketch.
+LOOKS = ("n", "b0", "b1", "b2")
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _LARGEST = np.uint64(2**64 - 1)
 _SEEDS = np.arange(1, 2 * BINS + 1, dtype=np.uint64) * _STEP
@@ -173,21 +175,16 @@ def _verify(size: int, percent: int):
 
 
 class _Pairs:
-    """Compares candidate pairs; keeps the classes' sketches and texts."""
+    """Compares candidate pairs on the texts of the classes."""
 
-    def __init__(self, classes: DataFrame, texts: DataFrame, size: int, percent: int):
-        self.looks = classes.select("node", "n", "b0", "b1", "b2")
+    def __init__(self, texts: DataFrame, size: int, percent: int):
         self.texts, self.size, self.percent = texts, size, percent
 
     def likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that sizes and one-bit sketches allow."""
-        rows = pairs
-        for side in "ab":
-            names = [F.col(c).alias(f"{c}_{side}") for c in ("n", "b0", "b1", "b2")]
-            rows = attach(rows, self.looks.select(F.col("node").alias(side), *names), [side], "inner")
+        """Pairs that sizes and one-bit sketches, columns ``_a`` and ``_b``, allow."""
         off = sum((F.bit_count(F.col(f"b{k}_a").bitwiseXOR(F.col(f"b{k}_b"))) for k in range(3)), F.lit(0))
         near = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        return rows.where(near & (off <= MOST_BITS)).select("a", "b")
+        return pairs.where(near & (off <= MOST_BITS))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         rows = pairs
@@ -200,21 +197,22 @@ class _Pairs:
 
 def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of buckets that hold more than one component, with their component."""
-    rows = members
     if labels is None:
-        return rows.withColumn("component", F.col("node"))
-    rows = attach(rows, labels, ["node"]).withColumn("component", F.coalesce("component", "node"))
+        return members.withColumn("component", F.col("node"))
+    rows = attach(members, labels, ["node"]).withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return attach(rows, mixed.select("band"), ["band"], "left_semi")
+    return stored(attach(rows, mixed.select("band"), ["band"], "left_semi"), "near-open")
 
 
-def _pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Every member with the pivot of its bucket, if they are of different components."""
+def _pivot_pairs(members: DataFrame, turn: int, pairs: _Pairs) -> DataFrame:
+    """Every member with the pivot of its bucket, if they are of different components and may be alike."""
     order = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-    pivots = members.groupBy("band").agg(F.min(F.struct(order.alias("order"), "node", "component")).alias("p"))
-    pivots = pivots.select("band", F.col("p.node").alias("p"), F.col("p.component").alias("pc"))
-    rows = attach(members, pivots, ["band"]).where("component <> pc")
-    return rows.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
+    first = F.min(F.struct(order.alias("order"), "node", "component", *LOOKS))
+    pivots = members.groupBy("band").agg(first.alias("p"))
+    pivots = pivots.select("band", *[F.col(f"p.{c}").alias(f"{c}_b") for c in ("node", "component", *LOOKS)])
+    rows = attach(members.withColumnsRenamed({c: f"{c}_a" for c in LOOKS}), pivots, ["band"])
+    rows = pairs.likely(rows.where("component <> component_b"))
+    return rows.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
 
 
 # ---- comparing what is left of a bucket ----------------------------------------------
@@ -348,12 +346,11 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
 
 def _within(members: DataFrame, pairs: _Pairs) -> DataFrame:
     """Links between members of one bucket and different components."""
-    rows = _cells(attach(members, pairs.looks, ["node"], "inner"))
-    dealt = rows.repartition("band", "cell").sortWithinPartitions("band", "cell")
+    dealt = _cells(members).repartition("band", "cell").sortWithinPartitions("band", "cell")
     alive = stored(in_arrow(dealt, _alive(pairs.percent), dealt.schema), "near-alive")
     texts = attach(pairs.texts, alive.select("node").distinct(), ["node"], "left_semi")
-    sets = stored(_sets(texts, pairs.size), "near-sets")
-    dealt = attach(alive, sets, ["node"], "inner").repartition("band", "cell").sortWithinPartitions("band", "cell")
+    dealt = attach(alive, _sets(texts, pairs.size), ["node"], "inner")
+    dealt = dealt.repartition("band", "cell").sortWithinPartitions("band", "cell")
     return stored(in_arrow(dealt, _linker(pairs.percent), "u bigint, v bigint"), "near-links")
 
 
@@ -362,11 +359,12 @@ def _class_texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataF
     picked = attach(classes.select("node", "pick.*"), nodes, ["node"], "left_semi")
     picked = stored(picked.withColumnRenamed("doc_id", "_id"), "near-picked")
     rows = _hashed(docs).where("text is not null")
-    few = picked.count() <= BROADCAST_TEXTS
+    n = picked.count()
+    few = n <= BROADCAST_TEXTS
     same = rows.h1.eqNullSafe(picked.h1) & (rows.h2 == picked.h2) & rows.doc_id.eqNullSafe(picked._id)
     rows = rows.join(F.broadcast(picked) if few else picked, same).select("node", "text")
     rows = stored(rows, "near-texts")
-    if rows.count() == nodes.count():
+    if rows.count() == n:
         return rows
     return stored(rows.groupBy("node").agg(F.first("text").alias("text")), "near-texts")  # repeated rows
 
@@ -384,25 +382,21 @@ def class_components(docs: DataFrame, sketched: DataFrame, size: int, percent: i
         *[F.first(c).alias(c) for c in ("b0", "b1", "b2", "bands")],
     )
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    banded = classes.select("node", F.explode("bands").alias("band"))
+    banded = classes.select("node", F.explode(F.array_distinct("bands")).alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = stored(attach(banded, shared.select("band"), ["band"], "left_semi").distinct(), "near-members")
-    nodes = stored(members.select("node").distinct(), "near-nodes")
-    pairs = _Pairs(classes, _class_texts(docs, classes, nodes), size, percent)
+    members = attach(banded, shared.select("band"), ["band"], "left_semi")
+    members = stored(attach(members, classes.select("node", *LOOKS), ["node"], "inner"), "near-members")
+    pairs = _Pairs(_class_texts(docs, classes, members.select("node").distinct()), size, percent)
 
     links = labels = None  # an empty relation made in Python would start Python workers of its own kind
     for turn in range(PIVOT_ROUNDS + 1):
-        left = stored(_open_members(members, labels), "near-open")
+        left = _open_members(members, labels)
         if left.isEmpty():
             break
-        if turn < PIVOT_ROUNDS:
-            new = pairs.links(stored(pairs.likely(_pivot_pairs(left, turn)), "near-asked"))
-        else:
-            new = _within(left, pairs)
+        new = pairs.links(_pivot_pairs(left, turn, pairs)) if turn < PIVOT_ROUNDS else _within(left, pairs)
         if not new.isEmpty():
-            labels = components(new if links is None else links.unionByName(new))
-            links = stored(labels.select(F.col("node").alias("u"), F.col("component").alias("v")), "near-labels")
-            labels = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            links = stars(new if links is None else links.unionByName(new))
+            labels = links.distinct().select(F.col("u").alias("node"), F.col("v").alias("component"))
     if labels is None:
         return classes.select("key", F.col("least").alias("component"))
     both = attach(classes.select("key", "node", "least"), labels, ["node"])
